@@ -101,6 +101,28 @@ def build_graph(vertices: DataFrame, edges: DataFrame) -> PropertyGraph:
     return PropertyGraph(vertices=v, edges=edges)
 
 
+def graph_from_match_edges(match_edges: DataFrame, id_mode: str = "key",
+                           orientation: str = "stored") -> PropertyGraph:
+    """The graph of normalised match edges, vertex set built in one pass.
+
+    Every match edge contributes (me, my name, tracked) and (him, his name,
+    not tracked); an opponent without a name contributes only his id, so he
+    becomes "Missing" unless another row names him.  This equals
+    ``build_graph(extract_vertices(e), oriented_edges(e))`` without a
+    de-duplicating shuffle or a second scan of the edges for endpoints.
+    """
+    me, him = _ids(match_edges, id_mode)
+    known = F.col("his_name") != ""
+    rows = F.array(
+        F.struct(me.alias("id"), F.col("my_name").alias("name"), F.lit(True).alias("tracking")),
+        F.struct(him.alias("id"), F.when(known, F.col("his_name")).alias("name"),
+                 F.when(known, F.lit(False)).alias("tracking")))
+    v = (match_edges.select(F.explode(rows).alias("v")).select("v.*")
+         .groupBy("id").agg(F.coalesce(F.min("name"), F.lit(MISSING)).alias("name"),
+                            F.coalesce(F.bool_or("tracking"), F.lit(False)).alias("tracking")))
+    return PropertyGraph(vertices=v, edges=oriented_edges(match_edges, id_mode, orientation))
+
+
 def graph_stats(g: PropertyGraph) -> DataFrame:
     """Vertex total, missing and tracked counts in one pass."""
     return g.vertices.agg(F.count(F.lit(1)).alias("n_vertices"),
@@ -108,16 +130,28 @@ def graph_stats(g: PropertyGraph) -> DataFrame:
                           F.count_if(F.col("tracking")).alias("n_tracked"))
 
 
+def champion_set(top: DataFrame) -> F.Column:
+    """The champions of a k-row frame as one array value (scalar subquery).
+
+    ``top`` is bounded by construction (a top-k), so collecting it into one
+    value is safe; the subquery runs once and the result is inlined into the
+    filters below, which then need no join at all.
+    """
+    return top.agg(F.collect_list("champion").alias("c")).scalar()
+
+
 def banned_subgraph(g: PropertyGraph, top: DataFrame) -> PropertyGraph:
     """Keep "Against" edges where either champion is one of ``top``.
 
-    ``top`` is a k-row frame (column ``champion``); the two IN-subqueries plan
-    as broadcast existence joins on that bounded side.  All vertices stay.
+    ``top`` is a k-row frame (column ``champion``).  All vertices stay.
     """
-    champs = top.select("champion")
+    champs = champion_set(top)
     side = F.coalesce(F.col("side"), F.lit("None")) == AGAINST
-    keep = side & (F.col("dst_champ").isin(champs) | F.col("src_champ").isin(champs))
-    return PropertyGraph(vertices=g.vertices, edges=g.edges.filter(keep))
+    # One use of the subquery value for both endpoints (a second use would be
+    # planned as a second subquery).
+    hit = F.arrays_overlap(champs, F.array(F.coalesce(F.col("dst_champ"), F.lit("")),
+                                           F.coalesce(F.col("src_champ"), F.lit(""))))
+    return PropertyGraph(vertices=g.vertices, edges=g.edges.filter(side & hit))
 
 
 def degrees(edges: DataFrame) -> DataFrame:
@@ -159,11 +193,11 @@ def pattern_hop(g: PropertyGraph, excluded: DataFrame) -> DataFrame:
 
     Returns n's id and name with the target id and the relationship's
     champion (``src_champ``, "No Champ" when absent).  The excluded list is a
-    k-row frame; NOT IN plans as a broadcast null-aware anti join.
+    k-row frame, applied as one inlined array value.
     """
     rel = g.edges.select("src_id", "dst_id",
                          F.coalesce(F.col("src_champ"), F.lit(NO_CHAMP)).alias("my_champion"))
-    rel = rel.filter(~F.col("my_champion").isin(excluded.select("champion")))
+    rel = rel.filter(~F.array_contains(champion_set(excluded), F.col("my_champion")))
     v = g.vertices.select(F.col("id").alias("src_id"), "id", "name")
     return rel.join(v, "src_id").select("id", "name", "dst_id", "my_champion")
 

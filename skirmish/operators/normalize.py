@@ -89,10 +89,10 @@ def match_edges(t: MatchTables) -> DataFrame:
     cand = tracked_matches(t).join(identities(t), "match_id")
     w = Window.partitionBy("match_id", "my_id")
     me_order = F.when(F.col("his_name") == F.col("my_name"), F.col("participant_id"))
-    cand = (cand
-            .withColumn("my_champion", F.coalesce(F.max_by("his_champion", me_order).over(w),
-                                                  F.lit(NO_CHAMPION)))
-            .withColumn("my_team", F.max_by("team_id", me_order).over(w)))
+    me = F.max_by(F.struct(F.col("his_champion").alias("c"), F.col("team_id").alias("t")), me_order).over(w)
+    cand = (cand.withColumn("me", me)
+            .withColumn("my_champion", F.coalesce(F.col("me.c"), F.lit(NO_CHAMPION)))
+            .withColumn("my_team", F.col("me.t")))
     return (cand.filter(F.col("his_name") != F.col("my_name"))
             .select("match_id", "participant_id", "my_id", "my_name", "his_id", "his_name",
                     "my_champion", "his_champion",

@@ -17,7 +17,7 @@ from .. import schemas
 from ..functions import columns as colfn
 from ..functions.hashing import name_id
 from ..operators import bans, graph, marts, matchlist, normalize, stats
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 from ..sources import documents, graph_files, tables
 from ..streaming import jobs
 from ..streaming.store import UpsertStore
@@ -40,8 +40,9 @@ def _ban_count(spark, d) -> DataFrame:
 
 
 def _graph(spark, d) -> graph.PropertyGraph:
-    me = _edges(spark, d)
-    return graph.build_graph(graph.extract_vertices(me), graph.oriented_edges(me))
+    """Graph over the normalised edges, written once like the edge files of
+    the streaming job, so vertices and edges do not both recompute them."""
+    return graph.graph_from_match_edges(materialize(_edges(spark, d), "match-edges"))
 
 
 def _banned(spark, d) -> tuple[graph.PropertyGraph, DataFrame]:

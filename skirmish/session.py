@@ -23,6 +23,7 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -74,3 +75,17 @@ def ensure_parent(path: str) -> None:
     """Create a local parent folder; remote file systems create paths on write."""
     if is_local_path(path):
         os.makedirs(path.removeprefix("file:"), exist_ok=True)
+
+
+def materialize(df, name: str):
+    """Write ``df`` once to the shared folder and return a lazy read of it.
+
+    Used where several branches of one plan consume the same expensive
+    intermediate (the normalised edges of the graph job): they then scan a
+    column-pruned Parquet table instead of recomputing it, and the lineage is
+    cut, so a lost executor never replays the upstream joins.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
