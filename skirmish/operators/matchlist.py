@@ -75,3 +75,22 @@ def resolve_accounts(names: DataFrame, accounts: DataFrame) -> DataFrame:
            .groupBy("summoner_name").agg(F.max("account_id").alias("account_id")))
     return names.join(acc, "summoner_name").select(
         "summoner_name", url_escape_blanks("summoner_name").alias("url_name"), "account_id", "rating")
+
+
+def poll_increment(games: DataFrame, cursor: DataFrame, begin: Column,
+                   player: str = "player", ts: str = "ts") -> tuple[DataFrame, DataFrame]:
+    """One incremental poll over a table of games with a high-water mark per player.
+
+    ``cursor`` is (player, last_ts).  Returns (games newer than the player's
+    mark, or at/after ``begin`` for players without one; the advanced
+    cursor).  The cursor has one row per player and the new marks come from
+    a partial aggregation, so a very active player costs no more than any other.
+    """
+    c = cursor.select(F.col(player).alias(player), F.col("last_ts"))
+    mark = F.col("last_ts")
+    new = (games.join(c, player, "left")
+           .filter(F.when(mark.isNull(), F.col(ts) >= begin).otherwise(F.col(ts) > mark))
+           .drop("last_ts"))
+    advanced = (c.unionByName(new.groupBy(player).agg(F.max(ts).alias("last_ts")))
+                .groupBy(player).agg(F.max("last_ts").alias("last_ts")))
+    return new, advanced

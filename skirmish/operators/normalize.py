@@ -41,10 +41,16 @@ def winner_name(side: F.Column) -> F.Column:
     return F.when(side == BLUE_SIDE, F.lit("Blue")).otherwise(F.lit("Red"))
 
 
-def match_events(t: MatchTables) -> DataFrame:
-    """One row per match: id, time, duration and winning side name."""
-    return t.matches.select("match_id", "ts", "game_duration",
-                            winner_name(winner_side()).alias("winner"))
+def match_events(t: MatchTables, flag_remake: bool = False) -> DataFrame:
+    """One row per match: id, time, duration and winning side name.
+
+    ``flag_remake`` adds ``remake`` (no team won; the winner column then
+    names team 1's side, as the reference does).
+    """
+    cols = ["match_id", "ts", "game_duration", winner_name(winner_side()).alias("winner")]
+    if flag_remake:
+        cols.append(((F.col("win0") != "Win") & (F.col("win1") != "Win")).alias("remake"))
+    return t.matches.select(*cols)
 
 
 def name_champions(df: DataFrame, champions: DataFrame, key: str, out: str) -> DataFrame:

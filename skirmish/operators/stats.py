@@ -25,14 +25,18 @@ def _measures(df: DataFrame):
 
 
 def sliding_stats(matches: DataFrame, window_minutes: int = WINDOW_MINUTES,
-                  slide_minutes: int = SLIDE_MINUTES) -> DataFrame:
+                  slide_minutes: int = SLIDE_MINUTES, dedupe_key: str | None = None) -> DataFrame:
     """(slot, duration, red_win, tot_matches) keyed by window start.
 
     ``matches`` needs ts, game_duration and winner.  The window length must be
-    a multiple of the slide.
+    a multiple of the slide.  A match reported by several tracked players is
+    counted once per report, as in the reference; ``dedupe_key`` (e.g.
+    match_id) counts it once instead.
     """
     if window_minutes % slide_minutes:
         raise ValueError("window length must be a multiple of the slide")
+    if dedupe_key:
+        matches = matches.dropDuplicates([dedupe_key])
     fan = window_minutes // slide_minutes
     slide = f"{slide_minutes} minutes"
     buckets = (matches.groupBy(F.window("ts", slide).start.alias("bucket"))
@@ -49,11 +53,14 @@ def sliding_stats(matches: DataFrame, window_minutes: int = WINDOW_MINUTES,
 
 
 def sliding_stats_streaming(matches: DataFrame, window_minutes: int = WINDOW_MINUTES,
-                            slide_minutes: int = SLIDE_MINUTES) -> DataFrame:
+                            slide_minutes: int = SLIDE_MINUTES, dedupe_key: str | None = None) -> DataFrame:
     """Same measures with ``window()``: usable on a streaming frame.
 
-    ``ts`` must be TIMESTAMP (watermarks do not accept TIMESTAMP_NTZ).
+    ``ts`` must be TIMESTAMP (watermarks do not accept TIMESTAMP_NTZ).  With
+    ``dedupe_key`` duplicates are dropped within the watermark.
     """
+    if dedupe_key:
+        matches = matches.dropDuplicatesWithinWatermark([dedupe_key])
     w = F.window("ts", f"{window_minutes} minutes", f"{slide_minutes} minutes")
     return (matches.groupBy(w.alias("w")).agg(*_measures(matches))
             .select(F.col("w.start").alias("slot"), "duration", "red_win", "tot_matches"))

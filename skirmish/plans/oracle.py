@@ -119,6 +119,7 @@ FINAL: dict[str, str] = {
     "normalize_edges": "SELECT * FROM match_edge",
     "nested_event_roundtrip": """SELECT match_id, my_id, my_name, his_id, his_name, my_champion, his_champion,
        outcome, competition FROM match_edge""",
+    "raw_document_edges": "SELECT * FROM match_edge",
     "json_root_variants": """SELECT t.match_id, t.my_id, v.variant, NOT v.ok AS quarantined,
        CASE WHEN v.ok THEN CAST(m.game_duration AS DOUBLE) END AS game_duration,
        CASE WHEN v.ok THEN (CASE WHEN t.win_team = 100 THEN 'Blue' ELSE 'Red' END) END AS winner,

@@ -71,6 +71,17 @@ def nested_event_roundtrip(spark, d):
     return documents.event_edges(good)
 
 
+def raw_document_edges(spark, d):
+    """Matches landed as match-API JSON documents, read with the document
+    schema, flattened (identity lookup inside each document) and normalised."""
+    t = _t(spark, d)
+    path = scratch_path(spark, "raw-matches")
+    documents.to_raw_documents(t).write.mode("overwrite").json(path)
+    docs = documents.read_raw_matches(spark, path)
+    flat = documents.flatten_raw_matches(docs, t.champions, t.players, t.match_list)
+    return normalize.match_edges(flat)
+
+
 JSON_VARIANTS = ("object", "array", "corrupt", "missing_key")
 
 
@@ -281,6 +292,7 @@ REGISTRY: dict[str, Query] = {
     "normalize_bans": normalize_bans,
     "normalize_edges": normalize_edges,
     "nested_event_roundtrip": nested_event_roundtrip,
+    "raw_document_edges": raw_document_edges,
     "json_root_variants": json_root_variants,
     "match_list_slice": match_list_slice,
     "roster_accounts": roster_accounts,

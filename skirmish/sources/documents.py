@@ -135,7 +135,7 @@ def flatten_raw_matches(docs: DataFrame, champions: DataFrame, players: DataFram
 
     def identity_of(p):
         hits = F.filter("participantIdentities", lambda i: i["participantId"] == p["participantId"])
-        return F.element_at(hits, -1)  # last wins; null when absent
+        return F.try_element_at(hits, F.lit(-1))  # last wins; null when absent (ANSI-safe)
 
     parts = d.select("match_id", F.explode(F.transform(
         "participants", lambda p: F.struct(p["participantId"].alias("participant_id"),
@@ -197,3 +197,41 @@ def read_champion_csv(spark: SparkSession, path: str) -> DataFrame:
 def write_champion_csv(champions: DataFrame, path: str) -> None:
     (champions.select(F.col("champion_key").cast("string"), "champion")
      .write.mode("overwrite").option("header", "false").csv(path))
+
+
+def to_raw_documents(t: MatchTables) -> DataFrame:
+    """The flat match model nested back into match-API documents.
+
+    Inverse of ``flatten_raw_matches`` (used to land test documents and to
+    export).  Participants, identities and bans are collected per match, a
+    group the game format bounds; all bans go to team 0 in ban order, which
+    keeps the "team 0 then team 1" sequence.  Identity names come from the
+    players dimension, unknown players get an empty name.
+    """
+    names = t.players.select("player_key", "player_name")
+    p = (t.participants.join(names, "player_key", "left")
+         .select("match_id", F.struct(
+             F.col("participant_id").alias("participantId"),
+             F.col("champion_key").cast("int").alias("championId"),
+             F.col("team_id").alias("teamId"),
+             F.struct(F.col("player_key").cast("string").alias("summonerId"),
+                      F.coalesce("player_name", F.lit("")).alias("summonerName")).alias("player")).alias("p")))
+    parts = p.groupBy("match_id").agg(F.array_sort(F.collect_list("p")).alias("ps"))
+    b = (t.bans.groupBy("match_id")
+         .agg(F.array_sort(F.collect_list(F.struct("pos", F.col("champion_key").cast("int").alias("c"))))
+              .alias("bs")))
+    m = t.matches.join(parts, "match_id", "left").join(b, "match_id", "left")
+    ban_structs = F.transform(F.coalesce("bs", F.array()), lambda x: F.struct(x["c"].alias("championId")))
+    ps = F.coalesce("ps", F.array())
+    return m.select(
+        F.col("match_id").alias("gameId"),
+        F.unix_millis(F.col("ts").cast("timestamp")).alias("gameCreation"),
+        F.col("game_duration").cast("double").alias("gameDuration"),
+        F.array(F.struct(F.col("side0").alias("teamId"), F.col("win0").alias("win"), ban_structs.alias("bans")),
+                F.struct(F.col("side1").alias("teamId"), F.col("win1").alias("win"),
+                         F.array().cast("array<struct<championId:int>>").alias("bans"))).alias("teams"),
+        F.transform(ps, lambda x: F.struct(x["participantId"].alias("participantId"),
+                                           x["championId"].alias("championId"),
+                                           x["teamId"].alias("teamId"))).alias("participants"),
+        F.transform(ps, lambda x: F.struct(x["participantId"].alias("participantId"),
+                                           x["player"].alias("player"))).alias("participantIdentities"))

@@ -42,11 +42,15 @@ def write_graph_file(df: DataFrame, path: str, fmt: str = "parquet", mode: str =
 
 
 def _read(spark: SparkSession, path: str, schema, fmt: str) -> DataFrame:
+    """Read with the fixed schema; partition columns of per-batch folders
+    (``batch_id=N``) are dropped so the contract stays the file schema."""
     if fmt == "csv":
-        return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
-    if fmt == "parquet":
-        return spark.read.schema(schema).parquet(path)
-    raise ValueError(f"unknown format {fmt!r}")
+        df = spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
+    elif fmt == "parquet":
+        df = spark.read.schema(schema).parquet(path)
+    else:
+        raise ValueError(f"unknown format {fmt!r}")
+    return df.select(*schema.fieldNames())
 
 
 def read_edges(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
