@@ -26,6 +26,22 @@ def ban_counts(match_bans: DataFrame) -> DataFrame:
     return match_bans.groupBy("champion").agg(F.count(F.lit(1)).alias("ban_count"))
 
 
+def ban_counts_by_key(raw_bans: DataFrame, champions: DataFrame) -> DataFrame:
+    """(champion, ban_count) from raw bans (champion keys), aggregating first.
+
+    Counting per champion key before the name lookup means the dimension
+    join sees one row per key instead of one per ban: when the champion
+    table is too large to broadcast, the shuffle of that join carries a few
+    rows per key, not the bans.  Keys without a name count as "None"; keys
+    sharing a name are summed.
+    """
+    per_key = raw_bans.groupBy("champion_key").agg(F.count(F.lit(1)).alias("n"))
+    dim = champions.select("champion_key", "champion")
+    named = (per_key.join(dim, "champion_key", "left")
+             .select(F.coalesce("champion", F.lit("None")).alias("champion"), "n"))
+    return named.groupBy("champion").agg(F.sum("n").cast("bigint").alias("ban_count"))
+
+
 def running_ban_count(match_bans: DataFrame, block_size: int = RUNNING_BLOCK) -> DataFrame:
     """(match_id, pos, champion, running): the champion's count up to this ban.
 

@@ -85,6 +85,20 @@ def extract_vertices(match_edges: DataFrame, id_mode: str = "key",
     return v.distinct()
 
 
+def _resolve_vertices(rows: DataFrame) -> DataFrame:
+    """(id, name, tracking) rows -> one vertex per id.
+
+    The smallest non-null name wins, tracked if any row is tracked; an id
+    with no name is "Missing".  Rows are first collapsed per (id, name) with
+    a hash aggregate (the name is a grouping key, so duplicates of a hub
+    player collapse map-side); only that de-duplicated set reaches the
+    per-id step, whose string minimum needs a sort-based aggregate.
+    """
+    pre = rows.groupBy("id", "name").agg(F.bool_or("tracking").alias("tracking"))
+    return pre.groupBy("id").agg(F.coalesce(F.min("name"), F.lit(MISSING)).alias("name"),
+                                 F.coalesce(F.bool_or("tracking"), F.lit(False)).alias("tracking"))
+
+
 def build_graph(vertices: DataFrame, edges: DataFrame) -> PropertyGraph:
     """Graph with one vertex per id, including endpoints without a vertex row.
 
@@ -96,9 +110,7 @@ def build_graph(vertices: DataFrame, edges: DataFrame) -> PropertyGraph:
     rows = vertices.select("id", "name", "tracking").unionByName(
         ends.select("id", F.lit(None).cast("string").alias("name"),
                     F.lit(None).cast("boolean").alias("tracking")))
-    v = rows.groupBy("id").agg(F.coalesce(F.min("name"), F.lit(MISSING)).alias("name"),
-                               F.coalesce(F.bool_or("tracking"), F.lit(False)).alias("tracking"))
-    return PropertyGraph(vertices=v, edges=edges)
+    return PropertyGraph(vertices=_resolve_vertices(rows), edges=edges)
 
 
 def graph_from_match_edges(match_edges: DataFrame, id_mode: str = "key",
@@ -117,9 +129,7 @@ def graph_from_match_edges(match_edges: DataFrame, id_mode: str = "key",
         F.struct(me.alias("id"), F.col("my_name").alias("name"), F.lit(True).alias("tracking")),
         F.struct(him.alias("id"), F.when(known, F.col("his_name")).alias("name"),
                  F.when(known, F.lit(False)).alias("tracking")))
-    v = (match_edges.select(F.explode(rows).alias("v")).select("v.*")
-         .groupBy("id").agg(F.coalesce(F.min("name"), F.lit(MISSING)).alias("name"),
-                            F.coalesce(F.bool_or("tracking"), F.lit(False)).alias("tracking")))
+    v = _resolve_vertices(match_edges.select(F.explode(rows).alias("v")).select("v.*"))
     return PropertyGraph(vertices=v, edges=oriented_edges(match_edges, id_mode, orientation))
 
 

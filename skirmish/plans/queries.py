@@ -36,7 +36,8 @@ def _edges(spark, d) -> DataFrame:
 
 
 def _ban_count(spark, d) -> DataFrame:
-    return bans.ban_counts(normalize.match_bans(_t(spark, d)))
+    t = _t(spark, d)
+    return bans.ban_counts_by_key(t.bans, t.champions)
 
 
 def _graph(spark, d) -> graph.PropertyGraph:
