@@ -85,6 +85,9 @@ def identities(t: MatchTables) -> DataFrame:
 def tracked_matches(t: MatchTables) -> DataFrame:
     """(match, tracked player) pairs with the tracked name and the winning side."""
     roster = t.players.select(F.col("player_key").alias("my_id"), F.col("player_name").alias("my_name"))
+    if t.match_list is None:  # matches carry their tracked player
+        m = t.matches.select("match_id", F.col("tracked_key").alias("my_id"), winner_side().alias("win_team"))
+        return m.join(roster, "my_id")
     ml = t.match_list.select("match_id", F.col("player_key").alias("my_id"))
     m = t.matches.select("match_id", winner_side().alias("win_team"))
     return ml.join(roster, "my_id").join(m, "match_id")

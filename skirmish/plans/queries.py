@@ -79,7 +79,7 @@ def raw_document_edges(spark, d):
     path = scratch_path(spark, "raw-matches")
     documents.to_raw_documents(t).write.mode("overwrite").json(path)
     docs = documents.read_raw_matches(spark, path)
-    flat = documents.flatten_raw_matches(docs, t.champions, t.players, t.match_list)
+    flat = documents.flatten_raw_matches(docs, t.champions, t.players, tables.match_list(spark, d))
     return normalize.match_edges(flat)
 
 

@@ -27,6 +27,29 @@ DEFAULT_CONF = {
 }
 
 
+def cluster_conf(total_cores: int, target_partition_mb: int = 256) -> dict:
+    """Sizing for a large cluster (e.g. 1000 executors over ~100 TB).
+
+    Shuffle partitions start at a few per core and AQE coalesces them toward
+    ``target_partition_mb``; skewed partitions (5x the median and above the
+    threshold) of a join are split.  Scan splits follow the same target so a
+    task reads what it can hold.  The broadcast threshold stays modest: only
+    dimensions under it (checked by Spark from statistics, and again at run
+    time by AQE) are broadcast; everything else uses a shuffled join.
+    """
+    mb = f"{target_partition_mb}m"
+    return {
+        "spark.sql.shuffle.partitions": str(max(200, 3 * total_cores)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": mb,
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": mb,
+        "spark.sql.files.maxPartitionBytes": mb,
+        "spark.sql.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    }
+
+
 def build_session(master: str | None = None, app_name: str = "skirmish",
                   shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)

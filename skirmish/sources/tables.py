@@ -35,8 +35,9 @@ class MatchTables:
 
     champions: DataFrame     # champion_key, champion
     players: DataFrame       # player_key, player_name, tracked
-    matches: DataFrame       # match_id, ts, game_duration, side0, win0, side1, win1
-    match_list: DataFrame    # player_key (tracked player), match_id
+    matches: DataFrame       # match_id, ts, game_duration, side0, win0, side1, win1 [, tracked_key]
+    match_list: DataFrame | None  # player_key (tracked player), match_id; None when matches
+                                  # carry the tracked player themselves (tracked_key)
     participants: DataFrame  # match_id, participant_id, player_key, champion_key, team_id
     bans: DataFrame          # match_id, pos, champion_key
 
@@ -65,8 +66,11 @@ def tracked_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "orders").filter(is_tracked(F.col("o_custkey")))
 
 
-def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+def matches(spark: SparkSession, sf_dir: str, with_tracked: bool = False) -> DataFrame:
+    """Tracked matches; ``with_tracked`` keeps the tracked player (the order's
+    customer) on the row, which spares a self-join with the match list."""
     o = tracked_orders(spark, sf_dir)
+    extra = [F.col("o_custkey").alias("tracked_key")] if with_tracked else []
     return o.select(
         F.col("o_orderkey").alias("match_id"),
         F.col("o_orderdate").alias("ts"),
@@ -75,6 +79,7 @@ def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("o_orderstatus") == "O", "Win").otherwise("Fail").alias("win0"),
         F.lit(RED_SIDE).alias("side1"),
         F.when(F.col("o_orderstatus") == "F", "Win").otherwise("Fail").alias("win1"),
+        *extra,
     )
 
 
@@ -124,11 +129,14 @@ def bans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def load(spark: SparkSession, sf_dir: str) -> MatchTables:
+    """The match model of the driver tables.  Each order lists exactly one
+    tracked player (its customer), so matches carry it and no separate match
+    list is joined back."""
     return MatchTables(
         champions=champions(spark, sf_dir),
         players=players(spark, sf_dir),
-        matches=matches(spark, sf_dir),
-        match_list=match_list(spark, sf_dir),
+        matches=matches(spark, sf_dir, with_tracked=True),
+        match_list=None,
         participants=participants(spark, sf_dir),
         bans=bans(spark, sf_dir),
     )
