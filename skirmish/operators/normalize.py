@@ -82,14 +82,16 @@ def identities(t: MatchTables) -> DataFrame:
                     "his_name", "his_champion", "team_id")
 
 
-def tracked_matches(t: MatchTables) -> DataFrame:
-    """(match, tracked player) pairs with the tracked name and the winning side."""
+def tracked_matches(t: MatchTables, extra: tuple[str, ...] = ()) -> DataFrame:
+    """(match, tracked player) pairs with the tracked name, the winning side
+    and any ``extra`` match columns."""
     roster = t.players.select(F.col("player_key").alias("my_id"), F.col("player_name").alias("my_name"))
     if t.match_list is None:  # matches carry their tracked player
-        m = t.matches.select("match_id", F.col("tracked_key").alias("my_id"), winner_side().alias("win_team"))
+        m = t.matches.select("match_id", F.col("tracked_key").alias("my_id"), winner_side().alias("win_team"),
+                             *extra)
         return m.join(roster, "my_id")
     ml = t.match_list.select("match_id", F.col("player_key").alias("my_id"))
-    m = t.matches.select("match_id", winner_side().alias("win_team"))
+    m = t.matches.select("match_id", winner_side().alias("win_team"), *extra)
     return ml.join(roster, "my_id").join(m, "match_id")
 
 
@@ -120,12 +122,18 @@ def event_documents(t: MatchTables, edges: DataFrame | None = None,
 
     Columns: key (tracked player name), match_id, my_id, ts, gameDuration,
     winner, bans ARRAY<STRING> (ban order), edges ARRAY<STRUCT> (participant
-    order).  Arrays are collected per match, whose size the game fixes; the
-    element order is restored with array_sort on the carried position.
+    order).
+
+    Edges and bans are collected per match (a group the game format bounds)
+    and every join is on match_id alone, which is how the normalised edges
+    are already partitioned; each tracked player's edges are then picked out
+    of the match's array inside the row.  Element order is restored with
+    array_sort on the carried position.
     """
     edges = match_edges(t) if edges is None else edges
     bans = match_bans(t) if bans is None else bans
     edge_struct = F.struct(
+        F.col("my_id").alias("k"),
         F.col("participant_id").alias("pid"),
         F.struct(
             F.col("his_id").cast("string").alias("hisSummonerId"),
@@ -135,20 +143,19 @@ def event_documents(t: MatchTables, edges: DataFrame | None = None,
             F.col("my_name").alias("mySummonerName"),
             F.col("his_champion").alias("hisChampionId"),
             F.col("outcome"), F.col("competition")).alias("e"))
-    e = (edges.groupBy("match_id", "my_id")
-         .agg(F.array_sort(F.collect_list(edge_struct)).alias("es"))
-         .select("match_id", "my_id", F.transform("es", lambda x: x["e"]).alias("edges")))
+    e = edges.groupBy("match_id").agg(F.array_sort(F.collect_list(edge_struct)).alias("es"))
     b = (bans.groupBy("match_id")
          .agg(F.array_sort(F.collect_list(F.struct("pos", "champion"))).alias("bs"))
          .select("match_id", F.transform("bs", lambda x: x["champion"]).alias("bans")))
-    base = tracked_matches(t).join(
-        t.matches.select("match_id", "ts", "game_duration"), "match_id")
-    return (base.join(e, ["match_id", "my_id"], "left").join(b, "match_id", "left")
+    base = tracked_matches(t, ("ts", "game_duration"))
+    mine = F.transform(F.filter(F.coalesce("es", F.array()), lambda x: x["k"] == F.col("my_id")),
+                       lambda x: x["e"])
+    return (base.join(e, "match_id", "left").join(b, "match_id", "left")
             .select(F.col("my_name").alias("key"), "match_id", "my_id", "ts",
                     F.col("game_duration").cast("double").alias("gameDuration"),
                     winner_name(F.col("win_team")).alias("winner"),
                     F.coalesce("bans", F.array().cast("array<string>")).alias("bans"),
-                    F.coalesce("edges", F.array().cast(e.schema["edges"].dataType)).alias("edges")))
+                    mine.alias("edges")))
 
 
 def to_records(docs: DataFrame) -> DataFrame:
