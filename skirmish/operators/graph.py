@@ -232,3 +232,24 @@ def export_relationships(g: PropertyGraph) -> DataFrame:
     """BEAT relationships (src_id, dst_id, my_champion), merged on all fields."""
     return g.edges.select("src_id", "dst_id",
                           F.coalesce(F.col("src_champ"), F.lit(NO_CHAMP)).alias("my_champion")).distinct()
+
+
+def graph_job(spark, edges_path: str, vertices_path: str, ban_count: DataFrame, k: int = 3,
+              fmt: str = "parquet", export_path: str | None = None) -> DataFrame:
+    """The batch graph job over written edge / vertex files.
+
+    Reads the files (any number of per-batch folders), completes the vertex
+    set, keeps "Against" edges touching the k most banned champions and
+    returns the tracked players with a degree in that subgraph.  With
+    ``export_path`` the USER nodes and BEAT relationships are (over)written
+    there as the graph-store load.
+    """
+    from ..operators.bans import top_banned
+    from ..sources.graph_files import read_edges, read_vertices
+
+    g = build_graph(read_vertices(spark, vertices_path, fmt), read_edges(spark, edges_path, fmt))
+    sub = banned_subgraph(g, top_banned(ban_count, k))
+    if export_path:
+        export_nodes(sub).write.mode("overwrite").parquet(f"{export_path}/nodes")
+        export_relationships(sub).write.mode("overwrite").parquet(f"{export_path}/rels")
+    return tracked_with_edges(sub)

@@ -93,6 +93,19 @@ def kafka_stream(spark: SparkSession, bootstrap_servers: str, topic: str = "matc
     return reader.load().select(F.col("key").cast("string"), F.col("value").cast("string"))
 
 
+def write_kafka(records: DataFrame, bootstrap_servers: str, topic: str = "matches", **options) -> None:
+    """Publish (key, value) records to a Kafka topic (batch write).
+
+    Needs the spark-sql-kafka connector; for a stream use
+    ``records.writeStream.format("kafka")`` with the same options.
+    """
+    w = (records.select(F.col("key").cast("string"), F.col("value").cast("string"))
+         .write.format("kafka").option("kafka.bootstrap.servers", bootstrap_servers).option("topic", topic))
+    for k, v in options.items():
+        w = w.option(k, v)
+    w.save()
+
+
 def json_record_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """File-based stand-in for the topic: JSON lines with key and value fields."""
     reader = spark.readStream.schema("key STRING, value STRING")

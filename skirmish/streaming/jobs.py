@@ -141,3 +141,43 @@ def run_available(query: StreamingQuery, timeout_s: int = 600) -> None:
         raise TimeoutError(f"streaming query {query.id} did not finish in {timeout_s}s")
     if query.exception() is not None:
         raise query.exception()
+
+
+def event_matches(records: DataFrame) -> DataFrame:
+    """(ts, game_duration, winner) of every good event, for the windowed stats.
+
+    Event time comes from the event itself (``ts``), not from the clock of
+    the micro-batch as in the reference.
+    """
+    good, _ = split_quarantine(parse_events(records))
+    return good.select(F.to_timestamp("ts").alias("ts"),
+                       F.col("gameDuration").cast("bigint").alias("game_duration"), "winner")
+
+
+def start_match_jobs(records: DataFrame, root: str, trigger: dict | None = None,
+                     watermark: str = "1 hour", fmt: str = "parquet",
+                     reset: bool = False) -> dict[str, StreamingQuery]:
+    """Start the whole streaming side over one (key, value) record stream.
+
+    Below ``root`` (a shared folder): ``ban_count`` and ``stats`` upsert
+    tables, ``edges``/``vertices``/``running``/``quarantine`` outputs and one
+    checkpoint per query.  ``reset`` empties the tables first (the reference
+    truncates on every start; by default we resume).
+    """
+    spark = records.sparkSession
+    ban = UpsertStore(spark, f"{root}/ban_count", ["champion"], "champion STRING, ban_count BIGINT").create()
+    st = UpsertStore(spark, f"{root}/stats", ["slot"],
+                     "slot TIMESTAMP_NTZ, duration BIGINT, red_win BIGINT, tot_matches BIGINT").create()
+    totals = UpsertStore(spark, f"{root}/running_totals", ["champion"],
+                         "champion STRING, ban_count BIGINT").create()
+    if reset:
+        for s in (ban, st, totals):
+            s.truncate()
+    sink = MatchEventSink(f"{root}/edges", f"{root}/vertices", f"{root}/running", f"{root}/quarantine",
+                          totals, fmt=fmt)
+    return {
+        "ban_count": start_ban_counts(records, ban, f"{root}/_checkpoints/ban_count", trigger),
+        "stats": start_sliding_stats(event_matches(records), st, f"{root}/_checkpoints/stats",
+                                     watermark=watermark, trigger=trigger),
+        "graph_files": start_match_event_sink(records, sink, f"{root}/_checkpoints/graph_files", trigger),
+    }

@@ -82,10 +82,15 @@ class UpsertStore:
         """Replace the log by its resolved rows, stamped with ``batch_id``.
 
         The resolved rows go to a sibling snapshot first, so the table is
-        never overwritten while it is being read.
+        never overwritten while it is being read.  A snapshot that already
+        exists is a finished first step of an interrupted compaction and is
+        reused, never recomputed from a possibly half-replaced log.
         """
         snap = f"{self.path}__compact_{batch_id}"
-        (self.read().withColumn("batch_id", F.lit(batch_id).cast("bigint")).withColumn("part", F.lit(0))
-         .write.mode("overwrite").parquet(snap))
+        try:
+            self.spark.read.parquet(snap).limit(0).collect()
+        except AnalysisException:
+            (self.read().withColumn("batch_id", F.lit(batch_id).cast("bigint")).withColumn("part", F.lit(0))
+             .write.mode("overwrite").parquet(snap))
         (self.spark.read.schema(self._log_schema()).parquet(snap)
          .write.mode("overwrite").partitionBy("batch_id", "part").parquet(self.path))
