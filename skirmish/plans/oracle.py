@@ -196,5 +196,41 @@ FROM (SELECT 'Red Side' AS side, CAST(sum(CASE WHEN winner = 'Red' THEN 1 ELSE 0
 }
 
 
+# The Scala 32-bit MurmurHash3 string hash in plain SQL: one mixing round per
+# pair of characters (recursive CTE, 128-bit integers masked to 32 bits), the
+# odd tail, then the finaliser.  ``ord`` equals the UTF-16 code unit for
+# characters of the basic plane, which covers the player names of the tables.
+PLAYER_ID_HASH = """WITH RECURSIVE players AS (
+SELECT c_custkey AS player_key, c_name AS player_name FROM customer
+),
+it(player_key, player_name, n, i, h) AS (
+  SELECT player_key, player_name, length(player_name), 0, CAST(4157243346 AS HUGEINT) FROM players
+  UNION ALL
+  SELECT player_key, player_name, n, i + 1, ((h2 * 5) + 3864292196) & 4294967295
+  FROM (SELECT player_key, player_name, n, i, ((h1 << 13) | (h1 >> 19)) & 4294967295 AS h2
+        FROM (SELECT player_key, player_name, n, i,
+                     xor(h, (((((k1 << 15) | (k1 >> 17)) & 4294967295) * 461845907) & 4294967295)) AS h1
+              FROM (SELECT player_key, player_name, n, i, h,
+                           ((CAST(ord(substr(player_name, 2 * i + 1, 1)) AS HUGEINT) * 65536
+                             + ord(substr(player_name, 2 * i + 2, 1))) * 3432918353) & 4294967295 AS k1
+                    FROM it WHERE i < n // 2) a) b) c
+),
+last AS (SELECT player_key, player_name, n, h FROM it WHERE i = n // 2),
+tail AS (SELECT player_key, player_name, n,
+                CASE WHEN n % 2 = 1 THEN xor(h, (((((k1 << 15) | (k1 >> 17)) & 4294967295) * 461845907) & 4294967295))
+                     ELSE h END AS h
+         FROM (SELECT *, (CAST(ord(substr(player_name, n, 1)) AS HUGEINT) * 3432918353) & 4294967295 AS k1
+               FROM last) t),
+f1 AS (SELECT player_key, player_name, xor(h, n) AS h FROM tail),
+f2 AS (SELECT player_key, player_name, (xor(h, h >> 16) * 2246822507) & 4294967295 AS h FROM f1),
+f3 AS (SELECT player_key, player_name, (xor(h, h >> 13) * 3266489909) & 4294967295 AS h FROM f2),
+f4 AS (SELECT player_key, player_name, xor(h, h >> 16) AS h FROM f3)
+SELECT player_key, player_name,
+       CAST(CASE WHEN h >= 2147483648 THEN h - 4294967296 ELSE h END AS BIGINT) AS murmur3_id
+FROM f4"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {k: with_views(v) for k, v in FINAL.items()}
+    out = {k: with_views(v) for k, v in FINAL.items()}
+    out["player_id_hash"] = PLAYER_ID_HASH
+    return out

@@ -152,10 +152,9 @@ def edge_attr_map(spark, d):
 
 
 def player_id_hash(spark, d):
+    """Reference-compatible 32-bit name ids (Scala MurmurHash3) for every player."""
     p = tables.players(spark, d)
-    return p.select("player_key", "player_name",
-                    name_id("player_name", "murmur3").alias("murmur3_id"),
-                    name_id("player_name", "xxhash64").alias("xxhash64_id"))
+    return p.select("player_key", "player_name", name_id("player_name", "murmur3").alias("murmur3_id"))
 
 
 # ---- bans -------------------------------------------------------------------------------
