@@ -211,3 +211,18 @@ def test_champion_csv_extra_fields(spark):
     path = scratch_path(spark, "champs")
     spark.createDataFrame([("1,Annie",), ("2,Olaf,extra",)], "value string").write.text(path)
     assert rows(documents.read_champion_csv(spark, path)) == [(1, "Annie"), (2, "Olaf")]
+
+
+def test_name_ids_and_unknown_players_share_a_vertex(spark):
+    me = spark.createDataFrame([
+        (1, 1, 10, "A", 20, "", "cA", "cB", "Win", "Against"),
+        (1, 2, 10, "A", 30, "", "cA", "cC", "Win", "Against"),
+        (2, 1, 40, "Master Yi", 10, "A", "cD", "cA", "Fail", "Against"),
+    ], schemas.MATCH_EDGE)
+    v = rows(graph.extract_vertices(me, id_mode="murmur3", keep_empty_names=True))
+    ids = {name: i for i, name, _ in v}
+    assert ids["Master Yi"] == -857118976 and ids[""] == 377927480
+    assert sum(1 for r in v if r[1] == "") == 1   # every unknown opponent is the same vertex
+    assert not any(r[1] == "" for r in rows(graph.extract_vertices(me, id_mode="murmur3")))
+    g = graph.graph_from_match_edges(me, id_mode="xxhash64")
+    assert g.vertices.count() == 3  # A, Master Yi, and one id shared by both unknown opponents

@@ -116,3 +116,42 @@ def test_stream_then_graph_job_equals_batch_flagship(spark, small_tables):
     ev = normalize.event_documents(small_tables).select("ts", F.col("gameDuration").cast("bigint")
                                                        .alias("game_duration"), "winner")
     assert rows(st) == rows(stats.sliding_stats(ev))
+
+
+def test_watermark_drops_late_events(spark):
+    import datetime as dt
+    root = scratch_path(spark, "t-late")
+    t0 = dt.datetime(2024, 1, 1, 12, 0)
+
+    def land(rows_, name):
+        (spark.createDataFrame(rows_, "ts timestamp_ntz, game_duration long, winner string")
+         .write.mode("overwrite").parquet(f"{root}/in/{name}"))
+
+    land([(t0, 100, "Red")], "a")
+    src = spark.readStream.schema("ts timestamp_ntz, game_duration long, winner string").option(
+        "maxFilesPerTrigger", 1).parquet(f"{root}/in/*")
+    store = UpsertStore(spark, f"{root}/stats", ["slot"], schemas.MATCH_STATS).create()
+    jobs.run_available(jobs.start_sliding_stats(src, store, f"{root}/ckpt", watermark="10 minutes",
+                                                trigger=AVAILABLE_NOW))
+    land([(t0 + dt.timedelta(hours=2), 50, "Blue")], "b")      # advances the watermark
+    jobs.run_available(jobs.start_sliding_stats(src, store, f"{root}/ckpt", watermark="10 minutes",
+                                                trigger=AVAILABLE_NOW))
+    land([(t0 + dt.timedelta(minutes=1), 7, "Red")], "c")      # 2 h late: dropped
+    jobs.run_available(jobs.start_sliding_stats(src, store, f"{root}/ckpt", watermark="10 minutes",
+                                                trigger=AVAILABLE_NOW))
+    total = store.read().agg(F.sum("tot_matches").alias("n"), F.sum("duration").alias("d")).first()
+    assert (total.n, total.d) == (12, 6 * 150)
+
+
+def test_graph_job_over_csv_files(spark, small_tables):
+    from skirmish.operators import graph
+    from skirmish.plans.queries import tracked_players_vs_banned
+    root = scratch_path(spark, "t-csv")
+    publish(spark, small_tables, f"{root}/topic", 2)
+    totals = UpsertStore(spark, f"{root}/totals", ["champion"], schemas.BAN_COUNT).create()
+    sink = jobs.MatchEventSink(f"{root}/edges", f"{root}/vertices", f"{root}/running", f"{root}/q", totals,
+                               fmt="csv")
+    jobs.run_available(jobs.start_match_event_sink(documents.json_record_stream(spark, f"{root}/topic", 1),
+                                                   sink, f"{root}/ckpt", AVAILABLE_NOW))
+    got = graph.graph_job(spark, f"{root}/edges", f"{root}/vertices", totals.read(), fmt="csv")
+    assert rows(got) == rows(tracked_players_vs_banned(spark, SF_SMALL))
