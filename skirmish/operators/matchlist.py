@@ -35,17 +35,19 @@ def match_list_slices(games: DataFrame, begin: Column, step_ms: int = POLL_STEP_
     ``idx`` the 0-based position in the slice ordered by (ts, game id) and
     ``end_index`` the slice size.
     """
+    # ``begin`` (possibly a scalar subquery) is evaluated once, as a column.
     g = games.select(F.col(player).alias("player"), F.col(game).alias("game_id"),
-                     F.col(ts).cast("timestamp_ntz").alias("ts"), F.col(queue_col).alias("queue"))
+                     F.col(ts).cast("timestamp_ntz").alias("ts"), F.col(queue_col).alias("queue"),
+                     begin.cast("timestamp_ntz").alias("b0"))
     if queue is not None:
         g = g.filter(F.col("queue") == queue)
-    micros = F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(begin.cast("timestamp"))
+    micros = F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.col("b0").cast("timestamp"))
     g = g.withColumn("poll", F.floor(micros / (step_ms * 1000))).filter(F.col("poll") >= 0)
     ranked = blocked_row_number(
         g, ["player", "poll"], ["ts", "game_id"],
         F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / (SLICE_BLOCK_SECONDS * 1_000_000)),
         out="rn", total="end_index")
-    start = begin.cast("timestamp_ntz") + F.make_dt_interval(
+    start = F.col("b0") + F.make_dt_interval(
         secs=(F.col("poll") * step_ms / 1000).cast("decimal(18,6)"))
     return ranked.select(
         "player", F.col("poll").cast("bigint").alias("poll"),
