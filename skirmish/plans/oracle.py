@@ -193,6 +193,17 @@ FROM (SELECT 'Red Side' AS side, CAST(sum(CASE WHEN winner = 'Red' THEN 1 ELSE 0
       UNION ALL
       SELECT 'Blue Side', CAST(count(*) - sum(CASE WHEN winner = 'Red' THEN 1 ELSE 0 END) AS BIGINT),
              count(*) FROM match_event) s""",
+    "mart_avg_length_slots": """SELECT CAST(sum(duration) AS BIGINT) AS total_length,
+       CAST(sum(tot_matches) AS BIGINT) AS total_matches,
+       round(CAST(sum(duration) AS DOUBLE) / sum(tot_matches) / 60, 6) AS avg_min,
+       round(round(CAST(sum(duration) AS DOUBLE) / sum(tot_matches) / 60, 6) - 25, 6) AS delta_min
+FROM sliding""",
+    "mart_win_share_slots": """SELECT side, wins, round(CAST(wins AS DOUBLE) / total, 6) AS share
+FROM (SELECT 'Red Side' AS side, CAST(sum(red_win) AS BIGINT) AS wins, CAST(sum(tot_matches) AS BIGINT) AS total
+      FROM sliding
+      UNION ALL
+      SELECT 'Blue Side', CAST(sum(tot_matches) - sum(red_win) AS BIGINT), CAST(sum(tot_matches) AS BIGINT)
+      FROM sliding) s""",
 }
 
 

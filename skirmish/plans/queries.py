@@ -287,6 +287,15 @@ def mart_win_share(spark, d):
     return marts.win_share(normalize.match_events(_t(spark, d)))
 
 
+def mart_avg_length_slots(spark, d):
+    """Dashboard parity: totals summed over the rows of the stats table."""
+    return marts.avg_length(stats.sliding_stats(tables.events(spark, d)), source="slots")
+
+
+def mart_win_share_slots(spark, d):
+    return marts.win_share(stats.sliding_stats(tables.events(spark, d)), source="slots")
+
+
 REGISTRY: dict[str, Query] = {
     "normalize_match_event": normalize_match_event,
     "normalize_bans": normalize_bans,
@@ -322,4 +331,6 @@ REGISTRY: dict[str, Query] = {
     "vertices_csv_roundtrip": vertices_csv_roundtrip,
     "mart_avg_length": mart_avg_length,
     "mart_win_share": mart_win_share,
+    "mart_avg_length_slots": mart_avg_length_slots,
+    "mart_win_share_slots": mart_win_share_slots,
 }
