@@ -74,11 +74,11 @@ RAW_MATCH_DOC = T.StructType([
     T.StructField("teams", T.ArrayType(T.StructType([
         T.StructField("teamId", T.IntegerType()),
         T.StructField("win", T.StringType()),
-        T.StructField("bans", T.ArrayType(T.StructType([T.StructField("championId", T.IntegerType())]))),
+        T.StructField("bans", T.ArrayType(T.StructType([T.StructField("championId", T.LongType())]))),
     ]))),
     T.StructField("participants", T.ArrayType(T.StructType([
         T.StructField("participantId", T.IntegerType()),
-        T.StructField("championId", T.IntegerType()),
+        T.StructField("championId", T.LongType()),  # wider than the API's ints: keys may exceed 2^31
         T.StructField("teamId", T.IntegerType()),
     ]))),
     T.StructField("participantIdentities", T.ArrayType(T.StructType([

@@ -44,22 +44,30 @@ def parse_events(records: DataFrame, value_col: str = "value") -> DataFrame:
 
 
 def split_quarantine(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(good events flattened to top-level fields, quarantined raw records)."""
-    good = parsed.filter(~F.col("quarantined")).select(
-        *[c for c in parsed.columns if c not in ("_event", "quarantined", "value")],
-        "_event.*")
+    """(good events flattened to top-level fields, quarantined raw records).
+
+    Record columns (key, metadata) are kept next to the event fields; where a
+    name exists in both, the parsed event field wins.
+    """
+    fields = set(schemas.EVENT.fieldNames())
+    keep = [c for c in parsed.columns if c not in ("_event", "quarantined", "value") and c not in fields]
+    good = parsed.filter(~F.col("quarantined")).select(*keep, "_event.*")
     bad = parsed.filter(F.col("quarantined")).drop("_event", "quarantined")
     return good, bad
 
 
 def event_edges(good: DataFrame) -> DataFrame:
-    """Flatten the edge array of parsed events (events without edges vanish)."""
+    """Flatten the edge array of parsed events (events without edges vanish).
+
+    Ids become BIGINT keys where they are numeric and null otherwise (the
+    match API's summoner ids are opaque strings: derive ids from names then).
+    """
     e = good.select("match_id", F.explode("edges").alias("e"))
     return e.select(
         "match_id",
-        F.col("e.mySummonerID").cast("bigint").alias("my_id"),
+        F.col("e.mySummonerID").try_cast("bigint").alias("my_id"),
         F.col("e.mySummonerName").alias("my_name"),
-        F.col("e.hisSummonerId").cast("bigint").alias("his_id"),
+        F.col("e.hisSummonerId").try_cast("bigint").alias("his_id"),
         F.col("e.hisSummonerName").alias("his_name"),
         F.col("e.myChampionId").alias("my_champion"),
         F.col("e.hisChampionId").alias("his_champion"),
@@ -225,13 +233,13 @@ def to_raw_documents(t: MatchTables) -> DataFrame:
     p = (t.participants.join(names, "player_key", "left")
          .select("match_id", F.struct(
              F.col("participant_id").alias("participantId"),
-             F.col("champion_key").cast("int").alias("championId"),
+             F.col("champion_key").alias("championId"),
              F.col("team_id").alias("teamId"),
              F.struct(F.col("player_key").cast("string").alias("summonerId"),
                       F.coalesce("player_name", F.lit("")).alias("summonerName")).alias("player")).alias("p")))
     parts = p.groupBy("match_id").agg(F.array_sort(F.collect_list("p")).alias("ps"))
     b = (t.bans.groupBy("match_id")
-         .agg(F.array_sort(F.collect_list(F.struct("pos", F.col("champion_key").cast("int").alias("c"))))
+         .agg(F.array_sort(F.collect_list(F.struct("pos", F.col("champion_key").alias("c"))))
               .alias("bs")))
     m = t.matches.join(parts, "match_id", "left").join(b, "match_id", "left")
     ban_structs = F.transform(F.coalesce("bs", F.array()), lambda x: F.struct(x["c"].alias("championId")))
@@ -242,7 +250,7 @@ def to_raw_documents(t: MatchTables) -> DataFrame:
         F.col("game_duration").cast("double").alias("gameDuration"),
         F.array(F.struct(F.col("side0").alias("teamId"), F.col("win0").alias("win"), ban_structs.alias("bans")),
                 F.struct(F.col("side1").alias("teamId"), F.col("win1").alias("win"),
-                         F.array().cast("array<struct<championId:int>>").alias("bans"))).alias("teams"),
+                         F.array().cast("array<struct<championId:bigint>>").alias("bans"))).alias("teams"),
         F.transform(ps, lambda x: F.struct(x["participantId"].alias("participantId"),
                                            x["championId"].alias("championId"),
                                            x["teamId"].alias("teamId"))).alias("participants"),
