@@ -72,27 +72,33 @@ def identities(t: MatchTables) -> DataFrame:
     Unknown players keep their id and get the empty name.
     """
     if "player_name" in t.participants.columns:  # documents carry the name themselves
-        p = t.participants.withColumnRenamed("player_name", "his_name")
+        p = t.participants
     else:
-        names = t.players.select(F.col("player_key"), F.col("player_name").alias("his_name"))
-        p = t.participants.join(names, "player_key", "left")
-    p = p.withColumn("his_name", F.coalesce(F.col("his_name"), F.lit("")))
+        p = t.participants.join(player_names(t), "player_key", "left")
+    p = p.withColumn("his_name", F.coalesce(F.col("player_name"), F.lit("")))
     p = name_champions(p, t.champions, "champion_key", "his_champion")
     return p.select("match_id", "participant_id", F.col("player_key").alias("his_id"),
                     "his_name", "his_champion", "team_id")
 
 
+def player_names(t: MatchTables) -> DataFrame:
+    """(player_key, player_name): one projection shared by every name lookup,
+    so that the tracked-player and participant lookups read (and, when the
+    dimension is shuffled, exchange) the players table once."""
+    return t.players.select("player_key", "player_name")
+
+
 def tracked_matches(t: MatchTables, extra: tuple[str, ...] = ()) -> DataFrame:
     """(match, tracked player) pairs with the tracked name, the winning side
     and any ``extra`` match columns."""
-    roster = t.players.select(F.col("player_key").alias("my_id"), F.col("player_name").alias("my_name"))
     if t.match_list is None:  # matches carry their tracked player
-        m = t.matches.select("match_id", F.col("tracked_key").alias("my_id"), winner_side().alias("win_team"),
-                             *extra)
-        return m.join(roster, "my_id")
-    ml = t.match_list.select("match_id", F.col("player_key").alias("my_id"))
-    m = t.matches.select("match_id", winner_side().alias("win_team"), *extra)
-    return ml.join(roster, "my_id").join(m, "match_id")
+        m = t.matches.select("match_id", F.col("tracked_key").alias("player_key"),
+                             winner_side().alias("win_team"), *extra)
+    else:
+        m = (t.match_list.select("match_id", "player_key")
+             .join(t.matches.select("match_id", winner_side().alias("win_team"), *extra), "match_id"))
+    return (m.join(player_names(t), "player_key")
+            .withColumnRenamed("player_key", "my_id").withColumnRenamed("player_name", "my_name"))
 
 
 def match_edges(t: MatchTables) -> DataFrame:
