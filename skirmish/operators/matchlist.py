@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import url_escape_blanks
+from ..functions.columns import epoch_micros_to_ntz, ntz_to_epoch_micros, url_escape_blanks
 from ..functions.ranking import blocked_row_number
 
 # Fixed values of the poller.
@@ -41,18 +41,18 @@ def match_list_slices(games: DataFrame, begin: Column, step_ms: int = POLL_STEP_
                      begin.cast("timestamp_ntz").alias("b0"))
     if queue is not None:
         g = g.filter(F.col("queue") == queue)
-    micros = F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.col("b0").cast("timestamp"))
-    g = g.withColumn("poll", F.floor(micros / (step_ms * 1000))).filter(F.col("poll") >= 0)
+    # Time arithmetic on epoch microseconds (session-zone free).
+    g = g.withColumn("t_us", ntz_to_epoch_micros("ts")).withColumn("b_us", ntz_to_epoch_micros("b0"))
+    step_us = step_ms * 1000
+    g = g.withColumn("poll", F.floor((F.col("t_us") - F.col("b_us")) / step_us)).filter(F.col("poll") >= 0)
     ranked = blocked_row_number(
         g, ["player", "poll"], ["ts", "game_id"],
-        F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / (SLICE_BLOCK_SECONDS * 1_000_000)),
-        out="rn", total="end_index")
-    start = F.col("b0") + F.make_dt_interval(
-        secs=(F.col("poll") * step_ms / 1000).cast("decimal(18,6)"))
+        F.floor(F.col("t_us") / (SLICE_BLOCK_SECONDS * 1_000_000)), out="rn", total="end_index")
+    start = F.col("b_us") + F.col("poll") * step_us
     return ranked.select(
         "player", F.col("poll").cast("bigint").alias("poll"),
-        start.alias("slice_begin"),
-        (start + F.make_dt_interval(secs=F.lit(step_ms / 1000).cast("decimal(18,6)"))).alias("slice_end"),
+        epoch_micros_to_ntz(start).alias("slice_begin"),
+        epoch_micros_to_ntz(start + step_us).alias("slice_end"),
         (F.col("rn") - 1).alias("idx"), "game_id", "ts", "end_index")
 
 

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
+from ..functions.columns import epoch_micros_to_ntz, ntz_to_epoch_micros
 from ..sources.tables import MatchTables
 
 # ---------------------------------------------------------------------------
@@ -142,7 +143,7 @@ def flatten_raw_matches(docs: DataFrame, champions: DataFrame, players: DataFram
     """
     d = docs.select(
         F.col("gameId").alias("match_id"),
-        F.timestamp_millis(F.col("gameCreation")).cast("timestamp_ntz").alias("ts"),
+        epoch_micros_to_ntz(F.col("gameCreation") * 1000).alias("ts"),
         F.col("gameDuration").cast("bigint").alias("game_duration"),
         F.get("teams", 0).alias("t0"), F.get("teams", 1).alias("t1"),
         "participants", "participantIdentities")
@@ -246,7 +247,7 @@ def to_raw_documents(t: MatchTables) -> DataFrame:
     ps = F.coalesce("ps", F.array())
     return m.select(
         F.col("match_id").alias("gameId"),
-        F.unix_millis(F.col("ts").cast("timestamp")).alias("gameCreation"),
+        F.floor(ntz_to_epoch_micros("ts") / 1000).alias("gameCreation"),
         F.col("game_duration").cast("double").alias("gameDuration"),
         F.array(F.struct(F.col("side0").alias("teamId"), F.col("win0").alias("win"), ban_structs.alias("bans")),
                 F.struct(F.col("side1").alias("teamId"), F.col("win1").alias("win"),

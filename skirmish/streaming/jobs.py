@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.columns import epoch_micros_to_ntz, ntz_as_instant
 from ..functions.ranking import blocked_row_number
 from ..operators import graph
 from ..operators.bans import RUNNING_BLOCK
@@ -66,9 +67,12 @@ def start_sliding_stats(matches: DataFrame, store: UpsertStore, checkpoint: str,
     ``matches`` is a streaming frame with ts (TIMESTAMP or TIMESTAMP_NTZ),
     game_duration and winner.  Slots are stored as TIMESTAMP_NTZ.
     """
-    m = matches.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", watermark)
+    # Watermarks need an instant: TIMESTAMP_NTZ is read as UTC, and slots go back to NTZ the same
+    # way, so neither direction depends on the session time zone.
+    ts = ntz_as_instant("ts") if dict(matches.dtypes)["ts"] == "timestamp_ntz" else F.col("ts")
+    m = matches.withColumn("ts", ts).withWatermark("ts", watermark)
     stats = sliding_stats_streaming(m, window_minutes, slide_minutes).withColumn(
-        "slot", F.col("slot").cast("timestamp_ntz"))
+        "slot", epoch_micros_to_ntz(F.unix_micros("slot")))
     w = (stats.writeStream.outputMode("update")
          .foreachBatch(lambda df, batch_id: store.upsert(df, batch_id))
          .option("checkpointLocation", checkpoint))
@@ -150,7 +154,7 @@ def event_matches(records: DataFrame) -> DataFrame:
     the micro-batch as in the reference.
     """
     good, _ = split_quarantine(parse_events(records))
-    return good.select(F.to_timestamp("ts").alias("ts"),
+    return good.select(F.to_timestamp_ntz("ts").alias("ts"),
                        F.col("gameDuration").cast("bigint").alias("game_duration"), "winner")
 
 

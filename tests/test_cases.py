@@ -226,3 +226,24 @@ def test_name_ids_and_unknown_players_share_a_vertex(spark):
     assert not any(r[1] == "" for r in rows(graph.extract_vertices(me, id_mode="murmur3")))
     g = graph.graph_from_match_edges(me, id_mode="xxhash64")
     assert g.vertices.count() == 3  # A, Master Yi, and one id shared by both unknown opponents
+
+
+def test_time_arithmetic_ignores_session_time_zone(spark):
+    from skirmish.functions.columns import epoch_micros_to_ntz, ntz_to_epoch_micros
+    from skirmish.operators import matchlist
+    q = """SELECT * FROM VALUES
+      (1, TIMESTAMP_NTZ'2024-03-09 23:00:00', 1, 'a'), (2, TIMESTAMP_NTZ'2024-03-10 02:30:00', 1, 'a'),
+      (3, TIMESTAMP_NTZ'2024-03-10 05:00:00', 1, 'a'), (4, TIMESTAMP_NTZ'2024-11-03 01:30:00.123456', 1, 'a'),
+      (5, TIMESTAMP_NTZ'2024-03-08 00:00:00', 1, 'a') AS t(event_id, ts, user_id, event_type)"""
+    out = {}
+    for tz in ("UTC", "America/Los_Angeles", "Asia/Kolkata"):
+        spark.conf.set("spark.sql.session.timeZone", tz)
+        try:
+            ev = spark.sql(q)
+            out[tz] = rows(matchlist.match_list_slices(ev, ev.agg(F.min("ts")).scalar()))
+            back = ev.select("ts", epoch_micros_to_ntz(ntz_to_epoch_micros("ts")).alias("rt"))
+            assert back.filter(F.col("ts") != F.col("rt")).count() == 0
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert out["UTC"] == out["America/Los_Angeles"] == out["Asia/Kolkata"]
+    assert [r[1] for r in sorted(out["UTC"], key=lambda r: r[5])] == [19, 21, 22, 2400, 0]
