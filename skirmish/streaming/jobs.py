@@ -38,10 +38,27 @@ from .store import UpsertStore
 BATCH_INTERVAL = "5 minutes"
 
 
+# Fold the upsert logs every this many micro-batches (one day of 5-minute batches).
+COMPACT_EVERY = 288
+
+
 def _trigger(writer, trigger: dict | None):
     return writer.trigger(**(trigger or {"processingTime": BATCH_INTERVAL}))
 
 
+def _upserter(store: UpsertStore, compact_every: int | None):
+    """foreachBatch body: upsert the batch, then now and then fold old deltas.
+
+    Batches up to batch_id - 2 are committed (a stream only replays its last
+    batch), so folding them cannot meet a replay.
+    """
+    def run(df: DataFrame, batch_id: int) -> None:
+        store.upsert(df, batch_id)
+        if compact_every and batch_id >= 2 and batch_id % compact_every == 0:
+            store.compact(batch_id - 2)
+    return run
+
+
 def ban_counts_stream(records: DataFrame) -> DataFrame:
     """Streaming (champion, ban_count) over all good events."""
     good, _ = split_quarantine(parse_events(records))
@@ -49,11 +66,11 @@ def ban_counts_stream(records: DataFrame) -> DataFrame:
 
 
 def start_ban_counts(records: DataFrame, store: UpsertStore, checkpoint: str,
-                     trigger: dict | None = None) -> StreamingQuery:
+                     trigger: dict | None = None, compact_every: int | None = COMPACT_EVERY) -> StreamingQuery:
     """Running ban totals upserted into ``store`` (key: champion) each batch."""
     counts = ban_counts_stream(records)
     w = (counts.writeStream.outputMode("update")
-         .foreachBatch(lambda df, batch_id: store.upsert(df, batch_id))
+         .foreachBatch(_upserter(store, compact_every))
          .option("checkpointLocation", checkpoint))
     return _trigger(w, trigger).start()
 
@@ -61,7 +78,8 @@ def start_ban_counts(records: DataFrame, store: UpsertStore, checkpoint: str,
 def start_sliding_stats(matches: DataFrame, store: UpsertStore, checkpoint: str,
                         watermark: str = "1 hour", trigger: dict | None = None,
                         window_minutes: int = WINDOW_MINUTES,
-                        slide_minutes: int = SLIDE_MINUTES) -> StreamingQuery:
+                        slide_minutes: int = SLIDE_MINUTES,
+                        compact_every: int | None = COMPACT_EVERY) -> StreamingQuery:
     """Windowed statistics upserted into ``store`` (key: slot).
 
     ``matches`` is a streaming frame with ts (TIMESTAMP or TIMESTAMP_NTZ),
@@ -74,7 +92,7 @@ def start_sliding_stats(matches: DataFrame, store: UpsertStore, checkpoint: str,
     stats = sliding_stats_streaming(m, window_minutes, slide_minutes).withColumn(
         "slot", epoch_micros_to_ntz(F.unix_micros("slot")))
     w = (stats.writeStream.outputMode("update")
-         .foreachBatch(lambda df, batch_id: store.upsert(df, batch_id))
+         .foreachBatch(_upserter(store, compact_every))
          .option("checkpointLocation", checkpoint))
     return _trigger(w, trigger).start()
 

@@ -11,8 +11,8 @@ id).  Reading resolves every key to its latest non-null value per column:
 
 which is also what makes *partial-column* upserts work: three writers may
 each upsert a different column of the same row, and the read merges them as
-``coalesce(new, old)`` per column.  ``compact`` rewrites the resolved table
-as one delta when the log grows.  The resolution is one aggregation by key,
+``coalesce(new, old)`` per column.  ``compact`` folds old deltas into one
+snapshot when the log grows.  The resolution is one aggregation by key,
 combined map-side.
 """
 
@@ -78,19 +78,25 @@ class UpsertStore:
         aggs = [F.max_by(c, F.when(F.col(c).isNotNull(), order)).alias(c) for c in self.values]
         return log.groupBy(*self.key).agg(*aggs).select(*self.key, *self.values)
 
-    def compact(self, batch_id: int) -> None:
-        """Replace the log by its resolved rows, stamped with ``batch_id``.
+    def compact(self, up_to_batch: int) -> None:
+        """Merge the deltas of batches <= ``up_to_batch`` into one snapshot.
 
-        The resolved rows go to a sibling snapshot first, so the table is
-        never overwritten while it is being read.  A snapshot that already
-        exists is a finished first step of an interrupted compaction and is
-        reused, never recomputed from a possibly half-replaced log.
+        The snapshot is stamped (up_to_batch, part -1), so it sorts before
+        any delta of that batch and reads "as of" later batches are
+        unchanged; newer deltas are kept as they are.  Only batches a stream
+        will not replay (committed ones) should be compacted.  The rows are
+        staged in a sibling folder first, so the table is never overwritten
+        while it is being read, and an interrupted compaction resumes from the
+        staged copy instead of recomputing from a half-replaced log.
         """
-        snap = f"{self.path}__compact_{batch_id}"
+        stage = f"{self.path}__compact_{up_to_batch}"
         try:
-            self.spark.read.parquet(snap).limit(0).collect()
+            self.spark.read.parquet(stage).limit(0).collect()
         except AnalysisException:
-            (self.read().withColumn("batch_id", F.lit(batch_id).cast("bigint")).withColumn("part", F.lit(0))
-             .write.mode("overwrite").parquet(snap))
-        (self.spark.read.schema(self._log_schema()).parquet(snap)
+            merged = (self.read(before_batch=up_to_batch + 1)
+                      .withColumn("batch_id", F.lit(up_to_batch).cast("bigint")).withColumn("part", F.lit(-1)))
+            newer = (self.spark.read.schema(self._log_schema()).parquet(self.path)
+                     .filter(F.col("batch_id") > up_to_batch))
+            merged.unionByName(newer).write.mode("overwrite").parquet(stage)
+        (self.spark.read.schema(self._log_schema()).parquet(stage)
          .write.mode("overwrite").partitionBy("batch_id", "part").parquet(self.path))

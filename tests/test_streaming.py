@@ -29,11 +29,11 @@ def test_ban_stream_equals_batch_and_survives_restart(spark, small_tables):
     second = normalize.to_records(docs.filter(F.col("match_id") % 2 == 1))
     first.repartition(3).write.mode("append").json(f"{root}/topic")
     q = jobs.start_ban_counts(documents.json_record_stream(spark, f"{root}/topic", 1), store,
-                              f"{root}/ckpt", AVAILABLE_NOW)
+                              f"{root}/ckpt", AVAILABLE_NOW, compact_every=2)
     jobs.run_available(q)
     second.repartition(2).write.mode("append").json(f"{root}/topic")
     q = jobs.start_ban_counts(documents.json_record_stream(spark, f"{root}/topic", 1), store,
-                              f"{root}/ckpt", AVAILABLE_NOW)  # same checkpoint: resumes
+                              f"{root}/ckpt", AVAILABLE_NOW, compact_every=2)  # same checkpoint: resumes
     jobs.run_available(q)
     expected = bans.ban_counts(normalize.match_bans(small_tables))
     assert rows(store.read()) == rows(expected)
@@ -89,7 +89,11 @@ def test_upsert_store_partial_columns_and_replay(spark):
     s.upsert(spark.createDataFrame([(t1, 12)], "slot timestamp_ntz, duration long"), 2)  # replay of batch 2
     assert rows(s.read()) == [(t1, 12, 1, 3), (t2, 20, None, 4)]
     assert rows(s.read(before_batch=2)) == [(t1, 11, 1, 3), (t2, 20, None, 4)]
-    s.compact(3)
+    s.compact(1)  # folds batches 0-1; batch 2 stays a delta
+    assert rows(s.read()) == [(t1, 12, 1, 3), (t2, 20, None, 4)]
+    assert rows(s.read(before_batch=2)) == [(t1, 11, 1, 3), (t2, 20, None, 4)]
+    s.upsert(spark.createDataFrame([(t1, 13)], "slot timestamp_ntz, duration long"), 1)  # late replay of 1
+    assert rows(s.read(before_batch=2)) == [(t1, 13, 1, 3), (t2, 20, None, 4)]
     assert rows(s.read()) == [(t1, 12, 1, 3), (t2, 20, None, 4)]
     s.truncate()
     assert s.read().count() == 0
