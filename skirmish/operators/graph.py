@@ -140,20 +140,24 @@ def graph_stats(g: PropertyGraph) -> DataFrame:
                           F.count_if(F.col("tracking")).alias("n_tracked"))
 
 
-def champion_set(top: DataFrame) -> F.Column:
+def champion_set(top: DataFrame | F.Column) -> F.Column:
     """The champions of a k-row frame as one array value (scalar subquery).
 
     ``top`` is bounded by construction (a top-k), so collecting it into one
     value is safe; the subquery runs once and the result is inlined into the
-    filters below, which then need no join at all.
+    filters below, which then need no join at all.  Passing the returned
+    column on (instead of the frame) shares one subquery between operators.
     """
+    if isinstance(top, F.Column):
+        return top
     return top.agg(F.collect_list("champion").alias("c")).scalar()
 
 
-def banned_subgraph(g: PropertyGraph, top: DataFrame) -> PropertyGraph:
+def banned_subgraph(g: PropertyGraph, top: DataFrame | F.Column) -> PropertyGraph:
     """Keep "Against" edges where either champion is one of ``top``.
 
-    ``top`` is a k-row frame (column ``champion``).  All vertices stay.
+    ``top`` is a k-row frame (column ``champion``) or its ``champion_set``.
+    All vertices stay.
     """
     champs = champion_set(top)
     side = F.coalesce(F.col("side"), F.lit("None")) == AGAINST
@@ -198,7 +202,7 @@ def tracked_with_edges(g: PropertyGraph) -> DataFrame:
             .select("id", "name", "tracking", "in_degree", "out_degree"))
 
 
-def pattern_hop(g: PropertyGraph, excluded: DataFrame) -> DataFrame:
+def pattern_hop(g: PropertyGraph, excluded: DataFrame | F.Column) -> DataFrame:
     """One hop ``(n)-[r]->(m)`` whose relationship champion is not excluded.
 
     Returns n's id and name with the target id and the relationship's

@@ -46,8 +46,10 @@ def _graph(spark, d) -> graph.PropertyGraph:
     return graph.graph_from_match_edges(materialize(_edges(spark, d), "match-edges"))
 
 
-def _banned(spark, d) -> tuple[graph.PropertyGraph, DataFrame]:
-    top = bans.top_banned(_ban_count(spark, d))
+def _banned(spark, d) -> tuple[graph.PropertyGraph, F.Column]:
+    """Banned subgraph and the top-k champion set it was cut with (one
+    subquery, reused by whoever needs the set again)."""
+    top = graph.champion_set(bans.top_banned(_ban_count(spark, d)))
     return graph.banned_subgraph(_graph(spark, d), top), top
 
 
