@@ -159,3 +159,18 @@ def test_graph_job_over_csv_files(spark, small_tables):
                                                    sink, f"{root}/ckpt", AVAILABLE_NOW))
     got = graph.graph_job(spark, f"{root}/edges", f"{root}/vertices", totals.read(), fmt="csv")
     assert rows(got) == rows(tracked_players_vs_banned(spark, SF_SMALL))
+
+
+def test_command_line_stream_graph_marts(spark, small_tables):
+    from skirmish.__main__ import main
+    from skirmish.plans.queries import tracked_players_vs_banned
+    root = scratch_path(spark, "t-cli")
+    publish(spark, small_tables, f"{root}/topic", 2)
+    main(["stream", "--json-dir", f"{root}/topic", "--root", f"{root}/out", "--available-now",
+          "--watermark", "3650 days"])
+    main(["graph", "--root", f"{root}/out", "--export", f"{root}/graph"])
+    main(["marts", "--root", f"{root}/out"])
+    got = spark.read.parquet(f"{root}/out/tracked_vs_banned")
+    assert rows(got) == rows(tracked_players_vs_banned(spark, SF_SMALL))
+    share = {r.side: r.wins for r in spark.read.parquet(f"{root}/out/marts/win_share").collect()}
+    assert set(share) == {"Red Side", "Blue Side"}
