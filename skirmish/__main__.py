@@ -1,9 +1,9 @@
 """Command line: the streaming job, the graph job and the dashboard marts.
 
-    spark-submit -m skirmish stream --kafka broker:9092 --root s3://bucket/matches
-    spark-submit -m skirmish stream --json-dir /landing/events --root /data/matches --available-now
-    spark-submit -m skirmish graph  --root /data/matches --k 3 --export /data/graph
-    spark-submit -m skirmish marts  --root /data/matches
+    spark-submit --py-files skirmish.zip submit.py stream --kafka broker:9092 --root s3://bucket/matches
+    python -m skirmish stream --json-dir /landing/events --root /data/matches --available-now
+    python -m skirmish graph  --root /data/matches --k 3 --export /data/graph
+    python -m skirmish marts  --root /data/matches
 
 ``--root`` must be a folder every executor sees (HDFS, S3, a shared mount):
 upsert tables, edge/vertex files and checkpoints live below it.  Results of
