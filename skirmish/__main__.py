@@ -34,11 +34,11 @@ def cmd_stream(args) -> None:
     trigger = {"availableNow": True} if args.available_now else {"processingTime": args.trigger}
     queries = jobs.start_match_jobs(records, args.root, trigger=trigger, watermark=args.watermark,
                                     fmt=args.format, reset=args.reset)
-    for q in queries.values():
-        if args.available_now:
+    if args.available_now:
+        for q in queries.values():
             jobs.run_available(q, timeout_s=args.timeout)
-        else:
-            q.awaitTermination()
+    else:
+        spark.streams.awaitAnyTermination()  # a failing query ends the job (and raises)
 
 
 def cmd_graph(args) -> None:
