@@ -103,7 +103,16 @@ def tracked_matches(t: MatchTables, extra: tuple[str, ...] = ()) -> DataFrame:
 
 def match_edges(t: MatchTables) -> DataFrame:
     """Normalised edges (one per tracked player and other participant)."""
-    cand = tracked_matches(t).join(identities(t), "match_id")
+    return edges_from(tracked_matches(t), identities(t))
+
+
+def edges_from(tracked: DataFrame, ident: DataFrame) -> DataFrame:
+    """Edges from enriched inputs: ``tracked_matches`` rows and ``identities``.
+
+    Both are keyed by match_id; when they are stored bucketed by match_id
+    (``sources.model_store``) the join and the window need no shuffle.
+    """
+    cand = tracked.select("match_id", "my_id", "my_name", "win_team").join(ident, "match_id")
     w = Window.partitionBy("match_id", "my_id")
     me_order = F.when(F.col("his_name") == F.col("my_name"), F.col("participant_id"))
     me = F.max_by(F.struct(F.col("his_champion").alias("c"), F.col("team_id").alias("t")), me_order).over(w)
