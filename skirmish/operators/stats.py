@@ -18,7 +18,8 @@ WINDOW_MINUTES = 30
 SLIDE_MINUTES = 5
 
 
-def _measures(df: DataFrame):
+def _measures():
+    """The three measures of a window (or bucket) of matches."""
     return (F.sum("game_duration").alias("duration"),
             F.count_if(F.col("winner") == "Red").alias("red_win"),
             F.count(F.lit(1)).alias("tot_matches"))
@@ -39,17 +40,13 @@ def sliding_stats(matches: DataFrame, window_minutes: int = WINDOW_MINUTES,
         matches = matches.dropDuplicates([dedupe_key])
     fan = window_minutes // slide_minutes
     slide = f"{slide_minutes} minutes"
-    buckets = (matches.groupBy(F.window("ts", slide).start.alias("bucket"))
-               .agg(F.sum("game_duration").alias("d"),
-                    F.count_if(F.col("winner") == "Red").alias("r"),
-                    F.count(F.lit(1)).alias("n")))
+    buckets = matches.groupBy(F.window("ts", slide).start.alias("bucket")).agg(*_measures())
     back = F.explode(F.sequence(F.lit(0), F.lit(fan - 1))).alias("i")
-    slots = buckets.select("bucket", "d", "r", "n", back).select(
+    slots = buckets.select("*", back).select(
         (F.col("bucket") - F.make_dt_interval(mins=F.col("i") * slide_minutes)).alias("slot"),
-        "d", "r", "n")
-    return slots.groupBy("slot").agg(F.sum("d").cast("bigint").alias("duration"),
-                                     F.sum("r").cast("bigint").alias("red_win"),
-                                     F.sum("n").cast("bigint").alias("tot_matches"))
+        "duration", "red_win", "tot_matches")
+    return slots.groupBy("slot").agg(*(F.sum(c).cast("bigint").alias(c)
+                                       for c in ("duration", "red_win", "tot_matches")))
 
 
 def sliding_stats_streaming(matches: DataFrame, window_minutes: int = WINDOW_MINUTES,
@@ -62,5 +59,5 @@ def sliding_stats_streaming(matches: DataFrame, window_minutes: int = WINDOW_MIN
     if dedupe_key:
         matches = matches.dropDuplicatesWithinWatermark([dedupe_key])
     w = F.window("ts", f"{window_minutes} minutes", f"{slide_minutes} minutes")
-    return (matches.groupBy(w.alias("w")).agg(*_measures(matches))
+    return (matches.groupBy(w.alias("w")).agg(*_measures())
             .select(F.col("w.start").alias("slot"), "duration", "red_win", "tot_matches"))
