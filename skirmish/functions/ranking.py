@@ -7,12 +7,13 @@ job.  Here the order space is cut into blocks: the window only ever spans one
 counts, a table with one row per (key, block) that is tiny next to the data.
 
     local  = row_number() over (key, block order by o)      -- bounded groups
-    counts = count(*) group by key, block                   -- partial agg
-    offset = sum(counts) over (key order by block rows unbounded preceding .. -1)
+    n      = max(local) group by key, block                 -- same partitioning
+    offset = sum(n) over (key order by block rows unbounded preceding .. -1)
     result = local + offset                                 -- join on (key, block)
 
-The data itself crosses the network once (hash partitioning on key + block);
-the counts are aggregated map-side before their shuffle.
+The data itself crosses the network once (hash partitioning on key + block):
+the offset table is derived from the numbered frame, which both sides of the
+join share, so the input is evaluated once.
 """
 
 from __future__ import annotations
@@ -33,12 +34,15 @@ def blocked_row_number(df: DataFrame, keys: Sequence[str], order: Sequence[str |
     """
     keys = list(keys)
     b = "__block"
-    data = df.withColumn(b, block)
-    local = data.withColumn(
-        "__local", F.row_number().over(Window.partitionBy(*keys, b).orderBy(*order)))
-    counts = data.groupBy(*keys, b).agg(F.count(F.lit(1)).alias("__n"))
+    # One numbered frame feeds both sides of the final join, so Spark runs it (and the input
+    # below it) once and reuses its exchange.  The block is made non-nullable: otherwise the
+    # join would push an extra not-null filter into one side only and the sides would differ.
+    local = (df.withColumn(b, F.coalesce(block, F.lit(0)).cast("bigint"))
+             .withColumn("__local", F.row_number().over(Window.partitionBy(*keys, b).orderBy(*order))))
+    # rows per (key, block) = the largest row number; grouped on the window's own partitioning
+    per_block = local.groupBy(*keys, b).agg(F.max("__local").cast("bigint").alias("__n"))
     prior = Window.partitionBy(*keys).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("__off", F.coalesce(F.sum("__n").over(prior), F.lit(0)))
+    offsets = per_block.withColumn("__off", F.coalesce(F.sum("__n").over(prior), F.lit(0)))
     cols = [*keys, b, "__off"]
     if total:
         offsets = offsets.withColumn(total, F.sum("__n").over(Window.partitionBy(*keys)))
