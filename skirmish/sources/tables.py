@@ -7,9 +7,9 @@ and one ban.  Part brands are champion names, customers are players.
 
 Everything here is a lazy DataFrame.  Line items are shuffled once by order
 key: the semi-join with the tracked matches and the de-duplicating group-by on
-(order, line number) share that partitioning, and bans and participants are
-two projections of the same aggregate, so Spark reuses the exchange when a
-plan needs both.
+(order, line number) share that partitioning (when the join is not
+broadcast), and bans and participants are two projections of the same
+aggregate, so a plan that needs both reuses the line-item exchange.
 """
 
 from __future__ import annotations
@@ -92,13 +92,18 @@ def match_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per (match, line number) of a tracked match.
 
     (order, line number) is not unique in the source, hence the aggregate.
+    Participants and bans both come from these lines.  The three values travel
+    as one struct column, so neither consumer can prune the other's fields:
+    the line-item scan and its shuffle are then identical in both and a plan
+    that needs participants and bans reads and shuffles the line items once
+    (the exchange is reused).
     """
     li = read_table(spark, sf_dir, "lineitem")
     ids = tracked_orders(spark, sf_dir).select(F.col("o_orderkey").alias("l_orderkey"))
     return (li.join(ids, "l_orderkey", "left_semi")
             .groupBy("l_orderkey", "l_linenumber")
-            .agg(F.min("l_partkey").alias("partkey"), F.min("l_suppkey").alias("suppkey"),
-                 F.min("l_quantity").alias("quantity")))
+            .agg(F.struct(F.min("l_partkey").alias("partkey"), F.min("l_suppkey").alias("suppkey"),
+                          F.min("l_quantity").alias("quantity")).alias("line")))
 
 
 def participants(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,8 +117,8 @@ def participants(spark: SparkSession, sf_dir: str) -> DataFrame:
     others = match_lines(spark, sf_dir).select(
         F.col("l_orderkey").alias("match_id"),
         F.col("l_linenumber").alias("participant_id"),
-        F.col("partkey").alias("player_key"),
-        F.col("suppkey").alias("champion_key"),
+        F.col("line.partkey").alias("player_key"),
+        F.col("line.suppkey").alias("champion_key"),
         F.when(F.col("l_linenumber") % 2 == 1, BLUE_SIDE).otherwise(RED_SIDE).alias("team_id"),
     )
     return me.unionByName(others)
@@ -123,8 +128,8 @@ def bans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return match_lines(spark, sf_dir).select(
         F.col("l_orderkey").alias("match_id"),
         F.col("l_linenumber").alias("pos"),
-        F.when(F.col("quantity") == 1, F.lit(NO_BAN_KEY).cast("bigint"))
-         .otherwise(F.col("suppkey") + BAN_KEY_OFFSET).alias("champion_key"),
+        F.when(F.col("line.quantity") == 1, F.lit(NO_BAN_KEY).cast("bigint"))
+         .otherwise(F.col("line.suppkey") + BAN_KEY_OFFSET).alias("champion_key"),
     )
 
 
