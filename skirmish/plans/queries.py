@@ -169,7 +169,7 @@ def ban_running_count(spark, d):
     return bans.running_ban_count(normalize.match_bans(_t(spark, d)))
 
 
-def _publish_events(spark, d, path: str, files: int = 4) -> None:
+def _publish_events(spark, d, path: str, files: int = 2) -> None:
     """Write match events as JSON (key, value) records: the topic stand-in."""
     recs = normalize.to_records(normalize.event_documents(_t(spark, d)))
     recs.repartition(files).write.mode("overwrite").json(path)

@@ -42,10 +42,34 @@ BATCH_INTERVAL = "5 minutes"
 COMPACT_EVERY = 288
 
 
+# State partitions of the stateful queries.  Their state is small whatever the input volume:
+# one row per champion, or per open window behind the watermark; partial aggregation shrinks
+# each micro-batch before it reaches the state store.  More partitions would only add
+# per-batch state-store commits.
+STATE_PARTITIONS = 16
+
+
 def _trigger(writer, trigger: dict | None):
     return writer.trigger(**(trigger or {"processingTime": BATCH_INTERVAL}))
 
 
+def _start(writer, spark, partitions: int | None) -> StreamingQuery:
+    """Start a query with its own shuffle (state) partition count.
+
+    A streaming query takes the count from the session when it first starts
+    and keeps it in its checkpoint; the session setting is restored at once.
+    """
+    if not partitions:
+        return writer.start()
+    key = "spark.sql.shuffle.partitions"
+    previous = spark.conf.get(key)
+    spark.conf.set(key, str(min(partitions, int(previous))))  # never more than the session uses
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, previous)
+
+
 def _upserter(store: UpsertStore, compact_every: int | None):
     """foreachBatch body: upsert the batch, then now and then fold old deltas.
 
@@ -66,20 +90,22 @@ def ban_counts_stream(records: DataFrame) -> DataFrame:
 
 
 def start_ban_counts(records: DataFrame, store: UpsertStore, checkpoint: str,
-                     trigger: dict | None = None, compact_every: int | None = COMPACT_EVERY) -> StreamingQuery:
+                     trigger: dict | None = None, compact_every: int | None = COMPACT_EVERY,
+                     state_partitions: int | None = STATE_PARTITIONS) -> StreamingQuery:
     """Running ban totals upserted into ``store`` (key: champion) each batch."""
     counts = ban_counts_stream(records)
     w = (counts.writeStream.outputMode("update")
          .foreachBatch(_upserter(store, compact_every))
          .option("checkpointLocation", checkpoint))
-    return _trigger(w, trigger).start()
+    return _start(_trigger(w, trigger), records.sparkSession, state_partitions)
 
 
 def start_sliding_stats(matches: DataFrame, store: UpsertStore, checkpoint: str,
                         watermark: str = "1 hour", trigger: dict | None = None,
                         window_minutes: int = WINDOW_MINUTES,
                         slide_minutes: int = SLIDE_MINUTES,
-                        compact_every: int | None = COMPACT_EVERY) -> StreamingQuery:
+                        compact_every: int | None = COMPACT_EVERY,
+                        state_partitions: int | None = STATE_PARTITIONS) -> StreamingQuery:
     """Windowed statistics upserted into ``store`` (key: slot).
 
     ``matches`` is a streaming frame with ts (TIMESTAMP or TIMESTAMP_NTZ),
@@ -94,7 +120,7 @@ def start_sliding_stats(matches: DataFrame, store: UpsertStore, checkpoint: str,
     w = (stats.writeStream.outputMode("update")
          .foreachBatch(_upserter(store, compact_every))
          .option("checkpointLocation", checkpoint))
-    return _trigger(w, trigger).start()
+    return _start(_trigger(w, trigger), matches.sparkSession, state_partitions)
 
 
 class MatchEventSink:
