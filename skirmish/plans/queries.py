@@ -206,9 +206,7 @@ def stats_sliding_stream(spark, d):
     ev = tables.read_table(spark, d, "events")
     src = (spark.readStream.schema(ev.schema).option("pathGlobFilter", "events.parquet")
            .option("maxFilesPerTrigger", 1).parquet(d))
-    matches = src.select(
-        "ts", F.floor(F.col("value") * 10).cast("bigint").alias("game_duration"),
-        F.when(F.col("event_type").isin("click", "view"), "Red").otherwise("Blue").alias("winner"))
+    matches = tables.events_as_matches(src)
     store = UpsertStore(spark, f"{root}/stats", ["slot"], schemas.MATCH_STATS).create().truncate()
     q = jobs.start_sliding_stats(matches, store, f"{root}/checkpoint", trigger={"availableNow": True})
     jobs.run_available(q)

@@ -147,14 +147,18 @@ def load(spark: SparkSession, sf_dir: str) -> MatchTables:
     )
 
 
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Finished-match stream fixture: one event = one match.
+def events_as_matches(ev: DataFrame) -> DataFrame:
+    """Finished-match fixture over the events table (batch or streaming frame).
 
-    duration = floor(value * 10); the Red side wins 'click' and 'view' events.
+    One event = one match; duration = floor(value * 10); the Red side wins
+    'click' and 'view' events.
     """
-    ev = read_table(spark, sf_dir, "events")
     return ev.select(
         "ts",
         F.floor(F.col("value") * 10).cast("bigint").alias("game_duration"),
         F.when(F.col("event_type").isin("click", "view"), "Red").otherwise("Blue").alias("winner"),
     )
+
+
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return events_as_matches(read_table(spark, sf_dir, "events"))

@@ -42,9 +42,8 @@ def test_ban_stream_equals_batch_and_survives_restart(spark, small_tables):
 def test_stats_stream_equals_batch(spark):
     root = scratch_path(spark, "t-stats")
     ev = tables.read_table(spark, SF_SMALL, "events")
-    src = (spark.readStream.schema(ev.schema).option("pathGlobFilter", "events.parquet").parquet(SF_SMALL)
-           .select("ts", F.floor(F.col("value") * 10).cast("bigint").alias("game_duration"),
-                   F.when(F.col("event_type").isin("click", "view"), "Red").otherwise("Blue").alias("winner")))
+    src = tables.events_as_matches(
+        spark.readStream.schema(ev.schema).option("pathGlobFilter", "events.parquet").parquet(SF_SMALL))
     store = UpsertStore(spark, f"{root}/stats", ["slot"], schemas.MATCH_STATS).create().truncate()
     jobs.run_available(jobs.start_sliding_stats(src, store, f"{root}/ckpt", trigger=AVAILABLE_NOW))
     assert rows(store.read()) == rows(stats.sliding_stats(tables.events(spark, SF_SMALL)))
