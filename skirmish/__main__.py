@@ -33,7 +33,8 @@ def cmd_stream(args) -> None:
         records = documents.json_record_stream(spark, args.json_dir, args.max_files)
     trigger = {"availableNow": True} if args.available_now else {"processingTime": args.trigger}
     queries = jobs.start_match_jobs(records, args.root, trigger=trigger, watermark=args.watermark,
-                                    fmt=args.format, reset=args.reset)
+                                    fmt=args.format, reset=args.reset, time_basis=args.time_basis,
+                                    dedupe_matches=args.dedupe)
     if args.available_now:
         for q in queries.values():
             jobs.run_available(q, timeout_s=args.timeout)
@@ -83,6 +84,9 @@ def main(argv=None) -> None:
     s.add_argument("--watermark", default="1 hour")
     s.add_argument("--format", default="parquet", choices=["parquet", "csv"])
     s.add_argument("--reset", action="store_true", help="empty the tables first")
+    s.add_argument("--time-basis", default="event", choices=["event", "arrival"],
+                   help="window statistics by match time or by arrival (processing) time")
+    s.add_argument("--dedupe", action="store_true", help="count a match reported twice once")
     s.add_argument("--timeout", type=int, default=3600)
     s.set_defaults(fn=cmd_stream)
 

@@ -105,17 +105,29 @@ def start_sliding_stats(matches: DataFrame, store: UpsertStore, checkpoint: str,
                         window_minutes: int = WINDOW_MINUTES,
                         slide_minutes: int = SLIDE_MINUTES,
                         compact_every: int | None = COMPACT_EVERY,
-                        state_partitions: int | None = STATE_PARTITIONS) -> StreamingQuery:
+                        state_partitions: int | None = STATE_PARTITIONS,
+                        time_basis: str = "event", dedupe_key: str | None = None) -> StreamingQuery:
     """Windowed statistics upserted into ``store`` (key: slot).
 
     ``matches`` is a streaming frame with ts (TIMESTAMP or TIMESTAMP_NTZ),
-    game_duration and winner.  Slots are stored as TIMESTAMP_NTZ.
+    game_duration and winner.  Slots are stored as TIMESTAMP_NTZ (UTC).
+
+    ``time_basis="event"`` windows matches by their own time; ``"arrival"``
+    windows them by the micro-batch clock, as the reference's processing-time
+    window does (a match then counts in the six slots after its arrival).
+    ``dedupe_key`` counts a match reported several times once, within the
+    watermark.
     """
-    # Watermarks need an instant: TIMESTAMP_NTZ is read as UTC, and slots go back to NTZ the same
-    # way, so neither direction depends on the session time zone.
-    ts = ntz_as_instant("ts") if dict(matches.dtypes)["ts"] == "timestamp_ntz" else F.col("ts")
+    if time_basis == "arrival":
+        ts = F.current_timestamp()
+    elif time_basis == "event":
+        # Watermarks need an instant: TIMESTAMP_NTZ is read as UTC, and slots go back to NTZ the
+        # same way, so neither direction depends on the session time zone.
+        ts = ntz_as_instant("ts") if dict(matches.dtypes)["ts"] == "timestamp_ntz" else F.col("ts")
+    else:
+        raise ValueError(f"unknown time basis {time_basis!r}")
     m = matches.withColumn("ts", ts).withWatermark("ts", watermark)
-    stats = sliding_stats_streaming(m, window_minutes, slide_minutes).withColumn(
+    stats = sliding_stats_streaming(m, window_minutes, slide_minutes, dedupe_key=dedupe_key).withColumn(
         "slot", epoch_micros_to_ntz(F.unix_micros("slot")))
     w = (stats.writeStream.outputMode("update")
          .foreachBatch(_upserter(store, compact_every))
@@ -198,13 +210,14 @@ def event_matches(records: DataFrame) -> DataFrame:
     the micro-batch as in the reference.
     """
     good, _ = split_quarantine(parse_events(records))
-    return good.select(F.to_timestamp_ntz("ts").alias("ts"),
+    return good.select("match_id", F.to_timestamp_ntz("ts").alias("ts"),
                        F.col("gameDuration").cast("bigint").alias("game_duration"), "winner")
 
 
 def start_match_jobs(records: DataFrame, root: str, trigger: dict | None = None,
                      watermark: str = "1 hour", fmt: str = "parquet",
-                     reset: bool = False) -> dict[str, StreamingQuery]:
+                     reset: bool = False, time_basis: str = "event",
+                     dedupe_matches: bool = False) -> dict[str, StreamingQuery]:
     """Start the whole streaming side over one (key, value) record stream.
 
     Below ``root`` (a shared folder): ``ban_count`` and ``stats`` upsert
@@ -226,6 +239,7 @@ def start_match_jobs(records: DataFrame, root: str, trigger: dict | None = None,
     return {
         "ban_count": start_ban_counts(records, ban, f"{root}/_checkpoints/ban_count", trigger),
         "stats": start_sliding_stats(event_matches(records), st, f"{root}/_checkpoints/stats",
-                                     watermark=watermark, trigger=trigger),
+                                     watermark=watermark, trigger=trigger, time_basis=time_basis,
+                                     dedupe_key="match_id" if dedupe_matches else None),
         "graph_files": start_match_event_sink(records, sink, f"{root}/_checkpoints/graph_files", trigger),
     }

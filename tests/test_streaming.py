@@ -173,3 +173,25 @@ def test_command_line_stream_graph_marts(spark, small_tables):
     assert rows(got) == rows(tracked_players_vs_banned(spark, SF_SMALL))
     share = {r.side: r.wins for r in spark.read.parquet(f"{root}/out/marts/win_share").collect()}
     assert set(share) == {"Red Side", "Blue Side"}
+
+
+def test_arrival_time_windows_and_match_dedupe(spark, small_tables):
+    root = scratch_path(spark, "t-arrival")
+    docs = normalize.event_documents(small_tables)
+    recs = normalize.to_records(docs)
+    recs.unionByName(recs).coalesce(1).write.json(f"{root}/topic")   # every match reported twice
+    n = docs.count()
+    # processing time: one micro-batch, so every match lands in the same six slots
+    st = UpsertStore(spark, f"{root}/a", ["slot"], schemas.MATCH_STATS).create()
+    jobs.run_available(jobs.start_sliding_stats(
+        jobs.event_matches(documents.json_record_stream(spark, f"{root}/topic")), st, f"{root}/ck-a",
+        trigger=AVAILABLE_NOW, time_basis="arrival"))
+    got = st.read().collect()
+    assert len(got) == 6 and {r.tot_matches for r in got} == {2 * n}
+    # event time with de-duplication on match id: each match counted once per window
+    st2 = UpsertStore(spark, f"{root}/b", ["slot"], schemas.MATCH_STATS).create()
+    jobs.run_available(jobs.start_sliding_stats(
+        jobs.event_matches(documents.json_record_stream(spark, f"{root}/topic")), st2, f"{root}/ck-b",
+        trigger=AVAILABLE_NOW, watermark="3650 days", dedupe_key="match_id"))
+    ev = docs.select("ts", F.col("gameDuration").cast("bigint").alias("game_duration"), "winner")
+    assert rows(st2.read()) == rows(stats.sliding_stats(ev))
