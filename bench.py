@@ -45,7 +45,11 @@ def main() -> None:
     for name in names:
         run(name)
         times[name] = round(statistics.median(run(name) for _ in range(repeat)), 3)
-    sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
+    sf_name = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
+    try:
+        sf = float(sf_name)
+    except ValueError:
+        sf = sf_name
     print(json.dumps({"metric": "sum_of_median_query_seconds", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times, "sf": sf, "cpus": cpus, "repeat": repeat}))
     spark.stop()
