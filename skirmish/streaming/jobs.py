@@ -3,17 +3,22 @@
 Source: (key, value) records, from Kafka or from JSON files (same contract).
 Outputs, as in the reference streaming job:
 
-* running ban count per champion -> upsert table (stateful ``groupBy.count``
-  in update mode; partial counts are merged map-side before the state store,
-  so a champion banned in every match is no hot spot);
 * sliding 30/5-minute statistics -> upsert table keyed by slot (windowed
-  aggregation on event time with a watermark, so old windows leave the state);
+  aggregation on event or arrival time with a watermark, so old windows
+  leave the state);
 * edges and vertices appended per micro-batch (edges skipped when empty);
 * per-ban running totals (one output row per ban, as the stateful map of the
-  reference emits), computed in ``foreachBatch`` from the batch plus the
-  totals committed by earlier batches, which keeps it exact and idempotent;
+  reference emits) and the champions' totals, computed in ``foreachBatch``
+  from the batch plus the totals committed by earlier batches, which keeps
+  them exact and idempotent; a hot champion is split by the blocked row
+  number;
 * malformed records go to a quarantine folder instead of failing the query.
 
+``start_match_jobs`` runs the statistics query plus one sink that does all of
+the rest off a single parse of each micro-batch.  ``start_ban_counts`` is the
+alternative ban table: Spark's stateful ``groupBy.count`` in update mode
+(partial counts merged map-side before the state store).
+
 Every sink write is keyed by batch id (partition overwrite or a batch-id
 folder), so a micro-batch replayed after executor or driver loss rewrites the
 same data; checkpoints live in the shared folder.
@@ -220,26 +225,27 @@ def start_match_jobs(records: DataFrame, root: str, trigger: dict | None = None,
                      dedupe_matches: bool = False) -> dict[str, StreamingQuery]:
     """Start the whole streaming side over one (key, value) record stream.
 
-    Below ``root`` (a shared folder): ``ban_count`` and ``stats`` upsert
-    tables, ``edges``/``vertices``/``running``/``quarantine`` outputs and one
-    checkpoint per query.  ``reset`` empties the tables first (the reference
-    truncates on every start; by default we resume).
+    Two queries: the windowed statistics (stateful, watermarked) and one
+    ``foreachBatch`` sink that parses each micro-batch once and writes the
+    edges, vertices, per-ban running totals, quarantine and the ban-count
+    table (the champions' latest totals).  Below ``root`` (a shared folder):
+    ``ban_count`` and ``stats`` upsert tables, the ``edges``/``vertices``/
+    ``running``/``quarantine`` outputs and one checkpoint per query.
+    ``reset`` empties the tables first (the reference truncates on every
+    start; by default we resume).
     """
     spark = records.sparkSession
     ban = UpsertStore(spark, f"{root}/ban_count", ["champion"], "champion STRING, ban_count BIGINT").create()
     st = UpsertStore(spark, f"{root}/stats", ["slot"],
                      "slot TIMESTAMP_NTZ, duration BIGINT, red_win BIGINT, tot_matches BIGINT").create()
-    totals = UpsertStore(spark, f"{root}/running_totals", ["champion"],
-                         "champion STRING, ban_count BIGINT").create()
     if reset:
-        for s in (ban, st, totals):
-            s.truncate()
+        for s_ in (ban, st):
+            s_.truncate()
     sink = MatchEventSink(f"{root}/edges", f"{root}/vertices", f"{root}/running", f"{root}/quarantine",
-                          totals, fmt=fmt)
+                          ban, fmt=fmt)
     return {
-        "ban_count": start_ban_counts(records, ban, f"{root}/_checkpoints/ban_count", trigger),
         "stats": start_sliding_stats(event_matches(records), st, f"{root}/_checkpoints/stats",
                                      watermark=watermark, trigger=trigger, time_basis=time_basis,
                                      dedupe_key="match_id" if dedupe_matches else None),
-        "graph_files": start_match_event_sink(records, sink, f"{root}/_checkpoints/graph_files", trigger),
+        "match_events": start_match_event_sink(records, sink, f"{root}/_checkpoints/match_events", trigger),
     }
