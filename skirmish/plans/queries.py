@@ -40,17 +40,22 @@ def _ban_count(spark, d) -> DataFrame:
     return bans.ban_counts_by_key(t.bans, t.champions)
 
 
-def _graph(spark, d) -> graph.PropertyGraph:
-    """Graph over the normalised edges, written once like the edge files of
-    the streaming job, so vertices and edges do not both recompute them."""
-    return graph.graph_from_match_edges(materialize(_edges(spark, d), "match-edges"))
+def _graph(spark, d, both_sides: bool = True) -> graph.PropertyGraph:
+    """Graph over the normalised edges.
 
+    When a query consumes both vertices and edges, the normalised edges are
+    written once (like the edge files of the streaming job) so the two sides
+    do not both recompute them; a query using one side reads them directly.
+    """
+    me = _edges(spark, d)
+    return graph.graph_from_match_edges(materialize(me, "match-edges") if both_sides else me)
 
-def _banned(spark, d) -> tuple[graph.PropertyGraph, F.Column]:
+
+def _banned(spark, d, both_sides: bool = True) -> tuple[graph.PropertyGraph, F.Column]:
     """Banned subgraph and the top-k champion set it was cut with (one
     subquery, reused by whoever needs the set again)."""
     top = graph.champion_set(bans.top_banned(_ban_count(spark, d)))
-    return graph.banned_subgraph(_graph(spark, d), top), top
+    return graph.banned_subgraph(_graph(spark, d, both_sides), top), top
 
 
 # ---- normalisation -----------------------------------------------------------------
@@ -226,15 +231,15 @@ def stats_upsert(spark, d):
 # ---- graph ----------------------------------------------------------------------------------
 
 def graph_vertices(spark, d):
-    return _graph(spark, d).vertices
+    return _graph(spark, d, both_sides=False).vertices
 
 
 def graph_stats(spark, d):
-    return graph.graph_stats(_graph(spark, d))
+    return graph.graph_stats(_graph(spark, d, both_sides=False))
 
 
 def banned_subgraph(spark, d):
-    return _banned(spark, d)[0].edges
+    return _banned(spark, d, both_sides=False)[0].edges
 
 
 def graph_degrees(spark, d):
@@ -253,14 +258,14 @@ def pattern_match_hop(spark, d):
 def graph_export_nodes(spark, d):
     """Graph store load: overwrite (delete all) then write merged USER nodes."""
     path = scratch_path(spark, "export") + "/nodes"
-    g, _ = _banned(spark, d)
+    g, _ = _banned(spark, d, both_sides=False)
     graph.export_nodes(g).write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
 def graph_export_rels(spark, d):
     path = scratch_path(spark, "export") + "/rels"
-    g, _ = _banned(spark, d)
+    g, _ = _banned(spark, d, both_sides=False)
     graph.export_relationships(g).write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
