@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as dt
 
 import pandas as pd
-import pytest
 from pyspark.sql import functions as F
 
 from skirmish import schemas

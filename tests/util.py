@@ -3,7 +3,6 @@ small hand-written match models, plan text."""
 
 from __future__ import annotations
 
-import os
 
 import duckdb
 import pandas as pd
