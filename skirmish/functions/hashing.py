@@ -13,8 +13,11 @@
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -82,6 +85,11 @@ def murmur3_string_hash(values: pd.Series) -> pd.Series:
     return out
 
 
+# Ship this module's code with the UDF (pickled by value), so Python workers
+# need not have the package installed or on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 @F.pandas_udf(T.LongType())
 def murmur3_name_id(names: pd.Series) -> pd.Series:
     return murmur3_string_hash(names)

@@ -34,3 +34,19 @@ def test_entry_runs(spark):
     df = entry.entry(spark)
     assert df.columns == ["id", "name", "tracking", "in_degree", "out_degree"]
     assert df.count() > 0
+
+
+def test_python_udf_runs_without_package_on_worker_path(tmp_path):
+    """The driver may import the package from anywhere; workers must not need it installed."""
+    import subprocess
+    import sys
+    root = __import__("os").path.dirname(__import__("os").path.dirname(__import__("os").path.abspath(__file__)))
+    code = (
+        f"import sys; sys.path.insert(0, {root!r})\n"
+        "from pyspark.sql import SparkSession\n"
+        "s = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+        "import __spark_entry__ as e\n"
+        f"print(e.queries()['player_id_hash'](s, {SF_SMALL!r}).count())\n")
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=300)
+    assert out.returncode == 0, out.stderr[-2000:]
+    assert out.stdout.strip().splitlines()[-1] == "150"
