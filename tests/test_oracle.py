@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import subprocess
+import sys
+
 import pytest
 
 import __spark_entry__ as entry
@@ -38,9 +42,7 @@ def test_entry_runs(spark):
 
 def test_python_udf_runs_without_package_on_worker_path(tmp_path):
     """The driver may import the package from anywhere; workers must not need it installed."""
-    import subprocess
-    import sys
-    root = __import__("os").path.dirname(__import__("os").path.dirname(__import__("os").path.abspath(__file__)))
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     code = (
         f"import sys; sys.path.insert(0, {root!r})\n"
         "from pyspark.sql import SparkSession\n"
