@@ -3,6 +3,8 @@
 Each query is fully materialised with the no-op sink (every row computed,
 nothing collected to the driver), BENCH_REPEAT times after one warm-up run;
 the per-query figure is the median.  Prints exactly one JSON line on stdout.
+With BENCH_EVENT_LOG=<folder>, Spark's event log is written there;
+``scripts/stage_times.py <folder>`` summarises it per query.
 """
 
 from __future__ import annotations
@@ -32,10 +34,15 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     names = [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n]
+    extra = {"spark.driver.memory": "16g"}
+    event_log = os.environ.get("BENCH_EVENT_LOG")  # folder for Spark's event log (stage/task times)
+    if event_log:
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_log})
     spark = build_session(f"local[{cpus}]", app_name="skirmish-bench", shuffle_partitions=2 * cpus,
-                          extra={"spark.driver.memory": "16g"})
+                          extra=extra)
 
     def run(name: str) -> float:
+        spark.sparkContext.setJobGroup(name, name)  # stage times per query in the event log
         t0 = time.perf_counter()
         REGISTRY[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         return time.perf_counter() - t0
