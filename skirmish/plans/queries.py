@@ -90,9 +90,6 @@ def raw_document_edges(spark, d):
     return normalize.match_edges(flat)
 
 
-JSON_VARIANTS = ("object", "array", "corrupt", "missing_key")
-
-
 def json_root_variants(spark, d):
     """Each event as an object root, an array root, broken text and without a
     required key; parsed with quarantine.  Quarantined records carry no
