@@ -101,18 +101,35 @@ def tracked_matches(t: MatchTables, extra: tuple[str, ...] = ()) -> DataFrame:
             .withColumnRenamed("player_key", "my_id").withColumnRenamed("player_name", "my_name"))
 
 
-def match_edges(t: MatchTables) -> DataFrame:
-    """Normalised edges (one per tracked player and other participant)."""
-    return edges_from(tracked_matches(t), identities(t))
+def match_edges(t: MatchTables, skew_safe: bool = False) -> DataFrame:
+    """Normalised edges (one per tracked player and other participant).
+
+    ``skew_safe`` chooses the plan for matches of unbounded size (see
+    ``edges_from``).
+    """
+    return edges_from(tracked_matches(t), identities(t), skew_safe)
 
 
-def edges_from(tracked: DataFrame, ident: DataFrame) -> DataFrame:
+def edges_from(tracked: DataFrame, ident: DataFrame, skew_safe: bool = False) -> DataFrame:
     """Edges from enriched inputs: ``tracked_matches`` rows and ``identities``.
 
-    Both are keyed by match_id; when they are stored bucketed by match_id
-    (``sources.model_store``) the join and the window need no shuffle.
+    Default plan: one join on match_id and a window per (match, tracked
+    player) on that same partitioning: identities cross the network once (not
+    at all when stored bucketed by match_id, ``sources.model_store``).  A
+    match's rows then meet in one task, which the game format keeps small.
+
+    ``skew_safe=True`` never gathers a match in one task, for data where one
+    match may hold a large share of all participants.  The tracked
+    participant is found by joining on (match_id, name), which spreads a hot
+    match over its many names, and a partially aggregated ``max_by``; it is
+    attached to the (few) tracked rows, and identities are joined on match_id
+    with nothing keyed by match after that join, so AQE may split a hot match
+    across tasks.  This costs a second shuffle of the identities.
     """
-    cand = tracked.select("match_id", "my_id", "my_name", "win_team").join(ident, "match_id")
+    tracked = tracked.select("match_id", "my_id", "my_name", "win_team")
+    if skew_safe:
+        return _edges_skew_safe(tracked, ident)
+    cand = tracked.join(ident, "match_id")
     w = Window.partitionBy("match_id", "my_id")
     me_order = F.when(F.col("his_name") == F.col("my_name"), F.col("participant_id"))
     me = F.max_by(F.struct(F.col("his_champion").alias("c"), F.col("team_id").alias("t")), me_order).over(w)
@@ -127,6 +144,23 @@ def edges_from(tracked: DataFrame, ident: DataFrame) -> DataFrame:
                      .alias("competition")))
 
 
+def _edges_skew_safe(tracked: DataFrame, ident: DataFrame) -> DataFrame:
+    named = ident.select("match_id", F.col("his_name").alias("my_name"), "participant_id",
+                         F.col("his_champion").alias("c"), F.col("team_id").alias("t"))
+    me = (tracked.select("match_id", "my_id", "my_name").join(named, ["match_id", "my_name"])
+          .groupBy("match_id", "my_id")
+          .agg(F.max_by(F.struct("c", "t"), F.col("participant_id")).alias("me")))
+    tracked_me = (tracked.join(me, ["match_id", "my_id"], "left")
+                  .select("match_id", "my_id", "my_name", "win_team",
+                          F.coalesce(F.col("me.c"), F.lit(NO_CHAMPION)).alias("my_champion"),
+                          F.col("me.t").alias("my_team")))
+    cand = tracked_me.join(ident, "match_id").filter(F.col("his_name") != F.col("my_name"))
+    return cand.select(
+        "match_id", "participant_id", "my_id", "my_name", "his_id", "his_name", "my_champion", "his_champion",
+        F.when(F.col("team_id") == F.col("win_team"), "Win").otherwise("Fail").alias("outcome"),
+        F.when(F.col("team_id") == F.col("my_team"), "Together").otherwise("Against").alias("competition"))
+
+
 # ---------------------------------------------------------------------------
 # Nested match events (the published message) and their parsing
 # ---------------------------------------------------------------------------

@@ -117,6 +117,7 @@ FINAL: dict[str, str] = {
     "normalize_match_event": "SELECT * FROM match_event",
     "normalize_bans": "SELECT * FROM match_ban",
     "normalize_edges": "SELECT * FROM match_edge",
+    "normalize_edges_skew_safe": "SELECT * FROM match_edge",
     "nested_event_roundtrip": """SELECT match_id, my_id, my_name, his_id, his_name, my_champion, his_champion,
        outcome, competition FROM match_edge""",
     "raw_document_edges": "SELECT * FROM match_edge",

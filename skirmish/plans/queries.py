@@ -72,6 +72,11 @@ def normalize_edges(spark, d):
     return _edges(spark, d)
 
 
+def normalize_edges_skew_safe(spark, d):
+    """The same edges with the plan that never gathers one match in one task."""
+    return normalize.match_edges(_t(spark, d), skew_safe=True)
+
+
 def nested_event_roundtrip(spark, d):
     """Nest edges into events, serialise to the topic format, parse, flatten."""
     recs = normalize.to_records(normalize.event_documents(_t(spark, d)))
@@ -302,6 +307,7 @@ REGISTRY: dict[str, Query] = {
     "normalize_match_event": normalize_match_event,
     "normalize_bans": normalize_bans,
     "normalize_edges": normalize_edges,
+    "normalize_edges_skew_safe": normalize_edges_skew_safe,
     "nested_event_roundtrip": nested_event_roundtrip,
     "raw_document_edges": raw_document_edges,
     "json_root_variants": json_root_variants,

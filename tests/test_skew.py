@@ -47,3 +47,25 @@ def test_degrees_of_a_hub_vertex(spark):
                               F.lit("Against").alias("side"))
     d = {r.id: (r.in_degree, r.out_degree) for r in graph.degrees(e).filter("id <= 3").collect()}
     assert d[1] == (0, n) and d[2] == (1, 0) and d[3] == (1, 0)
+
+
+def test_skew_safe_edges_equal_default(spark, small_tables):
+    from skirmish.operators import normalize
+    from tests.util import rows
+    assert rows(normalize.match_edges(small_tables, skew_safe=True)) == rows(normalize.match_edges(small_tables))
+
+
+def test_skew_safe_edges_on_a_hot_match(spark):
+    import datetime as dt
+    from skirmish.operators import normalize
+    from tests.util import match_model, rows
+    t0 = dt.datetime(2024, 1, 1)
+    # match 1 holds most participants; the tracked player (1) appears twice, the last one wins
+    parts = [(1, i, 100 + i, i % 7 + 1, 100 if i % 2 else 200) for i in range(1, 3000)]
+    parts += [(1, 0, 1, 1, 100), (1, 3000, 1, 5, 200), (2, 0, 2, 2, 100), (2, 1, 3, 3, 200)]
+    players = [(k, f"P{k}", k < 10) for k in range(1, 3200)]
+    t = match_model(spark, [(1, t0, 10, 100, "Win", 200, "Fail", 1), (2, t0, 10, 100, "Fail", 200, "Win", 2)],
+                    parts, players=players)
+    fast, safe = normalize.match_edges(t), normalize.match_edges(t, skew_safe=True)
+    assert rows(safe) == rows(fast)
+    assert {r.my_champion for r in safe.filter("match_id = 1").collect()} == {"Champ5"}
