@@ -11,6 +11,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import functions as F
 
 CHUNK_BYTES = 1 << 18
 CHUNK_ROWS = 4096
@@ -25,6 +26,11 @@ BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
 
 
+def task_udf(fn, ddl: str):
+    """Arrow UDF of ``fn``; marked non-deterministic so that no filter makes Spark evaluate it twice."""
+    return F.arrow_udf(fn, ddl).asNondeterministic()
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Finaliser of a 64-bit hash (bijective)."""
     x = x ^ (x >> np.uint64(33))

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .arrays import LOWER_ASCII, Powers, mix, segment_sums, span_hashes, text_chunks, window_hashes, word_spans
+from .arrays import LOWER_ASCII, Powers, mix, segment_sums, span_hashes, task_udf, text_chunks, window_hashes, word_spans
 
 WIDTH = 5
 ROWS = 6
@@ -117,13 +117,7 @@ def _signatures(text: pa.Array) -> pa.Array:
          pa.ListArray.from_arrays(pa.array(at), pa.array(flat))], ["n", "h1", "h2", "bands"])
 
 
-@F.arrow_udf(SIGNATURE)
-def _signature_udf(text: pa.Array) -> pa.Array:
-    return _signatures(text)
-
-
-@F.arrow_udf("array<bigint>")
-def _set_udf(text: pa.Array) -> pa.Array:
+def _full_sets(text: pa.Array) -> pa.Array:
     power, values, sizes = Powers(), [np.empty(0, np.int64)], [np.zeros(1, np.int64)]
     for _, _, data, starts in text_chunks(text):
         _, value, size = shingle_sets(LOWER_ASCII[data], starts, power)
@@ -224,7 +218,7 @@ def connected(links: DataFrame) -> DataFrame:
 def components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs`` (columns doc_id and text)."""
     docs = docs.select("doc_id", "text")
-    signed = materialize(docs.select("doc_id", _signature_udf.asNondeterministic()("text").alias("s"))
+    signed = materialize(docs.select("doc_id", task_udf(_signatures, SIGNATURE)("text").alias("s"))
                          .select("doc_id", "s.*"), "signatures")
     klass = ["h1", "h2", "n"]
     classes = materialize(signed.filter("n > 0 and doc_id is not null").groupBy(*klass)
@@ -236,7 +230,7 @@ def components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     shared = materialize(rows.join(centre.select("key", F.col("c.rep").alias("centre"), F.col("c.n").alias("centre_n")), "key"), "buckets")
     # the full sets of documents that share a bucket, hashed anew from their texts
     sets = materialize(docs.join(shared.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
-                       .select("doc_id", _set_udf.asNondeterministic()("text").alias("s")), "shingle-sets")
+                       .select("doc_id", task_udf(_full_sets, "array<bigint>")("text").alias("s")), "shingle-sets")
     stars = shared.filter((F.col("rep") != F.col("centre")) & compatible("n", "centre_n", percent))
     links = confirmed(stars.select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct(), sets, percent)
     links = materialize(links, "star-links")

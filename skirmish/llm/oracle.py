@@ -9,7 +9,7 @@ LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxy
 
 
 def words_sql(text: str) -> str:
-    return f"list_filter(string_split_regex({text}, '{SPACE}'), w -> w <> '')"
+    return f"list_filter(string_split_regex({text}, '{SPACE}'), lambda w: w <> '')"
 
 
 def near_dedup_sql() -> str:
@@ -19,7 +19,7 @@ WITH RECURSIVE words AS (
 shingles AS (
   SELECT DISTINCT doc_id, s FROM (
     SELECT doc_id, unnest(CASE WHEN len(w) >= 5 THEN
-             list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' '))
+             list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
            WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM words)),
 sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
 shared AS (
@@ -60,17 +60,17 @@ def quality_sql() -> str:
     return f"""
 WITH texts AS (SELECT doc_id, lang, source, coalesce(text, '') AS text FROM documents),
 split AS (SELECT doc_id, lang, source, text, {words_sql('text')} AS w,
-                 list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS ls FROM texts),
+                 list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS ls FROM texts),
 windows AS (
-  SELECT doc_id, at, array_to_string(w[at:at + 4], ' ') AS g
-  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS at FROM split WHERE len(w) >= 5)),
-twice AS (SELECT doc_id, at FROM (SELECT doc_id, at, count(*) OVER (PARTITION BY doc_id, g) AS c FROM windows) WHERE c > 1),
-covered AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(at, at + 5)) AS p FROM twice) GROUP BY doc_id),
+  SELECT doc_id, pos, array_to_string(w[pos:pos + 4], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS pos FROM split WHERE len(w) >= 5)),
+twice AS (SELECT doc_id, pos FROM (SELECT doc_id, pos, count(*) OVER (PARTITION BY doc_id, g) AS c FROM windows) WHERE c > 1),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(pos, pos + 5)) AS p FROM twice) GROUP BY doc_id),
 features AS (
-  SELECT s.doc_id, lang, source, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, x -> length(x))), 0)::BIGINT AS word_chars,
+  SELECT s.doc_id, lang, source, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
          ({count('[#*$%&|<>]')})::BIGINT AS n_symbols, (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
          coalesce(c.n, 0)::BIGINT AS n_repeat_words, {count('[A-Z]')} AS n_upper, {count('[A-Za-z]')} AS n_letters,
-         {count('[!?]')} AS n_marks, len(list_filter(w, x -> strlen(x) = 1)) AS n_single
+         {count('[!?]')} AS n_marks, len(list_filter(w, lambda x: strlen(x) = 1)) AS n_single
   FROM split s LEFT JOIN covered c USING (doc_id)),
 rated AS (SELECT *, {base} AS base_failed, {', '.join(f'{e} AS {n}' for n, e in rate.items())} FROM features),
 pairs AS (SELECT lang, source, unnest([{', '.join(f"struct_pack(feature := '{n}', v := ({n})::BIGINT)" for n in rate)}], recursive := true) FROM rated WHERE NOT base_failed),

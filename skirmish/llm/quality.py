@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .arrays import (Powers, segment_sums, span_hashes, text_chunks, window_hashes, word_spans, mix)
+from .arrays import (Powers, segment_sums, span_hashes, task_udf, text_chunks, window_hashes, word_spans, mix)
 
 FEATURES = "struct<n_words:bigint,word_chars:bigint,n_symbols:bigint,n_dup_lines:bigint," \
            "n_repeat_words:bigint,n_upper:bigint,n_letters:bigint,n_marks:bigint,n_single:bigint>"
@@ -101,14 +101,13 @@ def text_features(column) -> pa.StructArray:
     return pa.StructArray.from_arrays([pa.array(np.concatenate(parts[n])) for n in names], names)
 
 
-@F.arrow_udf(FEATURES)
 def _features(text: pa.Array) -> pa.Array:
     return text_features(text)
 
 
 def annotate(docs: DataFrame, text: str = "text", out: str = "__quality") -> DataFrame:
     """Add the struct of text features; not re-evaluated by later filters."""
-    return docs.withColumn(out, _features.asNondeterministic()(F.col(text)))
+    return docs.withColumn(out, task_udf(_features, FEATURES)(F.col(text)))
 
 
 def rates(q: str) -> dict[str, Column]:
