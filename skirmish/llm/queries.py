@@ -5,18 +5,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import materialize
-from . import near_dedup, quality
+from ..session import materialize, scratch_path
+from . import bpe, near_dedup, packing, quality, token_files
 
 
 def _documents(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(f"{d}/documents.parquet")
 
 
+def vocabulary() -> str:
+    """The public byte-level BPE file with 50k entries."""
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def op3_near_dedup(spark: SparkSession, d: str) -> DataFrame:
     return near_dedup.components(_documents(spark, d))
 
 
+def op4_token_files(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    token_files.write(_documents(spark, d), path, vocabulary())
+    back = token_files.read(spark, path)
+    return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op7_quality_rules(spark: SparkSession, d: str) -> DataFrame:
     docs = quality.annotate(_documents(spark, d)).select("doc_id", "lang", "source", "__quality")
     docs = materialize(docs, "quality-features")
@@ -25,4 +38,14 @@ def op7_quality_rules(spark: SparkSession, d: str) -> DataFrame:
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")], "base_failed", "kept")
 
 
-REGISTRY = {q.__name__: q for q in (op3_near_dedup, op7_quality_rules)}
+def op9_best_fit_packing(spark: SparkSession, d: str) -> DataFrame:
+    return packing.packed(_documents(spark, d), vocabulary())
+
+
+def op10_bpe_trie(spark: SparkSession, d: str) -> DataFrame:
+    docs = _documents(spark, d).select("doc_id", bpe.round_trip(F.col("text"), vocabulary()).alias("__bpe"))
+    return docs.select("doc_id", "__bpe.*")
+
+
+REGISTRY = {q.__name__: q for q in (
+    op3_near_dedup, op4_token_files, op7_quality_rules, op9_best_fit_packing, op10_bpe_trie)}
