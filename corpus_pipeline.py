@@ -1,10 +1,20 @@
-"""Training-corpus pipeline over ``documents``: quality rules and MinHash near-dedup (stages follow)."""
+"""Training-corpus pipeline over ``documents``.
+
+Quality rules drop what they reject, toxicity drops what it predicts toxic, near-dedup keeps one document
+of each group, the secret scan replaces every secret it finds, and best-fit packing lays the
+rest out in token sequences.  Each stage works on all that its predecessor kept, as written Parquet.
+
+Nulls: a null text fails the quality base rule; a null doc_id passes unchanged through near-dedup.  An
+empty table gives an empty result.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from skirmish.llm import near_dedup, quality
+from skirmish.llm import near_dedup, packing, quality, secret_scan, toxicity
+from skirmish.llm.queries import vocabulary
 from skirmish.session import materialize
 
 
@@ -16,17 +26,42 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return judged.filter("__kept").select(*docs.columns)
 
 
+def non_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored below 0.5 by the model learnt from the labels outside the held-out fold."""
+    weights, bias = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    scored = docs.withColumn("__score", toxicity.score(F.col("text"), weights, bias))
+    return scored.filter(F.col("__score") < 0.5).select(*docs.columns)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
     return near_dedup.keep_one(docs)
 
 
-STAGES = [("quality_rules", quality_rules), ("near_duplicates", near_duplicates)]
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, every secret replaced by a mark; n_chars follows the new text."""
+    field = secret_scan.train(docs)
+    found = docs.withColumn("__spans", secret_scan.scan(F.col("text"), field))
+    clean = found.withColumn("__clean", secret_scan.redact(F.col("text"), F.col("__spans")))
+    touched = F.size("__spans") > 0
+    new = {"text": F.col("__clean"), "n_chars": F.when(touched, F.length("__clean").cast("bigint")).otherwise(F.col("n_chars"))}
+    return clean.select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns])
+
+
+def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents with their places in sequences of 1024 tokens."""
+    return packing.packed(docs, vocabulary())
+
+
+STAGES = [("quality_rules", quality_rules), ("toxicity", non_toxic), ("near_dedup", near_duplicates),
+          ("secret_scan", without_secrets), ("packing", packed_sequences)]
 
+#: Toxicity, secret scan and packing are not expressible in SQL; tests/llm holds every stage against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each written as Parquet and reread as the next one's input."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")

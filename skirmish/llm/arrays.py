@@ -87,12 +87,12 @@ def text_chunks(column, chunk_bytes: int = CHUNK_BYTES, chunk_rows: int = CHUNK_
         i = j
 
 
-def word_spans(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(data: np.ndarray, starts: np.ndarray, white: np.ndarray = WHITE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(begin, end, first word of each document + total) of the words; no word crosses documents."""
     if len(data) == 0:
         none = np.empty(0, np.int64)
         return none, none, np.zeros(len(starts), np.int64)
-    word = ~WHITE[data]
+    word = ~white[data]
     begin, end = word.copy(), word.copy()
     begin[1:] &= ~word[:-1]
     end[:-1] &= ~word[1:]

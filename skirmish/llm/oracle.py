@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import quality
+from . import quality, sharding, url_filter
 
 SPACE = r"[\x20\x09-\x0D]+"
 LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -89,5 +89,40 @@ FROM rated r LEFT JOIN wide f ON r.lang IS NOT DISTINCT FROM f.lang AND r.source
 """
 
 
+def sharding_sql() -> str:
+    n, tol = sharding.SHARDS, sharding.TOLERANCE
+    return f"""
+WITH keyed AS (
+  SELECT doc_id, text, strlen(coalesce(text, '')) + 1 AS size, ('0x' || substr(md5(coalesce(text, '')), 1, 15))::BIGINT AS key FROM documents),
+placed AS (
+  SELECT *, sum(size) OVER () AS total, sum(size) OVER (PARTITION BY key) AS grp,
+         sum(size) OVER (ORDER BY key) - sum(size) OVER (PARTITION BY key) AS grp_start,
+         sum(size) OVER (ORDER BY key, doc_id NULLS FIRST) - sum(size) OVER (PARTITION BY key, doc_id) AS doc_start FROM keyed)
+SELECT doc_id, size::BIGINT AS size, ({n} * (CASE WHEN grp * {n} * {tol} <= total THEN grp_start ELSE doc_start END) // total)::INTEGER AS shard,
+       'bytes' AS law, NULL::INTEGER AS grown_shard
+FROM placed
+"""
+
+
+def url_sql() -> str:
+    lower = LOWER.format("url")
+    edge = "[^a-z0-9]"
+    hit = lambda t: f"regexp_matches({lower}, '(^|{edge}){t}({edge}|$)')"
+    add = lambda terms: " + ".join(f"CASE WHEN {hit(t)} THEN {w} ELSE 0 END" for t, w in terms.items())
+    rules = sorted(url_filter.RULES, key=lambda r: -len(r[1] + r[2]))
+    fits = lambda h, p: f"((host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}'))"
+    when = lambda what: " ".join(f"WHEN {fits(h, p)} THEN '{what(k, h, p)}'" for k, h, p in rules)
+    return f"""
+WITH cut AS (SELECT page_id, coalesce(url, '') AS url, CASE WHEN url LIKE '%://%' THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+hosts AS (SELECT *, regexp_extract(rest, '^[^/?#]*') AS raw FROM cut),
+parts AS (SELECT page_id, url, {LOWER.format("raw")} AS host, regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path FROM hosts),
+rated AS (SELECT *, ({add({t: 1 for t in url_filter.STRICT})})::BIGINT AS n_strict, ({add(url_filter.SOFT)})::BIGINT AS soft_weight FROM parts)
+SELECT page_id, host, path, CASE {when(lambda k, h, p: h + p)} END AS rule,
+       CASE {when(lambda k, h, p: k)} WHEN n_strict > 0 OR soft_weight >= {url_filter.LIMIT} THEN 'block' ELSE 'allow' END AS verdict,
+       n_strict, soft_weight
+FROM rated
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_near_dedup": near_dedup_sql(), "op7_quality_rules": quality_sql()}
+    return {"op3_near_dedup": near_dedup_sql(), "op6_url_filter": url_sql(), "op7_quality_rules": quality_sql()}

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize, scratch_path
-from . import bpe, near_dedup, packing, quality, token_files
+from . import bpe, fingerprints, near_dedup, packing, quality, secret_scan, sharding, token_files, toxicity, url_filter
 
 
 def _documents(spark: SparkSession, d: str) -> DataFrame:
@@ -19,6 +19,18 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_fingerprints(spark: SparkSession, d: str) -> DataFrame:
+    return fingerprints.compared(_documents(spark, d))
+
+
+def op2_sharding(spark: SparkSession, d: str) -> DataFrame:
+    shards = sharding.write(_documents(spark, d).select("doc_id", "text"), scratch_path(spark, "shards"))
+    return shards.select(
+        "doc_id", sharding.size_of().alias("size"), F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
+        F.lit("bytes").alias("law"), F.col("__shard").alias("shard"), F.col("__slot").alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op3_near_dedup(spark: SparkSession, d: str) -> DataFrame:
     return near_dedup.components(_documents(spark, d))
 
@@ -30,6 +42,19 @@ def op4_token_files(spark: SparkSession, d: str) -> DataFrame:
     return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op5_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    docs = _documents(spark, d)
+    weights, bias = toxicity.train(docs, spark.read.parquet(f"{d}/labels.parquet"))
+    return docs.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"),
+                       toxicity.score(F.col("text"), weights, bias).alias("score")).withColumn(
+        "predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def op6_url_filter(spark: SparkSession, d: str) -> DataFrame:
+    pages = spark.read.parquet(f"{d}/pages.parquet").select("page_id", "url")
+    return url_filter.judged(pages).select("page_id", "host", "path", "rule", "verdict", "n_strict", "soft_weight")
+
+
 def op7_quality_rules(spark: SparkSession, d: str) -> DataFrame:
     docs = quality.annotate(_documents(spark, d)).select("doc_id", "lang", "source", "__quality")
     docs = materialize(docs, "quality-features")
@@ -38,6 +63,12 @@ def op7_quality_rules(spark: SparkSession, d: str) -> DataFrame:
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")], "base_failed", "kept")
 
 
+def op8_secret_scan(spark: SparkSession, d: str) -> DataFrame:
+    docs = _documents(spark, d).select("doc_id", "text")
+    found = docs.select("doc_id", secret_scan.scan(F.col("text"), secret_scan.train(docs)).alias("__spans"))
+    return found.select("doc_id", *secret_scan.digest(F.col("__spans")))
+
+
 def op9_best_fit_packing(spark: SparkSession, d: str) -> DataFrame:
     return packing.packed(_documents(spark, d), vocabulary())
 
@@ -48,4 +79,5 @@ def op10_bpe_trie(spark: SparkSession, d: str) -> DataFrame:
 
 
 REGISTRY = {q.__name__: q for q in (
-    op3_near_dedup, op4_token_files, op7_quality_rules, op9_best_fit_packing, op10_bpe_trie)}
+    op1_fingerprints, op2_sharding, op3_near_dedup, op4_token_files, op5_toxicity, op6_url_filter,
+    op7_quality_rules, op8_secret_scan, op9_best_fit_packing, op10_bpe_trie)}
