@@ -13,6 +13,7 @@ returned read plan only.
 
 from __future__ import annotations
 
+import collections
 import os
 import re
 import sys
@@ -61,12 +62,55 @@ def _exchange_subtrees(plan: str, pattern: str) -> set[str]:
     return out
 
 
+def _depth(line: str) -> int:
+    return len(line) - len(line.lstrip(" :|+-"))
+
+
+def without_initial_plans(plan: str) -> str:
+    """The plan text without the "Initial Plan" of any adaptive plan in it, subqueries included."""
+    out, skip = [], None
+    for line in plan.splitlines():
+        if skip is not None and _depth(line) >= skip:
+            continue
+        skip = _depth(line) if "== Initial Plan ==" in line else None
+        if skip is None:
+            out.append(line)
+    return "\n".join(out)
+
+
+def final_plan(df) -> str:
+    df.collect()  # the frame's own execution, so its plan is the final adaptive one
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+class EagerWrites:
+    """Notes the plan of every frame that a query writes while it is built."""
+
+    def __init__(self):
+        self.plans: list[str] = []
+
+    def __enter__(self):
+        from pyspark.sql import DataFrameWriter
+        self.kept = {n: getattr(DataFrameWriter, n) for n in ("parquet", "json", "text", "csv")}
+        for n, write in self.kept.items():
+            def noted(writer, *args, _write=write, **options):
+                self.plans.append(final_plan(writer._df))
+                return _write(writer, *args, **options)
+            setattr(DataFrameWriter, n, noted)
+        return self
+
+    def __exit__(self, *error):
+        from pyspark.sql import DataFrameWriter
+        for n, write in self.kept.items():
+            setattr(DataFrameWriter, n, write)
+
+
 def census(plan: str) -> dict[str, int]:
     """Operator counts of a final adaptive plan.  Exchanges are counted once
     per distinct subtree (a subquery used in several places, or pushed into a
     scan, is printed at each place but runs once); reused exchanges are
     counted apart."""
-    plan = plan.split("== Initial Plan ==")[0]
+    plan = without_initial_plans(plan)
     reused = len(re.findall(r"ReusedExchange", plan))
     plan = "\n".join(line for line in plan.splitlines() if "ReusedExchange" not in line)
     out = {}
@@ -84,7 +128,8 @@ def main() -> None:
     spark = build_session("local[8]", shuffle_partitions=8)
     out = ["# PLANS", "", f"Physical-plan census of the registered queries at `{sf_dir}` "
            "(generated by `scripts/plan_report.py`).", "",
-           "Columns count operators in the final adaptive plan: hash shuffles, broadcasts (both per distinct",
+           "Columns count operators in the final adaptive plans of the result and of everything the query writes",
+           "on the way (intermediates, files, micro-batches): hash shuffles, broadcasts (both per distinct",
            "subtree, i.e. as executed after exchange reuse), join kinds, windows,",
            "top-k, hash / object-hash / sort aggregates, Parquet scans, Python evaluation, nested-loop or",
            "Cartesian joins, and exchanges reused from elsewhere in the plan.  `no-broadcast` switches size-based broadcasting off to show the plan shape at a",
@@ -96,9 +141,11 @@ def main() -> None:
         cols = [*PATTERNS, "reused"]
         out += [f"## {label}", "", "| query | " + " | ".join(cols) + " |", "|---|" + "---:|" * len(cols)]
         for name, fn in REGISTRY.items():
-            df = fn(spark, sf_dir)
-            df.collect()  # the frame's own execution, so its plan is the final adaptive one
-            c = census(df._jdf.queryExecution().executedPlan().toString())
+            with EagerWrites() as eager:
+                df = fn(spark, sf_dir)
+            c = collections.Counter()
+            for plan in [*eager.plans, final_plan(df)]:
+                c.update(census(plan))
             out.append(f"| `{name}` | " + " | ".join(str(c[k]) for k in cols) + " |")
         out.append("")
         for k in conf:

@@ -34,7 +34,7 @@ def cmd_stream(args) -> None:
     trigger = {"availableNow": True} if args.available_now else {"processingTime": args.trigger}
     queries = jobs.start_match_jobs(records, args.root, trigger=trigger, watermark=args.watermark,
                                     fmt=args.format, reset=args.reset, time_basis=args.time_basis,
-                                    dedupe_matches=args.dedupe)
+                                    dedupe_matches=args.dedupe, id_mode=args.id_mode)
     if args.available_now:
         for q in queries.values():
             jobs.run_available(q, timeout_s=args.timeout)
@@ -81,13 +81,16 @@ def main(argv=None) -> None:
     s.add_argument("--trigger", default="5 minutes")
     s.add_argument("--available-now", action="store_true", help="process what is there, then stop")
     s.add_argument("--max-files", type=int, default=None)
-    s.add_argument("--watermark", default="1 hour")
+    s.add_argument("--watermark", default=None,
+                   help="drop events later than this behind the newest (default: none is ever late)")
     s.add_argument("--format", default="parquet", choices=["parquet", "csv"])
     s.add_argument("--reset", action="store_true", help="empty the tables first")
     s.add_argument("--time-basis", default="event", choices=["event", "arrival"],
                    help="window statistics by match time or by arrival (processing) time")
     s.add_argument("--dedupe", action="store_true", help="count a match reported twice once")
-    s.add_argument("--timeout", type=int, default=3600)
+    s.add_argument("--id-mode", default="xxhash64", choices=["xxhash64", "murmur3", "key"],
+                   help="player ids: hash of the name, or the event's own numeric keys")
+    s.add_argument("--timeout", type=int, default=None, help="seconds to wait with --available-now (default: no limit)")
     s.set_defaults(fn=cmd_stream)
 
     g = sub.add_parser("graph", help="tracked players vs the most banned champions")

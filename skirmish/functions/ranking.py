@@ -4,16 +4,15 @@ A plain ``row_number() OVER (PARTITION BY k ORDER BY o)`` sends every row of
 a key to one task; with one key holding a third of the data that task is the
 job.  Here the order space is cut into blocks: the window only ever spans one
 (key, block), and a block's starting offset is a prefix sum over per-block
-counts, a table with one row per (key, block) that is tiny next to the data.
+counts:
 
-    local  = row_number() over (key, block order by o)      -- bounded groups
-    n      = max(local) group by key, block                 -- same partitioning
+    n      = count(*) group by key, block               -- combined map-side, one row per block
     offset = sum(n) over (key order by block rows unbounded preceding .. -1)
-    result = local + offset                                 -- join on (key, block)
+    result = row_number() over (key, block order by o) + offset
 
-The data itself crosses the network once (hash partitioning on key + block):
-the offset table is derived from the numbered frame, which both sides of the
-join share, so the input is evaluated once.
+Choose blocks so that the offsets are few next to the rows.  The rows cross the
+network once; the counts read the input a second time, so hand in a table (or a
+materialised frame), not an expensive plan.  Keys may be null.
 """
 
 from __future__ import annotations
@@ -34,19 +33,27 @@ def blocked_row_number(df: DataFrame, keys: Sequence[str], order: Sequence[str |
     """
     keys = list(keys)
     b = "__block"
-    # One numbered frame feeds both sides of the final join, so Spark runs it (and the input
-    # below it) once and reuses its exchange.  The block is made non-nullable: otherwise the
-    # join would push an extra not-null filter into one side only and the sides would differ.
-    local = (df.withColumn(b, F.coalesce(block, F.lit(0)).cast("bigint"))
-             .withColumn("__local", F.row_number().over(Window.partitionBy(*keys, b).orderBy(*order))))
-    # rows per (key, block) = the largest row number; grouped on the window's own partitioning
-    per_block = local.groupBy(*keys, b).agg(F.max("__local").cast("bigint").alias("__n"))
+    rows = df.withColumn(b, F.coalesce(block, F.lit(0)).cast("bigint"))
+    per_block = rows.groupBy(*keys, b).agg(F.count("*").alias("__n"))
     prior = Window.partitionBy(*keys).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_block.withColumn("__off", F.coalesce(F.sum("__n").over(prior), F.lit(0)))
-    cols = [*keys, b, "__off"]
-    if total:
-        offsets = offsets.withColumn(total, F.sum("__n").over(Window.partitionBy(*keys)))
-        cols.append(total)
-    joined = local.join(offsets.select(*cols), [*keys, b])
-    return joined.withColumn(out, (F.col("__local") + F.col("__off")).cast("bigint")).drop(
-        b, "__local", "__off")
+    named = [F.col(k).alias(f"__k{i}") for i, k in enumerate([*keys, b])]
+    extra = [F.sum("__n").over(Window.partitionBy(*keys)).alias(total)] if total else []
+    offsets = per_block.select(*named, F.coalesce(F.sum("__n").over(prior), F.lit(0)).alias("__off"), *extra)
+    local = rows.withColumn("__local", F.row_number().over(Window.partitionBy(*keys, b).orderBy(*order)))
+    same = F.lit(True)
+    for i, k in enumerate([*keys, b]):
+        same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))
+    joined = local.join(offsets, same)
+    return joined.withColumn(out, (F.col("__local") + F.col("__off")).cast("bigint")).select(
+        *df.columns, out, *([total] if total else []))
+
+
+def order_blocks(df: DataFrame, column: str, blocks: int) -> Column:
+    """Block number of ``column`` when its range in ``df`` is cut into ``blocks`` equal parts.
+
+    One small aggregation (minimum and maximum) finds the range.
+    """
+    low, high = df.agg(F.min(column), F.max(column)).first()
+    if low is None or low == high:
+        return F.lit(0)
+    return F.floor((F.col(column) - F.lit(low)) * F.lit(blocks) / F.lit(high - low + 1))

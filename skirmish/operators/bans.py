@@ -12,13 +12,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.ranking import blocked_row_number
+from ..functions.ranking import blocked_row_number, order_blocks
 
 # Champion key excluded from rankings, default ranking sizes.
 EXCLUDED_CHAMPIONS = ("-1",)
 TOP_BANNED = 3
 TOP_CHART = 15
-RUNNING_BLOCK = 1 << 20  # match ids per block of the running-count prefix sum
+RUNNING_BLOCKS = 16  # parts of the match-id range, for the prefix sum of the running count
 
 
 def ban_counts(match_bans: DataFrame) -> DataFrame:
@@ -42,13 +42,15 @@ def ban_counts_by_key(raw_bans: DataFrame, champions: DataFrame) -> DataFrame:
     return named.groupBy("champion").agg(F.sum("n").cast("bigint").alias("ban_count"))
 
 
-def running_ban_count(match_bans: DataFrame, block_size: int = RUNNING_BLOCK) -> DataFrame:
+def running_ban_count(match_bans: DataFrame, blocks: int = RUNNING_BLOCKS) -> DataFrame:
     """(match_id, pos, champion, running): the champion's count up to this ban.
 
-    Bans are ordered by (match_id, pos) within a champion.
+    Bans are ordered by (match_id, pos) within a champion.  The range of match
+    ids in ``match_bans`` is cut into ``blocks`` parts, so a hot champion is
+    spread over that many tasks, in a micro-batch as in a whole table.
     """
     return blocked_row_number(match_bans, ["champion"], ["match_id", "pos"],
-                              F.floor(F.col("match_id") / block_size), out="running").select(
+                              order_blocks(match_bans, "match_id", blocks), out="running").select(
         "match_id", "pos", "champion", "running")
 
 

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import edge_attr_map, map_get
 from ..functions.hashing import name_id
+from ..session import materialize
 
 MISSING = "Missing"
 NO_CHAMP = "No Champ"
@@ -223,8 +224,7 @@ def edge_attributes(edges: DataFrame) -> DataFrame:
     return e.select("src_id", "dst_id",
                     map_get("attr", "myChampion", NO_CHAMP).alias("my_champion"),
                     map_get("attr", "hisChampion", "").alias("his_champion"),
-                    map_get("attr", "Side", "None").alias("side"),
-                    map_get("attr", "played", "No Info").alias("played"))
+                    map_get("attr", "Side", "None").alias("side"))
 
 
 def export_nodes(g: PropertyGraph) -> DataFrame:
@@ -253,7 +253,8 @@ def graph_job(spark, edges_path: str, vertices_path: str, ban_count: DataFrame,
 
     g = build_graph(read_vertices(spark, vertices_path, fmt), read_edges(spark, edges_path, fmt))
     sub = banned_subgraph(g, top_banned(ban_count, k))
-    if export_path:
+    if export_path:  # nodes, relationships and the result share one evaluation of the graph
+        sub = PropertyGraph(vertices=materialize(sub.vertices, "graph-vertices"), edges=materialize(sub.edges, "graph-edges"))
         export_nodes(sub).write.mode("overwrite").parquet(f"{export_path}/nodes")
         export_relationships(sub).write.mode("overwrite").parquet(f"{export_path}/rels")
     return tracked_with_edges(sub)

@@ -12,7 +12,7 @@ so totals are inflated while ratios stay weighted.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bans import TOP_CHART, top_banned
@@ -22,8 +22,10 @@ LENGTH_REFERENCE_MIN = 25
 
 
 def top_bans_chart(ban_count: DataFrame, k: int = TOP_CHART) -> DataFrame:
-    """Top-k bans, returned in the chart's ascending order."""
-    return top_banned(ban_count, k).orderBy(F.asc("ban_count"), F.desc("champion"))
+    """Top-k bans in the chart's ascending order; ``chart_pos`` numbers the bars from 1."""
+    order = [F.asc("ban_count"), F.desc("champion")]
+    top = top_banned(ban_count, k)  # k rows
+    return top.withColumn("chart_pos", F.row_number().over(Window.orderBy(*order)).cast("bigint")).orderBy("chart_pos")
 
 
 def _totals(df: DataFrame, source: str) -> DataFrame:

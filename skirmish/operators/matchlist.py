@@ -4,9 +4,10 @@ Match-list polling is re-expressed as batch slicing: the poller asks, per
 player, for the ranked-queue games of [begin, begin + step) and advances begin
 by ``step`` each poll (8 640 000 ms, i.e. 2.4 h, in replay mode).  Over a
 table of games that is a per-player bucketing of the time axis plus the
-position of each game inside its slice (0 .. endIndex-1).  Positions come
-from the skew-safe blocked row number, so one very active player does not
-end up in a single task.
+position of each game inside its slice (0 .. endIndex-1).  Positions are
+counted per (player, slice): a slice is a few hours of one player, so even a
+player with a third of all games is spread over all slices, and one shuffle
+serves both the position and the slice size.
 
 The roster is the first n league entries (n = 20 in the reference, bounded by
 the API rate limit), each resolved to an account id by name.
@@ -14,16 +15,14 @@ the API rate limit), each resolved to an account id by name.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import epoch_micros_to_ntz, ntz_to_epoch_micros, url_escape_blanks
-from ..functions.ranking import blocked_row_number
 
 # Fixed values of the poller.
 POLL_STEP_MS = 8_640_000
 ROSTER_SIZE = 20
-SLICE_BLOCK_SECONDS = 60  # sub-blocks of a slice for the position prefix sum
 
 
 def match_list_slices(games: DataFrame, begin: Column, step_ms: int = POLL_STEP_MS,
@@ -45,9 +44,9 @@ def match_list_slices(games: DataFrame, begin: Column, step_ms: int = POLL_STEP_
     g = g.withColumn("t_us", ntz_to_epoch_micros("ts")).withColumn("b_us", ntz_to_epoch_micros("b0"))
     step_us = step_ms * 1000
     g = g.withColumn("poll", F.floor((F.col("t_us") - F.col("b_us")) / step_us)).filter(F.col("poll") >= 0)
-    ranked = blocked_row_number(
-        g, ["player", "poll"], ["ts", "game_id"],
-        F.floor(F.col("t_us") / (SLICE_BLOCK_SECONDS * 1_000_000)), out="rn", total="end_index")
+    own = Window.partitionBy("player", "poll")
+    ranked = g.select("*", F.row_number().over(own.orderBy("ts", "game_id")).cast("bigint").alias("rn"),
+                      F.count("*").over(own).alias("end_index"))
     start = F.col("b_us") + F.col("poll") * step_us
     return ranked.select(
         "player", F.col("poll").cast("bigint").alias("poll"),
@@ -62,8 +61,7 @@ def roster(entries: DataFrame, n: int = ROSTER_SIZE, order: list | None = None)
     The result has at most n rows (TakeOrderedAndProject).
     """
     order = order or [F.desc("rating"), F.asc("summoner_name")]
-    top = entries.orderBy(*order).limit(n)
-    return top.select("summoner_name", "rating")
+    return entries.orderBy(*order).limit(n)
 
 
 def resolve_accounts(names: DataFrame, accounts: DataFrame) -> DataFrame:
@@ -76,7 +74,8 @@ def resolve_accounts(names: DataFrame, accounts: DataFrame) -> DataFrame:
     acc = (accounts.join(wanted, "summoner_name", "left_semi")
            .groupBy("summoner_name").agg(F.max("account_id").alias("account_id")))
     return names.join(acc, "summoner_name").select(
-        "summoner_name", url_escape_blanks("summoner_name").alias("url_name"), "account_id", "rating")
+        "summoner_name", url_escape_blanks("summoner_name").alias("url_name"), "account_id",
+        *[c for c in names.columns if c != "summoner_name"])
 
 
 def poll_increment(games: DataFrame, cursor: DataFrame, begin: Column,
@@ -90,7 +89,8 @@ def poll_increment(games: DataFrame, cursor: DataFrame, begin: Column,
     """
     c = cursor.select(F.col(player).alias(player), F.col("last_ts"))
     mark = F.col("last_ts")
-    new = (games.join(c, player, "left")
+    marks = c.withColumnRenamed(player, "__player")
+    new = (games.join(marks, F.col(player).eqNullSafe(F.col("__player")), "left").drop("__player")
            .filter(F.when(mark.isNull(), F.col(ts) >= begin).otherwise(F.col(ts) > mark))
            .drop("last_ts"))
     advanced = (c.unionByName(new.groupBy(player).agg(F.max(ts).alias("last_ts")))

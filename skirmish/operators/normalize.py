@@ -12,18 +12,18 @@ Semantics follow the ingest program being re-implemented:
   name are skipped.  ``outcome`` describes the *other* participant (his team
   won -> "Win"), ``competition`` is "Together" for the same team.
 
-Plan shape: participants, matches and the match list are each shuffled once
-by match_id; the per-(match, tracked player) lookup of the tracked
-participant is a window over that partitioning (a match has a small, fixed
-number of participants), so no further exchange is needed.  Dimension joins
-(players, champions) are ordinary equi-joins; AQE broadcasts them at run time
-when their measured size is under the threshold and splits skewed keys
-otherwise.
+Plan shape: no step gathers a match in one task.  The tracked participant is
+found by a join on (match, name), which spreads even a huge match over its many
+names, and a partially aggregated ``max_by``; it is attached to the few tracked
+rows, and the participants then join on match_id with nothing keyed by match
+after it, so AQE may split a hot match.  Champion names are looked up last.
+Dimension joins are ordinary equi-joins; AQE broadcasts them at run time when
+their measured size is under the threshold.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.tables import BLUE_SIDE, RED_SIDE, MatchTables
@@ -67,18 +67,18 @@ def match_bans(t: MatchTables) -> DataFrame:
 
 
 def identities(t: MatchTables) -> DataFrame:
-    """Participants with their player identity and champion name.
+    """Participants with their player identity; unknown players keep their id and get the empty name.
 
-    Unknown players keep their id and get the empty name.
+    ``position`` is the place of the identity in the match's identity list (the
+    participant id for tables that have no such list).
     """
     if "player_name" in t.participants.columns:  # documents carry the name themselves
         p = t.participants
     else:
         p = t.participants.join(player_names(t), "player_key", "left")
-    p = p.withColumn("his_name", F.coalesce(F.col("player_name"), F.lit("")))
-    p = name_champions(p, t.champions, "champion_key", "his_champion")
-    return p.select("match_id", "participant_id", F.col("player_key").alias("his_id"),
-                    "his_name", "his_champion", "team_id")
+    position = F.col("position") if "position" in t.participants.columns else F.col("participant_id")
+    return p.select("match_id", "participant_id", position.alias("position"), F.col("player_key").alias("his_id"),
+                    F.coalesce(F.col("player_name"), F.lit("")).alias("his_name"), "champion_key", "team_id")
 
 
 def player_names(t: MatchTables) -> DataFrame:
@@ -101,110 +101,74 @@ def tracked_matches(t: MatchTables, extra: tuple[str, ...] = ()) -> DataFrame:
             .withColumnRenamed("player_key", "my_id").withColumnRenamed("player_name", "my_name"))
 
 
-def match_edges(t: MatchTables, skew_safe: bool = False) -> DataFrame:
-    """Normalised edges (one per tracked player and other participant).
-
-    ``skew_safe`` chooses the plan for matches of unbounded size (see
-    ``edges_from``).
-    """
-    return edges_from(tracked_matches(t), identities(t), skew_safe)
-
+def match_edges(t: MatchTables) -> DataFrame:
+    """Normalised edges (one per tracked player and other participant)."""
+    return _opponents(t, tracked_matches(t), "inner").filter(F.col("his_name") != F.col("my_name")).select(
+        "match_id", "participant_id", "my_id", "my_name", "his_id", "his_name", "my_champion", "his_champion",
+        "outcome", "competition")
 
-def edges_from(tracked: DataFrame, ident: DataFrame, skew_safe: bool = False) -> DataFrame:
-    """Edges from enriched inputs: ``tracked_matches`` rows and ``identities``.
 
-    Default plan: one join on match_id and a window per (match, tracked
-    player) on that same partitioning: identities cross the network once (not
-    at all when stored bucketed by match_id, ``sources.model_store``).  A
-    match's rows then meet in one task, which the game format keeps small.
+def _opponents(t: MatchTables, tracked: DataFrame, how: str) -> DataFrame:
+    """``tracked_matches`` rows joined with every participant of the match.
 
-    ``skew_safe=True`` never gathers a match in one task, for data where one
-    match may hold a large share of all participants.  The tracked
-    participant is found by joining on (match_id, name), which spreads a hot
-    match over its many names, and a partially aggregated ``max_by``; it is
-    attached to the (few) tracked rows, and identities are joined on match_id
-    with nothing keyed by match after that join, so AQE may split a hot match
-    across tasks.  This costs a second shuffle of the identities.
+    Adds the tracked participant's champion, the participant's champion, the
+    outcome and the competition.  The tracked participant is the last of that
+    name in the identity list.
     """
-    tracked = tracked.select("match_id", "my_id", "my_name", "win_team")
-    if skew_safe:
-        return _edges_skew_safe(tracked, ident)
-    cand = tracked.join(ident, "match_id")
-    w = Window.partitionBy("match_id", "my_id")
-    me_order = F.when(F.col("his_name") == F.col("my_name"), F.col("participant_id"))
-    me = F.max_by(F.struct(F.col("his_champion").alias("c"), F.col("team_id").alias("t")), me_order).over(w)
-    cand = (cand.withColumn("me", me)
-            .withColumn("my_champion", F.coalesce(F.col("me.c"), F.lit(NO_CHAMPION)))
-            .withColumn("my_team", F.col("me.t")))
-    return (cand.filter(F.col("his_name") != F.col("my_name"))
-            .select("match_id", "participant_id", "my_id", "my_name", "his_id", "his_name",
-                    "my_champion", "his_champion",
-                    F.when(F.col("team_id") == F.col("win_team"), "Win").otherwise("Fail").alias("outcome"),
-                    F.when(F.col("team_id") == F.col("my_team"), "Together").otherwise("Against")
-                     .alias("competition")))
-
-
-def _edges_skew_safe(tracked: DataFrame, ident: DataFrame) -> DataFrame:
-    named = ident.select("match_id", F.col("his_name").alias("my_name"), "participant_id",
-                         F.col("his_champion").alias("c"), F.col("team_id").alias("t"))
+    ident = identities(t)
+    named = ident.select("match_id", F.col("his_name").alias("my_name"), "position",
+                         F.col("champion_key").alias("c"), F.col("team_id").alias("t"))
     me = (tracked.select("match_id", "my_id", "my_name").join(named, ["match_id", "my_name"])
-          .groupBy("match_id", "my_id")
-          .agg(F.max_by(F.struct("c", "t"), F.col("participant_id")).alias("me")))
-    tracked_me = (tracked.join(me, ["match_id", "my_id"], "left")
-                  .select("match_id", "my_id", "my_name", "win_team",
-                          F.coalesce(F.col("me.c"), F.lit(NO_CHAMPION)).alias("my_champion"),
-                          F.col("me.t").alias("my_team")))
-    cand = tracked_me.join(ident, "match_id").filter(F.col("his_name") != F.col("my_name"))
-    return cand.select(
-        "match_id", "participant_id", "my_id", "my_name", "his_id", "his_name", "my_champion", "his_champion",
-        F.when(F.col("team_id") == F.col("win_team"), "Win").otherwise("Fail").alias("outcome"),
-        F.when(F.col("team_id") == F.col("my_team"), "Together").otherwise("Against").alias("competition"))
+          .groupBy("match_id", "my_id").agg(F.max_by(F.struct("c", "t"), F.col("position")).alias("me")))
+    tracked = tracked.join(me, ["match_id", "my_id"], "left").select(
+        *tracked.columns, F.col("me.c").alias("my_key"), F.col("me.t").alias("my_team"))
+    tracked = name_champions(tracked, t.champions, "my_key", "my_champion")  # few rows: one per tracked player
+    rows = name_champions(tracked.join(ident, "match_id", how), t.champions, "champion_key", "his_champion")
+    return (rows.withColumn("outcome", F.when(F.col("team_id") == F.col("win_team"), "Win").otherwise("Fail"))
+            .withColumn("competition", F.when(F.col("team_id") == F.col("my_team"), "Together").otherwise("Against")))
 
 
 # ---------------------------------------------------------------------------
 # Nested match events (the published message) and their parsing
 # ---------------------------------------------------------------------------
 
-def event_documents(t: MatchTables, edges: DataFrame | None = None,
-                    bans: DataFrame | None = None) -> DataFrame:
+def event_documents(t: MatchTables) -> DataFrame:
     """One nested match event per (match, tracked player).
 
     Columns: key (tracked player name), match_id, my_id, ts, gameDuration,
     winner, bans ARRAY<STRING> (ban order), edges ARRAY<STRUCT> (participant
     order).
 
-    Edges and bans are collected per match (a group the game format bounds)
-    and every join is on match_id alone, which is how the normalised edges
-    are already partitioned; each tracked player's edges are then picked out
-    of the match's array inside the row.  Element order is restored with
+    Everything comes from one frame of tracked matches and participants;
+    a player's edges are collected per (match, tracked player), bans per match
+    (groups the game format bounds).  Element order is restored with
     array_sort on the carried position.
     """
-    edges = match_edges(t) if edges is None else edges
-    bans = match_bans(t) if bans is None else bans
-    edge_struct = F.struct(
-        F.col("my_id").alias("k"),
+    rows = _opponents(t, tracked_matches(t, ("ts", "game_duration")), "left")
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))  # noqa: E731  an unknown id is the empty text
+    edge = F.struct(
         F.col("participant_id").alias("pid"),
         F.struct(
-            F.col("his_id").cast("string").alias("hisSummonerId"),
+            text("his_id").alias("hisSummonerId"),
             F.col("his_name").alias("hisSummonerName"),
             F.col("my_champion").alias("myChampionId"),
-            F.col("my_id").cast("string").alias("mySummonerID"),
+            text("my_id").alias("mySummonerID"),
             F.col("my_name").alias("mySummonerName"),
             F.col("his_champion").alias("hisChampionId"),
             F.col("outcome"), F.col("competition")).alias("e"))
-    e = edges.groupBy("match_id").agg(F.array_sort(F.collect_list(edge_struct)).alias("es"))
-    b = (bans.groupBy("match_id")
+    opponent = F.col("his_name") != F.col("my_name")
+    docs = rows.groupBy("match_id", "my_id").agg(
+        F.first("my_name").alias("key"), F.first("ts").alias("ts"), F.first("game_duration").alias("game_duration"),
+        F.first("win_team").alias("win_team"), F.array_sort(F.collect_list(F.when(opponent, edge))).alias("es"))
+    b = (match_bans(t).groupBy("match_id")
          .agg(F.array_sort(F.collect_list(F.struct("pos", "champion"))).alias("bs"))
          .select("match_id", F.transform("bs", lambda x: x["champion"]).alias("bans")))
-    base = tracked_matches(t, ("ts", "game_duration"))
-    mine = F.transform(F.filter(F.coalesce("es", F.array()), lambda x: x["k"] == F.col("my_id")),
-                       lambda x: x["e"])
-    return (base.join(e, "match_id", "left").join(b, "match_id", "left")
-            .select(F.col("my_name").alias("key"), "match_id", "my_id", "ts",
+    return (docs.join(b, "match_id", "left")
+            .select("key", "match_id", "my_id", "ts",
                     F.col("game_duration").cast("double").alias("gameDuration"),
                     winner_name(F.col("win_team")).alias("winner"),
                     F.coalesce("bans", F.array().cast("array<string>")).alias("bans"),
-                    mine.alias("edges")))
+                    F.transform("es", lambda x: x["e"]).alias("edges")))
 
 
 def to_records(docs: DataFrame) -> DataFrame:

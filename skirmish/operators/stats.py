@@ -50,14 +50,17 @@ def sliding_stats(matches: DataFrame, window_minutes: int = WINDOW_MINUTES,
 
 
 def sliding_stats_streaming(matches: DataFrame, window_minutes: int = WINDOW_MINUTES,
-                            slide_minutes: int = SLIDE_MINUTES, dedupe_key: str | None = None) -> DataFrame:
+                            slide_minutes: int = SLIDE_MINUTES, dedupe_key: str | None = None,
+                            watermarked: bool = True) -> DataFrame:
     """Same measures with ``window()``: usable on a streaming frame.
 
     ``ts`` must be TIMESTAMP (watermarks do not accept TIMESTAMP_NTZ).  With
-    ``dedupe_key`` duplicates are dropped within the watermark.
+    ``dedupe_key`` duplicates are dropped: within the watermark if the frame has
+    one, else for good.
     """
     if dedupe_key:
-        matches = matches.dropDuplicatesWithinWatermark([dedupe_key])
+        matches = (matches.dropDuplicatesWithinWatermark([dedupe_key]) if watermarked
+                   else matches.dropDuplicates([dedupe_key]))
     w = F.window("ts", f"{window_minutes} minutes", f"{slide_minutes} minutes")
     return (matches.groupBy(w.alias("w")).agg(*_measures())
             .select(F.col("w.start").alias("slot"), "duration", "red_win", "tot_matches"))

@@ -99,8 +99,12 @@ def _deps(sql: str) -> set[str]:
     return {n for n in _ORDER if n in refs}
 
 
-def with_views(final_sql: str) -> str:
-    """Prefix ``final_sql`` with the CTEs it (transitively) needs."""
+def with_views(final_sql: str, instead: dict[str, str] | None = None, before: str = "") -> str:
+    """Prefix ``final_sql`` with the CTEs it (transitively) needs.
+
+    ``instead`` replaces the bodies of some views; ``before`` holds CTEs that stand in front.
+    """
+    body = _BODY | (instead or {})
     need: set[str] = set()
     todo = list(_deps(final_sql))
     while todo:
@@ -108,9 +112,9 @@ def with_views(final_sql: str) -> str:
         if n in need:
             continue
         need.add(n)
-        todo.extend(_deps(_BODY[n]) - need)
-    ctes = [f"{n} AS (\n{_BODY[n]}\n)" for n in _ORDER if n in need]
-    return ("WITH " + ",\n".join(ctes) + "\n" if ctes else "") + final_sql
+        todo.extend(_deps(body[n]) - need)
+    ctes = ([before] if before else []) + [f"{n} AS (\n{body[n]}\n)" for n in _ORDER if n in need]
+    return (f"WITH {'RECURSIVE ' if before else ''}" + ",\n".join(ctes) + "\n" if ctes else "") + final_sql
 
 
 FINAL: dict[str, str] = {
@@ -120,9 +124,12 @@ FINAL: dict[str, str] = {
     "normalize_edges_skew_safe": "SELECT * FROM match_edge",
     "nested_event_roundtrip": """SELECT match_id, my_id, my_name, his_id, his_name, my_champion, his_champion,
        outcome, competition FROM match_edge""",
-    "raw_document_edges": "SELECT * FROM match_edge",
+    "raw_document_quarantine": """SELECT m.match_id, count(p.match_id) AS n_participants, false AS quarantined, false AS corrupt
+FROM raw_match m LEFT JOIN raw_participant p ON p.match_id = m.match_id GROUP BY m.match_id
+UNION ALL SELECT -1, 0, true, true FROM raw_match
+UNION ALL SELECT match_id, 0, true, false FROM raw_match""",
     "json_root_variants": """SELECT t.match_id, t.my_id, v.variant, NOT v.ok AS quarantined,
-       CASE WHEN v.ok THEN CAST(m.game_duration AS DOUBLE) END AS game_duration,
+       CASE WHEN v.ok THEN m.game_duration ELSE -1 END AS game_duration,
        CASE WHEN v.ok THEN (CASE WHEN t.win_team = 100 THEN 'Blue' ELSE 'Red' END) END AS winner,
        CAST(CASE WHEN v.ok THEN coalesce(b.n, 0) ELSE 0 END AS BIGINT) AS n_bans,
        CAST(CASE WHEN v.ok THEN coalesce(e.n, 0) ELSE 0 END AS BIGINT) AS n_edges
@@ -131,7 +138,10 @@ JOIN raw_match m ON m.match_id = t.match_id
 LEFT JOIN (SELECT match_id, count(*) AS n FROM match_ban GROUP BY match_id) b ON b.match_id = t.match_id
 LEFT JOIN (SELECT match_id, my_id, count(*) AS n FROM match_edge GROUP BY match_id, my_id) e
        ON e.match_id = t.match_id AND e.my_id = t.my_id
-CROSS JOIN (VALUES ('object', true), ('array', true), ('corrupt', false), ('missing_key', false)) v(variant, ok)""",
+CROSS JOIN (VALUES ('object', true, true), ('array', true, true), ('corrupt', false, false), ('missing_key', false, false),
+                   ('missing_edge_key', false, true), ('bad_ts', false, false), ('huge_duration', false, false))
+       x(variant, with_edges, without)
+CROSS JOIN LATERAL (SELECT x.variant, CASE WHEN e.n IS NULL THEN x.without ELSE x.with_edges END AS ok) v""",
     "match_list_slice": """SELECT player, poll,
        b0 + to_microseconds(poll * 8640000000) AS slice_begin,
        b0 + to_microseconds((poll + 1) * 8640000000) AS slice_end,
@@ -142,6 +152,33 @@ FROM (SELECT e.user_id AS player, e.event_id AS game_id, e.ts, b.b0,
              CAST(floor((epoch_us(e.ts) - epoch_us(b.b0)) / 8640000000.0) AS BIGINT) AS poll
       FROM events e, (SELECT min(ts) AS b0 FROM events) b) g
 WHERE poll >= 0""",
+    "match_list_slice_queue": """SELECT player, poll,
+       b0 + to_microseconds(poll * 8640000000) AS slice_begin,
+       b0 + to_microseconds((poll + 1) * 8640000000) AS slice_end,
+       CAST(row_number() OVER (PARTITION BY player, poll ORDER BY ts, game_id) - 1 AS BIGINT) AS idx,
+       game_id, ts,
+       CAST(count(*) OVER (PARTITION BY player, poll) AS BIGINT) AS end_index
+FROM (SELECT e.user_id AS player, e.event_id AS game_id, e.ts, b.b0,
+             CAST(floor((epoch_us(e.ts) - epoch_us(b.b0)) / 8640000000.0) AS BIGINT) AS poll
+      FROM events e, (SELECT min(ts) AS b0 FROM events) b WHERE e.event_type = 'click') g
+WHERE poll >= 0""",
+    "match_list_documents": """SELECT CAST(player AS VARCHAR) AS account_id, CAST(idx AS INTEGER) AS idx, game_id, 420 AS queue,
+       CAST(floor(epoch_us(ts) / 1000) AS BIGINT) AS game_ts
+FROM (SELECT player, game_id, ts, row_number() OVER (PARTITION BY player, poll ORDER BY ts, game_id) - 1 AS idx,
+             count(*) OVER (PARTITION BY player, poll) AS n
+      FROM (SELECT e.user_id AS player, e.event_id AS game_id, e.ts,
+                   CAST(floor((epoch_us(e.ts) - epoch_us(b.b0)) / 8640000000.0) AS BIGINT) AS poll
+            FROM events e, (SELECT min(ts) AS b0 FROM events) b) g) s
+WHERE idx < greatest(n - 1, 1)""",
+    "poll_increment": """SELECT e.user_id AS player, e.event_id AS game_id, e.ts FROM events e
+LEFT JOIN (SELECT user_id, max(ts) AS last_ts FROM events WHERE event_id % 2 = 0 AND user_id % 3 <> 0 GROUP BY user_id) c
+       ON c.user_id IS NOT DISTINCT FROM e.user_id
+WHERE CASE WHEN c.last_ts IS NULL THEN e.ts >= (SELECT min(ts) FROM events) ELSE e.ts > c.last_ts END""",
+    "roster_documents": """SELECT n.name AS summoner_name, replace(n.name, ' ', '%20') AS url_name, CAST(max(CAST(c.c_custkey AS VARCHAR)) AS VARCHAR) AS account_id
+FROM (SELECT replace(c_name, '#', ' ') AS name FROM customer ORDER BY 1 LIMIT 20) n
+JOIN customer c ON replace(c.c_name, '#', ' ') = n.name GROUP BY n.name""",
+    "stream_running_bans": """SELECT champion, count(*) AS n, CAST(1 AS BIGINT) AS first, count(*) AS last, count(*) AS steps
+FROM match_ban GROUP BY champion""",
     "roster_accounts": """SELECT r.summoner_name, replace(r.summoner_name, ' ', '%20') AS url_name, a.account_id, r.rating
 FROM (SELECT c_name AS summoner_name, c_acctbal AS rating FROM customer
       ORDER BY c_acctbal DESC, c_name ASC LIMIT 20) r
@@ -155,7 +192,7 @@ JOIN (SELECT c_name AS summoner_name, max(c_custkey) AS account_id FROM customer
                  CASE WHEN outcome <> 'Fail' THEN 'true' ELSE 'false' END, competition) AS line
 FROM match_edge""",
     "edge_attr_map": """SELECT src_id, dst_id, coalesce(src_champ, 'No Champ') AS my_champion,
-       coalesce(dst_champ, '') AS his_champion, coalesce(side, 'None') AS side, 'No Info' AS played
+       coalesce(dst_champ, '') AS his_champion, coalesce(side, 'None') AS side
 FROM edges""",
     "ban_counts": "SELECT * FROM ban_count",
     "ban_running_count": """SELECT match_id, pos, champion,
@@ -163,8 +200,8 @@ FROM edges""",
 FROM match_ban""",
     "ban_counts_stream": "SELECT * FROM ban_count",
     "top_banned": "SELECT * FROM top_bans",
-    "top_banned_chart": """SELECT champion, ban_count FROM ban_count WHERE champion <> '-1'
-ORDER BY ban_count DESC, champion ASC LIMIT 15""",
+    "top_banned_chart": """SELECT champion, ban_count, row_number() OVER (ORDER BY ban_count ASC, champion DESC) AS chart_pos
+FROM (SELECT * FROM ban_count WHERE champion <> '-1' ORDER BY ban_count DESC, champion ASC LIMIT 15) t""",
     "stats_sliding": "SELECT * FROM sliding",
     "stats_sliding_stream": "SELECT * FROM sliding",
     "stats_upsert": "SELECT * FROM sliding",
@@ -212,11 +249,11 @@ FROM (SELECT 'Red Side' AS side, CAST(sum(red_win) AS BIGINT) AS wins, CAST(sum(
 # pair of characters (recursive CTE, 128-bit integers masked to 32 bits), the
 # odd tail, then the finaliser.  ``ord`` equals the UTF-16 code unit for
 # characters of the basic plane, which covers the player names of the tables.
-PLAYER_ID_HASH = """WITH RECURSIVE players AS (
-SELECT c_custkey AS player_key, c_name AS player_name FROM customer
+HASH_CTES = """hashed_names AS (
+SELECT c_custkey AS player_key, c_name AS player_name FROM customer UNION ALL SELECT -1, ''
 ),
 it(player_key, player_name, n, i, h) AS (
-  SELECT player_key, player_name, length(player_name), 0, CAST(4157243346 AS HUGEINT) FROM players
+  SELECT player_key, player_name, length(player_name), 0, CAST(4157243346 AS HUGEINT) FROM hashed_names
   UNION ALL
   SELECT player_key, player_name, n, i + 1, ((h2 * 5) + 3864292196) & 4294967295
   FROM (SELECT player_key, player_name, n, i, ((h1 << 13) | (h1 >> 19)) & 4294967295 AS h2
@@ -236,13 +273,40 @@ tail AS (SELECT player_key, player_name, n,
 f1 AS (SELECT player_key, player_name, xor(h, n) AS h FROM tail),
 f2 AS (SELECT player_key, player_name, (xor(h, h >> 16) * 2246822507) & 4294967295 AS h FROM f1),
 f3 AS (SELECT player_key, player_name, (xor(h, h >> 13) * 3266489909) & 4294967295 AS h FROM f2),
-f4 AS (SELECT player_key, player_name, xor(h, h >> 16) AS h FROM f3)
-SELECT player_key, player_name,
-       CAST(CASE WHEN h >= 2147483648 THEN h - 4294967296 ELSE h END AS BIGINT) AS murmur3_id
-FROM f4"""
+f4 AS (SELECT player_key, player_name, xor(h, h >> 16) AS h FROM f3),
+name_ids AS (SELECT player_key, player_name,
+       CAST(CASE WHEN h >= 2147483648 THEN h - 4294967296 ELSE h END AS BIGINT) AS murmur3_id FROM f4)"""
+
+# Edges and vertices whose ids are the hash of the players' names (unknown players share the empty name).
+NAME_ID_VIEWS = {
+    "edges": """SELECT CASE WHEN outcome <> 'Fail' THEN m.murmur3_id ELSE h.murmur3_id END AS src_id,
+       CASE WHEN outcome <> 'Fail' THEN h.murmur3_id ELSE m.murmur3_id END AS dst_id,
+       my_champion AS src_champ, his_champion AS dst_champ, competition AS side
+FROM match_edge JOIN name_ids m ON m.player_name = my_name JOIN name_ids h ON h.player_name = his_name""",
+    "vertices": """SELECT murmur3_id AS id, my_name AS name, true AS tracking FROM match_edge JOIN name_ids ON player_name = my_name
+UNION
+SELECT murmur3_id, his_name, false FROM match_edge JOIN name_ids ON player_name = his_name WHERE his_name <> ''""",
+}
+
+# Identities listed in the order of (id modulo 3, id): the last of a name is not the highest id.
+LISTED_VIEWS = {"me": """SELECT t.match_id, t.my_id, arg_max(i.participant_id, (i.participant_id % 3) * 1000000 + i.participant_id) AS me_pid
+FROM tracked t JOIN ident i ON i.match_id = t.match_id AND i.his_name = t.my_name
+GROUP BY t.match_id, t.my_id"""}
+
+# Every known tracked participant of a match is tracked.
+FAN_OUT_VIEWS = {"tracked": """SELECT DISTINCT m.match_id, p.player_key AS my_id, pl.player_name AS my_name,
+       CASE WHEN (CASE WHEN m.win0 = 'Win' THEN m.side0 ELSE m.side1 END) = 100 THEN 100 ELSE 200 END AS win_team
+FROM raw_match m JOIN raw_participant p ON p.match_id = m.match_id
+JOIN players pl ON pl.player_key = p.player_key AND pl.tracked"""}
 
 
 def oracle_sql() -> dict[str, str]:
     out = {k: with_views(v) for k, v in FINAL.items()}
-    out["player_id_hash"] = PLAYER_ID_HASH
+    out["player_id_hash"] = f"WITH RECURSIVE {HASH_CTES}\nSELECT * FROM name_ids WHERE player_key >= 0"
+    out["raw_document_edges"] = with_views("SELECT * FROM match_edge", LISTED_VIEWS)
+    out["multi_tracked_edges"] = with_views("SELECT * FROM match_edge", FAN_OUT_VIEWS)
+    named = {"stream_edges_name_id": "SELECT * FROM edges", "stream_vertices_name_id": "SELECT * FROM vertices",
+             "graph_job_files": "SELECT * FROM degree WHERE tracking AND in_degree + out_degree > 0"}
+    for name, final in named.items():
+        out[name] = with_views(final, NAME_ID_VIEWS, HASH_CTES)
     return out

@@ -9,6 +9,7 @@ checkpoint directory and return a lazy read of what was written.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,7 +48,8 @@ def _graph(spark, d, both_sides: bool = True) -> graph.PropertyGraph:
     written once (like the edge files of the streaming job) so the two sides
     do not both recompute them; a query using one side reads them directly.
     """
-    me = _edges(spark, d)
+    me = _edges(spark, d).select("my_id", "my_name", "his_id", "his_name", "my_champion", "his_champion",
+                                 "outcome", "competition")  # what the graph reads
     return graph.graph_from_match_edges(materialize(me, "match-edges") if both_sides else me)
 
 
@@ -73,8 +75,16 @@ def normalize_edges(spark, d):
 
 
 def normalize_edges_skew_safe(spark, d):
-    """The same edges with the plan that never gathers one match in one task."""
-    return normalize.match_edges(_t(spark, d), skew_safe=True)
+    """The edges again: every plan is the one that never gathers a match in one task."""
+    return normalize.match_edges(_t(spark, d))
+
+
+def multi_tracked_edges(spark, d):
+    """Every known tracked participant of a match is tracked, so a match fans out over several players."""
+    t = _t(spark, d)
+    tracked = t.players.filter("tracked").select("player_key")
+    listed = t.participants.join(tracked, "player_key", "left_semi").select("player_key", "match_id").distinct()
+    return normalize.match_edges(replace(t, match_list=listed))
 
 
 def nested_event_roundtrip(spark, d):
@@ -89,33 +99,60 @@ def raw_document_edges(spark, d):
     schema, flattened (identity lookup inside each document) and normalised."""
     t = _t(spark, d)
     path = scratch_path(spark, "raw-matches")
-    documents.to_raw_documents(t).write.mode("overwrite").json(path)
+    # identities are listed in an order of their own: the last one of a name is not the highest id
+    ids = F.transform("participantIdentities", lambda i: F.struct((i["participantId"] % 3).alias("o"), i.alias("i")))
+    (documents.to_raw_documents(t)
+     .withColumn("participantIdentities", F.transform(F.array_sort(ids), lambda x: x["i"]))
+     .write.mode("overwrite").json(path))
     docs = documents.read_raw_matches(spark, path)
     flat = documents.flatten_raw_matches(docs, t.champions, t.players, tables.match_list(spark, d))
     return normalize.match_edges(flat)
 
 
+def raw_document_quarantine(spark, d):
+    """Every match landed three times: whole, cut off in the middle, and without its teams."""
+    docs = documents.to_raw_documents(_t(spark, d))
+    path = scratch_path(spark, "raw-variants")
+    whole = F.to_json(F.struct(*docs.columns))
+    teamless = F.to_json(F.struct(*[c for c in docs.columns if c != "teams"]))
+    texts = F.array(whole, F.expr("substr(w, 1, length(w) div 2)"), teamless)
+    docs.withColumn("w", whole).select(F.explode(texts).alias("value")).write.mode("overwrite").text(path)
+    good, bad = documents.split_raw_matches(documents.read_raw_matches(spark, path))
+    seen = good.select(F.col("gameId").alias("match_id"), F.size("participants").cast("bigint").alias("n_participants"),
+                       F.lit(False).alias("quarantined"), F.lit(False).alias("corrupt"))
+    return seen.unionByName(bad.select(
+        F.when(F.col(documents.CORRUPT).isNull(), F.col("gameId")).otherwise(-1).alias("match_id"), F.lit(0).cast("bigint").alias("n_participants"),
+        F.lit(True).alias("quarantined"), F.col(documents.CORRUPT).isNotNull().alias("corrupt")))
+
+
 def json_root_variants(spark, d):
-    """Each event as an object root, an array root, broken text and without a
-    required key; parsed with quarantine.  Quarantined records carry no
-    parsed values (null duration and winner, zero elements)."""
+    """Each event as an object root, an array root, broken text, without a
+    required key, without a key of its edges, with a time that is none and
+    with a duration beyond BIGINT; parsed with quarantine.  Quarantined records
+    carry no parsed values (duration -1, null winner, zero elements)."""
     docs = normalize.event_documents(_t(spark, d))
     ts = F.col("ts").cast("string").alias("ts")
     whole = F.to_json(F.struct("match_id", ts, "gameDuration", "winner", "bans", "edges"))
     no_dur = F.to_json(F.struct("match_id", ts, "winner", "bans", "edges"))
-    v = docs.select("match_id", "my_id", whole.alias("value"), no_dur.alias("no_dur"))
+    bad_ts = F.to_json(F.struct("match_id", F.lit("not a time").alias("ts"), "gameDuration", "winner", "bans", "edges"))
+    huge = F.to_json(F.struct("match_id", ts, F.lit(1e30).alias("gameDuration"), "winner", "bans", "edges"))
+    v = docs.select("match_id", "my_id", whole.alias("value"), no_dur.alias("no_dur"), bad_ts.alias("bad_ts"), huge.alias("huge"))
     variants = F.array(
         F.struct(F.lit("object").alias("variant"), F.col("value").alias("text")),
         F.struct(F.lit("array").alias("variant"), F.concat(F.lit("["), "value", F.lit("]")).alias("text")),
         F.struct(F.lit("corrupt").alias("variant"), F.concat(F.lit("oops"), "value").alias("text")),
-        F.struct(F.lit("missing_key").alias("variant"), F.col("no_dur").alias("text")))
+        F.struct(F.lit("missing_key").alias("variant"), F.col("no_dur").alias("text")),
+        F.struct(F.lit("missing_edge_key").alias("variant"),
+                 F.replace("value", F.lit('"outcome":'), F.lit('"result":')).alias("text")),
+        F.struct(F.lit("bad_ts").alias("variant"), F.col("bad_ts").alias("text")),
+        F.struct(F.lit("huge_duration").alias("variant"), F.col("huge").alias("text")))
     recs = v.select("match_id", "my_id", F.explode(variants).alias("r")).select(
         "match_id", "my_id", "r.variant", F.col("r.text").alias("value"))
     p = documents.parse_events(recs)
     ok = ~F.col("quarantined")
     return p.select(
         "match_id", "my_id", "variant", "quarantined",
-        F.when(ok, F.col("_event.gameDuration")).alias("game_duration"),
+        F.when(ok, F.col("_event.gameDuration").try_cast("bigint")).otherwise(-1).alias("game_duration"),
         F.when(ok, F.col("_event.winner")).alias("winner"),
         F.when(ok, F.size("_event.bans")).otherwise(0).cast("bigint").alias("n_bans"),
         F.when(ok, F.size("_event.edges")).otherwise(0).cast("bigint").alias("n_edges"))
@@ -127,6 +164,56 @@ def match_list_slice(spark, d):
     return matchlist.match_list_slices(ev, begin)
 
 
+def match_list_slice_queue(spark, d):
+    """The slices of one queue only."""
+    ev = tables.read_table(spark, d, "events")
+    begin = ev.agg(F.min("ts")).scalar()
+    return matchlist.match_list_slices(ev, begin, queue="click")
+
+
+def match_list_documents(spark, d):
+    """Match-list pages (one per player and poll) landed as JSON, read back and
+    cut at endIndex, which leaves out the last game of a longer page."""
+    ev = tables.read_table(spark, d, "events")
+    slices = matchlist.match_list_slices(ev, ev.agg(F.min("ts")).scalar())
+    game = F.struct("idx", F.col("game_id").alias("gameId"), F.lit(420).alias("queue"),
+                    F.floor(colfn.ntz_to_epoch_micros("ts") / 1000).alias("timestamp"))
+    pages = slices.groupBy("player", "poll").agg(  # a page is one poll of one player
+        F.array_sort(F.collect_list(game)).alias("games"), F.max("end_index").alias("n"))
+    path = scratch_path(spark, "match-lists")
+    pages.select(F.col("player").cast("string").alias("accountId"),
+                 F.greatest(F.col("n") - 1, F.lit(1)).cast("int").alias("endIndex"),
+                 F.transform("games", lambda g: F.struct(g["gameId"].alias("gameId"), g["queue"].alias("queue"),
+                                                         g["timestamp"].alias("timestamp"))).alias("matches")
+                 ).write.mode("overwrite").json(path)
+    return documents.explode_match_lists(documents.read_match_lists(spark, path))
+
+
+def poll_increment(spark, d):
+    """One incremental poll: some players have a mark from earlier, others start at the first event."""
+    ev = tables.read_table(spark, d, "events")
+    games = ev.select(F.col("user_id").alias("player"), F.col("event_id").alias("game_id"), "ts")
+    cursor = (games.filter((F.col("game_id") % 2 == 0) & (F.col("player") % 3 != 0))
+              .groupBy("player").agg(F.max("ts").alias("last_ts")))
+    begin = ev.agg(F.min("ts")).scalar()
+    new, _ = matchlist.poll_increment(games, cursor, begin)
+    return new.select("player", "game_id", "ts")
+
+
+def roster_documents(spark, d):
+    """League pages and account documents landed as JSON (names hold blanks), read back and resolved."""
+    cust = tables.read_table(spark, d, "customer").select(
+        F.replace("c_name", F.lit("#"), F.lit(" ")).alias("name"), "c_custkey")
+    root = scratch_path(spark, "roster")
+    entry = F.struct(F.col("name").alias("summonerName"))
+    (cust.groupBy(F.expr("c_custkey div 100").alias("page")).agg(F.collect_list(entry).alias("entries"))
+     .select(F.to_json("entries").alias("value")).write.mode("overwrite").text(f"{root}/league"))
+    (cust.select("name", F.col("c_custkey").cast("string").alias("accountId"))
+     .write.mode("overwrite").json(f"{root}/accounts"))
+    names = matchlist.roster(documents.read_league_entries(spark, f"{root}/league"), order=[F.asc("summoner_name")])
+    return matchlist.resolve_accounts(names, documents.read_accounts(spark, f"{root}/accounts"))
+
+
 def roster_accounts(spark, d):
     cust = tables.read_table(spark, d, "customer")
     entries = cust.select(F.col("c_name").alias("summoner_name"), F.col("c_acctbal").alias("rating"))
@@ -173,13 +260,20 @@ def ban_counts(spark, d):
 
 
 def ban_running_count(spark, d):
-    return bans.running_ban_count(normalize.match_bans(_t(spark, d)))
+    return bans.running_ban_count(materialize(normalize.match_bans(_t(spark, d)), "match-bans"))
 
 
-def _publish_events(spark, d, path: str, files: int = 2) -> None:
+TRIGGER_BYTES = 256 << 20  # input of a micro-batch
+
+
+def _publish_events(spark, d, path: str) -> None:
     """Write match events as JSON (key, value) records: the topic stand-in."""
     recs = normalize.to_records(normalize.event_documents(_t(spark, d)))
-    recs.repartition(files).write.mode("overwrite").json(path)
+    recs.write.mode("overwrite").json(path)
+
+
+def _topic(spark, path: str) -> DataFrame:
+    return documents.json_record_stream(spark, path, max_bytes_per_trigger=TRIGGER_BYTES)
 
 
 def ban_counts_stream(spark, d):
@@ -187,7 +281,7 @@ def ban_counts_stream(spark, d):
     root = scratch_path(spark, "ban-stream")
     _publish_events(spark, d, f"{root}/topic")
     store = UpsertStore(spark, f"{root}/ban_count", ["champion"], schemas.BAN_COUNT).create().truncate()
-    q = jobs.start_ban_counts(documents.json_record_stream(spark, f"{root}/topic", 1), store,
+    q = jobs.start_ban_counts(_topic(spark, f"{root}/topic"), store,
                               f"{root}/checkpoint", trigger={"availableNow": True})
     jobs.run_available(q)
     return store.read()
@@ -211,8 +305,9 @@ def stats_sliding_stream(spark, d):
     """The events table consumed as a file stream by the windowed job."""
     root = scratch_path(spark, "stats-stream")
     ev = tables.read_table(spark, d, "events")
-    src = (spark.readStream.schema(ev.schema).option("pathGlobFilter", "events.parquet")
-           .option("maxFilesPerTrigger", 1).parquet(d))
+    # the pattern fits a single file as well as a folder of part files
+    src = (spark.readStream.schema(ev.schema).option("maxBytesPerTrigger", TRIGGER_BYTES)
+           .parquet(f"{d.rstrip('/')}/events.parquet*"))
     matches = tables.events_as_matches(src)
     store = UpsertStore(spark, f"{root}/stats", ["slot"], schemas.MATCH_STATS).create().truncate()
     q = jobs.start_sliding_stats(matches, store, f"{root}/checkpoint", trigger={"availableNow": True})
@@ -284,6 +379,42 @@ def vertices_csv_roundtrip(spark, d):
     return graph_files.read_vertices(spark, path, "csv")
 
 
+# ---- the streaming job and the graph job over its files ----------------------------------------
+
+def _streamed(spark, d) -> str:
+    """Run the whole streaming job over the published events; returns its root folder."""
+    root = scratch_path(spark, "match-jobs")
+    _publish_events(spark, d, f"{root}/topic")
+    queries = jobs.start_match_jobs(_topic(spark, f"{root}/topic"), f"{root}/out", trigger={"availableNow": True},
+                                    id_mode="murmur3")
+    for q in queries.values():
+        jobs.run_available(q)
+    return f"{root}/out"
+
+
+def stream_edges_name_id(spark, d):
+    """Edge files of the streaming job, players identified by the hash of their names."""
+    return graph_files.read_edges(spark, f"{_streamed(spark, d)}/edges")
+
+
+def stream_vertices_name_id(spark, d):
+    return graph_files.read_vertices(spark, f"{_streamed(spark, d)}/vertices").distinct()
+
+
+def stream_running_bans(spark, d):
+    """Per-ban running totals of the streaming job, summed up per champion."""
+    run = spark.read.parquet(f"{_streamed(spark, d)}/running")
+    return run.groupBy("champion").agg(F.count("*").alias("n"), F.min("running").alias("first"),
+                                       F.max("running").alias("last"), F.countDistinct("running").alias("steps"))
+
+
+def graph_job_files(spark, d):
+    """Stream -> files -> graph job: tracked players against the most banned champions, name ids."""
+    out = _streamed(spark, d)
+    ban_table = UpsertStore(spark, f"{out}/ban_count", ["champion"], schemas.BAN_COUNT).read()
+    return graph.graph_job(spark, f"{out}/edges", f"{out}/vertices", ban_table, export_path=f"{out}/graph")
+
+
 # ---- marts -----------------------------------------------------------------------------------
 
 def mart_avg_length(spark, d):
@@ -308,11 +439,17 @@ REGISTRY: dict[str, Query] = {
     "normalize_bans": normalize_bans,
     "normalize_edges": normalize_edges,
     "normalize_edges_skew_safe": normalize_edges_skew_safe,
+    "multi_tracked_edges": multi_tracked_edges,
     "nested_event_roundtrip": nested_event_roundtrip,
     "raw_document_edges": raw_document_edges,
+    "raw_document_quarantine": raw_document_quarantine,
     "json_root_variants": json_root_variants,
     "match_list_slice": match_list_slice,
+    "match_list_slice_queue": match_list_slice_queue,
+    "match_list_documents": match_list_documents,
+    "poll_increment": poll_increment,
     "roster_accounts": roster_accounts,
+    "roster_documents": roster_documents,
     "champion_dimension": champion_dimension,
     "oriented_edges": oriented_edges,
     "vertex_extract": vertex_extract,
@@ -335,6 +472,10 @@ REGISTRY: dict[str, Query] = {
     "pattern_match_hop": pattern_match_hop,
     "graph_export_nodes": graph_export_nodes,
     "graph_export_rels": graph_export_rels,
+    "stream_edges_name_id": stream_edges_name_id,
+    "stream_vertices_name_id": stream_vertices_name_id,
+    "stream_running_bans": stream_running_bans,
+    "graph_job_files": graph_job_files,
     "edges_csv_roundtrip": edges_csv_roundtrip,
     "vertices_csv_roundtrip": vertices_csv_roundtrip,
     "mart_avg_length": mart_avg_length,

@@ -66,7 +66,8 @@ EVENT = T.StructType([
 # Fields without which the reference parser fails; rows missing one are quarantined.
 EVENT_REQUIRED = ("gameDuration", "winner", "bans", "edges")
 
-# Raw match document as served by the match API.
+# Raw match document as served by the match API.  Key names of this and the following
+# documents are fixed by the API.
 RAW_MATCH_DOC = T.StructType([
     T.StructField("gameId", T.LongType()),
     T.StructField("gameCreation", T.LongType()),

@@ -8,7 +8,6 @@ and Spark runs in local mode (tests, laptops) do we create one ourselves.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -71,7 +70,9 @@ def shared_dir(spark: SparkSession) -> str:
 
     Reads ``spark.checkpoint.dir`` from the session (or the context's
     checkpoint dir).  If neither is set and the master is local, a folder is
-    created and registered, as tests need; on a cluster we refuse to guess.
+    created and registered, as tests need; on a cluster we refuse to guess, and
+    refuse a path without a scheme, which would name a folder of each machine
+    (a mounted shared folder is given as ``file:///...``).
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
@@ -79,6 +80,8 @@ def shared_dir(spark: SparkSession) -> str:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...)")
         root = tempfile.mkdtemp(prefix="skirmish-ckpt-")
+    if not sc.master.startswith("local") and "://" not in root and not root.startswith("file:"):
+        raise RuntimeError(f"spark.checkpoint.dir must name a shared folder with its scheme, not {root!r}")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
     return root.rstrip("/")
@@ -90,16 +93,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/skirmish/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def is_local_path(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:")
-
-
-def ensure_parent(path: str) -> None:
-    """Create a local parent folder; remote file systems create paths on write."""
-    if is_local_path(path):
-        os.makedirs(path.removeprefix("file:"), exist_ok=True)
-
-
 def materialize(df, name: str):
     """Write ``df`` once to the shared folder and return a lazy read of it.
 

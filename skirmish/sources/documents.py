@@ -31,9 +31,10 @@ ARRAY_OF_EVENTS = T.ArrayType(schemas.EVENT)
 def parse_events(records: DataFrame, value_col: str = "value") -> DataFrame:
     """Parse event JSON whose root may be an object or an array.
 
-    An array root uses its element 0.  Adds ``quarantined`` (true when the
-    text is not JSON or a required field is missing) next to the parsed
-    fields; the original columns are kept.
+    An array root uses its element 0.  Adds ``quarantined`` next to the parsed
+    fields; the original columns are kept.  A record is quarantined when its
+    text is not JSON, a required field or a key of an edge is missing, the
+    duration does not fit a BIGINT, or there is a time that does not parse.
     """
     text = F.col(value_col).cast("string")
     parsed = F.get(F.from_json(text, ARRAY_OF_EVENTS, {"mode": "PERMISSIVE"}), 0)
@@ -41,6 +42,17 @@ def parse_events(records: DataFrame, value_col: str = "value") -> DataFrame:
     ok = F.col("_event").isNotNull()
     for name in schemas.EVENT_REQUIRED:
         ok = ok & F.col(f"_event.{name}").isNotNull()
+
+    def incomplete(edge):
+        missing = edge.isNull()
+        for name in schemas.EVENT_EDGE.fieldNames():
+            missing = missing | edge[name].isNull()
+        return missing
+
+    ok = ok & ~F.exists(F.col("_event.edges"), incomplete)
+    ok = ok & F.col("_event.gameDuration").try_cast("bigint").isNotNull()
+    ts = F.col("_event.ts")
+    ok = ok & (ts.isNull() | ts.try_cast("timestamp_ntz").isNotNull())
     return out.withColumn("quarantined", ~F.coalesce(ok, F.lit(False)))
 
 
@@ -115,11 +127,14 @@ def write_kafka(records: DataFrame, bootstrap_servers: str, topic: str = "matche
     w.save()
 
 
-def json_record_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+def json_record_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
+                       max_bytes_per_trigger: int | None = None) -> DataFrame:
     """File-based stand-in for the topic: JSON lines with key and value fields."""
     reader = spark.readStream.schema("key STRING, value STRING")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
     return reader.json(path)
 
 
@@ -127,9 +142,31 @@ def json_record_stream(spark: SparkSession, path: str, max_files_per_trigger: in
 # Raw match documents (match API payload)
 # ---------------------------------------------------------------------------
 
+CORRUPT = "_corrupt_record"
+
+
 def read_raw_matches(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
-    reader = (spark.readStream if streaming else spark.read).schema(schemas.RAW_MATCH_DOC)
-    return reader.option("mode", "PERMISSIVE").json(path)
+    """Raw match documents; the text of a line that does not parse is in ``_corrupt_record``."""
+    schema = T.StructType([*schemas.RAW_MATCH_DOC.fields, T.StructField(CORRUPT, T.StringType())])
+    reader = (spark.readStream if streaming else spark.read).schema(schema)
+    return reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).json(path)
+
+
+def split_raw_matches(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(good documents, rejected documents).
+
+    A document is rejected when it does not parse, or lacks the game id, one
+    of the two teams, a team's id or result, the participants or their
+    identities, or a duration that fits a BIGINT.
+    """
+    ok = (F.col("gameId").isNotNull() & (F.size("teams") >= 2) & F.col("participants").isNotNull()
+          & F.col("participantIdentities").isNotNull() & F.col("gameDuration").try_cast("bigint").isNotNull())
+    for k in (0, 1):
+        ok = ok & F.get("teams", k)["teamId"].isNotNull() & F.get("teams", k)["win"].isNotNull()
+    if CORRUPT in docs.columns:
+        ok = ok & F.col(CORRUPT).isNull()
+    ok = F.coalesce(ok, F.lit(False))
+    return docs.filter(ok).drop(CORRUPT), docs.filter(~ok)
 
 
 def flatten_raw_matches(docs: DataFrame, champions: DataFrame, players: DataFrame,
@@ -139,12 +176,14 @@ def flatten_raw_matches(docs: DataFrame, champions: DataFrame, players: DataFram
     Participants are paired with their identity inside the document (last
     identity with the participant id wins); a participant without identity
     gets an empty id and name.  Summoner ids become the player key when they
-    are numeric; players is the name dimension.
+    are numeric; players is the name dimension.  Rejected documents
+    (``split_raw_matches``) give no rows.
     """
+    docs, _ = split_raw_matches(docs)
     d = docs.select(
         F.col("gameId").alias("match_id"),
         epoch_micros_to_ntz(F.col("gameCreation") * 1000).alias("ts"),
-        F.col("gameDuration").cast("bigint").alias("game_duration"),
+        F.col("gameDuration").try_cast("bigint").alias("game_duration"),
         F.get("teams", 0).alias("t0"), F.get("teams", 1).alias("t1"),
         "participants", "participantIdentities")
     matches = d.select("match_id", "ts", "game_duration",
@@ -155,20 +194,23 @@ def flatten_raw_matches(docs: DataFrame, champions: DataFrame, players: DataFram
             .select("match_id", (F.col("pos") + 1).alias("pos"),
                     F.col("b.championId").cast("bigint").alias("champion_key")))
 
+    placed = F.transform("participantIdentities", lambda i, n: F.struct(i.alias("i"), n.alias("n")))
+
     def identity_of(p):
-        hits = F.filter("participantIdentities", lambda i: i["participantId"] == p["participantId"])
+        hits = F.filter("placed", lambda x: x["i"]["participantId"] == p["participantId"])
         return F.try_element_at(hits, F.lit(-1))  # last wins; null when absent (ANSI-safe)
 
-    parts = d.select("match_id", F.explode(F.transform(
+    parts = d.withColumn("placed", placed).select("match_id", F.explode(F.transform(
         "participants", lambda p: F.struct(p["participantId"].alias("participant_id"),
                                            p["championId"].cast("bigint").alias("champion_key"),
                                            p["teamId"].alias("team_id"),
-                                           identity_of(p)["player"]["summonerId"].alias("summoner_id"),
-                                           identity_of(p)["player"]["summonerName"].alias("player_name"))
+                                           identity_of(p)["n"].alias("position"),
+                                           identity_of(p)["i"]["player"]["summonerId"].alias("summoner_id"),
+                                           identity_of(p)["i"]["player"]["summonerName"].alias("player_name"))
     )).alias("p")).select("match_id", "p.*")
     participants = parts.select("match_id", "participant_id",
                                 F.expr("try_cast(summoner_id AS BIGINT)").alias("player_key"),
-                                "champion_key", "team_id", "player_name")
+                                "champion_key", "team_id", "position", "player_name")
     return MatchTables(champions=champions, players=players, matches=matches,
                        match_list=match_list, participants=participants, bans=bans)
 

@@ -4,8 +4,8 @@ Source: (key, value) records, from Kafka or from JSON files (same contract).
 Outputs, as in the reference streaming job:
 
 * sliding 30/5-minute statistics -> upsert table keyed by slot (windowed
-  aggregation on event or arrival time with a watermark, so old windows
-  leave the state);
+  aggregation on event or arrival time; nothing is late unless a watermark
+  is set);
 * edges and vertices appended per micro-batch (edges skipped when empty);
 * per-ban running totals (one output row per ban, as the stateful map of the
   reference emits) and the champions' totals, computed in ``foreachBatch``
@@ -30,10 +30,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from .. import schemas
 from ..functions.columns import epoch_micros_to_ntz, ntz_as_instant
-from ..functions.ranking import blocked_row_number
 from ..operators import graph
-from ..operators.bans import RUNNING_BLOCK
+from ..operators.bans import running_ban_count
 from ..operators.stats import SLIDE_MINUTES, WINDOW_MINUTES, sliding_stats_streaming
 from ..sources.documents import event_bans, event_edges, parse_events, split_quarantine
 from ..sources.graph_files import write_graph_file
@@ -42,52 +42,15 @@ from .store import UpsertStore
 # Fixed value: micro-batch interval of the reference job.
 BATCH_INTERVAL = "5 minutes"
 
-
-# Fold the upsert logs every this many micro-batches (one day of 5-minute batches).
-COMPACT_EVERY = 288
-
-
-# State partitions of the stateful queries.  Their state is small whatever the input volume:
-# one row per champion, or per open window behind the watermark; partial aggregation shrinks
-# each micro-batch before it reaches the state store.  More partitions would only add
-# per-batch state-store commits.
-STATE_PARTITIONS = 16
+# Players of events are identified by their names, as in the reference: the ids in an event are opaque
+# strings, and the tracked player's (an account id) never equals an opponent's (a summoner id).
+EVENT_ID_MODE = "xxhash64"
 
 
 def _trigger(writer, trigger: dict | None):
     return writer.trigger(**(trigger or {"processingTime": BATCH_INTERVAL}))
 
 
-def _start(writer, spark, partitions: int | None) -> StreamingQuery:
-    """Start a query with its own shuffle (state) partition count.
-
-    A streaming query takes the count from the session when it first starts
-    and keeps it in its checkpoint; the session setting is restored at once.
-    """
-    if not partitions:
-        return writer.start()
-    key = "spark.sql.shuffle.partitions"
-    previous = spark.conf.get(key)
-    spark.conf.set(key, str(min(partitions, int(previous))))  # never more than the session uses
-    try:
-        return writer.start()
-    finally:
-        spark.conf.set(key, previous)
-
-
-def _upserter(store: UpsertStore, compact_every: int | None):
-    """foreachBatch body: upsert the batch, then now and then fold old deltas.
-
-    Batches up to batch_id - 2 are committed (a stream only replays its last
-    batch), so folding them cannot meet a replay.
-    """
-    def run(df: DataFrame, batch_id: int) -> None:
-        store.upsert(df, batch_id)
-        if compact_every and batch_id >= 2 and batch_id % compact_every == 0:
-            store.compact(batch_id - 2)
-    return run
-
-
 def ban_counts_stream(records: DataFrame) -> DataFrame:
     """Streaming (champion, ban_count) over all good events."""
     good, _ = split_quarantine(parse_events(records))
@@ -95,22 +58,19 @@ def ban_counts_stream(records: DataFrame) -> DataFrame:
 
 
 def start_ban_counts(records: DataFrame, store: UpsertStore, checkpoint: str,
-                     trigger: dict | None = None, compact_every: int | None = COMPACT_EVERY,
-                     state_partitions: int | None = STATE_PARTITIONS) -> StreamingQuery:
+                     trigger: dict | None = None) -> StreamingQuery:
     """Running ban totals upserted into ``store`` (key: champion) each batch."""
     counts = ban_counts_stream(records)
     w = (counts.writeStream.outputMode("update")
-         .foreachBatch(_upserter(store, compact_every))
+         .foreachBatch(store.upsert)
          .option("checkpointLocation", checkpoint))
-    return _start(_trigger(w, trigger), records.sparkSession, state_partitions)
+    return _trigger(w, trigger).start()
 
 
 def start_sliding_stats(matches: DataFrame, store: UpsertStore, checkpoint: str,
-                        watermark: str = "1 hour", trigger: dict | None = None,
+                        watermark: str | None = None, trigger: dict | None = None,
                         window_minutes: int = WINDOW_MINUTES,
                         slide_minutes: int = SLIDE_MINUTES,
-                        compact_every: int | None = COMPACT_EVERY,
-                        state_partitions: int | None = STATE_PARTITIONS,
                         time_basis: str = "event", dedupe_key: str | None = None) -> StreamingQuery:
     """Windowed statistics upserted into ``store`` (key: slot).
 
@@ -119,9 +79,15 @@ def start_sliding_stats(matches: DataFrame, store: UpsertStore, checkpoint: str,
 
     ``time_basis="event"`` windows matches by their own time; ``"arrival"``
     windows them by the micro-batch clock, as the reference's processing-time
-    window does (a match then counts in the six slots after its arrival).
-    ``dedupe_key`` counts a match reported several times once, within the
-    watermark.
+    window does (a match then counts in the six slots after its arrival).  A
+    match without a time of its own is windowed by its arrival.
+
+    Without a watermark (the default) nothing is ever late: the state keeps
+    one row per slot (105 120 a year).  A ``watermark`` bounds the state, and
+    Spark then drops what arrives later than that, counted in the query's
+    progress as ``numRowsDroppedByWatermark``.  ``dedupe_key`` counts a match
+    reported several times once: within the watermark if there is one, else
+    for good, which keeps every key in the state.
     """
     if time_basis == "arrival":
         ts = F.current_timestamp()
@@ -129,15 +95,18 @@ def start_sliding_stats(matches: DataFrame, store: UpsertStore, checkpoint: str,
         # Watermarks need an instant: TIMESTAMP_NTZ is read as UTC, and slots go back to NTZ the
         # same way, so neither direction depends on the session time zone.
         ts = ntz_as_instant("ts") if dict(matches.dtypes)["ts"] == "timestamp_ntz" else F.col("ts")
+        ts = F.coalesce(ts, F.current_timestamp())
     else:
         raise ValueError(f"unknown time basis {time_basis!r}")
-    m = matches.withColumn("ts", ts).withWatermark("ts", watermark)
-    stats = sliding_stats_streaming(m, window_minutes, slide_minutes, dedupe_key=dedupe_key).withColumn(
+    m = matches.withColumn("ts", ts)
+    if watermark:
+        m = m.withWatermark("ts", watermark)
+    stats = sliding_stats_streaming(m, window_minutes, slide_minutes, dedupe_key, bool(watermark)).withColumn(
         "slot", epoch_micros_to_ntz(F.unix_micros("slot")))
     w = (stats.writeStream.outputMode("update")
-         .foreachBatch(_upserter(store, compact_every))
+         .foreachBatch(store.upsert)
          .option("checkpointLocation", checkpoint))
-    return _start(_trigger(w, trigger), matches.sparkSession, state_partitions)
+    return _trigger(w, trigger).start()
 
 
 class MatchEventSink:
@@ -149,7 +118,7 @@ class MatchEventSink:
 
     def __init__(self, edges_path: str, vertices_path: str, running_path: str,
                  quarantine_path: str, totals: UpsertStore, fmt: str = "parquet",
-                 id_mode: str = "key"):
+                 id_mode: str = EVENT_ID_MODE):
         self.edges_path, self.vertices_path = edges_path, vertices_path
         self.running_path, self.quarantine_path = running_path, quarantine_path
         self.totals, self.fmt, self.id_mode = totals, fmt, id_mode
@@ -177,9 +146,9 @@ class MatchEventSink:
         """Per-ban running totals continuing from earlier batches' totals."""
         prior = self.totals.read(before_batch=batch_id).select(
             "champion", F.col("ban_count").alias("prior"))
-        ranked = blocked_row_number(bans, ["champion"], ["match_id", "pos"],
-                                    F.floor(F.col("match_id") / RUNNING_BLOCK), out="rn")
-        running = (ranked.join(prior, "champion", "left")
+        ranked = running_ban_count(bans).withColumnRenamed("running", "rn")
+        prior = prior.withColumnRenamed("champion", "__champion")
+        running = (ranked.join(prior, F.col("champion").eqNullSafe(F.col("__champion")), "left")
                    .select("match_id", "pos", "champion",
                            (F.col("rn") + F.coalesce("prior", F.lit(0))).alias("running"))
                    .withColumn("batch_id", F.lit(batch_id).cast("bigint"))).persist()
@@ -198,10 +167,10 @@ def start_match_event_sink(records: DataFrame, sink: MatchEventSink, checkpoint:
     return _trigger(w, trigger).start()
 
 
-def run_available(query: StreamingQuery, timeout_s: int = 600) -> None:
-    """Wait for an ``availableNow`` query; re-raise its failure."""
+def run_available(query: StreamingQuery, timeout_s: int | None = None) -> None:
+    """Wait for an ``availableNow`` query (as long as it takes, or ``timeout_s``); re-raise its failure."""
     finished = query.awaitTermination(timeout_s)
-    if not finished:
+    if timeout_s is not None and not finished:
         query.stop()
         raise TimeoutError(f"streaming query {query.id} did not finish in {timeout_s}s")
     if query.exception() is not None:
@@ -215,14 +184,14 @@ def event_matches(records: DataFrame) -> DataFrame:
     the micro-batch as in the reference.
     """
     good, _ = split_quarantine(parse_events(records))
-    return good.select("match_id", F.to_timestamp_ntz("ts").alias("ts"),
-                       F.col("gameDuration").cast("bigint").alias("game_duration"), "winner")
+    return good.select("match_id", F.col("ts").try_cast("timestamp_ntz").alias("ts"),
+                       F.col("gameDuration").try_cast("bigint").alias("game_duration"), "winner")
 
 
 def start_match_jobs(records: DataFrame, root: str, trigger: dict | None = None,
-                     watermark: str = "1 hour", fmt: str = "parquet",
+                     watermark: str | None = None, fmt: str = "parquet",
                      reset: bool = False, time_basis: str = "event",
-                     dedupe_matches: bool = False) -> dict[str, StreamingQuery]:
+                     dedupe_matches: bool = False, id_mode: str = EVENT_ID_MODE) -> dict[str, StreamingQuery]:
     """Start the whole streaming side over one (key, value) record stream.
 
     Two queries: the windowed statistics (stateful, watermarked) and one
@@ -232,17 +201,18 @@ def start_match_jobs(records: DataFrame, root: str, trigger: dict | None = None,
     ``ban_count`` and ``stats`` upsert tables, the ``edges``/``vertices``/
     ``running``/``quarantine`` outputs and one checkpoint per query.
     ``reset`` empties the tables first (the reference truncates on every
-    start; by default we resume).
+    start; by default we resume).  ``id_mode`` chooses the players' ids: a
+    hash of the name (``xxhash64``, or ``murmur3`` for the reference's ids), or
+    ``key`` for events whose ids are numeric keys.
     """
     spark = records.sparkSession
-    ban = UpsertStore(spark, f"{root}/ban_count", ["champion"], "champion STRING, ban_count BIGINT").create()
-    st = UpsertStore(spark, f"{root}/stats", ["slot"],
-                     "slot TIMESTAMP_NTZ, duration BIGINT, red_win BIGINT, tot_matches BIGINT").create()
+    ban = UpsertStore(spark, f"{root}/ban_count", ["champion"], schemas.BAN_COUNT).create()
+    st = UpsertStore(spark, f"{root}/stats", ["slot"], schemas.MATCH_STATS).create()
     if reset:
         for s_ in (ban, st):
             s_.truncate()
     sink = MatchEventSink(f"{root}/edges", f"{root}/vertices", f"{root}/running", f"{root}/quarantine",
-                          ban, fmt=fmt)
+                          ban, fmt=fmt, id_mode=id_mode)
     return {
         "stats": start_sliding_stats(event_matches(records), st, f"{root}/_checkpoints/stats",
                                      watermark=watermark, trigger=trigger, time_basis=time_basis,

@@ -1,19 +1,23 @@
 """Keyed upsert tables without a key-value store.
 
 The reference upserts into database tables keyed by champion / window slot.
-Here a keyed table is an append-only log of deltas in Parquet, partitioned by
-(batch_id, part): each write of a micro-batch lands in its own partition and
-is written with dynamic partition overwrite, so replaying a batch after a
-failure replaces exactly what the failed attempt wrote (idempotent by batch
-id).  Reading resolves every key to its latest non-null value per column:
-
-    SELECT key, max_by(c, CASE WHEN c IS NOT NULL THEN (batch_id, part) END) ...
-
-which is also what makes *partial-column* upserts work: three writers may
-each upsert a different column of the same row, and the read merges them as
-``coalesce(new, old)`` per column.  ``compact`` folds old deltas into one
-snapshot when the log grows.  The resolution is one aggregation by key,
-combined map-side.
+Here a keyed table is a folder of versioned Parquet snapshots, one per
+(micro-batch, part):
+
+    <path>/v=00000000000000001000   snapshot after batch 0, part 0
+    <path>/v=00000000000000002000   snapshot after batch 1, part 0
+
+An upsert reads the newest complete version before its own, merges the new
+rows in (one aggregation by key: the latest non-null value per column, which
+is also what makes *partial-column* upserts work) and writes its own folder.
+A reader takes the newest version that carries Spark's success marker, so it
+never sees a half-written table, and no version that somebody may be reading
+is overwritten except by a replay of the very batch that wrote it, which
+writes the same rows again.  Versions older than the newest ``keep`` are
+removed after a successful write.
+
+The tables are small (a row per champion or per window slot), so a snapshot
+per micro-batch costs little; there is no log to fold.
 """
 
 from __future__ import annotations
@@ -21,82 +25,88 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
+
+PARTS = 1000  # parts a batch may have
+KEEP = 288    # versions kept: a day of 5-minute batches
 
 
 class UpsertStore:
-    def __init__(self, spark: SparkSession, path: str, key: list[str], schema: str | T.StructType):
+    def __init__(self, spark: SparkSession, path: str, key: list[str], schema: str | T.StructType,
+                 keep: int = KEEP):
         self.spark = spark
         self.path = path.rstrip("/")
         self.key = list(key)
         self.schema = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
         self.values = [f.name for f in self.schema.fields if f.name not in self.key]
+        self.keep = keep
 
-    # ---- table management -------------------------------------------------
-    def _log_schema(self) -> T.StructType:
-        return T.StructType(list(self.schema.fields) + [
-            T.StructField("batch_id", T.LongType()), T.StructField("part", T.IntegerType())])
+    # ---- versions -----------------------------------------------------------
+    def _fs(self):
+        """(Hadoop file system of the table, function from text to Hadoop path)."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path
+        return path(self.path).getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
+    def _folder(self, version: int) -> str:
+        return f"{self.path}/v={version:020d}"
+
+    def versions(self) -> list[int]:
+        """Complete versions, oldest first."""
+        fs, path = self._fs()
+        if not fs.exists(path(self.path)):
+            return []
+        found = [s.getPath().getName() for s in fs.listStatus(path(self.path)) if s.isDirectory()]
+        numbers = sorted(int(n[2:]) for n in found if n.startswith("v="))
+        return [n for n in numbers if fs.exists(path(f"{self._folder(n)}/_SUCCESS"))]
 
+    def _write(self, df: DataFrame, version: int) -> None:
+        df.write.mode("overwrite").parquet(self._folder(version))
+
+    # ---- table management -------------------------------------------------
     def _empty(self) -> DataFrame:
-        return self.spark.createDataFrame([], self._log_schema())
+        return self.spark.createDataFrame([], self.schema)
 
     def exists(self) -> bool:
-        try:
-            self.spark.read.parquet(self.path).limit(0).collect()
-            return True
-        except AnalysisException:
-            return False
+        return bool(self.versions())
 
     def create(self) -> "UpsertStore":
         """Create the table if it does not exist yet."""
         if not self.exists():
-            self._empty().write.mode("overwrite").partitionBy("batch_id", "part").parquet(self.path)
+            self._write(self._empty(), 0)
         return self
 
     def truncate(self) -> "UpsertStore":
-        """Empty the table (start-of-job reset)."""
-        self._empty().write.mode("overwrite").partitionBy("batch_id", "part").parquet(self.path)
+        """Empty the table (start-of-job reset): all versions go, so a fresh
+        checkpoint that counts batches from 0 again starts from nothing."""
+        fs, path = self._fs()
+        fs.delete(path(self.path), True)
+        self._write(self._empty(), 0)
         return self
 
     # ---- writes -------------------------------------------------------------
     def upsert(self, df: DataFrame, batch_id: int, part: int = 0) -> None:
         """Upsert rows of ``df`` (key + any subset of value columns)."""
+        version = (batch_id + 1) * PARTS + part
         cols = [F.col(c) if c in df.columns else F.lit(None).cast(self.schema[c].dataType).alias(c)
                 for c in self.key + self.values]
-        out = df.select(*cols).withColumn("batch_id", F.lit(batch_id).cast("bigint")).withColumn(
-            "part", F.lit(part))
-        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id", "part").parquet(self.path))
+        both = (self._as_of(version).withColumn("__new", F.lit(0))
+                .unionByName(df.select(*cols).withColumn("__new", F.lit(1))))
+        aggs = [F.max_by(c, F.when(F.col(c).isNotNull(), F.col("__new"))).alias(c) for c in self.values]
+        self._write(both.groupBy(*self.key).agg(*aggs).select(*self.schema.fieldNames()), version)
+        self._expire()
+
+    def _expire(self) -> None:
+        fs, path = self._fs()
+        for old in self.versions()[:-self.keep]:
+            fs.delete(path(self._folder(old)), True)
 
     # ---- reads ---------------------------------------------------------------
+    def _as_of(self, version: int | None) -> DataFrame:
+        known = [v for v in self.versions() if version is None or v < version]
+        if not known:
+            return self._empty()
+        return self.spark.read.schema(self.schema).parquet(self._folder(known[-1]))
+
     def read(self, before_batch: int | None = None) -> DataFrame:
-        """Resolved table; ``before_batch`` reads the state as of that batch's start."""
-        log = self.spark.read.schema(self._log_schema()).parquet(self.path)
-        if before_batch is not None:
-            log = log.filter(F.col("batch_id") < before_batch)
-        order = F.col("batch_id") * 1_000_000 + F.col("part")
-        aggs = [F.max_by(c, F.when(F.col(c).isNotNull(), order)).alias(c) for c in self.values]
-        return log.groupBy(*self.key).agg(*aggs).select(*self.key, *self.values)
-
-    def compact(self, up_to_batch: int) -> None:
-        """Merge the deltas of batches <= ``up_to_batch`` into one snapshot.
-
-        The snapshot is stamped (up_to_batch, part -1), so it sorts before
-        any delta of that batch and reads "as of" later batches are
-        unchanged; newer deltas are kept as they are.  Only batches a stream
-        will not replay (committed ones) should be compacted.  The rows are
-        staged in a sibling folder first, so the table is never overwritten
-        while it is being read, and an interrupted compaction resumes from the
-        staged copy instead of recomputing from a half-replaced log.
-        """
-        stage = f"{self.path}__compact_{up_to_batch}"
-        try:
-            self.spark.read.parquet(stage).limit(0).collect()
-        except AnalysisException:
-            merged = (self.read(before_batch=up_to_batch + 1)
-                      .withColumn("batch_id", F.lit(up_to_batch).cast("bigint")).withColumn("part", F.lit(-1)))
-            newer = (self.spark.read.schema(self._log_schema()).parquet(self.path)
-                     .filter(F.col("batch_id") > up_to_batch))
-            merged.unionByName(newer).write.mode("overwrite").parquet(stage)
-        (self.spark.read.schema(self._log_schema()).parquet(stage)
-         .write.mode("overwrite").partitionBy("batch_id", "part").parquet(self.path))
+        """The newest complete version; ``before_batch`` reads the state as of that batch's start."""
+        version = None if before_batch is None else (before_batch + 1) * PARTS
+        return self._as_of(version).select(*self.key, *self.values)

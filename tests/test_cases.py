@@ -158,7 +158,7 @@ def test_running_count_blocks_match_plain_window(spark):
     # a hot champion spread over many blocks, block size 3 ids
     data = [(m, p, "hot" if (m + p) % 4 else "cold") for m in range(1, 40) for p in range(1, 4)]
     mb = spark.createDataFrame(data, "match_id long, pos int, champion string")
-    got = rows(bans.running_ban_count(mb, block_size=3))
+    got = rows(bans.running_ban_count(mb, blocks=13))
     pdf = pd.DataFrame(data, columns=["match_id", "pos", "champion"]).sort_values(["match_id", "pos"])
     pdf["running"] = pdf.groupby("champion").cumcount() + 1
     assert got == sorted(map(tuple, pdf.itertuples(index=False)))

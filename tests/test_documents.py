@@ -73,6 +73,42 @@ def test_identity_lookup_inside_document(spark):
     assert normalize.match_events(flat).first().game_duration == 61
 
 
+def test_tracked_participant_is_the_last_in_the_identity_list(spark):
+    who = lambda pid, name: {"participantId": pid, "player": {"summonerId": str(pid), "summonerName": name}}
+    doc = {"gameId": 5, "gameCreation": 0, "gameDuration": 60.0,
+           "teams": [{"teamId": 100, "win": "Fail", "bans": []}, {"teamId": 200, "win": "Win", "bans": []}],
+           "participants": [{"participantId": p, "championId": p, "teamId": 100 if p != 2 else 200} for p in (1, 2, 3)],
+           "participantIdentities": [who(2, "Me"), who(1, "Me"), who(3, "You")]}
+    path = scratch_path(spark, "raw-order")
+    write_lines(spark, path, [json.dumps(doc)])
+    t = match_model(spark, [], [], players=[(1, "Me", True)], match_list=[(1, 5)])
+    flat = documents.flatten_raw_matches(documents.read_raw_matches(spark, path), t.champions, t.players, t.match_list)
+    (e,) = normalize.match_edges(flat).collect()
+    assert (e.my_champion, e.competition, e.his_name) == ("Champ1", "Together", "You")
+
+
+def test_junk_documents_give_no_match(spark):
+    path = scratch_path(spark, "raw-junk")
+    write_lines(spark, path, ["junk", "{}", json.dumps({"gameId": 1, "gameDuration": 1e30, "teams": [], "participants": []})])
+    docs = documents.read_raw_matches(spark, path)
+    good, bad = documents.split_raw_matches(docs)
+    assert good.count() == 0 and bad.count() == 3
+    assert bad.filter(F.col(documents.CORRUPT).isNotNull()).count() == 1
+    t = match_model(spark, [], [])
+    assert documents.flatten_raw_matches(docs, t.champions, t.players, t.match_list).matches.count() == 0
+
+
+def test_slices_and_polls_keep_games_without_a_player(spark):
+    ev = spark.createDataFrame([(1, T0, None, "a"), (2, T0, 7, "a"), (3, T0 + dt.timedelta(minutes=1), None, "a")],
+                               "event_id long, ts timestamp_ntz, user_id long, event_type string")
+    got = sorted((r.game_id, r.idx, r.end_index) for r in matchlist.match_list_slices(ev, F.lit(T0).cast("timestamp_ntz")).collect())
+    assert got == [(1, 0, 2), (2, 0, 1), (3, 1, 2)]
+    g = ev.select(F.col("user_id").alias("player"), F.col("event_id").alias("game_id"), "ts")
+    cursor = spark.createDataFrame([(None, T0)], "player long, last_ts timestamp_ntz")
+    new, _ = matchlist.poll_increment(g, cursor, F.lit(T0).cast("timestamp_ntz"))
+    assert sorted(r.game_id for r in new.collect()) == [2, 3]
+
+
 def test_poll_increment_high_water_mark(spark):
     g = spark.createDataFrame([(1, 10, T0), (1, 11, T0 + dt.timedelta(hours=1)), (2, 20, T0),
                                (3, 30, T0 - dt.timedelta(days=1))], "player long, game_id long, ts timestamp_ntz")

@@ -9,11 +9,12 @@ import sys
 import pytest
 
 import __spark_entry__ as entry
+from skirmish.plans import oracle, queries
 from tests.conftest import SF_SMALL
 from tests.util import duck, normalise
 
-ORACLE = entry.oracle_sql()
-QUERIES = entry.queries()
+ORACLE = oracle.oracle_sql()
+QUERIES = queries.REGISTRY
 
 
 @pytest.fixture(scope="module")
@@ -32,6 +33,7 @@ def test_query_matches_oracle(spark, con, name):
 
 def test_every_query_has_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
 def test_entry_runs(spark):

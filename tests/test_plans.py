@@ -2,21 +2,37 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 
 from skirmish.plans.queries import REGISTRY
 from tests.conftest import SF_SMALL
+from scripts.plan_report import EagerWrites, census, final_plan
 from tests.util import executed_plan
 
 BAD = ("CartesianProduct", "BroadcastNestedLoopJoin")
-PURE = sorted(n for n in REGISTRY if n not in {"ban_counts_stream", "stats_sliding_stream"})
 
 
-@pytest.mark.parametrize("name", PURE)
+@pytest.mark.parametrize("name", sorted(REGISTRY))
 def test_no_cartesian_or_nested_loop(spark, name):
-    plan = executed_plan(REGISTRY[name](spark, SF_SMALL))
-    for bad in BAD:
-        assert bad not in plan, f"{name} plans a {bad}"
+    """Neither in the result's plan nor in that of anything the query writes on the way."""
+    with EagerWrites() as eager:
+        df = REGISTRY[name](spark, SF_SMALL)
+    for plan in [*eager.plans, executed_plan(df)]:
+        for bad in BAD:
+            assert bad not in plan, f"{name} plans a {bad}"
+
+
+def test_report_keeps_the_main_plan_behind_a_subquery(spark):
+    for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+        spark.conf.set(k, "-1")
+    try:
+        c = census(final_plan(REGISTRY["banned_subgraph"](spark, SF_SMALL)))
+    finally:
+        for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+            spark.conf.unset(k)
+    assert c["scan"] >= 4 and c["SMJ"] >= 4  # the subquery alone has fewer
 
 
 def test_top_k_is_take_ordered(spark):
@@ -54,5 +70,21 @@ def test_banned_filter_needs_no_join(spark):
 
 def test_running_count_avoids_single_key_window(spark):
     plan = executed_plan(REGISTRY["ban_running_count"](spark, SF_SMALL))
-    # every window is partitioned by champion plus a block (or is the small offset table)
-    assert "__block" in plan
+    numbered = [line for line in plan.splitlines() if "row_number()" in line and "windowspecdefinition" in line]
+    assert numbered and all(re.search(r"windowspecdefinition\(champion#\d+, __block#\d+L?,", line) for line in numbered)
+
+
+def test_running_count_has_few_blocks_and_more_than_one(spark):
+    from skirmish.functions.ranking import order_blocks
+    from skirmish.operators.bans import RUNNING_BLOCKS
+    from skirmish.operators.normalize import match_bans
+    from skirmish.sources import tables
+    b = match_bans(tables.load(spark, SF_SMALL)).cache()
+    seen = b.select(order_blocks(b, "match_id", RUNNING_BLOCKS).alias("b")).distinct().count()
+    assert 1 < seen <= RUNNING_BLOCKS
+    b.unpersist()
+
+
+def test_match_list_slices_shuffle_the_games_once(spark):
+    plan = census(final_plan(REGISTRY["match_list_slice"](spark, SF_SMALL)))
+    assert plan["shuffle"] == 1 and plan["SMJ"] + plan["SHJ"] + plan["BHJ"] == 0

@@ -35,14 +35,14 @@ ban_rows = st.lists(st.tuples(st.integers(1, 30), st.integers(1, 5), st.sampled_
 @given(ban_rows, st.integers(1, 7))
 def test_running_count_max_is_total_and_order_invariant(spark, bs, block):
     mb = spark.createDataFrame(bs, "match_id long, pos int, champion string")
-    run = bans.running_ban_count(mb, block_size=block)
+    run = bans.running_ban_count(mb, blocks=block)
     per = {r.champion: (r.mx, r.n) for r in run.groupBy("champion").agg(
         F.max("running").alias("mx"), F.count(F.lit(1)).alias("n")).collect()}
     assert all(mx == n for mx, n in per.values())
     totals = {r.champion: r.ban_count for r in bans.ban_counts(mb).collect()}
     assert {c: n for c, (_, n) in per.items()} == totals
     shuffled = spark.createDataFrame(list(reversed(bs)), "match_id long, pos int, champion string")
-    assert rows(bans.running_ban_count(shuffled, block_size=block)) == rows(run)
+    assert rows(bans.running_ban_count(shuffled, blocks=block)) == rows(run)
 
 
 match_rows = st.lists(st.tuples(st.integers(0, 3000), st.integers(0, 3000), st.sampled_from(["Red", "Blue"])),

@@ -19,7 +19,7 @@ def hot_bans(n=30_000, seed=7):
 def test_running_count_exact_with_hot_key(spark):
     pdf = hot_bans()
     df = spark.createDataFrame(pdf)
-    got = bans.running_ban_count(df, block_size=500).toPandas().sort_values(["match_id", "pos"])
+    got = bans.running_ban_count(df, blocks=20).toPandas().sort_values(["match_id", "pos"])
     exp = pdf.sort_values(["match_id", "pos"]).assign(running=lambda x: x.groupby("champion").cumcount() + 1)
     assert got["running"].tolist() == exp["running"].tolist()
 
@@ -49,16 +49,11 @@ def test_degrees_of_a_hub_vertex(spark):
     assert d[1] == (0, n) and d[2] == (1, 0) and d[3] == (1, 0)
 
 
-def test_skew_safe_edges_equal_default(spark, small_tables):
-    from skirmish.operators import normalize
-    from tests.util import rows
-    assert rows(normalize.match_edges(small_tables, skew_safe=True)) == rows(normalize.match_edges(small_tables))
-
-
-def test_skew_safe_edges_on_a_hot_match(spark):
+def test_edges_of_a_hot_match(spark):
     import datetime as dt
     from skirmish.operators import normalize
-    from tests.util import match_model, rows
+    from scripts.plan_report import final_plan
+    from tests.util import match_model
     t0 = dt.datetime(2024, 1, 1)
     # match 1 holds most participants; the tracked player (1) appears twice, the last one wins
     parts = [(1, i, 100 + i, i % 7 + 1, 100 if i % 2 else 200) for i in range(1, 3000)]
@@ -66,6 +61,21 @@ def test_skew_safe_edges_on_a_hot_match(spark):
     players = [(k, f"P{k}", k < 10) for k in range(1, 3200)]
     t = match_model(spark, [(1, t0, 10, 100, "Win", 200, "Fail", 1), (2, t0, 10, 100, "Fail", 200, "Win", 2)],
                     parts, players=players)
-    fast, safe = normalize.match_edges(t), normalize.match_edges(t, skew_safe=True)
-    assert rows(safe) == rows(fast)
-    assert {r.my_champion for r in safe.filter("match_id = 1").collect()} == {"Champ5"}
+    edges = normalize.match_edges(t)
+    assert edges.filter("match_id = 1").count() == 2999  # everyone but the tracked player's two seats
+    assert {r.my_champion for r in edges.filter("match_id = 1").collect()} == {"Champ5"}
+    # no window and no grouping by match alone: the join on match_id may be split
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    big = t.__class__(**{**t.__dict__, "participants": t.participants.repartition(8)})
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        plan = final_plan(normalize.match_edges(big))
+    finally:
+        for k in keys:
+            spark.conf.unset(k)
+    assert "Window" not in plan
+    assert "skew" in plan
