@@ -14,12 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skirmish.llm import near_dedup, packing, quality, secret_scan, toxicity
+from skirmish.llm.arrays import bounded_batches
 from skirmish.llm.queries import vocabulary
 from skirmish.session import materialize
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rule and the fences of their language and source."""
+    bounded_batches(spark)
     seen = quality.annotate(docs)
     limits = materialize(quality.thresholds(quality.sketch(seen)), "quality-fences")
     judged = quality.judge(seen, limits, failed="__failed", kept="__kept")

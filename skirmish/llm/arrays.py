@@ -31,6 +31,17 @@ def task_udf(fn, ddl: str):
     return F.arrow_udf(fn, ddl).asNondeterministic()
 
 
+def bounded_batches(spark) -> None:
+    """Hand texts to Python in Arrow batches of at most 16 MB (Spark's default is 64 MB), unless the session says otherwise.
+
+    Texts may be long, and an executor holds a batch per core several times over (Arrow buffers, the pipe,
+    the worker), so this bounds what a task needs beside its own chunk.
+    """
+    key, default = "spark.sql.execution.arrow.maxBytesPerBatch", str(64 << 20)
+    if spark.conf.get(key).rstrip("bB") == default:
+        spark.conf.set(key, str(16 << 20))
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Finaliser of a 64-bit hash (bijective)."""
     x = x ^ (x >> np.uint64(33))

@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from ..session import materialize, scratch_path
 from . import bpe, fingerprints, near_dedup, packing, quality, secret_scan, sharding, token_files, toxicity, url_filter
+from .arrays import bounded_batches
 
 
 def _documents(spark: SparkSession, d: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{d}/documents.parquet")
 
 

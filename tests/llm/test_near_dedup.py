@@ -1,0 +1,202 @@
+"""Near-duplicates against brute force; sharding and fingerprints against plain formulations."""
+
+from __future__ import annotations
+
+import collections
+import hashlib
+import itertools
+import random
+import re
+
+import numpy as np
+import pyarrow as pa
+
+from skirmish.llm import fingerprints, near_dedup, oracle, sharding
+from skirmish.llm.arrays import Powers, text_chunks
+from skirmish.session import scratch_path
+from tests.conftest import SF_MID, SF_SMALL
+from tests.llm.util import awkward, duck, empty
+from tests.util import normalise
+
+
+def shingles(text):
+    low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    w = re.findall(r"[^\x20\x09-\x0D]+", low)
+    return {tuple(w[i:i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
+
+
+def brute(docs, percent=85):
+    root = {i: i for i, _ in docs}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    sets = [(i, shingles(t)) for i, t in docs]
+    for (a, x), (b, y) in itertools.combinations(sets, 2):
+        if x and y and 100 * len(x & y) >= percent * len(x | y):
+            p, q = find(a), find(b)
+            root[max(p, q)] = min(p, q)
+    return {i: find(i) for i, _ in docs}, {i: len(s) for i, s in sets}
+
+
+def near_copies(seed=2, groups=12):
+    """Groups of copies with word edits around the threshold, chains, and members unlike the lowest id."""
+    r, out = random.Random(seed), []
+    for _ in range(groups):
+        base = [f"w{r.randrange(5000)}" for _ in range(r.choice([4, 12, 60, 150]))]
+        out.append(" ".join(base))
+        for _ in range(r.randint(0, 25)):
+            words = (base if r.random() < 0.7 else out[-1].split())[:]
+            for _ in range(r.choice([0, 1, 1, 2, 3])):
+                words[r.randrange(len(words))] = f"x{r.randrange(10 ** 6)}"
+            out.append(" ".join(words))
+    r.shuffle(out)
+    return list(enumerate(out))
+
+
+def test_components_equal_brute_force(spark):
+    for seed in (2, 3):
+        docs = near_copies(seed)
+        got = {r.doc_id: r for r in near_dedup.components(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()}
+        component, size = brute(docs)
+        assert {i: r.component_id for i, r in got.items()} == component
+        assert {i: r.n_shingles for i, r in got.items()} == size
+        assert all(r.kept == (i == component[i]) for i, r in got.items())
+
+
+def test_leftover_blocks_lose_no_link(spark, monkeypatch):
+    """Tiny blocks: every two blocks of a bucket still meet."""
+    docs = near_copies(5, 4)
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    monkeypatch.setattr(near_dedup, "compatible", lambda a, b, percent: near_dedup.F.lit(False))  # no stars at all
+    monkeypatch.setattr(near_dedup.apart_links, "__defaults__", (85, 7))
+    assert {r.doc_id: r.component_id for r in near_dedup.components(frame).collect()} == brute(docs)[0]
+
+
+def test_densified_signatures_are_alike_as_the_sets():
+
+    words = [f"t{i}" for i in range(400)]
+    a, b = " ".join(words), " ".join(words[:300] + [f"u{i}" for i in range(100)])
+    _, _, data, starts = next(text_chunks(pa.array([a, b, "only three words", ""])))
+    doc, value, size = near_dedup.shingle_sets(data, starts, Powers())
+    m = near_dedup.densified(doc, value, 4, near_dedup.borrow_order(192))
+    assert (m[2] == m[2][0]).all() and not m[3].any()
+    x, y = shingles(a), shingles(b)
+    assert abs((m[0] == m[1]).mean() - len(x & y) / len(x | y)) < 0.12 and size.tolist() == [len(x), len(y), 1, 0]
+
+
+def test_connected_on_chains_and_stars(spark):
+    edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 60)] + [(5, 200), (300, 300)]
+    got = dict(near_dedup.connected(spark.createDataFrame(edges, "a bigint, b bigint")).collect())
+    assert got == {**{i: 0 for i in range(1, 41)}, 200: 0, **{100 + i: 100 for i in range(1, 60)}}
+
+
+def test_near_dedup_awkward(spark):
+    rows = near_dedup.components(awkward(spark)).collect()
+    got = collections.defaultdict(set)
+    for r in rows:
+        got[r.doc_id].add((r.n_shingles, r.component_id, r.kept))
+    assert len(rows) == 10
+    assert got[1] == {(9, 1, True)} and got[5] == {(9, 1, False)} and got[2] == {(0, 2, True)} and got[3] == {(0, 3, True)}
+    assert got[6] == {(0, 6, True)} and got[-3] == {(1, -3, True)} and {x[1:] for x in got[None]} == {(None, True)}
+    kept = near_dedup.keep_one(awkward(spark))
+    assert kept.columns == awkward(spark).columns
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in kept.collect()) == [
+        (False, -3), (False, 1), (False, 2), (False, 3), (False, 4), (False, 6), (False, 7), (True, 0)]
+    assert near_dedup.components(empty(spark)).count() == 0 and near_dedup.keep_one(empty(spark)).count() == 0
+
+
+def test_sharding_equals_its_sql(spark):
+    docs = spark.read.parquet(f"{SF_MID}/documents.parquet").select("doc_id", "text")
+    got = sharding.write(docs, scratch_path(spark, "t-shards")).select(
+        "doc_id", sharding.size_of().alias("size"), sharding.F.col("__shard").alias("shard"), sharding.F.lit("bytes").alias("law"),
+        sharding.F.lit(None).cast("int").alias("grown_shard"))
+    want = duck(SF_MID).sql(oracle.sharding_sql()).df()
+    assert normalise(got.toPandas()[["doc_id", "size", "shard"]]).equals(normalise(want[["doc_id", "size", "shard"]]))
+
+
+def test_sharding_hot_group_slots_and_awkward(spark):
+    hot = spark.range(4000).selectExpr("id AS doc_id", "IF(id % 3 = 0, 'the same text', repeat(concat('t', id), 1 + id % 7)) AS text", "id AS __note")
+    back = sharding.write(hot, scratch_path(spark, "t-hot")).collect()
+    by = collections.defaultdict(list)
+    for r in back:
+        by[r["__shard"]].append(r)
+        assert r["__note"] == r.doc_id
+    assert sorted(by) == list(range(16)) and len(back) == 4000
+    size = [sum(len(r.text) + 1 for r in rows) for rows in by.values()]
+    assert max(size) - min(size) <= 0.05 * max(size)
+    assert all(sorted(r["__slot"] for r in rows) == list(range(len(rows))) for rows in by.values())
+    assert max(len({r["__shard"] for r in back if r.text == t}) for t in {r.text for r in back if r.text != "the same text"}) == 1
+    odd = awkward(spark)
+    back = sharding.write(odd, scratch_path(spark, "t-odd"))
+    assert back.drop("__slot", "__shard").exceptAll(odd).count() == 0 and back.count() == 10
+    assert len({(r["__shard"], r["__slot"]) for r in back.collect()}) == 10
+    assert sharding.write(empty(spark), scratch_path(spark, "t-none")).count() == 0
+
+
+def names_by_level(text, levels=4):
+    codes = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64)
+    names, starts, out = fingerprints.mix(codes + np.uint64(1)), np.array([0, len(codes)]), []
+    for _ in range(levels):
+        names, starts = fingerprints.round_of(names, starts)
+        out.append(names.tolist())
+    return out
+
+
+def test_equal_substrings_share_interior_names_at_any_offset():
+    r = random.Random(6)
+    letters = "abcdefghijklmnop     "
+    core = "".join(r.choice(letters) for _ in range(2000))
+    before = ["".join(r.choice(letters) for _ in range(n)) for n in (0, 1, 7, 333)]
+    for a, b in itertools.combinations([names_by_level(x + core + x[::-1]) for x in before], 2):
+        for level, (x, y) in enumerate(zip(a, b), 1):
+
+            common = sum((collections.Counter(x) & collections.Counter(y)).values())
+            assert common >= 2000 / 3 ** level - 12
+
+
+def test_phrases_are_short_and_runs_collapse():
+    for text in ("a" * 5000, "ab" * 3000, "abc" * 2000, "".join(chr(97 + i % 26) for i in range(5000))):
+        levels = names_by_level(text, 3)
+        assert len(levels[0]) <= len(text) / 2 + 1 and all(len(q) <= len(p) / 2 + 1 for p, q in itertools.pairwise(levels))
+
+
+def plain_compare(docs):
+    order = sorted(docs, key=lambda r: -r[0])
+    for k, (i, t) in enumerate(order):
+        nxt = order[(k + 1) % len(order)][1] or ""
+        t = t or ""
+        e = t[:len(t) - len(t) // 3] + nxt[:len(t) // 3]
+        a, b, c = (fingerprints.sketches([x])[0] for x in (t, e, nxt))
+        yield (i, len(t), hashlib.sha256(e.encode()).hexdigest(), fingerprints.spelled(a), fingerprints.spelled(b),
+               fingerprints.alike(a, b), fingerprints.alike(a, c))
+
+
+def test_compared_equals_plain_python(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    want = sorted(plain_compare([(r.doc_id, r.text) for r in docs.collect()]))
+    got = sorted(tuple(r) for r in fingerprints.compared(docs).collect())
+    assert got == want
+    near = np.array([r[5] for r in got if r[1] > 500])
+    assert np.median(near) > 0.4 and np.median([r[6] for r in got]) < 0.05
+
+
+def test_compared_awkward(spark):
+    rows = fingerprints.compared(awkward(spark)).collect()
+    assert len(rows) == 10 and sum(r.doc_id is None for r in rows) == 1
+    same = [r for r in rows if r.doc_id == 5]
+    assert len(same) == 2 and same[0].fingerprint == same[1].fingerprint == next(r for r in rows if r.doc_id == 1).fingerprint
+    assert any(r.near_next == 1.0 for r in same)  # the repeated rows follow one another
+    blank = next(r for r in rows if r.doc_id == 2)
+    assert (blank.n_chars, blank.fingerprint) == (0, "")
+    one = spark.createDataFrame([(9, "alone in the table")], "doc_id bigint, text string")
+    (r,) = fingerprints.compared(one).collect()
+    assert r.near_next == 1.0 and r.edited_sha256 == hashlib.sha256(b"alone in the alone ").hexdigest()
+    nameless = spark.createDataFrame([(None, "a b c"), (None, "d e f")], "doc_id bigint, text string")
+    assert fingerprints.compared(nameless).count() == 2
+    assert fingerprints.compared(empty(spark)).count() == 0
+    pair = spark.createDataFrame([("some text to print", None), ("some text to print", "some text to print")], "a string, b string")
+    f = pair.select(fingerprints.fingerprint(pair.a).alias("a"), fingerprints.fingerprint(pair.b).alias("b"))
+    assert [r[0] for r in f.select(fingerprints.likeness(f.a, f.b)).collect()] == [0.0, 1.0]
