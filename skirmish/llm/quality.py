@@ -64,7 +64,7 @@ def _chunk_features(data: np.ndarray, starts: np.ndarray, power: Powers) -> dict
     cut = np.flatnonzero(data == 10)
     line_begin = np.union1d(starts[:-1], cut + 1)
     line_begin = line_begin[line_begin < len(data)]
-    line_end = np.append(line_begin[1:], len(data))
+    line_end = np.append(line_begin[1:], len(data))[:len(line_begin)]
     line_end = line_end - (data[line_end - 1] == 10) if len(line_end) else line_end
     has_word = np.searchsorted(begin, line_end) > np.searchsorted(begin, line_begin)
     line_begin, line_end = line_begin[has_word], line_end[has_word]
