@@ -35,9 +35,12 @@ def non_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.filter(F.col("__score") < 0.5).select(*docs.columns)
 
 
+NEAR_PERCENT = 80  # similarity of 5-word shingle sets that makes documents near-duplicates
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
-    return near_dedup.keep_one(docs)
+    """One document of each group of near-duplicates (similarity of 0.8 or more)."""
+    return near_dedup.keep_one(docs, NEAR_PERCENT)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -241,7 +241,7 @@ def test_pipeline_stages_against_their_operators(spark):
     assert ids[1] == {r.doc_id for r in queries.op7_quality_rules(spark, SF_SMALL).filter("kept").collect()}
     weights, bias = toxicity.train(seen[1], spark.read.parquet(f"{SF_SMALL}/labels.parquet"))
     assert ids[2] == {r.doc_id for r in seen[1].filter(toxicity.score(F.col("text"), weights, bias) < 0.5).collect()}
-    component, _ = brute([(r.doc_id, r.text) for r in seen[2].collect()])
+    component, _ = brute([(r.doc_id, r.text) for r in seen[2].collect()], corpus_pipeline.NEAR_PERCENT)
     assert ids[3] == set(component.values()) and ids[4] == ids[5] == ids[3]
     before, after = ({r.doc_id: r for r in d.collect()} for d in seen[3:5])
     for i, r in before.items():
