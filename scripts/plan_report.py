@@ -1,14 +1,13 @@
 """Physical-plan census of every registered query -> PLANS.md.
 
-    python scripts/plan_report.py [sf_dir]
+    python scripts/plan_report.py [sf_dir [query ...]]
 
 Each query is executed (no-op sink) and its final adaptive plan is scanned for
 shuffles, broadcasts, join strategies, windows and aggregates.  Two settings:
 ``default`` (Spark/AQE decide broadcasts by measured size) and ``no-broadcast``
 (broadcast thresholds off, i.e. every dimension too large to broadcast, as at
-cluster scale; explicit bounded broadcasts remain).  Queries that write before
-returning (streams, exports, materialised graph edges) are counted for their
-returned read plan only.
+cluster scale; explicit bounded broadcasts remain).  What a query writes before
+returning (streams, exports, materialised graph edges) is counted with it.
 """
 
 from __future__ import annotations
@@ -125,6 +124,7 @@ def main() -> None:
     from skirmish.session import build_session
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+    names = sys.argv[2:] or list(REGISTRY)
     spark = build_session("local[8]", shuffle_partitions=8)
     out = ["# PLANS", "", f"Physical-plan census of the registered queries at `{sf_dir}` "
            "(generated by `scripts/plan_report.py`).", "",
@@ -140,7 +140,8 @@ def main() -> None:
             spark.conf.set(k, v)
         cols = [*PATTERNS, "reused"]
         out += [f"## {label}", "", "| query | " + " | ".join(cols) + " |", "|---|" + "---:|" * len(cols)]
-        for name, fn in REGISTRY.items():
+        for name in names:
+            fn = REGISTRY[name]
             with EagerWrites() as eager:
                 df = fn(spark, sf_dir)
             c = collections.Counter()
