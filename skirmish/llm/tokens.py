@@ -26,8 +26,8 @@ SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
 WHITE_SPACE = [9, 10, 11, 12, 13, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 #: Texts that hold the string of a special token are cut around it.
 SPECIAL = "<|endoftext|>"
-TABLE_BITS = 22
-TABLE_WORDS = 1 << 21
+TABLE_BITS = 20
+TABLE_WORDS = 1 << 19
 
 
 
