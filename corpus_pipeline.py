@@ -45,11 +45,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, every secret replaced by a mark; n_chars follows the new text."""
-    field = secret_scan.train(docs)
-    found = docs.withColumn("__spans", secret_scan.scan(F.col("text"), field))
-    clean = found.withColumn("__clean", secret_scan.redact(F.col("text"), F.col("__spans")))
-    touched = F.size("__spans") > 0
-    new = {"text": F.col("__clean"), "n_chars": F.when(touched, F.length("__clean").cast("bigint")).otherwise(F.col("n_chars"))}
+    clean = docs.withColumn("__clean", secret_scan.redact(F.col("text"), secret_scan.train(docs)))
+    new = {"text": F.coalesce("__clean", "text"), "n_chars": F.coalesce(F.length("__clean").cast("bigint"), "n_chars")}
     return clean.select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns])
 
 

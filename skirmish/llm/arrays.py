@@ -96,6 +96,7 @@ def text_chunks(column, chunk_bytes: int = CHUNK_BYTES, chunk_rows: int = CHUNK_
         j = min(max(j, i + 1), i + chunk_rows, n)
         yield i, j, data[at[i]:at[j]], at[i:j + 1] - at[i]
         i = j
+    pa.default_memory_pool().release_unused()  # what earlier batches needed goes back before the next one comes
 
 
 def word_spans(data: np.ndarray, starts: np.ndarray, white: np.ndarray = WHITE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

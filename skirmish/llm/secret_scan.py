@@ -152,9 +152,9 @@ class Field:
             total += t[features[n]]
         return total
 
-    def fit(self, windows: list[tuple[dict[str, np.ndarray], np.ndarray]], epochs: int = 5, rate: float = 0.3,
+    def fit(self, windows: list[tuple[np.ndarray, np.ndarray]], epochs: int = 5, rate: float = 0.3,
             decay: float = 1e-4, batch: int = 256, seed: int = 5) -> "Field":
-        """``windows``: (feature indices, tags) of short token sequences."""
+        """``windows``: (feature indices in the order of ``TABLES`` x tokens, tags) of short token sequences."""
         rng = np.random.default_rng(seed)
         square = {n: np.full_like(t, 1e-4) for n, t in self.table.items()} | {"": np.full_like(self.step, 1e-4)}
         rows = np.arange(len(windows))
@@ -165,7 +165,7 @@ class Field:
                 size = np.array([len(t) for _, t in picked])
                 width = int(size.max())
                 place = np.arange(width)[None, :] < size[:, None]
-                flat = {n: np.concatenate([f[n] for f, _ in picked]) for n in self.table}
+                flat = dict(zip(TABLES, np.concatenate([f for f, _ in picked], axis=1)))
                 gold = np.zeros(place.shape, np.int64)
                 gold[place] = np.concatenate([t for _, t in picked])
                 score = np.zeros((*place.shape, TAGS), np.float32)
@@ -255,7 +255,7 @@ def random_value(rng: np.random.Generator) -> str:
     return "".join(letters[i] for i in rng.integers(len(letters), size=n))
 
 
-def training_windows(texts: list[str], repeats: int = REPEATS, width: int = 8, seed: int = 9) -> list[tuple[dict, np.ndarray]]:
+def training_windows(texts: list[str], repeats: int = REPEATS, width: int = 8, seed: int = 9) -> list[tuple[np.ndarray, np.ndarray]]:
     """Labelled token windows of sampled texts; empty if no text holds a base span."""
     rng, power = np.random.default_rng(seed), Powers()
     labelled: list[tuple[str, list[tuple[int, int]]]] = []
@@ -303,7 +303,8 @@ def training_windows(texts: list[str], repeats: int = REPEATS, width: int = 8, s
         for c in centres:
             lo, hi = max(0, c - width), min(m, c + width + 1)
             same = np.flatnonzero(tokens.line[lo:hi] == tokens.line[c]) + lo
-            windows.append(({n: f[same] for n, f in tokens.features.items()}, np.where((tag[same] == 2) & (same == same[0]), 1, tag[same])))
+            windows.append((np.stack([tokens.features[n][same] for n in TABLES]).astype(np.int16),
+                            np.where((tag[same] == 2) & (same == same[0]), 1, tag[same]).astype(np.int8)))
     return windows
 
 
@@ -313,32 +314,40 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Field:
     rows = docs.select("doc_id", "text").filter(F.octet_length("text") <= SAMPLE_BYTES).join(F.broadcast(ids), "doc_id")
     texts = rows.dropDuplicates(["doc_id"]).toArrow().sort_by("doc_id").column("text").to_pylist()
     windows = training_windows(texts)
+    del texts
+    pa.default_memory_pool().release_unused()
     return Field().fit(windows) if windows else Field()
 
 
+def spans_of(column: pa.Array, field: Field, power: Powers):
+    """Yield the spans (kind, start, end in code points) of every text, by start and then kind, and the text if it has any."""
+    for _, _, data, starts in text_chunks(column):
+        per_doc: dict[int, list[tuple[str, int, int]]] = {}
+        for d in suspects(data, starts).tolist():
+            if spans := base_spans(data[starts[d]:starts[d + 1]].tobytes().decode()):
+                per_doc[d] = spans
+        extra = tagged_spans(Tokens(data, starts, power), field)
+        if extra:
+            points = np.append(0, np.cumsum((data & 0xC0) != 0x80))
+            for d, b, e in extra:
+                b, e = int(points[b] - points[starts[d]]), int(points[e] - points[starts[d]])
+                if all(e <= x or b >= y for k, x, y in per_doc.get(d, []) if k != "crf"):
+                    per_doc.setdefault(d, []).append(("crf", b, e))
+        for d in range(len(starts) - 1):
+            spans = sorted(per_doc.get(d, []), key=lambda s: (s[1], KINDS.index(s[0])))
+            yield spans, data[starts[d]:starts[d + 1]].tobytes().decode() if spans else None
+
+
 def scan(text: Column, field: Field) -> Column:
     """array<struct<kind,start,end>> of every whole text, in code points, by start and then kind."""
     def run(column: pa.Array) -> pa.Array:
-        power, size, kinds, begins, ends = Powers(), [0], [], [], []
-        for _, _, data, starts in text_chunks(column):
-            per_doc: dict[int, list[tuple[str, int, int]]] = {}
-            for d in suspects(data, starts).tolist():
-                if spans := base_spans(data[starts[d]:starts[d + 1]].tobytes().decode()):
-                    per_doc[d] = spans
-            extra = tagged_spans(Tokens(data, starts, power), field)
-            if extra:
-                points = np.append(0, np.cumsum((data & 0xC0) != 0x80))
-                for d, b, e in extra:
-                    b, e = int(points[b] - points[starts[d]]), int(points[e] - points[starts[d]])
-                    if all(e <= x or b >= y for k, x, y in per_doc.get(d, []) if k != "crf"):
-                        per_doc.setdefault(d, []).append(("crf", b, e))
-            for d in range(len(starts) - 1):
-                spans = sorted(per_doc.get(d, []), key=lambda s: (s[1], KINDS.index(s[0])))
-                size.append(size[-1] + len(spans))
-                for k, b, e in spans:
-                    kinds.append(k)
-                    begins.append(b)
-                    ends.append(e)
+        size, kinds, begins, ends = [0], [], [], []
+        for spans, _ in spans_of(column, field, Powers()):
+            size.append(size[-1] + len(spans))
+            for k, b, e in spans:
+                kinds.append(k)
+                begins.append(b)
+                ends.append(e)
         struct = pa.StructArray.from_arrays([pa.array(kinds, pa.string()), pa.array(begins, pa.int64()), pa.array(ends, pa.int64())], ["kind", "start", "end"])
         return pa.ListArray.from_arrays(pa.array(size, pa.int32()), struct)
 
@@ -360,20 +369,21 @@ def digest(spans: Column) -> list[Column]:
     return [*map(count, BASE_PATTERNS), F.sha2(joined(base), 256).alias("base_sha256"), joined(spans).alias("spans")]
 
 
-def redact(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
-    """The text with every span replaced; overlapping spans become one mark."""
-    def run(texts: pa.Array, found: pa.Array) -> pa.Array:
-        out = []
-        for t, row in zip(texts.to_pylist(), found.to_pylist()):
-            if not row:
-                out.append(t)
-                continue
-            parts, at = [], 0
-            for s in sorted(row, key=lambda s: s["start"]):
-                if s["start"] >= at:
-                    parts += [t[at:s["start"]], mark]
-                at = max(at, s["end"])
-            out.append("".join([*parts, t[at:]]))
-        return pa.array(out, pa.string())
-
-    return F.when(F.size(spans) > 0, task_udf(run, "string")(text, spans)).otherwise(text)
+def redacted(text: str, spans: list[tuple[str, int, int]], mark: str) -> str:
+    parts, at = [], 0
+    for _, b, e in sorted(spans, key=lambda s: s[1]):
+        if b >= at:
+            parts += [text[at:b], mark]
+        at = max(at, e)
+    return "".join([*parts, text[at:]])
+
+
+def redact(text: Column, field: Field, mark: str = "[SECRET]") -> Column:
+    """The text with every span replaced by ``mark`` (overlapping spans by one); null if it has none.
+
+    Scans and replaces in one pass, so a task needs one Python worker and texts without a secret do not come back.
+    """
+    def run(column: pa.Array) -> pa.Array:
+        return pa.array([redacted(t, spans, mark) if spans else None for spans, t in spans_of(column, field, Powers())], pa.string())
+
+    return task_udf(run, "string")(text)
