@@ -6,16 +6,18 @@ token's shape (length class and make-up), what stands between it and the token b
 neighbouring words (hashed) and their shapes, and one feature of the whole file (how many of its tokens hold
 digits).  Viterbi decodes; a tagged span that touches no base span is added with kind ``crf``.
 
-Training is weakly supervised: a bounded sample of documents (``SAMPLE``) is labelled by the base patterns,
-and each labelled assignment is repeated with other key names and random values, and with harmless
+Training is weakly supervised: the base patterns label every whole text, and a bounded sample is taken of the
+distinct texts with a base span and of those without (``SAMPLE`` of each, so rare secrets are not missed).
+Each labelled assignment is repeated with other key names and random values, and with harmless
 keys and plain values as counter-examples, so that the field learns shapes and contexts the patterns do
-not list.  Forward-backward and Adagrad run in numpy on the driver; the weights are a few constant tables.
+not list.  Tasks cut the token windows around the spans, at most ``WINDOWS`` drawn per text, however long it is;
+forward-backward and Adagrad run in numpy on the driver; the weights are a few constant tables.
 
 Lines in which no token can gain from being tagged (its best score plus all it could gain from
 transitions stays below O) are all O in the best path, so Viterbi is run on the other lines only.
 
-Defined results: a null or empty text has no spans; repeated rows are scanned one by one; if the sample
-holds no secret, nothing is added to the base spans.
+Defined results: a null or empty text has no spans; repeated rows are scanned one by one; if no text of the
+table holds a base span, nothing is added.
 """
 
 from __future__ import annotations
@@ -28,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .arrays import LOWER_ASCII, Powers, span_hashes, task_udf, text_chunks
 
 #: The base patterns with the least length of what they capture.
@@ -40,8 +43,8 @@ KINDS = [*BASE_PATTERNS, "crf"]
 KEY_HINTS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 
 SAMPLE = 4000
-SAMPLE_BYTES = 1 << 16
 REPEATS = 12
+WINDOWS = 128  # per sampled text; one assignment and its repeats give about 60
 KEYS = ("password", "passwd", "pwd", "secret", "token", "api_key", "apikey", "auth", "credential", "passphrase",
         "access_key", "private_key", "client_secret", "auth_token", "bearer", "session_key")
 PLAIN_KEYS = ("title", "name", "color", "author", "page", "date", "lang", "city", "id", "size")
@@ -255,68 +258,112 @@ def random_value(rng: np.random.Generator) -> str:
     return "".join(letters[i] for i in rng.integers(len(letters), size=n))
 
 
-def training_windows(texts: list[str], repeats: int = REPEATS, width: int = 8, seed: int = 9) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Labelled token windows of sampled texts; empty if no text holds a base span."""
-    rng, power = np.random.default_rng(seed), Powers()
-    labelled: list[tuple[str, list[tuple[int, int]]]] = []
-    found = False
-    for text in texts:
-        # merge what the kinds share; of an assignment only the value is the secret
-        spans = [(m.start(g), m.end(g)) for p, g, least in BASE_PATTERNS.values() for m in p.finditer(text) if len(m.group(g)) >= least]
-        found |= bool(spans)
-        labelled.append((text, spans))
-        for m in BASE_PATTERNS["assign"][0].finditer(text):
-            if len(m.group(2)) < 6:
-                continue
-            head, tail = text[max(0, m.start() - 60):m.start()], text[m.end():m.end() + 60]
-            words = text[max(0, m.start() - 400):m.start()].split() or ["page"]
-            for _ in range(repeats):
-                join, quote = [" = ", "=", ": ", ":", " "][rng.integers(5)], ["\"", "'", ""][rng.integers(3)]
-                secret = join != " " or bool(rng.integers(2))
-                key = (KEYS if secret else PLAIN_KEYS)[rng.integers(len(KEYS if secret else PLAIN_KEYS))]
-                value = random_value(rng)
-                if join == " ":
-                    secret = False
-                if rng.integers(3) == 0:
-                    key, value, secret = PLAIN_KEYS[rng.integers(len(PLAIN_KEYS))], words[rng.integers(len(words))], False
-                elif not secret:
-                    value = words[rng.integers(len(words))]
-                lead = f"{head}{key}{join}{quote}"
-                labelled.append((f"{lead}{value}{quote}{tail}", [(len(lead), len(lead) + len(value))] if secret else []))
-    if not found:
-        return []
+def labelled_windows(text: str, rng: np.random.Generator, power: Powers, repeats: int = REPEATS, width: int = 8,
+                     most: int = WINDOWS) -> tuple[bool, list[tuple[np.ndarray, np.ndarray]]]:
+    """Whether a whole text holds a base span, and its labelled token windows (a random draw of ``most`` if there are more)."""
+    # merge what the kinds share; of an assignment only the value is the secret
+    spans = [(m.start(g), m.end(g)) for p, g, least in BASE_PATTERNS.values() for m in p.finditer(text) if len(m.group(g)) >= least]
+    labelled: list[tuple[str, list[tuple[int, int]]]] = [(text, spans)]
+    assigned = [m for m in BASE_PATTERNS["assign"][0].finditer(text) if len(m.group(2)) >= 6]
+    if len(assigned) > most:
+        assigned = [assigned[i] for i in np.sort(rng.choice(len(assigned), most, replace=False))]
+    for m in assigned:
+        head, tail = text[max(0, m.start() - 60):m.start()], text[m.end():m.end() + 60]
+        words = text[max(0, m.start() - 400):m.start()].split() or ["page"]
+        for _ in range(repeats):
+            join, quote = [" = ", "=", ": ", ":", " "][rng.integers(5)], ["\"", "'", ""][rng.integers(3)]
+            secret = join != " " or bool(rng.integers(2))
+            key = (KEYS if secret else PLAIN_KEYS)[rng.integers(len(KEYS if secret else PLAIN_KEYS))]
+            value = random_value(rng)
+            if join == " ":
+                secret = False
+            if rng.integers(3) == 0:
+                key, value, secret = PLAIN_KEYS[rng.integers(len(PLAIN_KEYS))], words[rng.integers(len(words))], False
+            elif not secret:
+                value = words[rng.integers(len(words))]
+            lead = f"{head}{key}{join}{quote}"
+            labelled.append((f"{lead}{value}{quote}{tail}", [(len(lead), len(lead) + len(value))] if secret else []))
     windows = []
     for text, spans in labelled:
-        raw = text.encode()
-        data = np.frombuffer(raw, np.uint8)
+        data = np.frombuffer(text.encode(), np.uint8)
         if not len(data):
             continue
         tokens = Tokens(data, np.array([0, len(data)]), power)
         m = len(tokens.begin)
         tag = np.zeros(m, np.int64)
+        at = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))  # first byte of every code point
         for a, b in spans:
-            a, b = len(text[:a].encode()), len(text[:b].encode())
-            hit = np.flatnonzero((tokens.begin < b) & (tokens.end > a))
-            tag[hit] = 2
-            tag[hit[:1]] = 1
+            i, j = np.searchsorted(tokens.end, at[a], "right"), np.searchsorted(tokens.begin, at[b])
+            tag[i:j] = 2
+            tag[i:min(i + 1, j)] = 1
         centres = np.flatnonzero(tag == 1).tolist() + rng.integers(m, size=min(m, 4)).tolist() if m else []
+        if len(centres) > most:
+            centres = [centres[i] for i in np.sort(rng.choice(len(centres), most, replace=False))]
         for c in centres:
             lo, hi = max(0, c - width), min(m, c + width + 1)
             same = np.flatnonzero(tokens.line[lo:hi] == tokens.line[c]) + lo
             windows.append((np.stack([tokens.features[n][same] for n in TABLES]).astype(np.int16),
                             np.where((tag[same] == 2) & (same == same[0]), 1, tag[same]).astype(np.int8)))
-    return windows
+    if len(windows) > most:
+        windows = [windows[i] for i in np.sort(rng.choice(len(windows), most, replace=False))]
+    return bool(labelled[0][1]), windows
+
+
+def training_windows(texts: list[str], repeats: int = REPEATS, width: int = 8, seed: int = 9) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Labelled token windows of sampled texts; empty if no text holds a base span."""
+    rng, power = np.random.default_rng(seed), Powers()
+    seen = [labelled_windows(text, rng, power, repeats, width) for text in texts]
+    return [w for _, windows in seen for w in windows] if any(found for found, _ in seen) else []
+
+
+def _holds(column: pa.Array) -> pa.Array:
+    """Whether a whole text holds a base span."""
+    out = [np.empty(0, bool)]
+    for _, _, data, starts in text_chunks(column):
+        held = np.zeros(len(starts) - 1, bool)
+        for d in suspects(data, starts).tolist():
+            held[d] = bool(base_spans(data[starts[d]:starts[d + 1]].tobytes().decode()))
+        out.append(held)
+    return pa.array(np.concatenate(out))
+
+
+def _windows(key: pa.Array, column: pa.Array) -> pa.Array:
+    """Labelled windows of every whole text, packed: token counts, features and tags one after the other."""
+    power, sizes, features, tags = Powers(), [], [], []
+    for k, text in zip(key, column):
+        _, windows = labelled_windows(text.as_py(), np.random.default_rng(k.as_py() & ((1 << 64) - 1)), power)
+        sizes.append([len(t) for _, t in windows])
+        features.append(b"".join(f.tobytes() for f, _ in windows))
+        tags.append(b"".join(t.tobytes() for _, t in windows))
+    return pa.StructArray.from_arrays(
+        [pa.array(sizes, pa.list_(pa.int32())), pa.array(features, pa.binary()), pa.array(tags, pa.binary())], ["size", "features", "tags"])
 
 
 def train(docs: DataFrame, sample: int = SAMPLE) -> Field:
-    """Field learnt from at most ``sample`` documents, taken in the order of a hash of the doc_id."""
-    ids = docs.select("doc_id").filter("doc_id is not null").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = docs.select("doc_id", "text").filter(F.octet_length("text") <= SAMPLE_BYTES).join(F.broadcast(ids), "doc_id")
-    texts = rows.dropDuplicates(["doc_id"]).toArrow().sort_by("doc_id").column("text").to_pylist()
-    windows = training_windows(texts)
-    del texts
+    """Field learnt from at most ``sample`` distinct texts with a base span and as many without, in the order of their hash.
+
+    One pass over all texts finds which of them hold a base span; the windows of the picked ones are cut in the tasks.
+    """
+    texts = docs.filter("text is not null").select(F.xxhash64("text").alias("key"), "text")
+    flags = materialize(texts.select("key", task_udf(_holds, "boolean")("text").alias("held")).groupBy("key").agg(F.max("held").alias("held")),
+                        "secret-flags")
+    held, free = (flags.filter(F.col("held") == h).orderBy("key").limit(sample).select("key") for h in (True, False))
+    if held.isEmpty():
+        return Field()
+    rows = texts.join(F.broadcast(held.union(free)), "key").dropDuplicates(["key"])
+    rows = rows.select("key", task_udf(_windows, "struct<size:array<int>,features:binary,tags:binary>")("key", "text").alias("w"))
+    table = rows.select("key", "w.*").toArrow()
+    windows = []
+    for i in np.argsort(table.column("key").to_numpy(), kind="stable").tolist():  # whatever order the tasks delivered
+        at = 0
+        features, tags = (np.frombuffer(table.column(c)[i].as_buffer(), kind) for c, kind in (("features", np.int16), ("tags", np.int8)))
+        for n in table.column("size")[i].as_py():
+            windows.append((features[len(TABLES) * at:len(TABLES) * (at + n)].reshape(len(TABLES), n), tags[at:at + n]))
+            at += n
+    field = Field().fit(windows)
+    del table, windows, features, tags
     pa.default_memory_pool().release_unused()
-    return Field().fit(windows) if windows else Field()
+    return field
 
 
 def spans_of(column: pa.Array, field: Field, power: Powers):

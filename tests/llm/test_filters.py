@@ -226,6 +226,25 @@ def test_scan_digest_and_redaction(spark):
     assert not secret_scan.train(empty(spark)).trained
 
 
+def test_training_finds_rare_secrets_and_those_of_long_texts(spark):
+    """Every text with a base span is over 64 KB and one in a hundred; the sample is far smaller than the table."""
+    r = random.Random(8)
+    word = lambda: "".join(r.choice("abcdefghijklmnop") for _ in range(r.randint(2, 9)))
+    value = lambda: "".join(r.choice("0123456789abcdef") for _ in range(40))
+    some = [" ".join(word() for _ in range(40)) for _ in range(50)]
+    filler = "\n".join(r.choice(some) for _ in range(300))
+    rows = [(i, f'{filler}\n{word()} token = "{value()}" {word()}' if i % 100 == 0 else f"{r.choice(some)} {word()}") for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert min(len(t) for i, t in rows if i % 100 == 0) > 1 << 16
+    field = secret_scan.train(docs, 50)
+    assert field.trained
+    new = spark.createDataFrame([('set passphrase: "Xk39dkfl03kd9LLqz81" now',), (some[0],)], "text string")
+    found = [[r.text[s.start:s.end] for s in r.s] for r in new.select("text", secret_scan.scan(F.col("text"), field).alias("s")).collect()]
+    assert found == [["Xk39dkfl03kd9LLqz81"], []]
+    nameless = secret_scan.train(docs.select(F.lit(None).cast("bigint").alias("doc_id"), "text"), 50)
+    assert nameless.trained and (nameless.step == field.step).all()
+
+
 # ---- pipeline ---------------------------------------------------------------------------------------
 
 def test_pipeline_stages_against_their_operators(spark):
