@@ -4,7 +4,7 @@ Quality rules drop what they reject, toxicity drops what it predicts toxic, near
 of each group, the secret scan replaces every secret it finds, and best-fit packing lays the
 rest out in token sequences.  Each stage works on all that its predecessor kept, as written Parquet.
 
-Nulls: a null text fails the quality base rule; a null doc_id passes unchanged through near-dedup.  An
+Nulls: a null text fails the quality base rule; near-dedup judges rows without a doc_id by their text.  An
 empty table gives an empty result.
 """
 

@@ -9,8 +9,8 @@ sequence is one shingle; without words it has no shingle and no link.  Two docum
    from a bin picked by its own random order of the bins (optimal densification).  Each band of ``ROWS``
    bins gives one bucket key.  At a similarity of 0.85 a pair shares no bucket with probability
    (1 - 0.85 ** ROWS) ** BANDS, about 3e-7 for 6 x 32 (6e-5 at 0.8).
-2. Equal sets collapse to one class (represented by its smallest doc_id) before anything is paired, so
-   exact copies cost one aggregation, however many there are.
+2. Equal sets collapse to one class before anything is paired, so exact copies cost one aggregation,
+   however many there are.  Classes get numbers; the graph is one of classes, whatever doc_ids their rows have.
 3. Each bucket names one centre and gives one edge per other member: a star, never all pairs.  The edges
    are confirmed on the full shingle sets; confirmed ones are links.
 4. A star loses a link between two members that are both unlike the centre.  So buckets whose members
@@ -22,9 +22,11 @@ sequence is one shingle; without words it has no shingle and no link.  Two docum
 Links, labels and sets stay distributed tables; the driver sees only loop counters.  Intermediate
 tables go to the folder of ``spark.checkpoint.dir``.
 
-Defined results: null text is empty; a null doc_id is outside the graph (component_id null, kept true);
-rows that repeat a doc_id are the same document (one node, whatever their texts); an empty table gives an
-empty table; other columns of the input are ignored here.
+Defined results: null text is empty; every row is judged by its text, also those that share a doc_id or have
+none; component_id is the smallest doc_id of the group (null if no row has one), and the row kept is the
+one with the smallest (doc_id, hash of doc_id and text), null doc_ids last; rows equal in both are one document; rows
+without words have no links and are kept with their own doc_id; an empty table gives an empty table; other
+columns of the input are ignored here.
 """
 
 from __future__ import annotations
@@ -132,9 +134,9 @@ def compatible(a: str, b: str, percent: int = PERCENT):
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Of the pairs (a, b) of doc_ids, those whose full shingle sets (doc_id, s) reach the similarity."""
-    left = pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("s").alias("sb")), "b")
-    both = left.join(sets.select(F.col("doc_id").alias("a"), F.col("s").alias("sa")), "a")
+    """Of the pairs (a, b) of classes, those whose full shingle sets (rep, s) reach the similarity."""
+    left = pairs.join(sets.select(F.col("rep").alias("b"), F.col("s").alias("sb")), "b")
+    both = left.join(sets.select(F.col("rep").alias("a"), F.col("s").alias("sa")), "a")
     shared = F.size(F.array_intersect("sa", "sb")).cast("bigint")
     union = F.size("sa") + F.size("sb") - shared
     return both.filter(100 * shared >= percent * union).select("a", "b").distinct()
@@ -184,7 +186,7 @@ def apart_links(members: DataFrame, sets: DataFrame, percent: int = PERCENT, blo
     cuts = members.groupBy("key").agg(F.ceil(F.count("*") / block).cast("int").alias("cuts"))
     own = members.join(cuts, "key").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("cuts")).cast("int"))
     meet = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
-    meet = meet.join(sets.withColumnRenamed("doc_id", "rep"), "rep")
+    meet = meet.join(sets, "rep")
     meet = meet.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "rep", "comp", "s")
     return meet.groupBy("key", "i", "j").applyInArrow(confirm, "a bigint, b bigint").distinct()
 
@@ -215,22 +217,32 @@ def connected(links: DataFrame) -> DataFrame:
         mark = seen
 
 
-def components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row of ``docs`` (columns doc_id and text)."""
-    docs = docs.select("doc_id", "text")
-    signed = materialize(docs.select("doc_id", task_udf(_signatures, SIGNATURE)("text").alias("s"))
-                         .select("doc_id", "s.*"), "signatures")
+def row_keys() -> list:
+    """Columns that tell rows apart, none of them null: doc_id is missing (last in order), doc_id or 0, hash of doc_id and text."""
+    return [F.col("doc_id").isNull().alias("__none"), F.coalesce("doc_id", F.lit(0)).alias("__id"), F.xxhash64("doc_id", "text").alias("__hash")]
+
+
+KEYS = ["__none", "__id", "__hash"]
+
+
+def grouped(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """doc_id, row keys, n, and the row keys ``chosen`` of the row that stays for its group (null without shingles)."""
+    docs = docs.select("doc_id", "text", *row_keys())
+    signed = materialize(docs.select("doc_id", *KEYS, task_udf(_signatures, SIGNATURE)("text").alias("s"))
+                         .select("doc_id", *KEYS, "s.*"), "signatures")
     klass = ["h1", "h2", "n"]
-    classes = materialize(signed.filter("n > 0 and doc_id is not null").groupBy(*klass)
-                          .agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")), "classes")
+    classes = materialize(signed.filter("n > 0").groupBy(*klass)
+                          .agg(F.min(F.struct(*KEYS)).alias("least"), F.first("bands").alias("bands"))
+                          .withColumn("rep", F.monotonically_increasing_id()), "classes")
     rows = classes.select("rep", "n", F.explode("bands").alias("key"))
     # one centre per bucket, picked anew for each bucket
     centre = (rows.groupBy("key").agg(F.min(F.struct(F.xxhash64("rep", "key").alias("o"), "rep", "n")).alias("c"),
                                       F.count("*").alias("members")).filter("members > 1"))
     shared = materialize(rows.join(centre.select("key", F.col("c.rep").alias("centre"), F.col("c.n").alias("centre_n")), "key"), "buckets")
-    # the full sets of documents that share a bucket, hashed anew from their texts
-    sets = materialize(docs.join(shared.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
-                       .select("doc_id", task_udf(_full_sets, "array<bigint>")("text").alias("s")), "shingle-sets")
+    # the full sets of classes that share a bucket, hashed anew from the text of one row
+    wanted = classes.join(shared.select("rep").distinct(), "rep", "left_semi").select("rep", "least.*")
+    sets = materialize(docs.select(*KEYS, "text").join(wanted, KEYS).dropDuplicates(KEYS)
+                       .select("rep", task_udf(_full_sets, "array<bigint>")("text").alias("s")), "shingle-sets")
     stars = shared.filter((F.col("rep") != F.col("centre")) & compatible("n", "centre_n", percent))
     links = confirmed(stars.select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct(), sets, percent)
     links = materialize(links, "star-links")
@@ -242,15 +254,26 @@ def components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     member = materialize(member.join(open_keys, "key", "left_semi"), "open-buckets")
     label = connected(links.union(apart_links(member, sets, percent)))
 
-    named = signed.join(classes.select(*klass, "rep"), klass, "left")
-    named = named.join(label, named.rep == label.node, "left")
-    component = F.coalesce("comp", "rep", "doc_id")
-    return named.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
-                        F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    # the least row of every component of two or more classes; other classes have their own
+    ends = label.union(label.select("comp", "comp").distinct())
+    ends = materialize(classes.select(*klass, "rep", "least").join(ends, F.col("rep") == ends.node, "left").drop("rep", "node"), "components")
+    chosen = ends.filter("comp is not null").groupBy("comp").agg(F.min("least").alias("chosen"))
+    named = ends.join(chosen, "comp", "left").select(*klass, F.coalesce("chosen", "least").alias("chosen"))
+    return signed.drop("bands").join(named, klass, "left").select("doc_id", *KEYS, "n", "chosen")
+
+
+def components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for every row of ``docs`` (columns doc_id and text)."""
+    component = F.when(F.col("chosen").isNull(), F.col("doc_id")).when(~F.col("chosen.__none"), F.col("chosen.__id"))
+    return grouped(docs, percent).select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
+                                         F.coalesce(F.struct(*KEYS) == F.col("chosen"), F.lit(True)).alias("kept"))
 
 
 def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The documents that stay: one of each group, all columns as they were."""
-    kept = components(docs, percent).filter("kept and doc_id is not null").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(*docs.columns).unionByName(docs.filter("doc_id is null"))
+    """The documents that stay: one row of each group, all columns as they were."""
+    rows = grouped(docs, percent)
+    # rows without words and without a doc_id cannot be told to be the same document: all of them stay
+    bare = F.col("doc_id").isNull() & ~F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    kept = rows.filter("chosen is null and doc_id is not null").select(*KEYS).union(rows.filter("chosen is not null").select("chosen.*")).distinct()
+    named = docs.filter(~bare).withColumns(dict(zip(KEYS, row_keys()))).join(kept, KEYS, "left_semi").dropDuplicates(KEYS)
+    return named.select(*docs.columns).unionByName(docs.filter(bare))

@@ -108,6 +108,29 @@ def test_near_dedup_awkward(spark):
     assert near_dedup.components(empty(spark)).count() == 0 and near_dedup.keep_one(empty(spark)).count() == 0
 
 
+def test_rows_that_share_a_doc_id_or_have_none(spark):
+    r = random.Random(9)
+    x, y, z, v = (" ".join(f"w{r.randrange(5000)}" for _ in range(60)) for _ in range(4))
+    rows = [(7, x), (7, y), (2, y), (7, z + " end"), (9, z), (7, v), (7, v), (8, x), (None, x + " end"), (None, "a b c d e f"), (None, "a b c d e f"),
+            (None, ""), (None, " "), (3, ""), (3, "")]
+    docs = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id bigint, text string, place int")
+    kept = near_dedup.keep_one(docs)
+    assert kept.columns == docs.columns
+    got = collections.Counter((i, t) for i, t, _ in kept.collect())
+    # the group of x keeps its row of doc 7, that of y the row of doc 2, that of z again one of doc 7
+    assert got == collections.Counter([(7, x), (2, y), (7, z + " end"), (7, v), (None, "a b c d e f"), (None, ""), (None, " "), (3, "")])
+    seen = {(r.doc_id, r.n_shingles, r.component_id, r.kept) for r in near_dedup.components(docs).collect()}
+    assert seen == {(7, 56, 7, True), (7, 56, 2, False), (2, 56, 2, True), (7, 57, 7, True), (9, 56, 7, False), (8, 56, 7, False),
+                    (None, 57, 7, False), (None, 2, None, True), (None, 0, None, True), (3, 0, 3, True)}
+    # one id on most rows, few of them alike
+    texts = near_copies(4, 6)
+    many = spark.createDataFrame([(0 if i % 2 else None, t) for i, t in texts], "doc_id bigint, text string")
+    component, _ = brute(texts)
+    group = {t: component[i] for i, t in texts}
+    left = [group[r.text] for r in near_dedup.keep_one(many).collect()]
+    assert sorted(left) == sorted(set(component.values()))
+
+
 def test_sharding_equals_its_sql(spark):
     docs = spark.read.parquet(f"{SF_MID}/documents.parquet").select("doc_id", "text")
     got = sharding.write(docs, scratch_path(spark, "t-shards")).select(
