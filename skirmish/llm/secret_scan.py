@@ -79,7 +79,7 @@ def suspects(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
             p = raw.find(hint)
             while p >= 0:
                 at.append(np.array([p]))
-                p = raw.find(hint, p + len(hint))
+                p = raw.find(hint, p + 1)  # a hit across the border of two documents may overlap a true one
     return np.unique(np.searchsorted(starts, np.concatenate(at), "right") - 1)
 
 

@@ -176,6 +176,17 @@ def test_suspects_miss_nothing():
     assert {i for i, t in enumerate(texts) if secret_scan.base_spans(t)} <= found
 
 
+def test_suspects_across_the_border_of_documents():
+    """AKIA overlaps itself: a document that ends in AKI must not hide the key that begins the next one."""
+    r = random.Random(4)
+    parts = ["AKI", "A", "AKIA", "A" * 16, "KIA" + "B" * 17, "f" * 24, "tok", "en=abcdef", "token", " "]
+    texts = ["x AKI", "AKIA" + "A" * 16] + ["".join(r.choice(parts) for _ in range(r.randint(0, 5))) for _ in range(3000)]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    starts = np.append(0, np.cumsum([len(t) for t in texts]))
+    found = set(secret_scan.suspects(data, starts).tolist())
+    assert 1 in found and {i for i, t in enumerate(texts) if secret_scan.base_spans(t)} <= found
+
+
 def test_field_generalises_and_leaves_prose_alone(spark):
     field, texts = windows_field()
     new = ['set passphrase: "Xk39dkfl03kd9LLqz81" now', "auth = 9f8a7sd98f7a9s8d7f9a8s7df", "title = window", "just some plain prose here",
