@@ -130,6 +130,24 @@ def test_misspellings_share_vectors_and_edge_cases(spark):
     assert toxicity.train(empty(spark), labels.limit(0))[1] == -np.inf
 
 
+def test_training_rows_are_filled_and_take_long_texts(spark):
+    """Labels without a document do not use up the sample, and long texts are drawn from, not dropped."""
+    rng = random.Random(3)
+    words = ["tree", "house", "river", "window", "green", "paper", "stone", "music"]
+    text = lambda i, n: " ".join(rng.choice(words) + (" horrible" if i % 2 else "") for _ in range(n))
+    docs = spark.createDataFrame([(i, text(i, 4000 if i % 2 else 30)) for i in range(60)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(4000)], "doc_id bigint, toxic int")
+    wanted = {r.doc_id for r in docs.filter(~toxicity.held_out(F.col("doc_id"))).collect()}
+    rows = toxicity.training_rows(docs, labels, 60).collect()
+    assert {r.doc_id for r in rows} == wanted and all(r.toxic == r.doc_id % 2 for r in rows)
+    (few, many), whole = toxicity._counts(pa.array([text(0, 30), text(1, 4000)])).to_pylist(), toxicity.EXACT
+    assert sum(many["count"]) == toxicity.DRAWS < whole and 0 < sum(few["count"]) < whole
+    weights, bias = toxicity.train(docs, labels, 60)
+    a, b = (r[0] for r in spark.createDataFrame([("tree horrible river horrible",), ("tree window river stone",)], "text string").select(
+        toxicity.score(F.col("text"), weights, bias)).collect())
+    assert a > 0.5 > b
+
+
 # ---- URL filter -------------------------------------------------------------------------------------
 
 def test_url_filter_cases(spark):
