@@ -124,5 +124,88 @@ FROM rated
 """
 
 
+#: CRC-32 of the bytes of a text, as a CTE with the step table and an expression.
+CRC_STEPS = """crc_steps AS (
+  SELECT list_transform(range(256), lambda b: list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0],
+           lambda c, x: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS steps)"""
+
+
+def crc_sql(text: str) -> str:
+    """CRC-32 of a text expression; ``steps`` must be in scope."""
+    octets = f"list_transform(range(1, strlen({text}) + 1), lambda i: ('0x' || substr(hex(encode({text})), 2 * i - 1, 2))::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295, {octets}), lambda c, b: xor(c // 256, steps[1 + (xor(c, b) & 255)])), 4294967295)"
+
+
+def spelling_sql() -> str:
+    return f"""
+WITH RECURSIVE {CRC_STEPS},
+runs AS (
+  SELECT doc_id, run, count(*) AS c FROM (
+    SELECT doc_id, unnest(regexp_extract_all({LOWER.format("coalesce(text, '')")}, '[a-zÀ-ÿ]+')) AS run FROM documents)
+  WHERE length(run) >= 6 GROUP BY ALL),
+hashed AS (SELECT run, c, {crc_sql("(coalesce(doc_id::VARCHAR, '') || ':' || run)")} AS h FROM runs, crc_steps),
+spelt AS (
+  SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, (h % length(run))::INTEGER) || substr(run, (h % length(run))::INTEGER + 2) ELSE run END AS word, c FROM hashed),
+words AS (SELECT word, sum(c)::BIGINT AS n FROM spelt WHERE length(word) >= 6 GROUP BY word HAVING sum(c) >= 5),
+cut AS (SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)),
+near AS (
+  SELECT x.word, y.word AS other FROM cut x JOIN cut y ON x.rest = y.rest AND x.i = y.i AND x.word <> y.word
+  UNION SELECT c.word, w.word FROM cut c JOIN words w ON w.word = c.rest
+  UNION SELECT w.word, c.word FROM cut c JOIN words w ON w.word = c.rest),
+ranked AS (
+  SELECT a.word, a.n, o.word AS other, o.n AS m, count(*) OVER (PARTITION BY a.word) AS n_near,
+         row_number() OVER (PARTITION BY a.word ORDER BY o.n DESC, encode(o.word)) AS r
+  FROM near JOIN words a ON a.word = near.word JOIN words o ON o.word = near.other),
+formed AS (
+  SELECT w.word, w.n, coalesce(r.n_near, 0)::BIGINT AS n_near, CASE WHEN r.m >= 5 * w.n THEN r.other END AS form, CASE WHEN r.m >= 5 * w.n THEN r.m END AS form_n
+  FROM words w LEFT JOIN ranked r ON r.word = w.word AND r.r = 1),
+follow(word, stop) AS (SELECT word, word FROM formed UNION ALL SELECT f.word, g.form FROM follow f JOIN formed g ON g.word = f.stop WHERE g.form IS NOT NULL)
+SELECT f.word, f.form, ends.stop AS root, f.n, f.n_near, f.form_n
+FROM formed f JOIN (SELECT w.word, w.stop FROM follow w JOIN formed g ON g.word = w.stop WHERE g.form IS NULL) ends ON ends.word = f.word
+"""
+
+
+def merkle_sql(levels: int = 40) -> str:
+    """``levels`` bounds the height of the trees, not the rows."""
+    part = lambda c: f"coalesce(strlen({c}) || ':' || {c}, '-')"
+    leaf = lambda n: f"sha256({' || '.join(part(c) for c in ('doc_id::VARCHAR', 'source', 'lang', n, 'text'))})"
+    # a tree climbs by joining even nodes with their right neighbours; the last node stays alone
+    climb = lambda name, leaves: f"""{name}(g, h, k, d, m) AS (
+  {leaves}
+  UNION ALL
+  SELECT g, h + 1, k // 2, sha256(string_agg(d, '' ORDER BY k)), max((m + 1) // 2) FROM {name} WHERE m > 1 AND h < {levels} GROUP BY g, h, k // 2)"""
+    return f"""
+WITH RECURSIVE {CRC_STEPS},
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, d) - 1 AS k, count(*) OVER (PARTITION BY g) AS m
+  FROM (SELECT doc_id, coalesce('=' || lang, '') AS g, {leaf('n_chars::VARCHAR')} AS d,
+               CASE WHEN {crc_sql('doc_id::VARCHAR')} % 7 = 0 THEN {leaf('(n_chars::HUGEINT + 1)::VARCHAR')} ELSE {leaf('n_chars::VARCHAR')} END AS changed
+        FROM documents, crc_steps)),
+{climb('nodes', 'SELECT g, 0, k, d, m FROM leaves')},
+groups AS (SELECT g, d, row_number() OVER (ORDER BY encode(g)) - 1 AS k, count(*) OVER () AS m FROM nodes WHERE m = 1),
+{climb('tops', "SELECT 'top', 0, k, d, m FROM groups")},
+steps_up AS (
+  SELECT l.doc_id, l.k AS leaf_k, l.g, n.h, l.k // (1::BIGINT << n.h) % 2 = 1 AS is_right, s.d AS sibling
+  FROM leaves l JOIN (SELECT DISTINCT g, h FROM nodes WHERE m > 1) n ON n.g = l.g
+  LEFT JOIN nodes s ON s.g = l.g AND s.h = n.h AND s.k = xor(l.k // (1::BIGINT << n.h), 1)
+  UNION ALL
+  SELECT l.doc_id, l.k, l.g, 1000 + t.h, p.k // (1::BIGINT << t.h) % 2 = 1, s.d
+  FROM leaves l JOIN groups p ON p.g = l.g JOIN (SELECT DISTINCT h FROM tops WHERE m > 1) t ON true
+  LEFT JOIN tops s ON s.h = t.h AND s.k = xor(p.k // (1::BIGINT << t.h), 1)),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY g, leaf_k ORDER BY h) AS r FROM steps_up),
+proofs AS (SELECT g, leaf_k, sha256(coalesce(string_agg(sibling, '' ORDER BY r), '')) AS proof FROM numbered GROUP BY g, leaf_k),
+folds(g, k, r, d) AS (
+  SELECT g, k, 0::BIGINT, changed FROM leaves
+  UNION ALL
+  SELECT f.g, f.k, n.r, sha256(CASE WHEN n.is_right THEN n.sibling || f.d ELSE f.d || coalesce(n.sibling, '') END)
+  FROM folds f JOIN numbered n ON n.g = f.g AND n.leaf_k = f.k AND n.r = f.r + 1),
+ends AS (SELECT g, k, arg_max(d, r) AS d FROM folds GROUP BY g, k)
+SELECT l.doc_id, l.d AS leaf, p.d AS subroot, t.d AS root, coalesce(pr.proof, sha256('')) AS proof_sha256, e.d AS folded_root, e.d = t.d AS verified
+FROM leaves l JOIN groups p ON p.g = l.g JOIN (SELECT d FROM tops WHERE m = 1) t ON true
+LEFT JOIN proofs pr ON pr.g = l.g AND pr.leaf_k = l.k JOIN ends e ON e.g = l.g AND e.k = l.k
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_near_dedup": near_dedup_sql(), "op6_url_filter": url_sql(), "op7_quality_rules": quality_sql()}
+    return {"op3_near_dedup": near_dedup_sql(), "op6_url_filter": url_sql(), "op7_quality_rules": quality_sql(),
+            "op11_spelling_variants": spelling_sql(), "op12_merkle_manifest": merkle_sql()}

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize, scratch_path
-from . import bpe, fingerprints, near_dedup, packing, quality, secret_scan, sharding, token_files, toxicity, url_filter
+from . import (bpe, fingerprints, merkle, near_dedup, packing, pairwise, quality, secret_scan, sharding, spelling, token_files, toxicity,
+               url_filter)
 from .arrays import bounded_batches
 
 
@@ -80,6 +81,27 @@ def op10_bpe_trie(spark: SparkSession, d: str) -> DataFrame:
     return docs.select("doc_id", "__bpe.*")
 
 
+def op11_spelling_variants(spark: SparkSession, d: str) -> DataFrame:
+    return spelling.grouped(_documents(spark, d))
+
+
+def op12_merkle_manifest(spark: SparkSession, d: str) -> DataFrame:
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, F.lit(False))
+    text = lambda c: F.lower(F.hex(c))
+    proven = merkle.manifest(_documents(spark, d), tampered)
+    siblings = F.concat_ws("", F.transform("path", lambda x: F.lower(F.hex(x))))
+    return proven.select("doc_id", *[text(c).alias(c) for c in ("leaf", "subroot", "root")], F.sha2(siblings.cast("binary"), 256).alias("proof_sha256"),
+                         text("folded_root").alias("folded_root"), (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def op13_pairwise_quality(spark: SparkSession, d: str) -> DataFrame:
+    docs = _documents(spark, d)
+    model = pairwise.train(docs, spark.read.parquet(f"{d}/labels.parquet"))
+    return docs.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), pairwise.score(F.col("text"), model).alias("score")).withColumn(
+        "predicted", (F.col("score") >= pairwise.AT_THRESHOLD).cast("int"))
+
+
 REGISTRY = {q.__name__: q for q in (
     op1_fingerprints, op2_sharding, op3_near_dedup, op4_token_files, op5_toxicity, op6_url_filter,
-    op7_quality_rules, op8_secret_scan, op9_best_fit_packing, op10_bpe_trie)}
+    op7_quality_rules, op8_secret_scan, op9_best_fit_packing, op10_bpe_trie,
+    op11_spelling_variants, op12_merkle_manifest, op13_pairwise_quality)}
