@@ -3,7 +3,9 @@
 A text column is handled in chunks of whole documents (``text_chunks``), so the working memory of a
 task is a small multiple of the chunk size, or of the longest single document when that is larger.
 Words are ``[^\\x20\\x09-\\x0D]+`` on the UTF-8 bytes (white space is ASCII, so bytes and code points
-agree on the boundaries).  Hashes are 64-bit polynomial hashes with a final mix.
+agree on the boundaries).  ``span_hashes`` are polynomial hashes modulo two primes, with a final mix: words chosen
+against a modulus of 2 ** 64 (the Thue-Morse word and its complement, for any base) do not collide.  ``span_keys`` is the
+cheaper form modulo 2 ** 64, for tables that compare contents.
 """
 
 from __future__ import annotations
@@ -24,6 +26,8 @@ LOWER_ASCII[65:91] += 32
 
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
+#: Two primes below 2 ** 31 with a base each, for ``span_hashes``.
+MODULI = ((2147483647, 0x2F8E3A15), (2147483629, 0x5B1C94D7))
 
 
 def task_udf(fn, ddl: str):
@@ -59,11 +63,27 @@ def powers(n: int, base: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
+def powers_modulo(n: int, base: int, prime: int) -> np.ndarray:
+    """base ** 0 .. base ** (n - 1) modulo a prime below 2 ** 31."""
+    out = np.ones(1, np.uint64)
+    while len(out) < n:
+        out = np.append(out, out * np.uint64(pow(base, len(out), prime)) % np.uint64(prime))
+    return out[:n]
+
+
 class Powers:
-    """Powers of the hash base and of its inverse, grown on demand."""
+    """Powers of the hash bases and of their inverses, grown on demand."""
 
     def __init__(self):
         self.up = self.down = np.empty(0, dtype=np.uint64)
+        self.primes: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def modulo(self, n: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
+        """(prime, powers of its base, powers of the base's inverse) for each modulus."""
+        if not self.primes or len(self.primes[0][0]) < n:
+            size = max(n, CHUNK_BYTES + 1)
+            self.primes = [(powers_modulo(size, b, p), powers_modulo(size, pow(b, -1, p), p)) for p, b in MODULI]
+        return [(p, up[:n], down[:n]) for (p, _), (up, down) in zip(MODULI, self.primes)]
 
     def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
@@ -117,7 +137,20 @@ def word_spans(data: np.ndarray, starts: np.ndarray, white: np.ndarray = WHITE)
 
 
 def span_hashes(codes: np.ndarray, begin: np.ndarray, end: np.ndarray, power: Powers) -> np.ndarray:
-    """64-bit hash of codes[begin:end] for each span; equal spans hash equally wherever they are."""
+    """64-bit hash of codes[begin:end] for each span from its residues modulo two primes; equal spans hash equally wherever they are."""
+    values, both = codes.astype(np.uint64) + np.uint64(1), np.zeros(len(begin), np.uint64)
+    # sums run modulo 2 ** 64; a span's own sum must stay below that, else every product is reduced first
+    small = len(begin) == 0 or int((end - begin).max()) * int(values.max(initial=1)) < 1 << 32
+    for prime, up, down in power.modulo(len(codes) + 1):
+        p, total = np.uint64(prime), np.zeros(len(codes) + 1, np.uint64)
+        products = values * up[:-1]
+        np.cumsum(products if small else products % p, out=total[1:])
+        both = (both << np.uint64(32)) | ((total[end] - total[begin]) % p * down[begin] % p)
+    return mix(both + (end - begin).astype(np.uint64) * np.uint64(0x2545F4914F6CDD1D))
+
+
+def span_keys(codes: np.ndarray, begin: np.ndarray, end: np.ndarray, power: Powers) -> np.ndarray:
+    """64-bit hash of each span modulo 2 ** 64, for tables that compare contents on a hit."""
     up, down = power.get(len(codes) + 1)
     total = np.zeros(len(codes) + 1, dtype=np.uint64)
     np.cumsum((codes.astype(np.uint64) + np.uint64(0x51ED27)) * up[:-1], out=total[1:])

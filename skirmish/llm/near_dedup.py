@@ -23,10 +23,10 @@ Links, labels and sets stay distributed tables; the driver sees only loop counte
 tables go to the folder of ``spark.checkpoint.dir``.
 
 Defined results: null text is empty; every row is judged by its text, also those that share a doc_id or have
-none; component_id is the smallest doc_id of the group (null if no row has one), and the row kept is the
-one with the smallest (doc_id, hash of doc_id and text), null doc_ids last; rows equal in both are one document; rows
-without words have no links and are kept with their own doc_id; an empty table gives an empty table; other
-columns of the input are ignored here.
+none; component_id is the smallest doc_id of the group (null if no row has one), and ``components`` marks the rows with that
+doc_id as kept.  ``keep_one`` keeps one row: that with the smallest (doc_id, hash of doc_id and text), null doc_ids last; rows
+equal in both are one document.  Rows without words have no links and are kept with their own doc_id; an empty table gives an empty
+table; ``components`` ignores other columns, ``keep_one`` keeps them as they are.
 """
 
 from __future__ import annotations
@@ -266,7 +266,7 @@ def components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs`` (columns doc_id and text)."""
     component = F.when(F.col("chosen").isNull(), F.col("doc_id")).when(~F.col("chosen.__none"), F.col("chosen.__id"))
     return grouped(docs, percent).select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
-                                         F.coalesce(F.struct(*KEYS) == F.col("chosen"), F.lit(True)).alias("kept"))
+                                         F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
 def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:

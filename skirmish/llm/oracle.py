@@ -14,27 +14,28 @@ def words_sql(text: str) -> str:
 
 def near_dedup_sql() -> str:
     return f"""
-WITH RECURSIVE words AS (
-  SELECT doc_id, {words_sql(LOWER.format("coalesce(text, '')"))} AS w FROM documents),
+WITH RECURSIVE numbered AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
+words AS (
+  SELECT r, {words_sql(LOWER.format("coalesce(text, '')"))} AS w FROM numbered),
 shingles AS (
-  SELECT DISTINCT doc_id, s FROM (
-    SELECT doc_id, unnest(CASE WHEN len(w) >= 5 THEN
+  SELECT DISTINCT r, s FROM (
+    SELECT r, unnest(CASE WHEN len(w) >= 5 THEN
              list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
            WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM words)),
-sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+sizes AS (SELECT r, count(*) AS n FROM shingles GROUP BY r),
 shared AS (
-  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
-  FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL),
+  SELECT x.r AS a, y.r AS b, count(*) AS c
+  FROM shingles x JOIN shingles y ON x.s = y.s AND x.r < y.r GROUP BY ALL),
 links AS (
-  SELECT a, b FROM shared JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+  SELECT a, b FROM shared JOIN sizes p ON p.r = a JOIN sizes q ON q.r = b
   WHERE 100 * c >= {85} * (p.n + q.n - c)),
 steps AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
-reach(doc_id, other) AS (
-  SELECT doc_id, doc_id FROM documents
-  UNION SELECT r.doc_id, s.b FROM reach r JOIN steps s ON s.a = r.other),
-component AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
-SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, d.doc_id = component_id AS kept
-FROM documents d JOIN component USING (doc_id) LEFT JOIN sizes USING (doc_id)
+reach(r, other) AS (
+  SELECT r, r FROM numbered
+  UNION SELECT x.r, s.b FROM reach x JOIN steps s ON s.a = x.other),
+component AS (SELECT x.r, min(o.doc_id) AS component_id FROM reach x JOIN numbered o ON o.r = x.other GROUP BY x.r)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, d.doc_id IS NOT DISTINCT FROM component_id AS kept
+FROM numbered d JOIN component USING (r) LEFT JOIN sizes USING (r)
 """
 
 
@@ -116,10 +117,11 @@ def url_sql() -> str:
 WITH cut AS (SELECT page_id, coalesce(url, '') AS url, CASE WHEN url LIKE '%://%' THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
 hosts AS (SELECT *, regexp_extract(rest, '^[^/?#]*') AS raw FROM cut),
 parts AS (SELECT page_id, url, {LOWER.format("raw")} AS host, regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path FROM hosts),
-rated AS (SELECT *, ({add({t: 1 for t in url_filter.STRICT})})::BIGINT AS n_strict, ({add(url_filter.SOFT)})::BIGINT AS soft_weight FROM parts)
+rated AS (SELECT *, ({add({t: 1 for t in url_filter.STRICT})})::BIGINT AS n_strict,
+                 ({add({t: 1 for t in url_filter.SOFT})})::BIGINT AS n_soft, ({add(url_filter.SOFT)})::BIGINT AS soft_weight FROM parts)
 SELECT page_id, host, path, CASE {when(lambda k, h, p: h + p)} END AS rule,
-       CASE {when(lambda k, h, p: k)} WHEN n_strict > 0 OR soft_weight >= {url_filter.LIMIT} THEN 'block' ELSE 'allow' END AS verdict,
-       n_strict, soft_weight
+       CASE {when(lambda k, h, p: k)} WHEN n_strict > 0 OR n_soft >= 2 AND soft_weight >= 2 THEN 'block' ELSE 'allow' END AS verdict,
+       n_strict, n_soft, soft_weight
 FROM rated
 """
 

@@ -55,7 +55,7 @@ def op5_toxicity(spark: SparkSession, d: str) -> DataFrame:
 
 def op6_url_filter(spark: SparkSession, d: str) -> DataFrame:
     pages = spark.read.parquet(f"{d}/pages.parquet").select("page_id", "url")
-    return url_filter.judged(pages).select("page_id", "host", "path", "rule", "verdict", "n_strict", "soft_weight")
+    return url_filter.judged(pages).select("page_id", "host", "path", "rule", "verdict", "n_strict", "n_soft", "soft_weight")
 
 
 def op7_quality_rules(spark: SparkSession, d: str) -> DataFrame:

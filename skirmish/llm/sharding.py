@@ -15,7 +15,8 @@ Size of a document: UTF-8 bytes of its text plus 1.  With ``start`` the bytes be
 of copies, if that is left whole), its shard is floor(shards * start / total).
 
 Defined results: a null text has size 1 and shares its group with the empty text; a null doc_id sorts before all
-others; rows that repeat (text, doc_id) are never cut apart; an empty table gives empty shards.
+others; rows that repeat (text, doc_id), rows without both among them, are never cut apart, so a shard may exceed its share by their
+bytes; an empty table gives empty shards.
 """
 
 from __future__ import annotations
@@ -72,7 +73,7 @@ def refine(rows: DataFrame, column: str, searches: list[Search], targets: list[t
         for n, (low, high) in enumerate(spans):  # intervals are equal or disjoint
             width = -(-(high - low + 1) // probes)
             place = F.struct(F.lit(n).cast("bigint").alias("span"),
-                             F.expr(f"(({column} - ({low}L)) div {width}L)").alias("bin")) if low > LEAST else F.struct(
+                             F.expr(f"(({column} - ({low}L)) div {width}L)").alias("bin")) if high - low < 1 << 63 else F.struct(
                 F.lit(n).cast("bigint").alias("span"),
                 F.expr(f"cast(floor((cast({column} as decimal(20,0)) - ({low})) / {width}) as bigint)").alias("bin"))
             bin_ = F.when(F.col(column).between(low, high), place).otherwise(bin_)

@@ -5,7 +5,8 @@ A file holds the ids of consecutive documents as one stream of little-endian uin
 
     zstandard frame (content checksum on)      one per FRAME_TOKENS tokens
     ...
-    skippable frame 0x184D2A50                 document index: zstandard of doc_id, start, n_tokens (int64 columns)
+    skippable frame 0x184D2A50                 document index: zstandard of doc_id, start, n_tokens, known (int64 columns; known is
+                                               0 for a document without a doc_id)
     skippable frame 0x184D2A5E                 seek table of the public seekable format: per frame compressed size,
                                                size and the low 32 bits of its xxh64; frame count; flags; 0x8F92EAB1
 
@@ -17,7 +18,7 @@ file, through a temporary name that is renamed when complete, so a lost or repea
 file.  The driver sees one manifest row per file.
 
 Defined results: a null or empty text holds the end id only; a null doc_id comes first; rows that repeat a
-doc_id lie side by side; an empty table gives no rows.
+doc_id lie side by side; an empty table gives no rows; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -56,9 +57,10 @@ class Writer:
         self.pending, self.held, self.tokens = [], 0, 0
         self.frames, self.index = [], []
 
-    def add(self, doc_ids: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> None:
-        """Documents with their ids one after the other; a doc_id of None is stored as the smallest int64."""
-        self.index.append(np.stack([doc_ids, self.tokens + np.cumsum(sizes) - sizes, sizes]))
+    def add(self, doc_ids: np.ndarray, sizes: np.ndarray, ids: np.ndarray, known: np.ndarray | None = None) -> None:
+        """Documents with their ids one after the other; ``known`` is false where a doc_id is missing."""
+        known = np.ones(len(doc_ids), bool) if known is None else known
+        self.index.append(np.stack([doc_ids, self.tokens + np.cumsum(sizes) - sizes, sizes, known.astype(np.int64)]))
         self.tokens += len(ids)
         self.pending.append(ids.astype("<u4"))
         self.held += len(ids)
@@ -79,7 +81,7 @@ class Writer:
         """Write what is left, the index and the seek table; returns the number of documents."""
         if self.held:
             self._frame(np.concatenate(self.pending))
-        index = np.concatenate(self.index, axis=1) if self.index else np.empty((3, 0), np.int64)
+        index = np.concatenate(self.index, axis=1) if self.index else np.empty((4, 0), np.int64)
         packed = self.zstd.compress(index.astype("<i8").tobytes())
         self.out.write(struct.pack("<II", INDEX_MAGIC, len(packed)) + packed)
         self.frames.append((8 + len(packed), 0, 0))
@@ -104,8 +106,9 @@ class Reader:
         self.at = np.append(0, np.cumsum(table[:, 0]))
         self.sizes, self.sums = table[:, 1], table[:, 2]
         packed = self._read(int(self.at[-2]) + 8, int(self.at[-1] - self.at[-2]) - 8)
-        index = np.frombuffer(self.zstd.decompress(packed), "<i8").reshape(3, -1)
-        self.doc_id, self.start, self.n_tokens = index
+        index = np.frombuffer(self.zstd.decompress(packed), "<i8").reshape(4, -1)
+        self.doc_id, self.start, self.n_tokens = index[:3]
+        self.known = index[3] > 0
         self.frame_start = np.append(0, np.cumsum(self.sizes[:-1] // 4))
         self.frames_read = 0
 
@@ -157,9 +160,10 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, fram
                 fs.create_dir(f"{root}/_attempts", recursive=True)
                 out = fs.open_output_stream(attempt)
                 writer = Writer(out, frame_tokens)
-            doc_ids = batch.column(0).fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False)
+            known = batch.column(0).is_valid().to_numpy(zero_copy_only=False)
+            doc_ids = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False)
             for i, j, ids, size in encoder.encode_column(batch.column(1)):
-                writer.add(doc_ids[i:j], size + 1, np.insert(ids.astype(np.uint32), np.cumsum(size), end_id))
+                writer.add(doc_ids[i:j], size + 1, np.insert(ids.astype(np.uint32), np.cumsum(size), end_id), known[i:j])
         if writer is not None:
             n = writer.close()
             out.close()
@@ -192,9 +196,8 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                     for i, j, ids in reader.documents():
                         cut = np.append(reader.start[i:j], reader.start[j - 1] + reader.n_tokens[j - 1]) - reader.start[i]
                         raw = pa.Array.from_buffers(pa.binary(), j - i, [None, pa.py_buffer((4 * cut).astype(np.int32)), pa.py_buffer(ids.tobytes())])
-                        doc_id = reader.doc_id[i:j]
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array(doc_id, mask=doc_id == np.iinfo(np.int64).min), pa.array(reader.start[i:j] + before), pa.array(reader.n_tokens[i:j]), raw],
+                            [pa.array(reader.doc_id[i:j], mask=~reader.known[i:j]), pa.array(reader.start[i:j] + before), pa.array(reader.n_tokens[i:j]), raw],
                             ["doc_id", "start", "n_tokens", "ids"])
 
     listed = spark.createDataFrame(rows, "path string, before bigint").repartition(len(rows))
@@ -206,5 +209,5 @@ def fetch(path: str, file_path: str, doc_ids: list[int]) -> dict[int, list[int]]
     fs, _ = pafs.FileSystem.from_uri(path)
     with fs.open_input_file(file_path) as file:
         reader = Reader(file)
-        rows = np.flatnonzero(np.isin(reader.doc_id, doc_ids))
+        rows = np.flatnonzero(np.isin(reader.doc_id, doc_ids) & reader.known)
         return {int(reader.doc_id[r]): reader.tokens(int(reader.start[r]), int(reader.n_tokens[r])).tolist() for r in rows}

@@ -5,9 +5,10 @@ The pre-tokeniser of the public 50k byte-level vocabulary is the pattern
     's|'t|'re|'ve|'m|'ll|'d| ?\\p{L}+| ?\\p{N}+| ?[^\\s\\p{L}\\p{N}]+|\\s+(?!\\S)|\\s+
 
 ``word_starts`` finds its cuts with array operations on the code points of many documents at once.  Words
-are looked up by a 64-bit hash in ``WordTable``; only words not seen yet are spelled out and encoded,
-by whatever encoder the caller brings (the tokenizers library, or the trie of ``bpe.py``).  The table is
-a cache: when it is full it starts afresh, which costs time and never changes a result.
+are looked up by a 64-bit hash in ``WordTable``, which compares the letters on every hit; only words not seen yet are spelled out
+and encoded, by whatever encoder the caller brings (the tokenizers library, or the trie of ``bpe.py``).  The table is
+a cache: when it is full it starts afresh, which costs time and never changes a result.  Words whose hash belongs to
+another word are kept by their spelling.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ import unicodedata
 import numpy as np
 import pyarrow as pa
 
-from .arrays import Powers, mix, ragged, span_hashes, text_chunks
+from .arrays import Powers, ragged, span_keys, text_chunks
 
 SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
 #: White space by the Unicode property White_Space.
@@ -81,7 +82,7 @@ def word_starts(codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 class WordTable:
-    """Open-addressing table from word hash to token ids, in numpy arrays of bounded size."""
+    """Open-addressing table from words (hash and letters) to token ids, in numpy arrays of bounded size."""
 
     def __init__(self, bits: int = TABLE_BITS, limit: int = TABLE_WORDS):
         self.bits, self.limit = bits, limit
@@ -92,8 +93,25 @@ class WordTable:
         self.slot = np.full(1 << self.bits, -1, np.int32)
         self.pool, self.used = np.empty(1 << 16, np.uint16), 0
         self.begin, self.size, self.words = np.empty(1 << 16, np.int64), np.empty(1 << 16, np.int32), 0
-
-    def find(self, hashes: np.ndarray) -> np.ndarray:
+        self.letters, self.lettered = np.empty(1 << 18, np.uint32), 0
+        self.spelt_at, self.spelt_size = np.empty(1 << 16, np.int64), np.empty(1 << 16, np.int64)
+        self.spelt: dict[str, int] = {}  # entries of words whose hash belongs to another word
+
+    def find(self, hashes: np.ndarray, codes: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Entry of each word codes[begin:end], -1 where it is not there."""
+        entry = self.slot_of(hashes)
+        maybe = np.flatnonzero(entry >= 0)
+        size = end[maybe] - begin[maybe]
+        fits = self.spelt_size[entry[maybe]] == size
+        entry[maybe[~fits]] = -1
+        maybe, size = maybe[fits], size[fits]
+        if len(maybe):
+            differ = codes[ragged(begin[maybe], size)] != self.letters[ragged(self.spelt_at[entry[maybe]], size)]
+            if differ.any():
+                entry[maybe[np.logical_or.reduceat(differ, np.cumsum(size) - size)]] = -1
+        return entry
+
+    def slot_of(self, hashes: np.ndarray) -> np.ndarray:
         """Entry of each hash, -1 where it is not there."""
         mask = np.uint64((1 << self.bits) - 1)
         at = (hashes & mask).astype(np.int64)
@@ -105,17 +123,29 @@ class WordTable:
             open_ = open_[(out[open_] >= 0) & (self.key[at[open_]] != hashes[open_])]
         return out
 
-    def add(self, hashes: np.ndarray, ids: np.ndarray, size: np.ndarray) -> None:
-        """New words, each hash once: ``ids`` holds their tokens one after the other."""
+    def store(self, ids: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Entries of new words: ``ids`` holds their tokens one after the other."""
         while self.used + len(ids) > len(self.pool):
             self.pool = np.append(self.pool, np.empty_like(self.pool))
         while self.words + len(size) > len(self.size):
             self.begin, self.size = np.append(self.begin, np.empty_like(self.begin)), np.append(self.size, np.empty_like(self.size))
+            self.spelt_at, self.spelt_size = (np.append(x, np.empty_like(x)) for x in (self.spelt_at, self.spelt_size))
         self.pool[self.used:self.used + len(ids)] = ids
         entry = np.arange(self.words, self.words + len(size), dtype=np.int32)
         self.size[entry] = size
         self.begin[entry] = self.used + np.cumsum(size) - size
         self.used, self.words = self.used + len(ids), self.words + len(size)
+        return entry
+
+    def add(self, hashes: np.ndarray, ids: np.ndarray, size: np.ndarray, codes: np.ndarray, begin: np.ndarray, end: np.ndarray) -> None:
+        """New words codes[begin:end] with their ids, each hash once."""
+        entry, length = self.store(ids, size), end - begin
+        spelling = codes[ragged(begin, length)]
+        while self.lettered + len(spelling) > len(self.letters):
+            self.letters = np.append(self.letters, np.empty_like(self.letters))
+        self.letters[self.lettered:self.lettered + len(spelling)] = spelling
+        self.spelt_at[entry], self.spelt_size[entry] = self.lettered + np.cumsum(length) - length, length
+        self.lettered += len(spelling)
         mask = (1 << self.bits) - 1
         at = (hashes & np.uint64(mask)).astype(np.int64)
         left = np.arange(len(hashes))
@@ -132,13 +162,13 @@ class WordTable:
 class Encoder:
     """Token ids of documents; ``encode_words(list of words)`` gives (ids, ids per word) of unseen words."""
 
-    def __init__(self, encode_words, special_id: int, table: WordTable | None = None):
-        self.encode_words, self.special_id = encode_words, special_id
+    def __init__(self, encode_words, special_id: int, table: WordTable | None = None, keys=span_keys):
+        self.encode_words, self.special_id, self.keys = encode_words, special_id, keys
         self.table, self.power = table or WordTable(), Powers()
 
     def entries(self, codes: np.ndarray, text: str, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-        hashes = span_hashes(codes, begin, end, self.power)
-        found = self.table.find(hashes)
+        hashes = self.keys(codes, begin, end, self.power)
+        found = self.table.find(hashes, codes, begin, end)
         missing = np.flatnonzero(found < 0)
         if len(missing):
             new, where = np.unique(hashes[missing], return_index=True)
@@ -146,12 +176,21 @@ class Encoder:
                 self.table.clear()
                 new, where = np.unique(hashes, return_index=True)
                 missing = np.arange(len(hashes))
-            at = missing[where]
+            free = self.table.slot_of(new) < 0
+            new, at = new[free], missing[where[free]]
             words = [text[b:e] for b, e in zip(begin[at].tolist(), end[at].tolist())]
             if self.table.words + len(new) > 3 * (len(self.table.key) // 4):  # one huge chunk: make room
                 self.table = WordTable(max(self.table.bits, int(len(new) * 2).bit_length()), self.table.limit)
-            self.table.add(new, *self.encode_words(words))
-            found = self.table.find(hashes)
+            if words:
+                self.table.add(new, *self.encode_words(words), codes, begin[at], end[at])
+            found = self.table.find(hashes, codes, begin, end)
+            clash = np.flatnonzero(found < 0)  # their hash belongs to another word
+            if len(clash):
+                spelt = [text[b:e] for b, e in zip(begin[clash].tolist(), end[clash].tolist())]
+                unknown = sorted({w for w in spelt if w not in self.table.spelt})
+                if unknown:
+                    self.table.spelt.update(zip(unknown, self.table.store(*self.encode_words(unknown)).tolist()))
+                found[clash] = [self.table.spelt[w] for w in spelt]
         return found
 
     def encode_chunk(self, data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -156,7 +156,8 @@ def test_url_filter_cases(spark):
             6: ("http://x.com/de/1#f", "com/de/", "block"), 7: ("http://x.com/fr/casino", "com/fr/", "allow"), 8: (None, None, "allow"),
             9: ("no scheme casino", None, "block"), 10: ("http://casinos.net/", None, "allow"), 11: ("http://my-casino.net/", None, "block"),
             12: ("http://free.net/win?bonus", None, "block"), 13: ("http://free.net/free/free", None, "allow"), 14: ("", None, "allow"),
-            15: ("http://poker.net:80/a", None, "block"), 16: ("http://h?x=://y/z", None, "allow")}
+            15: ("http://poker.net:80/a", None, "allow"), 16: ("http://h?x=://y/z", None, "allow"),
+            17: ("http://h.net/adult-education/sex", None, "block"), 18: ("http://h.net/sex-ratio", None, "allow")}
     pages = spark.createDataFrame([(k, v[0], "x") for k, v in urls.items()], "page_id bigint, url string, host string")
     got = {r.page_id: r for r in url_filter.judged(pages).collect()}
     assert {k: (r.rule, r.verdict) for k, r in got.items()} == {k: v[1:] for k, v in urls.items()}
