@@ -7,20 +7,20 @@
 * ``murmur3`` - parity with the reference's ids: the 32-bit MurmurHash3
   string hash of the Scala standard library (UTF-16 code units mixed in pairs,
   finalised with the length), widened to BIGINT.  Spark's own ``hash()`` is a
-  different function (UTF-8 bytes, seed 42), hence this Arrow-batched pandas
-  UDF, vectorised across rows with numpy.
+  different function (UTF-8 bytes, seed 42), so this one is put together from
+  built-in expressions: the name's UTF-16 code units are folded pair by pair
+  with ``aggregate``, 32-bit products come from 16-bit halves and never
+  overflow a BIGINT.  No Python runs.
+
+``murmur3_string_hash`` is the same hash over a pandas series.
 """
 
 from __future__ import annotations
 
-import sys
-
 import numpy as np
 import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Fixed values of the Scala MurmurHash3 string hash (public standard library).
 STRING_SEED = 0xF7CA7FD2
@@ -85,14 +85,49 @@ def murmur3_string_hash(values: pd.Series) -> pd.Series:
     return out
 
 
-# Ship this module's code with the UDF (pickled by value), so Python workers
-# need not have the package installed or on their path.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+MASK = 0xFFFFFFFF
+
+
+def _low(x: Column) -> Column:
+    """Lowest 32 bits of a BIGINT."""
+    return x.bitwiseAND(F.lit(MASK).cast("bigint"))
+
+
+def _let(x: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often the body uses it."""
+    return F.get(F.transform(F.array(x), body), F.lit(0))
+
+
+def _times(x: Column, factor: int) -> Column:
+    """x * factor modulo 2 ** 32, for 0 <= x < 2 ** 32."""
+    by, half = F.lit(factor).cast("bigint"), F.lit(0xFFFF).cast("bigint")
+    return _let(x, lambda v: _low(F.shiftleft((F.shiftright(v, 16) * by).bitwiseAND(half), 16) + v.bitwiseAND(half) * by))
+
+
+def _turned(x: Column, bits: int) -> Column:
+    return _let(x, lambda v: _low(F.shiftleft(v, bits)).bitwiseOR(F.shiftright(v, 32 - bits)))
+
+
+def _folded(x: Column, bits: int) -> Column:
+    return _let(x, lambda v: v.bitwiseXOR(F.shiftright(v, bits)))
+
+
+def _mixed(h: Column, unit: Column) -> Column:
+    return h.bitwiseXOR(_times(_turned(_times(unit, C1), 15), C2))
 
 
-@F.pandas_udf(T.LongType())
-def murmur3_name_id(names: pd.Series) -> pd.Series:
-    return murmur3_string_hash(names)
+def murmur3_name_id(name: Column) -> Column:
+    """The 32-bit string hash of a name as a BIGINT; null in, null out."""
+    units = F.hex(F.encode(name, "UTF-16BE"))  # four digits per code unit
+    number = lambda digits: F.conv(digits, 16, 10).cast("bigint")
+    pairs = F.regexp_extract_all(units, F.lit("[0-9A-F]{8}"), F.lit(0))
+    h = F.aggregate(pairs, F.lit(STRING_SEED).cast("bigint"),
+                    lambda h, pair: _low(_times(_turned(_mixed(h, number(pair)), 13), 5) + F.lit(MIX_ADD).cast("bigint")))
+    last = F.when(F.length(units) % 8 == 4, number(F.right(units, F.lit(4)))).otherwise(F.lit(0).cast("bigint"))
+    h = _mixed(h, last)  # no odd unit: a zero leaves the hash as it is
+    h = h.bitwiseXOR((F.length(units) / 4).cast("bigint"))
+    h = _folded(_times(_folded(_times(_folded(h, 16), FMIX1), 13), FMIX2), 16)
+    return _let(h, lambda v: F.when(v >= 1 << 31, v - F.lit(1 << 32)).otherwise(v))
 
 
 def name_id(name: Column | str, mode: str = "xxhash64") -> Column:

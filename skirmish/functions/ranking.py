@@ -22,6 +22,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 
 def blocked_row_number(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
                        block: Column, out: str = "rn", total: str | None = None) -> DataFrame:
@@ -48,12 +50,24 @@ def blocked_row_number(df: DataFrame, keys: Sequence[str], order: Sequence[str |
         *df.columns, out, *([total] if total else []))
 
 
-def order_blocks(df: DataFrame, column: str, blocks: int) -> Column:
-    """Block number of ``column`` when its range in ``df`` is cut into ``blocks`` equal parts.
+def range_row_number(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "rn", parts: int | None = None) -> DataFrame:
+    """Add ``out`` = 1-based position of each row within its key in ``order``, whatever the keys and order values are.
 
-    One small aggregation (minimum and maximum) finds the range.
+    Rows are range-partitioned by (keys, order, a row id), so blocks follow the rows, not the values: a hot key, wide or missing
+    order values and ties are all cut into parts of equal size.  The sorted rows are written once; a part's offset is a prefix
+    sum over (key, part).  ``parts`` is the number of parts (default: the session's shuffle partitions).
     """
-    low, high = df.agg(F.min(column), F.max(column)).first()
-    if low is None or low == high:
-        return F.lit(0)
-    return F.floor((F.col(column) - F.lit(low)) * F.lit(blocks) / F.lit(high - low + 1))
+    keys, at = list(keys), "__at"
+    along = [*keys, *order, "__tie"]
+    rows = df.withColumn("__tie", F.monotonically_increasing_id())
+    placed = materialize(rows.repartitionByRange(*([parts] if parts else []), *along).sortWithinPartitions(*along).drop("__tie")
+                         .withColumn(at, F.monotonically_increasing_id()), "ranked")
+    part = F.call_function("shiftright", F.col(at), F.lit(33))
+    counts = placed.groupBy(*keys, part.alias("__p")).agg(F.min(at).alias("__low"), F.count("*").alias("__n"))
+    prior = Window.partitionBy(*keys).orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    named = [F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]
+    offsets = counts.select(*named, F.col("__p").alias("__kp"), (F.coalesce(F.sum("__n").over(prior), F.lit(0)) - F.col("__low") + 1).alias("__off"))
+    same = F.col("__p") == F.col("__kp")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))
+    return placed.withColumn("__p", part).join(offsets, same).withColumn(out, (F.col(at) + F.col("__off")).cast("bigint")).select(*df.columns, out)

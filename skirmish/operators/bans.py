@@ -3,8 +3,8 @@
 Totals are a plain group-by (partial aggregation map-side, so a champion
 banned in a third of all matches costs no more than any other).  The running
 count reproduces the streaming job's per-input output (each ban emits the
-champion's new total) as a batch operator, made skew-proof by the blocked
-prefix sum of ``functions.ranking``.
+champion's new total) as a batch operator, made skew-proof by the range-partitioned
+row number of ``functions.ranking``.
 """
 
 from __future__ import annotations
@@ -12,13 +12,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.ranking import blocked_row_number, order_blocks
+from ..functions.ranking import range_row_number
 
 # Champion key excluded from rankings, default ranking sizes.
 EXCLUDED_CHAMPIONS = ("-1",)
 TOP_BANNED = 3
 TOP_CHART = 15
-RUNNING_BLOCKS = 16  # parts of the match-id range, for the prefix sum of the running count
 
 
 def ban_counts(match_bans: DataFrame) -> DataFrame:
@@ -42,15 +41,14 @@ def ban_counts_by_key(raw_bans: DataFrame, champions: DataFrame) -> DataFrame:
     return named.groupBy("champion").agg(F.sum("n").cast("bigint").alias("ban_count"))
 
 
-def running_ban_count(match_bans: DataFrame, blocks: int = RUNNING_BLOCKS) -> DataFrame:
+def running_ban_count(match_bans: DataFrame, blocks: int | None = None) -> DataFrame:
     """(match_id, pos, champion, running): the champion's count up to this ban.
 
-    Bans are ordered by (match_id, pos) within a champion.  The range of match
-    ids in ``match_bans`` is cut into ``blocks`` parts, so a hot champion is
-    spread over that many tasks, in a micro-batch as in a whole table.
+    Bans are ordered by (match_id, pos) within a champion, bans without a match id first and
+    in any order.  The rows are cut into ``blocks`` parts of equal size (default: the session's
+    shuffle partitions), so a hot champion is spread over tasks whatever its match ids are.
     """
-    return blocked_row_number(match_bans, ["champion"], ["match_id", "pos"],
-                              order_blocks(match_bans, "match_id", blocks), out="running").select(
+    return range_row_number(match_bans, ["champion"], ["match_id", "pos"], "running", blocks).select(
         "match_id", "pos", "champion", "running")
 
 

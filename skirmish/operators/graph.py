@@ -124,14 +124,19 @@ def graph_from_match_edges(match_edges: DataFrame, id_mode: str = "key",
     ``build_graph(extract_vertices(e), oriented_edges(e))`` without a
     de-duplicating shuffle or a second scan of the edges for endpoints.
     """
+    return PropertyGraph(vertices=_resolve_vertices(vertex_rows(match_edges, id_mode)),
+                         edges=oriented_edges(match_edges, id_mode, orientation))
+
+
+def vertex_rows(match_edges: DataFrame, id_mode: str = "key") -> DataFrame:
+    """(id, name, tracking) of both ends of every edge; an opponent without a name has null name and tracking."""
     me, him = _ids(match_edges, id_mode)
     known = F.col("his_name") != ""
     rows = F.array(
         F.struct(me.alias("id"), F.col("my_name").alias("name"), F.lit(True).alias("tracking")),
         F.struct(him.alias("id"), F.when(known, F.col("his_name")).alias("name"),
                  F.when(known, F.lit(False)).alias("tracking")))
-    v = _resolve_vertices(match_edges.select(F.explode(rows).alias("v")).select("v.*"))
-    return PropertyGraph(vertices=v, edges=oriented_edges(match_edges, id_mode, orientation))
+    return match_edges.select(F.explode(rows).alias("v")).select("v.*")
 
 
 def graph_stats(g: PropertyGraph) -> DataFrame:
@@ -160,13 +165,17 @@ def banned_subgraph(g: PropertyGraph, top: DataFrame | F.Column) -> PropertyGrap
     ``top`` is a k-row frame (column ``champion``) or its ``champion_set``.
     All vertices stay.
     """
-    champs = champion_set(top)
+    return PropertyGraph(vertices=g.vertices, edges=g.edges.filter(banned_edge(champion_set(top))))
+
+
+def banned_edge(champs: F.Column) -> F.Column:
+    """Test of an "Against" edge that touches one of the champions."""
     side = F.coalesce(F.col("side"), F.lit("None")) == AGAINST
     # One use of the subquery value for both endpoints (a second use would be
     # planned as a second subquery).
     hit = F.arrays_overlap(champs, F.array(F.coalesce(F.col("dst_champ"), F.lit("")),
                                            F.coalesce(F.col("src_champ"), F.lit(""))))
-    return PropertyGraph(vertices=g.vertices, edges=g.edges.filter(side & hit))
+    return side & hit
 
 
 def degrees(edges: DataFrame) -> DataFrame:

@@ -15,9 +15,10 @@ the API rate limit), each resolved to an account id by name.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from ..functions.columns import epoch_micros_to_ntz, ntz_to_epoch_micros, url_escape_blanks
 
 # Fixed values of the poller.
@@ -96,3 +97,35 @@ def poll_increment(games: DataFrame, cursor: DataFrame, begin: Column,
     advanced = (c.unionByName(new.groupBy(player).agg(F.max(ts).alias("last_ts")))
                 .groupBy(player).agg(F.max("last_ts").alias("last_ts")))
     return new, advanced
+
+
+class PollStore:
+    """Polls whose games and cursor become visible together.
+
+    A poll writes the new games and the advanced marks of the players who have any, then commits one record that names both.  A
+    poll that stops anywhere before its commit leaves nothing behind that a reader or the next poll would take, so games are neither
+    skipped nor repeated.  Marks are kept in hash buckets, so a poll rewrites only the buckets of players with new games.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, player: str = "player BIGINT", games: str = "player BIGINT, game_id BIGINT, ts TIMESTAMP_NTZ",
+                 buckets: int = 64):
+        from ..streaming.versions import Appended, BucketStore, Keyed
+        self.player = player.split()[0]
+        self.store = BucketStore(spark, root, {
+            "cursor": Keyed(f"{player}, last_ts TIMESTAMP_NTZ", (self.player,), {"last_ts": F.max}), "games": Appended(games)}, buckets)
+
+    def poll(self, games: DataFrame, begin: Column) -> DataFrame:
+        """Take the games newer than the players' marks (or from ``begin`` on); returns them once they are committed."""
+        found, number = self.store.folders("games"), self.store.next_batch()
+        new, _ = poll_increment(games, self.store.read("cursor"), begin, self.player)
+        new = materialize(new, "poll")
+        marks = new.groupBy(self.player).agg(F.max("ts").alias("last_ts"))
+        self.store.merge({"games": new, "cursor": marks}, number)
+        return self.store._read("games", [f for f in self.store.folders("games") if f not in found])
+
+    def games(self) -> DataFrame:
+        """All games of committed polls."""
+        return self.store.read("games")
+
+    def cursor(self) -> DataFrame:
+        return self.store.read("cursor")

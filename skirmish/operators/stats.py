@@ -32,21 +32,42 @@ def sliding_stats(matches: DataFrame, window_minutes: int = WINDOW_MINUTES,
     ``matches`` needs ts, game_duration and winner.  The window length must be
     a multiple of the slide.  A match reported by several tracked players is
     counted once per report, as in the reference; ``dedupe_key`` (e.g.
-    match_id) counts it once instead.
+    match_id) counts it once instead (rows without the key each).  Matches without a
+    time belong to no window here; the stream counts them by their arrival.
     """
     if window_minutes % slide_minutes:
         raise ValueError("window length must be a multiple of the slide")
     if dedupe_key:
-        matches = matches.dropDuplicates([dedupe_key])
-    fan = window_minutes // slide_minutes
-    slide = f"{slide_minutes} minutes"
-    buckets = matches.groupBy(F.window("ts", slide).start.alias("bucket")).agg(*_measures())
-    back = F.explode(F.sequence(F.lit(0), F.lit(fan - 1))).alias("i")
-    slots = buckets.select("*", back).select(
-        (F.col("bucket") - F.make_dt_interval(mins=F.col("i") * slide_minutes)).alias("slot"),
-        "duration", "red_win", "tot_matches")
-    return slots.groupBy("slot").agg(*(F.sum(c).cast("bigint").alias(c)
-                                       for c in ("duration", "red_win", "tot_matches")))
+        matches = distinct_matches(matches, dedupe_key)
+    return slide_panes(panes(matches, slide_minutes), window_minutes, slide_minutes)
+
+
+def distinct_matches(matches: DataFrame, key: str, watermarked: bool = False) -> DataFrame:
+    """One row per value of ``key``; rows without one cannot be told to be the same match, so all of them stay.
+
+    On a stream duplicates are dropped within the watermark if the frame has one, else for good.
+    """
+    known = matches.filter(F.col(key).isNotNull())
+    known = known.dropDuplicatesWithinWatermark([key]) if watermarked else known.dropDuplicates([key])
+    return known.unionByName(matches.filter(F.col(key).isNull()))
+
+
+def panes(matches: DataFrame, slide_minutes: int = SLIDE_MINUTES) -> DataFrame:
+    """(pane, duration, red_win, tot_matches): matches summed up per slide; also of a streaming frame."""
+    return (matches.groupBy(F.window("ts", f"{slide_minutes} minutes").alias("w")).agg(*_measures())
+            .select(F.col("w.start").alias("pane"), "duration", "red_win", "tot_matches"))
+
+
+def slots_of(pane: str, window_minutes: int = WINDOW_MINUTES, slide_minutes: int = SLIDE_MINUTES) -> F.Column:
+    """The slots (window starts) that contain a pane, one row each."""
+    steps = F.sequence(F.lit(0), F.lit(window_minutes // slide_minutes - 1))
+    return F.explode(F.transform(steps, lambda i: F.col(pane) - F.make_dt_interval(mins=i * slide_minutes)))
+
+
+def slide_panes(panes: DataFrame, window_minutes: int = WINDOW_MINUTES, slide_minutes: int = SLIDE_MINUTES) -> DataFrame:
+    """Windows from panes: every pane counts in the slots that contain it."""
+    slots = panes.select(slots_of("pane", window_minutes, slide_minutes).alias("slot"), "duration", "red_win", "tot_matches")
+    return slots.groupBy("slot").agg(*(F.sum(c).cast("bigint").alias(c) for c in ("duration", "red_win", "tot_matches")))
 
 
 def sliding_stats_streaming(matches: DataFrame, window_minutes: int = WINDOW_MINUTES,
@@ -59,8 +80,7 @@ def sliding_stats_streaming(matches: DataFrame, window_minutes: int = WINDOW_MIN
     one, else for good.
     """
     if dedupe_key:
-        matches = (matches.dropDuplicatesWithinWatermark([dedupe_key]) if watermarked
-                   else matches.dropDuplicates([dedupe_key]))
+        matches = distinct_matches(matches, dedupe_key, watermarked)
     w = F.window("ts", f"{window_minutes} minutes", f"{slide_minutes} minutes")
     return (matches.groupBy(w.alias("w")).agg(*_measures())
             .select(F.col("w.start").alias("slot"), "duration", "red_win", "tot_matches"))

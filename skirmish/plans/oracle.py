@@ -204,6 +204,19 @@ FROM match_ban""",
 FROM (SELECT * FROM ban_count WHERE champion <> '-1' ORDER BY ban_count DESC, champion ASC LIMIT 15) t""",
     "stats_sliding": "SELECT * FROM sliding",
     "stats_sliding_stream": "SELECT * FROM sliding",
+    "stats_panes_stream": "SELECT * FROM sliding",
+    "running_bans_state": """SELECT champion, count(*) AS n, CAST(1 AS BIGINT) AS first, count(*) AS last, count(*) AS steps
+FROM (SELECT CASE WHEN (match_id + row_number() OVER (PARTITION BY match_id ORDER BY pos) - 1) % 3 = 0 THEN 'HOT' ELSE champion END AS champion
+      FROM match_ban) b GROUP BY champion""",
+    "match_list_arrivals": """SELECT CAST(tracked_key AS VARCHAR) AS account_id, match_id AS game_id,
+       CASE WHEN match_id % 3 = 2 THEN 'pending' ELSE 'matched' END AS status FROM raw_match""",
+    "poll_store": """SELECT user_id AS player, count(*) AS games, count(DISTINCT event_id) AS distinct_games, max(ts) AS last_ts
+FROM events GROUP BY user_id""",
+    "graph_export_merged": """SELECT v.id, v.name, CAST(coalesce(r.n, 0) AS BIGINT) AS n_rels FROM graph_vertices v
+LEFT JOIN (SELECT src_id, count(*) AS n FROM (SELECT DISTINCT src_id, dst_id, coalesce(src_champ, 'No Champ') AS c FROM banned_edges) d GROUP BY src_id) r
+       ON r.src_id = v.id
+WHERE v.id % 3 <> 0 OR v.id % 2 = 0""",
+    "edges_folded": "SELECT * FROM edges",
     "stats_upsert": "SELECT * FROM sliding",
     "graph_vertices": "SELECT * FROM graph_vertices",
     "graph_stats": """SELECT count(*) AS n_vertices,
@@ -306,6 +319,7 @@ def oracle_sql() -> dict[str, str]:
     out["raw_document_edges"] = with_views("SELECT * FROM match_edge", LISTED_VIEWS)
     out["multi_tracked_edges"] = with_views("SELECT * FROM match_edge", FAN_OUT_VIEWS)
     named = {"stream_edges_name_id": "SELECT * FROM edges", "stream_vertices_name_id": "SELECT * FROM vertices",
+             "stream_ingest_graph": "SELECT * FROM degree WHERE tracking AND in_degree + out_degree > 0",
              "graph_job_files": "SELECT * FROM degree WHERE tracking AND in_degree + out_degree > 0"}
     for name, final in named.items():
         out[name] = with_views(final, NAME_ID_VIEWS, HASH_CTES)

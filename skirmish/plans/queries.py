@@ -18,9 +18,10 @@ from .. import schemas
 from ..functions import columns as colfn
 from ..functions.hashing import name_id
 from ..operators import bans, graph, marts, matchlist, normalize, stats
-from ..session import materialize, scratch_path
+from ..session import materialize, scratch_path, trigger_bytes
 from ..sources import documents, graph_files, tables
 from ..streaming import jobs
+from ..streaming.graph_tables import ExportStore, GraphTables
 from ..streaming.store import UpsertStore
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -263,9 +264,6 @@ def ban_running_count(spark, d):
     return bans.running_ban_count(materialize(normalize.match_bans(_t(spark, d)), "match-bans"))
 
 
-TRIGGER_BYTES = 256 << 20  # input of a micro-batch
-
-
 def _publish_events(spark, d, path: str) -> None:
     """Write match events as JSON (key, value) records: the topic stand-in."""
     recs = normalize.to_records(normalize.event_documents(_t(spark, d)))
@@ -273,7 +271,7 @@ def _publish_events(spark, d, path: str) -> None:
 
 
 def _topic(spark, path: str) -> DataFrame:
-    return documents.json_record_stream(spark, path, max_bytes_per_trigger=TRIGGER_BYTES)
+    return documents.json_record_stream(spark, path, max_bytes_per_trigger=trigger_bytes(spark))
 
 
 def ban_counts_stream(spark, d):
@@ -306,7 +304,7 @@ def stats_sliding_stream(spark, d):
     root = scratch_path(spark, "stats-stream")
     ev = tables.read_table(spark, d, "events")
     # the pattern fits a single file as well as a folder of part files
-    src = (spark.readStream.schema(ev.schema).option("maxBytesPerTrigger", TRIGGER_BYTES)
+    src = (spark.readStream.schema(ev.schema).option("maxBytesPerTrigger", trigger_bytes(spark))
            .parquet(f"{d.rstrip('/')}/events.parquet*"))
     matches = tables.events_as_matches(src)
     store = UpsertStore(spark, f"{root}/stats", ["slot"], schemas.MATCH_STATS).create().truncate()
@@ -315,6 +313,17 @@ def stats_sliding_stream(spark, d):
     return store.read()
 
 
+def stats_panes_stream(spark, d):
+    """The events in shuffled order over several micro-batches, summed up by panes; windows slide over the panes."""
+    root = scratch_path(spark, "stats-panes")
+    ev = tables.events_as_matches(tables.read_table(spark, d, "events"))
+    ev.repartition(4, F.xxhash64("ts")).write.parquet(f"{root}/events")
+    matches = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/events")
+    panes, store = (UpsertStore(spark, f"{root}/{n}", ["slot"], schemas.MATCH_STATS).create() for n in ("panes", "stats"))
+    jobs.run_available(jobs.start_pane_stats(matches, panes, store, f"{root}/checkpoint", trigger={"availableNow": True}))
+    return store.read()
+
+
 def stats_upsert(spark, d):
     """Three partial-column upserts of one stats row per slot, merged on read."""
     root = scratch_path(spark, "stats-upsert")
@@ -408,6 +417,98 @@ def stream_running_bans(spark, d):
                                        F.max("running").alias("last"), F.countDistinct("running").alias("steps"))
 
 
+def running_bans_state(spark, d):
+    """Running totals in operator state over events without match ids, a third of all bans on one champion."""
+    root = scratch_path(spark, "running-state")
+    docs = normalize.event_documents(_t(spark, d))
+    hot = F.transform("bans", lambda b, i: F.when((F.col("match_id") + i) % 3 == 0, F.lit("HOT")).otherwise(b))
+    docs = docs.withColumn("bans", hot).withColumn("match_id", F.lit(None).cast("bigint"))
+    normalize.to_records(docs).repartition(4).write.json(f"{root}/topic")
+    topic = documents.json_record_stream(spark, f"{root}/topic", max_files_per_trigger=2)
+    jobs.run_available(jobs.start_running_bans(topic, f"{root}/running", f"{root}/checkpoint", {"availableNow": True}))
+    run = spark.read.parquet(f"{root}/running")
+    return run.groupBy("champion").agg(F.count("*").alias("n"), F.min("running").alias("first"),
+                                       F.max("running").alias("last"), F.countDistinct("running").alias("steps"))
+
+
+def stream_ingest_graph(spark, d):
+    """Landed match documents to topic to tables to the graph job, all as streams; every fifth document is cut off and rejected."""
+    root = scratch_path(spark, "ingest")
+    t = _t(spark, d)
+    docs = documents.to_raw_documents(t)
+    text = F.to_json(F.struct(*docs.columns))
+    whole = docs.select(text.alias("value")).unionByName(docs.filter("gameId % 5 = 0").select(F.left(text, F.length(text) / 2).alias("value")))
+    whole.repartition(4).write.text(f"{root}/landed")
+    raw = documents.read_raw_matches(spark, f"{root}/landed", streaming=True)
+    dimensions = lambda: (tables.champions(spark, d), tables.players(spark, d), tables.match_list(spark, d))
+    now = {"availableNow": True}
+    jobs.run_available(jobs.start_normalisation(raw, dimensions, jobs.publish_files(f"{root}/topic"), f"{root}/rejected", f"{root}/checkpoint", now))
+    live = GraphTables(spark, f"{root}/graph")
+    for q in jobs.start_match_jobs(_topic(spark, f"{root}/topic"), f"{root}/out", trigger=now, id_mode="murmur3", graph_tables=live).values():
+        jobs.run_available(q)
+    return live.job(UpsertStore(spark, f"{root}/out/ban_count", ["champion"], schemas.BAN_COUNT).read())
+
+
+def match_list_arrivals(spark, d):
+    """List entries and matches as two streams: a third of the matches lands before the lists, a third after, a third never."""
+    root = scratch_path(spark, "arrivals")
+    t = _t(spark, d)
+    docs = documents.to_raw_documents(t)
+    lists = tables.match_list(spark, d).select(F.col("player_key").cast("string").alias("account_id"), F.col("match_id").alias("game_id"))
+    for folder in ("docs", "lists"):  # the streams need their folders to exist
+        (docs if folder == "docs" else lists).limit(0).write.json(f"{root}/{folder}/none")
+    store = jobs.arrivals_store(spark, f"{root}/arrivals")
+
+    def run():
+        listed = spark.readStream.schema(lists.schema).option("recursiveFileLookup", "true").json(f"{root}/lists")
+        landed = documents.read_raw_matches(spark, f"{root}/docs/*", streaming=True).select(F.col("gameId").alias("game_id"))
+        jobs.run_available(jobs.start_list_arrivals(listed, landed, store, f"{root}/checkpoint", {"availableNow": True}))
+
+    docs.filter("gameId % 3 = 0").write.json(f"{root}/docs/before")
+    lists.write.json(f"{root}/lists/all")
+    run()
+    docs.filter("gameId % 3 = 1").write.json(f"{root}/docs/after")
+    run()
+    return store.read("arrivals")
+
+
+def poll_store(spark, d):
+    """Two polls into one store, the second over all games again: a game is taken once, games and marks are committed together."""
+    ev = tables.read_table(spark, d, "events")
+    games = ev.select(F.col("user_id").alias("player"), F.col("event_id").alias("game_id"), "ts")
+    store = matchlist.PollStore(spark, scratch_path(spark, "polls"))
+    bounds = ev.agg(F.min("ts").alias("low"), F.timestamp_micros(F.expr("bigint((min(unix_micros(cast(ts as timestamp))) + max(unix_micros(cast(ts as timestamp)))) / 2)"))
+                    .cast("timestamp_ntz").alias("middle")).first()
+    begin = F.lit(bounds.low).cast("timestamp_ntz")
+    store.poll(games.filter(F.col("ts") <= F.lit(bounds.middle).cast("timestamp_ntz")), begin)
+    store.poll(games, begin)
+    marks = store.cursor()
+    return store.games().join(marks, "player").groupBy("player").agg(
+        F.count("*").alias("games"), F.countDistinct("game_id").alias("distinct_games"), F.max("last_ts").alias("last_ts"))
+
+
+def graph_export_merged(spark, d):
+    """Two loads of the graph store: the second merges into the first and keeps its nodes and relationships."""
+    g, _ = _banned(spark, d, both_sides=False)
+    v, e = materialize(g.vertices, "export-vertices"), materialize(g.edges, "export-edges")
+    store = ExportStore(spark, scratch_path(spark, "graph-store"))
+    for part in ("id % 3 <> 0", "id % 2 = 0"):  # the loads overlap, and together hold all but some
+        own = e.withColumn("id", F.col("src_id"))
+        store.load(graph.PropertyGraph(vertices=v.filter(part), edges=own.filter(part).drop("id")))
+    rels = store.read("rels").groupBy("src_id").agg(F.count("*").alias("n"))
+    return store.read("nodes").join(rels, F.col("id") == F.col("src_id"), "left").select("id", "name", F.coalesce("n", F.lit(0)).alias("n_rels"))
+
+
+def edges_folded(spark, d):
+    """Edges appended in many small batches and folded into one folder."""
+    store = GraphTables(spark, scratch_path(spark, "folded"), buckets=8)
+    e = materialize(_edges(spark, d), "fold-edges")
+    for batch in range(3):
+        store.merge({"edges": graph.oriented_edges(e.filter(F.pmod("match_id", F.lit(3)) == batch))}, batch)
+    store.fold("edges", at_least=2)
+    return store.read("edges")
+
+
 def graph_job_files(spark, d):
     """Stream -> files -> graph job: tracked players against the most banned champions, name ids."""
     out = _streamed(spark, d)
@@ -476,6 +577,13 @@ REGISTRY: dict[str, Query] = {
     "stream_vertices_name_id": stream_vertices_name_id,
     "stream_running_bans": stream_running_bans,
     "graph_job_files": graph_job_files,
+    "stats_panes_stream": stats_panes_stream,
+    "running_bans_state": running_bans_state,
+    "stream_ingest_graph": stream_ingest_graph,
+    "match_list_arrivals": match_list_arrivals,
+    "poll_store": poll_store,
+    "graph_export_merged": graph_export_merged,
+    "edges_folded": edges_folded,
     "edges_csv_roundtrip": edges_csv_roundtrip,
     "vertices_csv_roundtrip": vertices_csv_roundtrip,
     "mart_avg_length": mart_avg_length,

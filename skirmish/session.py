@@ -87,6 +87,11 @@ def shared_dir(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def trigger_bytes(spark: SparkSession, per_core: int = 256 << 20) -> int:
+    """Input of a micro-batch: so many bytes for every core, so that batches grow with the cluster."""
+    return per_core * max(1, spark.sparkContext.defaultParallelism)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared root for one job's outputs."""
     root = shared_dir(spark)

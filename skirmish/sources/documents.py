@@ -135,7 +135,8 @@ def json_record_stream(spark: SparkSession, path: str, max_files_per_trigger: in
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if max_bytes_per_trigger:
         reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
-    return reader.json(path)
+    # micro-batches of a publishing stream land in folders of their own
+    return reader.option("recursiveFileLookup", "true").json(path)
 
 
 # ---------------------------------------------------------------------------
@@ -159,14 +160,19 @@ def split_raw_matches(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     of the two teams, a team's id or result, the participants or their
     identities, or a duration that fits a BIGINT.
     """
-    ok = (F.col("gameId").isNotNull() & (F.size("teams") >= 2) & F.col("participants").isNotNull()
-          & F.col("participantIdentities").isNotNull() & F.col("gameDuration").try_cast("bigint").isNotNull())
+    reason = raw_reject_reason(CORRUPT in docs.columns)
+    return docs.filter(reason.isNull()).drop(CORRUPT), docs.filter(reason.isNotNull())
+
+
+def raw_reject_reason(corrupt: bool = True) -> F.Column:
+    """Why a raw match document is rejected (the first that applies), null if it is good."""
+    teams = F.coalesce(F.size("teams") >= 2, F.lit(False))
     for k in (0, 1):
-        ok = ok & F.get("teams", k)["teamId"].isNotNull() & F.get("teams", k)["win"].isNotNull()
-    if CORRUPT in docs.columns:
-        ok = ok & F.col(CORRUPT).isNull()
-    ok = F.coalesce(ok, F.lit(False))
-    return docs.filter(ok).drop(CORRUPT), docs.filter(~ok)
+        teams = teams & F.get("teams", k)["teamId"].isNotNull() & F.get("teams", k)["win"].isNotNull()
+    out = F.when(F.col(CORRUPT).isNotNull(), "unparsable") if corrupt else F.when(F.lit(False), "")
+    return (out.when(F.col("gameId").isNull(), "no game id").when(~teams, "teams")
+            .when(F.col("participants").isNull() | F.col("participantIdentities").isNull(), "participants")
+            .when(F.col("gameDuration").try_cast("bigint").isNull(), "duration"))
 
 
 def flatten_raw_matches(docs: DataFrame, champions: DataFrame, players: DataFrame,

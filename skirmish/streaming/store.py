@@ -52,11 +52,8 @@ class UpsertStore:
     def versions(self) -> list[int]:
         """Complete versions, oldest first."""
         fs, path = self._fs()
-        if not fs.exists(path(self.path)):
-            return []
-        found = [s.getPath().getName() for s in fs.listStatus(path(self.path)) if s.isDirectory()]
-        numbers = sorted(int(n[2:]) for n in found if n.startswith("v="))
-        return [n for n in numbers if fs.exists(path(f"{self._folder(n)}/_SUCCESS"))]
+        marks = fs.globStatus(path(f"{self.path}/v=*/_SUCCESS")) or []
+        return sorted(int(s.getPath().getParent().getName()[2:]) for s in marks)
 
     def _write(self, df: DataFrame, version: int) -> None:
         df.write.mode("overwrite").parquet(self._folder(version))
