@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from skirmish.llm import arrays, bpe, near_dedup, oracle, quality, queries, sharding, token_files, tokens, url_filter
+from skirmish.llm import arrays, bpe, near_dedup, oracle, quality, queries, sharding, token_files, tokens, toxicity, url_filter
 from skirmish.session import scratch_path
 from tests.util import normalise
 
@@ -112,6 +112,17 @@ def test_token_files_tell_the_least_id_from_a_missing_one(spark):
     assert back == sorted([(-2 ** 63, n("least")), (None, n("none")), (0, n("zero")), (-2 ** 63, 1)], key=str)
 
 
+def test_toxicity_training_decides_ties(spark):
+    texts = [f"text {k} of one id" for k in range(6)]
+    docs = spark.createDataFrame([(2, t) for t in texts] + [(4, "another"), (4, "another")], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(2, 0), (2, 1), (2, 0), (4, 0), (4, None)], "doc_id bigint, toxic int")
+    kept = docs.filter(~toxicity.held_out(docs.doc_id))
+    hashed = kept.selectExpr("doc_id", "text", "xxhash64(text) AS h").collect()
+    least = {i: min((r.h, r.text) for r in hashed if r.doc_id == i)[1] for i in {r.doc_id for r in hashed}}
+    got = {r.doc_id: (r.toxic, r.text) for r in toxicity.training_rows(docs, labels).collect()}
+    assert got == {i: (int(i == 2), t) for i, t in least.items()}
+
+
 def test_vocabulary_of_a_file(spark):
     path = scratch_path(spark, "terms")
     spark.createDataFrame([("Bad", "strict", None), ("odd", "soft", 1), ("ODD", "soft", 3), ("Strange", "soft", 1), ("bad", "soft", 1)],
