@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import edge_attr_map, map_get
 from ..functions.hashing import name_id
 from ..session import materialize
+from .joins import join_heavy
 
 MISSING = "Missing"
 NO_CHAMP = "No Champ"
@@ -212,18 +213,20 @@ def tracked_with_edges(g: PropertyGraph) -> DataFrame:
             .select("id", "name", "tracking", "in_degree", "out_degree"))
 
 
-def pattern_hop(g: PropertyGraph, excluded: DataFrame | F.Column) -> DataFrame:
+def pattern_hop(g: PropertyGraph, excluded: DataFrame | F.Column, heavy_share: float | None = None) -> DataFrame:
     """One hop ``(n)-[r]->(m)`` whose relationship champion is not excluded.
 
     Returns n's id and name with the target id and the relationship's
     champion (``src_champ``, "No Champ" when absent).  The excluded list is a
-    k-row frame, applied as one inlined array value.
+    k-row frame, applied as one inlined array value.  With ``heavy_share`` the
+    relationships of hub players (that share of all or more) are joined without a shuffle.
     """
     rel = g.edges.select("src_id", "dst_id",
                          F.coalesce(F.col("src_champ"), F.lit(NO_CHAMP)).alias("my_champion"))
     rel = rel.filter(~F.array_contains(champion_set(excluded), F.col("my_champion")))
     v = g.vertices.select(F.col("id").alias("src_id"), "id", "name")
-    return rel.join(v, "src_id").select("id", "name", "dst_id", "my_champion")
+    met = rel.join(v, "src_id") if heavy_share is None else join_heavy(rel, v, "src_id", heavy_share)
+    return met.select("id", "name", "dst_id", "my_champion")
 
 
 def edge_attributes(edges: DataFrame) -> DataFrame:

@@ -128,7 +128,7 @@ FINAL: dict[str, str] = {
 FROM raw_match m LEFT JOIN raw_participant p ON p.match_id = m.match_id GROUP BY m.match_id
 UNION ALL SELECT -1, 0, true, true FROM raw_match
 UNION ALL SELECT match_id, 0, true, false FROM raw_match""",
-    "json_root_variants": """SELECT t.match_id, t.my_id, v.variant, NOT v.ok AS quarantined,
+    "json_root_variants": """SELECT t.match_id, t.my_id, v.variant, NOT v.ok AS quarantined, CASE WHEN NOT v.ok THEN x.reason END AS reason,
        CASE WHEN v.ok THEN m.game_duration ELSE -1 END AS game_duration,
        CASE WHEN v.ok THEN (CASE WHEN t.win_team = 100 THEN 'Blue' ELSE 'Red' END) END AS winner,
        CAST(CASE WHEN v.ok THEN coalesce(b.n, 0) ELSE 0 END AS BIGINT) AS n_bans,
@@ -138,10 +138,14 @@ JOIN raw_match m ON m.match_id = t.match_id
 LEFT JOIN (SELECT match_id, count(*) AS n FROM match_ban GROUP BY match_id) b ON b.match_id = t.match_id
 LEFT JOIN (SELECT match_id, my_id, count(*) AS n FROM match_edge GROUP BY match_id, my_id) e
        ON e.match_id = t.match_id AND e.my_id = t.my_id
-CROSS JOIN (VALUES ('object', true, true), ('array', true, true), ('corrupt', false, false), ('missing_key', false, false),
-                   ('missing_edge_key', false, true), ('bad_ts', false, false), ('huge_duration', false, false))
-       x(variant, with_edges, without)
+CROSS JOIN (VALUES ('object', true, true, ''), ('array', true, true, ''), ('corrupt', false, false, 'unparsable'),
+                   ('missing_key', false, false, 'no gameDuration'), ('missing_edge_key', false, true, 'incomplete edge'),
+                   ('bad_ts', false, false, 'time'), ('huge_duration', false, false, 'duration'))
+       x(variant, with_edges, without, reason)
 CROSS JOIN LATERAL (SELECT x.variant, CASE WHEN e.n IS NULL THEN x.without ELSE x.with_edges END AS ok) v""",
+    "event_unknown_fields": """SELECT t.match_id, CASE WHEN t.win_team = 100 THEN 'Blue' ELSE 'Red' END AS winner, t.match_id AS patch, 'x' AS region,
+       CAST(coalesce(b.n, 0) AS BIGINT) AS n_bans
+FROM tracked t LEFT JOIN (SELECT match_id, count(*) AS n FROM match_ban GROUP BY match_id) b ON b.match_id = t.match_id""",
     "match_list_slice": """SELECT player, poll,
        b0 + to_microseconds(poll * 8640000000) AS slice_begin,
        b0 + to_microseconds((poll + 1) * 8640000000) AS slice_end,
@@ -315,6 +319,7 @@ JOIN players pl ON pl.player_key = p.player_key AND pl.tracked"""}
 
 def oracle_sql() -> dict[str, str]:
     out = {k: with_views(v) for k, v in FINAL.items()}
+    out["pattern_match_hop_heavy"] = out["pattern_match_hop"]
     out["player_id_hash"] = f"WITH RECURSIVE {HASH_CTES}\nSELECT * FROM name_ids WHERE player_key >= 0"
     out["raw_document_edges"] = with_views("SELECT * FROM match_edge", LISTED_VIEWS)
     out["multi_tracked_edges"] = with_views("SELECT * FROM match_edge", FAN_OUT_VIEWS)

@@ -152,13 +152,26 @@ def json_root_variants(spark, d):
     p = documents.parse_events(recs)
     ok = ~F.col("quarantined")
     return p.select(
-        "match_id", "my_id", "variant", "quarantined",
+        "match_id", "my_id", "variant", "quarantined", "reason",
         F.when(ok, F.col("_event.gameDuration").try_cast("bigint")).otherwise(-1).alias("game_duration"),
         F.when(ok, F.col("_event.winner")).alias("winner"),
         F.when(ok, F.size("_event.bans")).otherwise(0).cast("bigint").alias("n_bans"),
         F.when(ok, F.size("_event.edges")).otherwise(0).cast("bigint").alias("n_edges"))
 
 
+def event_unknown_fields(spark, d):
+    """Events with fields that the schema does not know: kept as VARIANT beside the typed fields and read back from it."""
+    docs = normalize.event_documents(_t(spark, d))
+    more = F.struct(F.col("match_id").alias("patch"), F.lit("x").alias("region"))
+    recs = docs.select("key", F.to_json(F.struct("match_id", "gameDuration", "winner", "bans", "edges", more.alias("extra"))).alias("value"))
+    whole = documents.with_payload(recs)
+    good, _ = documents.split_quarantine(documents.parse_events(whole))
+    back = documents.with_payload(good.withColumn("text", F.to_json("payload")), "text", "again")  # a round trip of the variant
+    field = lambda c, path, kind: F.try_variant_get(c, path, kind)
+    return back.select("match_id", "winner", field("again", "$.extra.patch", "bigint").alias("patch"),
+                       field("again", "$.extra.region", "string").alias("region"), F.size("bans").cast("bigint").alias("n_bans"))
+
+
 def match_list_slice(spark, d):
     ev = tables.read_table(spark, d, "events")
     begin = ev.agg(F.min("ts")).scalar()
@@ -361,6 +374,13 @@ def pattern_match_hop(spark, d):
     return graph.pattern_hop(g, top)
 
 
+def pattern_match_hop_heavy(spark, d):
+    """The hop again, hub players found by a sketch and joined without a shuffle."""
+    g, top = _banned(spark, d)
+    kept = graph.PropertyGraph(vertices=g.vertices, edges=materialize(g.edges, "banned-edges"))
+    return graph.pattern_hop(kept, top, heavy_share=0.01)
+
+
 def graph_export_nodes(spark, d):
     """Graph store load: overwrite (delete all) then write merged USER nodes."""
     path = scratch_path(spark, "export") + "/nodes"
@@ -545,6 +565,7 @@ REGISTRY: dict[str, Query] = {
     "raw_document_edges": raw_document_edges,
     "raw_document_quarantine": raw_document_quarantine,
     "json_root_variants": json_root_variants,
+    "event_unknown_fields": event_unknown_fields,
     "match_list_slice": match_list_slice,
     "match_list_slice_queue": match_list_slice_queue,
     "match_list_documents": match_list_documents,
@@ -571,6 +592,7 @@ REGISTRY: dict[str, Query] = {
     "graph_degrees": graph_degrees,
     "tracked_players_vs_banned": tracked_players_vs_banned,
     "pattern_match_hop": pattern_match_hop,
+    "pattern_match_hop_heavy": pattern_match_hop_heavy,
     "graph_export_nodes": graph_export_nodes,
     "graph_export_rels": graph_export_rels,
     "stream_edges_name_id": stream_edges_name_id,

@@ -31,17 +31,18 @@ ARRAY_OF_EVENTS = T.ArrayType(schemas.EVENT)
 def parse_events(records: DataFrame, value_col: str = "value") -> DataFrame:
     """Parse event JSON whose root may be an object or an array.
 
-    An array root uses its element 0.  Adds ``quarantined`` next to the parsed
+    An array root uses its element 0.  Adds ``quarantined`` and ``reason`` next to the parsed
     fields; the original columns are kept.  A record is quarantined when its
     text is not JSON, a required field or a key of an edge is missing, the
-    duration does not fit a BIGINT, or there is a time that does not parse.
+    duration does not fit a BIGINT, or there is a time that does not parse;
+    ``reason`` names the first of these that applies (null for a good record).
     """
     text = F.col(value_col).cast("string")
     parsed = F.get(F.from_json(text, ARRAY_OF_EVENTS, {"mode": "PERMISSIVE"}), 0)
     out = records.withColumn("_event", parsed)
-    ok = F.col("_event").isNotNull()
+    reason = F.when(F.col("_event").isNull(), "unparsable")
     for name in schemas.EVENT_REQUIRED:
-        ok = ok & F.col(f"_event.{name}").isNotNull()
+        reason = reason.when(F.col(f"_event.{name}").isNull(), f"no {name}")
 
     def incomplete(edge):
         missing = edge.isNull()
@@ -49,21 +50,29 @@ def parse_events(records: DataFrame, value_col: str = "value") -> DataFrame:
             missing = missing | edge[name].isNull()
         return missing
 
-    ok = ok & ~F.exists(F.col("_event.edges"), incomplete)
-    ok = ok & F.col("_event.gameDuration").try_cast("bigint").isNotNull()
     ts = F.col("_event.ts")
-    ok = ok & (ts.isNull() | ts.try_cast("timestamp_ntz").isNotNull())
-    return out.withColumn("quarantined", ~F.coalesce(ok, F.lit(False)))
+    reason = (reason.when(F.exists(F.col("_event.edges"), incomplete), "incomplete edge")
+              .when(F.col("_event.gameDuration").try_cast("bigint").isNull(), "duration")
+              .when(ts.isNotNull() & ts.try_cast("timestamp_ntz").isNull(), "time"))
+    return out.withColumn("reason", reason).withColumn("quarantined", F.col("reason").isNotNull())
+
+
+def with_payload(records: DataFrame, value_col: str = "value", out: str = "payload") -> DataFrame:
+    """Add the whole record as a VARIANT (null if it is not JSON), so fields that the schema does not know are kept.
+
+    ``F.try_variant_get(out, "$.field", type)`` reads one of them, ``F.to_json(out)`` writes all of them back.
+    """
+    return records.withColumn(out, F.try_parse_json(F.col(value_col).cast("string")))
 
 
 def split_quarantine(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(good events flattened to top-level fields, quarantined raw records).
+    """(good events flattened to top-level fields, quarantined raw records with their reason).
 
     Record columns (key, metadata) are kept next to the event fields; where a
     name exists in both, the parsed event field wins.
     """
     fields = set(schemas.EVENT.fieldNames())
-    keep = [c for c in parsed.columns if c not in ("_event", "quarantined", "value") and c not in fields]
+    keep = [c for c in parsed.columns if c not in ("_event", "quarantined", "reason", "value") and c not in fields]
     good = parsed.filter(~F.col("quarantined")).select(*keep, "_event.*")
     bad = parsed.filter(F.col("quarantined")).drop("_event", "quarantined")
     return good, bad

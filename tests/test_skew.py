@@ -79,3 +79,25 @@ def test_edges_of_a_hot_match(spark):
             spark.conf.unset(k)
     assert "Window" not in plan
     assert "skew" in plan
+
+
+def test_join_with_a_hub_spreads_without_adaptive_splitting(spark):
+    from skirmish.operators.joins import heavy_keys, join_heavy
+    n = 24_000
+    rel = spark.range(n, numPartitions=8).select(F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 3 == 1, F.col("id") % 997 + 100).alias("src_id"),
+                                                 F.col("id").alias("dst_id"))
+    dim = spark.range(0, 2000).select(F.col("id").alias("src_id"), F.concat(F.lit("P"), "id").alias("name"))
+    assert heavy_keys(rel, "src_id", 0.05) == [7] and heavy_keys(rel.limit(0), "src_id") == []
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.enabled": "false", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        size = lambda df: sorted(r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect())
+        plain, split = size(rel.join(dim, "src_id")), size(join_heavy(rel, dim, "src_id", 0.05))
+    finally:
+        for k in keys:
+            spark.conf.unset(k)
+    assert sum(plain) == sum(split) == n // 3 * 2
+    assert plain[-1] > n // 3 and split[-1] <= 3 * split[len(split) // 2]
+    assert join_heavy(rel, dim, "src_id").exceptAll(rel.join(dim, "src_id")).count() == 0
