@@ -5,8 +5,8 @@ The pre-tokeniser of the public 50k byte-level vocabulary is the pattern
     's|'t|'re|'ve|'m|'ll|'d| ?\\p{L}+| ?\\p{N}+| ?[^\\s\\p{L}\\p{N}]+|\\s+(?!\\S)|\\s+
 
 ``word_starts`` finds its cuts with array operations on the code points of many documents at once.  Words
-are looked up by a 64-bit hash in ``WordTable``, which compares the letters on every hit; only words not seen yet are spelled out
-and encoded, by whatever encoder the caller brings (the tokenizers library, or the trie of ``bpe.py``).  The table is
+are looked up by a 64-bit hash in ``WordTable``, which compares the bytes on every hit (the first 16 of them as two integers); only
+words not seen yet are spelled out and encoded, by whatever encoder the caller brings (the tokenizers library, or the trie of ``bpe.py``).  The table is
 a cache: when it is full it starts afresh, which costs time and never changes a result.  Words whose hash belongs to
 another word are kept by their spelling.
 """
@@ -20,7 +20,7 @@ import unicodedata
 import numpy as np
 import pyarrow as pa
 
-from .arrays import Powers, ragged, span_keys, text_chunks
+from .arrays import Powers, mix, ragged, span_keys, text_chunks
 
 SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
 #: White space by the Unicode property White_Space.
@@ -29,7 +29,8 @@ WHITE_SPACE = [9, 10, 11, 12, 13, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B)
 SPECIAL = "<|endoftext|>"
 TABLE_BITS = 20
 TABLE_WORDS = 1 << 19
-
+#: Mask of the first 0 to 8 bytes of a little-endian integer.
+HEADS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 
 def code_classes() -> np.ndarray:
@@ -81,8 +82,37 @@ def word_starts(codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.flatnonzero(cut)
 
 
+class Words:
+    """Spans of UTF-8 bytes, each with its first 16 bytes in two integers (zero beyond its end)."""
+
+    def __init__(self, data: np.ndarray, begin: np.ndarray, size: np.ndarray, head: np.ndarray | None = None, tail: np.ndarray | None = None):
+        self.data, self.begin, self.size = data, begin, size
+        if head is None:
+            padded = np.append(data, np.zeros(24, np.uint8))
+            eight = np.ndarray((len(data) + 16,), np.uint64, padded, strides=(1,))  # the eight bytes from every place on
+            head, tail = eight[begin] & HEADS[np.minimum(size, 8)], eight[begin + 8 * (size > 8)] & HEADS[np.clip(size - 8, 0, 8)]
+        self.head, self.tail = head, tail
+
+    def pick(self, which: np.ndarray) -> "Words":
+        return Words(self.data, self.begin[which], self.size[which], self.head[which], self.tail[which])
+
+    def keys(self, power: Powers) -> np.ndarray:
+        """64-bit hash of each word; contents are compared on a hit."""
+        out = mix(mix(self.head + self.size.astype(np.uint64) * np.uint64(0x2545F4914F6CDD1D)) + self.tail * np.uint64(0xD6E8FEB86659FD93))
+        long = np.flatnonzero(self.size > 16)
+        if len(long):
+            size = self.size[long]
+            upto = np.cumsum(size)
+            out[long] ^= span_keys(self.data[ragged(self.begin[long], size)], upto - size, upto, power)
+        return out
+
+    def spelt(self) -> list[str]:
+        raw = self.data.tobytes()
+        return [raw[b:b + n].decode() for b, n in zip(self.begin.tolist(), self.size.tolist())]
+
+
 class WordTable:
-    """Open-addressing table from words (hash and letters) to token ids, in numpy arrays of bounded size."""
+    """Open-addressing table from words (hash and bytes) to token ids, in numpy arrays of bounded size."""
 
     def __init__(self, bits: int = TABLE_BITS, limit: int = TABLE_WORDS):
         self.bits, self.limit = bits, limit
@@ -93,22 +123,23 @@ class WordTable:
         self.slot = np.full(1 << self.bits, -1, np.int32)
         self.pool, self.used = np.empty(1 << 16, np.uint16), 0
         self.begin, self.size, self.words = np.empty(1 << 16, np.int64), np.empty(1 << 16, np.int32), 0
-        self.letters, self.lettered = np.empty(1 << 18, np.uint32), 0
+        self.letters, self.lettered = np.empty(1 << 18, np.uint8), 0  # the bytes of words of more than 16
         self.spelt_at, self.spelt_size = np.empty(1 << 16, np.int64), np.empty(1 << 16, np.int64)
+        self.head, self.tail = np.empty(1 << 16, np.uint64), np.empty(1 << 16, np.uint64)
         self.spelt: dict[str, int] = {}  # entries of words whose hash belongs to another word
 
-    def find(self, hashes: np.ndarray, codes: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Entry of each word codes[begin:end], -1 where it is not there."""
+    def find(self, hashes: np.ndarray, words: Words) -> np.ndarray:
+        """Entry of each word, -1 where it is not there."""
         entry = self.slot_of(hashes)
-        maybe = np.flatnonzero(entry >= 0)
-        size = end[maybe] - begin[maybe]
-        fits = self.spelt_size[entry[maybe]] == size
-        entry[maybe[~fits]] = -1
-        maybe, size = maybe[fits], size[fits]
-        if len(maybe):
-            differ = codes[ragged(begin[maybe], size)] != self.letters[ragged(self.spelt_at[entry[maybe]], size)]
+        at = np.maximum(entry, 0)
+        same = (self.spelt_size[at] == words.size) & (self.head[at] == words.head) & (self.tail[at] == words.tail)
+        entry[~same] = -1
+        long = np.flatnonzero((entry >= 0) & (words.size > 16))
+        if len(long):
+            size = words.size[long]
+            differ = words.data[ragged(words.begin[long], size)] != self.letters[ragged(self.spelt_at[entry[long]], size)]
             if differ.any():
-                entry[maybe[np.logical_or.reduceat(differ, np.cumsum(size) - size)]] = -1
+                entry[long[np.logical_or.reduceat(differ, np.cumsum(size) - size)]] = -1
         return entry
 
     def slot_of(self, hashes: np.ndarray) -> np.ndarray:
@@ -129,7 +160,8 @@ class WordTable:
             self.pool = np.append(self.pool, np.empty_like(self.pool))
         while self.words + len(size) > len(self.size):
             self.begin, self.size = np.append(self.begin, np.empty_like(self.begin)), np.append(self.size, np.empty_like(self.size))
-            self.spelt_at, self.spelt_size = (np.append(x, np.empty_like(x)) for x in (self.spelt_at, self.spelt_size))
+            self.spelt_at, self.spelt_size, self.head, self.tail = (
+                np.append(x, np.empty_like(x)) for x in (self.spelt_at, self.spelt_size, self.head, self.tail))
         self.pool[self.used:self.used + len(ids)] = ids
         entry = np.arange(self.words, self.words + len(size), dtype=np.int32)
         self.size[entry] = size
@@ -137,14 +169,15 @@ class WordTable:
         self.used, self.words = self.used + len(ids), self.words + len(size)
         return entry
 
-    def add(self, hashes: np.ndarray, ids: np.ndarray, size: np.ndarray, codes: np.ndarray, begin: np.ndarray, end: np.ndarray) -> None:
-        """New words codes[begin:end] with their ids, each hash once."""
-        entry, length = self.store(ids, size), end - begin
-        spelling = codes[ragged(begin, length)]
+    def add(self, hashes: np.ndarray, ids: np.ndarray, size: np.ndarray, words: Words) -> None:
+        """New words with their ids, each hash once."""
+        entry, length = self.store(ids, size), np.where(words.size > 16, words.size, 0)
+        spelling = words.data[ragged(words.begin, length)]
         while self.lettered + len(spelling) > len(self.letters):
             self.letters = np.append(self.letters, np.empty_like(self.letters))
         self.letters[self.lettered:self.lettered + len(spelling)] = spelling
-        self.spelt_at[entry], self.spelt_size[entry] = self.lettered + np.cumsum(length) - length, length
+        self.spelt_at[entry], self.spelt_size[entry] = self.lettered + np.cumsum(length) - length, words.size
+        self.head[entry], self.tail[entry] = words.head, words.tail
         self.lettered += len(spelling)
         mask = (1 << self.bits) - 1
         at = (hashes & np.uint64(mask)).astype(np.int64)
@@ -162,13 +195,15 @@ class WordTable:
 class Encoder:
     """Token ids of documents; ``encode_words(list of words)`` gives (ids, ids per word) of unseen words."""
 
-    def __init__(self, encode_words, special_id: int, table: WordTable | None = None, keys=span_keys):
+    def __init__(self, encode_words, special_id: int, table: WordTable | None = None, keys=None):
         self.encode_words, self.special_id, self.keys = encode_words, special_id, keys
         self.table, self.power = table or WordTable(), Powers()
 
-    def entries(self, codes: np.ndarray, text: str, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-        hashes = self.keys(codes, begin, end, self.power)
-        found = self.table.find(hashes, codes, begin, end)
+    def entries(self, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Table entries of the words data[begin:end]."""
+        words = Words(data, begin, end - begin)
+        hashes = self.keys(data, begin, end, self.power) if self.keys else words.keys(self.power)
+        found = self.table.find(hashes, words)
         missing = np.flatnonzero(found < 0)
         if len(missing):
             new, where = np.unique(hashes[missing], return_index=True)
@@ -178,15 +213,16 @@ class Encoder:
                 missing = np.arange(len(hashes))
             free = self.table.slot_of(new) < 0
             new, at = new[free], missing[where[free]]
-            words = [text[b:e] for b, e in zip(begin[at].tolist(), end[at].tolist())]
             if self.table.words + len(new) > 3 * (len(self.table.key) // 4):  # one huge chunk: make room
                 self.table = WordTable(max(self.table.bits, int(len(new) * 2).bit_length()), self.table.limit)
-            if words:
-                self.table.add(new, *self.encode_words(words), codes, begin[at], end[at])
-            found = self.table.find(hashes, codes, begin, end)
+                missing = np.arange(len(hashes))
+            if len(at):
+                fresh = words.pick(at)
+                self.table.add(new, *self.encode_words(fresh.spelt()), fresh)
+            found[missing] = self.table.find(hashes[missing], words.pick(missing))
             clash = np.flatnonzero(found < 0)  # their hash belongs to another word
             if len(clash):
-                spelt = [text[b:e] for b, e in zip(begin[clash].tolist(), end[clash].tolist())]
+                spelt = words.pick(clash).spelt()
                 unknown = sorted({w for w in spelt if w not in self.table.spelt})
                 if unknown:
                     self.table.spelt.update(zip(unknown, self.table.store(*self.encode_words(unknown)).tolist()))
@@ -198,7 +234,8 @@ class Encoder:
         text = data.tobytes().decode("utf-8")
         codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
         lead = (data & 0xC0) != 0x80
-        at = np.append(0, np.cumsum(lead))[starts]
+        place = np.append(np.flatnonzero(lead), len(data))  # first byte of every code point
+        at = np.searchsorted(place, starts)
         cuts, special = at, np.empty(0, np.int64)
         if SPECIAL in text:
             special = self._special(text, at)
@@ -211,7 +248,7 @@ class Encoder:
         end = np.append(begin[1:], len(codes))[:len(begin)]
         is_special = np.isin(begin, special)
         entry = np.full(len(begin), -1, np.int64)
-        entry[~is_special] = self.entries(codes, text, begin[~is_special], end[~is_special])
+        entry[~is_special] = self.entries(data, place[begin[~is_special]], place[end[~is_special]])
         size = np.where(is_special, 1, self.table.size[entry] if self.table.words else 1).astype(np.int64)
         where = np.where(is_special, 0, self.table.begin[entry] if self.table.words else 0)
         ids = self.table.pool[ragged(where, size)]
