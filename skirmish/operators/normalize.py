@@ -144,7 +144,14 @@ def event_documents(t: MatchTables) -> DataFrame:
     (groups the game format bounds).  Element order is restored with
     array_sort on the carried position.
     """
-    rows = _opponents(t, tracked_matches(t, ("ts", "game_duration")), "left")
+    b = (match_bans(t).groupBy("match_id")
+         .agg(F.array_sort(F.collect_list(F.struct("pos", "champion"))).alias("bs"))
+         .select("match_id", F.transform("bs", lambda x: x["champion"]).alias("bans")))
+    return nested(_opponents(t, tracked_matches(t, ("ts", "game_duration")), "left"), b)
+
+
+def nested(rows: DataFrame, bans: DataFrame) -> DataFrame:
+    """Events of tracked rows joined with the participants of their match, and of the ban list (match_id, bans)."""
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))  # noqa: E731  an unknown id is the empty text
     edge = F.struct(
         F.col("participant_id").alias("pid"),
@@ -160,10 +167,7 @@ def event_documents(t: MatchTables) -> DataFrame:
     docs = rows.groupBy("match_id", "my_id").agg(
         F.first("my_name").alias("key"), F.first("ts").alias("ts"), F.first("game_duration").alias("game_duration"),
         F.first("win_team").alias("win_team"), F.array_sort(F.collect_list(F.when(opponent, edge))).alias("es"))
-    b = (match_bans(t).groupBy("match_id")
-         .agg(F.array_sort(F.collect_list(F.struct("pos", "champion"))).alias("bs"))
-         .select("match_id", F.transform("bs", lambda x: x["champion"]).alias("bans")))
-    return (docs.join(b, "match_id", "left")
+    return (docs.join(bans, "match_id", "left")
             .select("key", "match_id", "my_id", "ts",
                     F.col("game_duration").cast("double").alias("gameDuration"),
                     winner_name(F.col("win_team")).alias("winner"),

@@ -122,8 +122,11 @@ FINAL: dict[str, str] = {
     "normalize_bans": "SELECT * FROM match_ban",
     "normalize_edges": "SELECT * FROM match_edge",
     "normalize_edges_skew_safe": "SELECT * FROM match_edge",
+    "match_store_edges": "SELECT * FROM match_edge",
     "nested_event_roundtrip": """SELECT match_id, my_id, my_name, his_id, his_name, my_champion, his_champion,
        outcome, competition FROM match_edge""",
+    "match_store_events": """SELECT match_id, my_id, my_name, his_id, his_name, my_champion, his_champion,
+       outcome, competition FROM match_edge""",
     "raw_document_quarantine": """SELECT m.match_id, count(p.match_id) AS n_participants, false AS quarantined, false AS corrupt
 FROM raw_match m LEFT JOIN raw_participant p ON p.match_id = m.match_id GROUP BY m.match_id
 UNION ALL SELECT -1, 0, true, true FROM raw_match

@@ -19,7 +19,7 @@ from ..functions import columns as colfn
 from ..functions.hashing import name_id
 from ..operators import bans, graph, marts, matchlist, normalize, stats
 from ..session import materialize, scratch_path, trigger_bytes
-from ..sources import documents, graph_files, tables
+from ..sources import documents, graph_files, match_store, tables
 from ..streaming import jobs
 from ..streaming.graph_tables import ExportStore, GraphTables
 from ..streaming.store import UpsertStore
@@ -80,6 +80,24 @@ def normalize_edges_skew_safe(spark, d):
     return normalize.match_edges(_t(spark, d))
 
 
+def _match_store(spark, d) -> match_store.MatchStore:
+    """The matches of the tables, loaded into buckets."""
+    store = match_store.open_store(spark, scratch_path(spark, "match-store"), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    store.add(_t(spark, d))
+    return store
+
+
+def match_store_edges(spark, d):
+    """The edges read from bucketed match tables: no shuffle after the load."""
+    return _match_store(spark, d).edges()
+
+
+def match_store_events(spark, d):
+    """Nested events from bucketed match tables, serialised, parsed and flattened again."""
+    good, _ = documents.split_quarantine(documents.parse_events(normalize.to_records(_match_store(spark, d).events())))
+    return documents.event_edges(good)
+
+
 def multi_tracked_edges(spark, d):
     """Every known tracked participant of a match is tracked, so a match fans out over several players."""
     t = _t(spark, d)
@@ -560,6 +578,8 @@ REGISTRY: dict[str, Query] = {
     "normalize_bans": normalize_bans,
     "normalize_edges": normalize_edges,
     "normalize_edges_skew_safe": normalize_edges_skew_safe,
+    "match_store_edges": match_store_edges,
+    "match_store_events": match_store_events,
     "multi_tracked_edges": multi_tracked_edges,
     "nested_event_roundtrip": nested_event_roundtrip,
     "raw_document_edges": raw_document_edges,

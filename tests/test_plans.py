@@ -76,3 +76,18 @@ def test_running_count_needs_no_window_over_the_bans(spark):
 def test_match_list_slices_shuffle_the_games_once(spark):
     plan = census(final_plan(REGISTRY["match_list_slice"](spark, SF_SMALL)))
     assert plan["shuffle"] == 1 and plan["SMJ"] + plan["SHJ"] + plan["BHJ"] == 0
+
+
+def test_bucketed_matches_are_not_shuffled_again(spark):
+    """Edges and nested events of loaded match tables: no exchange, even where nothing may be broadcast."""
+    from skirmish.plans.queries import _match_store
+    store = _match_store(spark, SF_SMALL)
+    for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+        spark.conf.set(k, "-1")
+    try:
+        for df in (store.edges(), store.events()):
+            plan = executed_plan(df)
+            assert "Exchange" not in plan and "Bucketed: true" in plan
+    finally:
+        for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+            spark.conf.unset(k)
