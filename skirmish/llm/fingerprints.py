@@ -11,12 +11,18 @@ A text is a sequence of names (at first its code points).  One round replaces it
 
 Where a phrase begins depends only on a few names to its left and right.  Equal substrings therefore get
 the same phrases, except near their ends, at whatever offset they stand, and by induction the same names
-on every level.  The fingerprint keeps the ``KEEP`` smallest hashes of the distinct phrases of each level in
-``LEVELS`` (all of them if there are fewer); likeness is the mean over these levels of the
-share of common phrases, estimated from the smallest hashes of the union.
+on every level.  Rounds go on until a text has come down to two phrases, so the number of levels follows its length.  From level
+2 on the fingerprint keeps, per level, the ``KEEP`` smallest hashes of the distinct phrases and every hash in the lowest
+1 / ``RATE`` of the range (1 / ``HIGH_RATE`` from level 4 on), so it grows with the text; a level of at most ``KEEP`` phrases is whole.
+Below the largest hash that both fingerprints keep for sure, both are complete, and the shares computed there are unbiased.
+
+* likeness: mean over ``LEVELS`` of the share of common phrases;
+* reach: mean length in code points of a phrase of the highest level on which both have one in common, 0 for none: about the size of the
+  longest passage that both share, also where it is a small part of long texts.
 
 Defined results: the empty (or null) text has an empty fingerprint, alike (1) only to another empty one;
-equal texts have equal fingerprints; repeated rows follow one another; null doc_ids come last.
+equal texts have equal fingerprints; repeated rows follow one another; null doc_ids come last, all of them in the range of the
+least ids; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -32,10 +38,12 @@ from .arrays import mix, task_udf
 
 LEVELS = (2, 3)
 KEEP = 48
+RATE = 16
+HIGH_RATE = 4
 CHUNK_CHARS = 1 << 17
 
 DIGEST = "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, " \
-         "near_edited double, near_next double"
+         "near_edited double, near_next double, reach_edited bigint, reach_next bigint"
 
 
 def toss(x: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -114,18 +122,25 @@ def round_of(names: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndar
     return mix(total), np.searchsorted(begin, starts)
 
 
-def smallest(names: np.ndarray, starts: np.ndarray, keep: int) -> list[np.ndarray]:
-    """Per document, its ``keep`` smallest distinct 32-bit hashes, sorted."""
+def limit_of(level: int) -> int:
+    """Hashes below it are kept, however many."""
+    return (1 << 32) // (RATE if level < 4 else HIGH_RATE)
+
+
+def smallest(names: np.ndarray, starts: np.ndarray, keep: int, limit: int) -> list[np.ndarray]:
+    """Per document, its ``keep`` smallest distinct 32-bit hashes and all below ``limit``, sorted."""
     doc = np.repeat(np.arange(len(starts) - 1, dtype=np.uint64), np.diff(starts))
     key = np.sort(doc << np.uint64(32) | names >> np.uint64(32))
     key = key[np.append(True, key[1:] != key[:-1])] if len(key) else key
-    bounds = np.searchsorted(key, np.arange(len(starts), dtype=np.uint64) << np.uint64(32))
+    docs = np.arange(len(starts), dtype=np.uint64) << np.uint64(32)
+    bounds = np.searchsorted(key, docs)
+    ends = np.minimum(bounds[1:], np.maximum(bounds[:-1] + keep, np.searchsorted(key, docs[:-1] + np.uint64(limit))))
     low = (key & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-    return [low[a:min(b, a + keep)] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+    return [low[a:b] for a, b in zip(bounds[:-1].tolist(), ends.tolist())]
 
 
-def sketches(texts: list[str], levels: tuple[int, ...] = LEVELS, keep: int = KEEP) -> list[tuple[np.ndarray, ...]]:
-    """Per text, the smallest phrase hashes of each level."""
+def sketches(texts: list[str], keep: int = KEEP) -> list[tuple[np.ndarray, ...]]:
+    """Per text, the phrase hashes kept of each level from 2 on."""
     out, i = [], 0
     while i < len(texts):
         j, size = i, 0
@@ -134,33 +149,60 @@ def sketches(texts: list[str], levels: tuple[int, ...] = LEVELS, keep: int = KEE
         codes = np.frombuffer("".join(texts[i:j]).encode("utf-32-le"), np.uint32).astype(np.uint64)
         names = mix(codes + np.uint64(1))
         starts = np.append(0, np.cumsum([len(t) for t in texts[i:j]]))
-        found = []
-        for level in range(1, max(levels) + 1):
+        found: list[list[np.ndarray]] = [[] for _ in texts[i:j]]
+        open_, level = np.arange(j - i), 1  # texts that have not come down to two phrases yet
+        while len(open_):
             names, starts = round_of(names, starts)
-            if level in levels:
-                found.append(smallest(mix(names + np.uint64(level)), starts, keep))
-        out += list(zip(*found))
+            if level > 1:
+                for d, kept in zip(open_.tolist(), smallest(mix(names + np.uint64(level)), starts, keep, limit_of(level))):
+                    found[d].append(kept)
+            if level >= max(LEVELS):
+                size_of = np.diff(starts)
+                more = size_of > 2
+                if not more.all():
+                    names, starts, open_ = names[np.repeat(more, size_of)], np.append(0, np.cumsum(size_of[more])), open_[more]
+            level += 1
+        out += [tuple(f) for f in found]
         i = j
     return out
 
 
+def known_below(x: np.ndarray, keep: int, limit: int) -> int:
+    """Below this hash the sketch of a level holds every hash of the text."""
+    return 1 << 32 if len(x) < keep else max(int(x[-1]) + 1, limit)
+
+
 def alike(a: tuple[np.ndarray, ...], b: tuple[np.ndarray, ...], keep: int = KEEP) -> float:
     """Likeness of two sketches, 0 to 1."""
     shares = []
-    for x, y in zip(a, b):
-        union = np.union1d(x, y)[:keep]
-        shares.append(1.0 if not len(union) else np.intersect1d(np.intersect1d(x, union, True), y, True).size / len(union))
+    for level, x, y in zip(LEVELS, a, b):
+        bound = min(known_below(x, keep, limit_of(level)), known_below(y, keep, limit_of(level)))
+        x, y = x[:np.searchsorted(x, bound)], y[:np.searchsorted(y, bound)]
+        common = len(np.intersect1d(x, y, True))
+        union = len(x) + len(y) - common
+        shares.append(common / union if union else 1.0)
     return float(np.mean(shares))
 
 
+def reach(a: tuple[np.ndarray, ...], b: tuple[np.ndarray, ...], chars: int, keep: int = KEEP) -> int:
+    """Mean length of a phrase of ``a`` (a text of ``chars`` code points) on the highest level with a common phrase."""
+    for level in range(min(len(a), len(b)), 0, -1):
+        x, y = a[level - 1], b[level - 1]
+        common = len(np.intersect1d(x, y, True))
+        if common > 4 * len(x) * len(y) / 2 ** 32:  # more than equal hashes of unequal phrases explain
+            phrases = len(x) * 2 ** 32 / known_below(x, keep, limit_of(level + 1))
+            return min(chars, round(chars / max(phrases, 1)))
+    return 0
+
+
 def spelled(sketch: tuple[np.ndarray, ...]) -> str:
     """Fingerprint string: the hashes of each level in hexadecimal, levels joined by a colon; empty for no text."""
     return ":".join(x.astype(">u4").tobytes().hex() for x in sketch) if any(len(x) for x in sketch) else ""
 
 
-def parsed(fingerprint: str, levels: int = len(LEVELS)) -> tuple[np.ndarray, ...]:
+def parsed(fingerprint: str) -> tuple[np.ndarray, ...]:
     if not fingerprint:
-        return (np.empty(0, np.uint32),) * levels
+        return (np.empty(0, np.uint32),) * len(LEVELS)
     return tuple(np.frombuffer(bytes.fromhex(p), ">u4").astype(np.uint32) for p in fingerprint.split(":"))
 
 
@@ -254,7 +296,9 @@ def compared(docs: DataFrame) -> DataFrame:
             pa.array([hashlib.sha256(t.encode()).hexdigest() for t in changed], pa.string()),
             pa.array([spelled(s) for s in sketch], pa.string()), pa.array([spelled(s) for s in second], pa.string()),
             pa.array([alike(a, b) for a, b in zip(sketch, second)], pa.float64()),
-            pa.array([alike(a, b) for a, b in zip(sketch, follow)], pa.float64())],
-            ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
+            pa.array([alike(a, b) for a, b in zip(sketch, follow)], pa.float64()),
+            pa.array([reach(a, b, len(t)) for a, b, t in zip(sketch, second, texts)], pa.int64()),
+            pa.array([reach(a, b, len(t)) for a, b, t in zip(sketch, follow, texts)], pa.int64())],
+            ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "reach_edited", "reach_next"])
 
     return with_next(docs).mapInArrow(run, DIGEST)
