@@ -14,10 +14,15 @@ sequence is one shingle; without words it has no shingle and no link.  Two docum
 3. Each bucket names one centre and gives one edge per other member: a star, never all pairs.  The edges
    are confirmed on the full shingle sets; confirmed ones are links.
 4. A star loses a link between two members that are both unlike the centre.  So buckets whose members
-   are still in different components after step 3 are taken up again, in blocks of bounded size: their
-   sets are compared inside the task, which returns a spanning forest of the links, not pairs.  Every
-   pair that shares a bucket has then been confirmed or is connected already, without a cap on buckets
-   or partners.
+   are still in different components after step 3 are taken up again.  Small ones are compared in
+   blocks of bounded size, inside the task, which returns a spanning forest of the links, not pairs.  In larger ones members
+   meet only if they share one of their rarest shingles: two sets of the wanted similarity must share one of the first
+   n - ceil(0.85 n) + 1 shingles in the order of their frequency in the bucket.  So a passage that a million
+   documents have in common brings none of them together.  Every pair that shares a bucket has then been confirmed,
+   is connected already or cannot be alike, without a cap on buckets or partners.
+
+Buckets that hold more than a hundredth of all (class, band) rows are found by a sketch and joined by broadcast, where their
+rows are, so no task gathers such a bucket.
 
 Links, labels and sets stay distributed tables; the driver sees only loop counters.  Intermediate
 tables go to the folder of ``spark.checkpoint.dir``.
@@ -36,6 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import heavy_keys, join_heavy
 from ..session import materialize
 from .arrays import LOWER_ASCII, Powers, mix, segment_sums, span_hashes, task_udf, text_chunks, window_hashes, word_spans
 
@@ -170,10 +176,10 @@ def block_links(rep: np.ndarray, comp: np.ndarray, size: np.ndarray, values: np.
     return rep[root[joined]], rep[joined]
 
 
-def apart_links(members: DataFrame, sets: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
-    """Links between members (key, rep, comp) of one bucket that are in different components.
+def block_meetings(members: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
+    """Links (a, b) of members (key, rep, comp, cuts) that share a key, found block by block.
 
-    A bucket is cut into blocks of about ``block`` members and every two blocks meet in a group of
+    A key is cut into ``cuts`` blocks of about ``block`` members and every two blocks meet in a group of
     their own, so a task holds two blocks at most and a group returns fewer links than members.
     """
     def confirm(group: pa.Table) -> pa.Table:
@@ -183,12 +189,46 @@ def apart_links(members: DataFrame, sets: DataFrame, percent: int = PERCENT, blo
         a, b = block_links(rep, comp, size, s.flatten().to_numpy(), percent)
         return pa.table({"a": a, "b": b})
 
-    cuts = members.groupBy("key").agg(F.ceil(F.count("*") / block).cast("int").alias("cuts"))
-    own = members.join(cuts, "key").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("cuts")).cast("int"))
+    own = members.withColumn("own", F.pmod(F.xxhash64("rep"), F.col("cuts")).cast("int"))
     meet = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
     meet = meet.join(sets, "rep")
     meet = meet.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "rep", "comp", "s")
-    return meet.groupBy("key", "i", "j").applyInArrow(confirm, "a bigint, b bigint").distinct()
+    return meet.groupBy("key", "i", "j").applyInArrow(confirm, "a bigint, b bigint")
+
+
+def rare_meetings(members: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Of large buckets, who may be alike by a rare shingle: pairs (a, b), and groups (key, rep, comp) of three or more.
+
+    Groups of the same members count once; members of one component need not meet.
+    """
+    words = members.select("key", "rep", "comp").join(sets, "rep").select(
+        "key", "rep", "comp", F.size("s").alias("n"), F.explode("s").alias("x"))
+    words = materialize(words.withColumn("x", F.xxhash64("key", "x")), "open-shingles")
+    ranked = join_heavy(words, words.groupBy("x").agg(F.count("*").alias("f")), "x")
+    first = F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100).cast("int") + 1
+    rare = (ranked.groupBy("key", "rep", "comp", "n").agg(F.array_sort(F.collect_list(F.struct("f", "x"))).alias("w"))
+            .select("rep", "comp", F.explode(F.slice("w", F.lit(1), first)).alias("w")).filter("w.f > 1").select("rep", "comp", "w.x"))
+    rare = materialize(rare, "rare-shingles")
+    total = lambda seed: F.sum(F.xxhash64("rep", F.lit(seed)).cast("decimal(38,0)"))
+    groups = (rare.groupBy("x").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("c"), total(1).alias("h1"),
+                                    total(2).alias("h2"), F.min("rep").alias("a"), F.max("rep").alias("b")).filter("lo <> hi"))
+    groups = materialize(groups.groupBy("c", "h1", "h2", "a", "b").agg(F.min("x").alias("x")), "rare-groups")
+    many = rare.join(groups.filter("c > 2").select("x"), "x", "left_semi")
+    return groups.filter("c = 2").select("a", "b"), many.select(F.col("x").alias("key"), "rep", "comp")
+
+
+def apart_links(members: DataFrame, sets: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
+    """Links between members (key, rep, comp) of one bucket that are in different components."""
+    def cut(rows: DataFrame) -> DataFrame:
+        return join_heavy(rows, rows.groupBy("key").agg(F.ceil(F.count("*") / block).cast("int").alias("cuts")), "key")
+
+    sized = cut(members)
+    links = block_meetings(sized.filter("cuts <= 2"), sets, percent, block)
+    large = sized.filter("cuts > 2")
+    if not large.isEmpty():
+        pairs, groups = rare_meetings(large, sets, percent)
+        links = links.union(confirmed(pairs, sets, percent)).union(block_meetings(cut(groups), sets, percent, block))
+    return links.distinct()
 
 
 def connected(links: DataFrame) -> DataFrame:
@@ -238,7 +278,9 @@ def grouped(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     # one centre per bucket, picked anew for each bucket
     centre = (rows.groupBy("key").agg(F.min(F.struct(F.xxhash64("rep", "key").alias("o"), "rep", "n")).alias("c"),
                                       F.count("*").alias("members")).filter("members > 1"))
-    shared = materialize(rows.join(centre.select("key", F.col("c.rep").alias("centre"), F.col("c.n").alias("centre_n")), "key"), "buckets")
+    heavy = heavy_keys(rows, "key")  # at most 200 buckets
+    shared = materialize(join_heavy(rows, centre.select("key", F.col("c.rep").alias("centre"), F.col("c.n").alias("centre_n")), "key", heavy=heavy),
+                         "buckets")
     # the full sets of classes that share a bucket, hashed anew from the text of one row
     wanted = classes.join(shared.select("rep").distinct(), "rep", "left_semi").select("rep", "least.*")
     sets = materialize(docs.select(*KEYS, "text").join(wanted, KEYS).dropDuplicates(KEYS)
@@ -251,7 +293,7 @@ def grouped(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     # members of one bucket that are still apart
     member = shared.join(label, shared.rep == label.node, "left").select("key", "rep", F.coalesce("comp", "rep").alias("comp"))
     open_keys = member.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("key")
-    member = materialize(member.join(open_keys, "key", "left_semi"), "open-buckets")
+    member = materialize(join_heavy(member, open_keys, "key", heavy=heavy), "open-buckets")
     label = connected(links.union(apart_links(member, sets, percent)))
 
     # the least row of every component of two or more classes; other classes have their own

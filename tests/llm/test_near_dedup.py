@@ -75,6 +75,29 @@ def test_leftover_blocks_lose_no_link(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in near_dedup.components(frame).collect()} == brute(docs)[0]
 
 
+def test_a_large_bucket_of_unlike_classes_meets_by_rare_shingles_only(spark, monkeypatch):
+    """One bucket of 3000 classes that share a passage: the links are those of brute force, and few sets travel."""
+    r = random.Random(7)
+    common = r.sample(range(10 ** 9), 30)
+    own = [common + r.sample(range(10 ** 9), 30) for _ in range(3000)]
+    for k in range(0, 60, 2):  # planted pairs around the threshold, some of them chains of three
+        own[k + 1] = own[k][:60 - k // 6] + r.sample(range(10 ** 9), k // 6)
+    own[100], own[101] = own[0][:58] + [1, 2], own[1][:59] + [3]
+    frame = spark.createDataFrame([(0, i, i) for i in range(len(own))], "key bigint, rep bigint, comp bigint")
+    sets = spark.createDataFrame([(i, sorted(set(s))) for i, s in enumerate(own)], "rep bigint, s array<bigint>")
+    near = [*range(60), 100, 101]
+    want = {(a, b) for a, b in itertools.combinations(near, 2)
+            if 100 * len(set(own[a]) & set(own[b])) >= 85 * len(set(own[a]) | set(own[b]))}
+    moved = []
+    plain = near_dedup.block_meetings
+    monkeypatch.setattr(near_dedup, "block_meetings", lambda m, *a: moved.append(m.select(near_dedup.F.sum("cuts")).first()[0] or 0) or plain(m, *a))
+    links = near_dedup.apart_links(frame, sets, 85, 50).collect()
+    root = dict(near_dedup.connected(spark.createDataFrame(links)).collect())
+    expect = dict(near_dedup.connected(spark.createDataFrame(sorted(want), "a bigint, b bigint")).collect())
+    assert root == expect and {tuple(sorted(x)) for x in links} <= want and len(want) == 20
+    assert sum(moved) < 600  # every two blocks of 50 would move 3000 sets 60 times
+
+
 def test_densified_signatures_are_alike_as_the_sets():
 
     words = [f"t{i}" for i in range(400)]
@@ -186,24 +209,92 @@ def test_phrases_are_short_and_runs_collapse():
         assert len(levels[0]) <= len(text) / 2 + 1 and all(len(q) <= len(p) / 2 + 1 for p, q in itertools.pairwise(levels))
 
 
-def plain_compare(docs):
-    order = sorted(docs, key=lambda r: -r[0])
-    for k, (i, t) in enumerate(order):
-        nxt = order[(k + 1) % len(order)][1] or ""
-        t = t or ""
-        e = t[:len(t) - len(t) // 3] + nxt[:len(t) // 3]
-        a, b, c = (fingerprints.sketches([x])[0] for x in (t, e, nxt))
-        yield (i, len(t), hashlib.sha256(e.encode()).hexdigest(), fingerprints.spelled(a), fingerprints.spelled(b),
-               fingerprints.alike(a, b), fingerprints.alike(a, c))
+M = (1 << 64) - 1
+
+
+def plain_mix(x):
+    for shift, factor in ((33, 0xFF51AFD7ED558CCD), (33, 0xC4CEB9FE1A85EC53), (33, 1)):
+        x = (x ^ x >> shift) * factor & M
+    return x
+
+
+def plain_round(names):
+    """One round of parsing, written out name by name."""
+    runs = [(k, len(list(g))) for k, g in itertools.groupby(names)]
+    x = [plain_mix((k + n * 0x9E3779B97F4A7C15) & M) if n > 1 else k for k, n in runs]
+    for _ in range(4):
+        labels = []
+        for i, v in enumerate(x):
+            before = x[i - 1] if i else v ^ 1
+            bit = ((v ^ before) & -(v ^ before)).bit_length() - 1
+            labels.append(2 * bit + (v >> bit & 1))
+        if _ == 0:
+            names = x
+        x = labels
+    assert all(v < 6 for v in x) and all(p != q for p, q in itertools.pairwise(x))
+    for colour in (3, 4, 5):
+        x = [v if v != colour else min({0, 1, 2} - {x[j] for j in (i - 1, i + 1) if 0 <= j < len(x)}) for i, v in enumerate(x)]
+    cuts = [i for i, v in enumerate(x) if i == 0 or v > x[i - 1] and (i + 1 == len(x) or v > x[i + 1])]
+    out = []
+    for a, b in zip(cuts, [*cuts[1:], len(x)]):
+        total = (b - a) * 0xC2B2AE3D27D4EB4F + sum(n * (0x165667B19E3779F9 * (2 * k + 3) ** 5 | 1) for k, n in enumerate(names[a:b]))
+        out.append(plain_mix(total & M))
+    return out
+
+
+def plain_levels(text):
+    """{level: sorted kept hashes} from the whole hierarchy."""
+    names, out, level = [plain_mix(ord(c) + 1) for c in text], {}, 1
+    while True:
+        names = plain_round(names) if names else []
+        if level > 1:
+            hashes = sorted({plain_mix((n + level) & M) >> 32 for n in names})
+            out[level] = [h for k, h in enumerate(hashes) if k < 48 or h < 2 ** 32 // (16 if level < 4 else 4)]
+        if level >= 3 and len(names) <= 2:
+            return out
+        level += 1
+
+
+def plain_alike(a, b):
+    shares = []
+    for level in (2, 3):
+        x, y = a[level], b[level]
+        bound = min([max(z[-1] + 1, 2 ** 32 // 16) for z in (x, y) if len(z) >= 48], default=2 ** 32)
+        x, y = {h for h in x if h < bound}, {h for h in y if h < bound}
+        shares.append(len(x & y) / len(x | y) if x | y else 1.0)
+    return sum(shares) / 2
 
 
 def test_compared_equals_plain_python(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
-    want = sorted(plain_compare([(r.doc_id, r.text) for r in docs.collect()]))
-    got = sorted(tuple(r) for r in fingerprints.compared(docs).collect())
-    assert got == want
-    near = np.array([r[5] for r in got if r[1] > 500])
-    assert np.median(near) > 0.4 and np.median([r[6] for r in got]) < 0.05
+    rows = sorted(((r.doc_id, r.text or "") for r in docs.collect()), reverse=True)
+    got = {r.doc_id: r for r in fingerprints.compared(docs).collect()}
+    assert len(got) == len(rows)
+    spell = lambda levels: ":".join("".join(f"{h:08x}" for h in x) for x in levels.values()) if levels[2] else ""
+    for k, (i, t) in list(enumerate(rows))[::7]:
+        following = rows[(k + 1) % len(rows)][1]
+        e = t[:len(t) - len(t) // 3] + following[:len(t) // 3]
+        a, b, c = map(plain_levels, (t, e, following))
+        r = got[i]
+        assert (r.n_chars, r.edited_sha256) == (len(t), hashlib.sha256(e.encode()).hexdigest())
+        assert (r.fingerprint, r.edited_fingerprint) == (spell(a), spell(b))
+        assert abs(r.near_edited - plain_alike(a, b)) < 1e-12 and abs(r.near_next - plain_alike(a, c)) < 1e-12
+    long = [r for r in got.values() if r.n_chars > 500]
+    assert np.median([r.near_edited for r in long]) > 0.4 and np.median([r.near_next for r in got.values()]) < 0.05
+    assert np.median([r.reach_edited / r.n_chars for r in long]) > 0.1 and np.median([r.reach_next / r.n_chars for r in long]) < 0.05
+
+
+def test_a_passage_shows_in_long_texts():
+    r = random.Random(12)
+    words = ["".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randint(2, 9))) for _ in range(3000)]
+    prose = lambda n: " ".join(r.choice(words) for _ in range(n))
+    for size in (300, 2000):
+        passage = prose(size)
+        x, y, z = (prose(10000) + " " + (passage if k < 2 else prose(size)) + " " + prose(10000) for k in range(3))
+        a, b, c = fingerprints.sketches([x, y, z])
+        assert fingerprints.reach(a, b, len(x)) >= 0.04 * len(passage) > 2 * fingerprints.reach(a, c, len(x)) - 40
+        assert fingerprints.reach(a, a, len(x)) >= len(x) / 3
+    assert len(fingerprints.spelled(a)) < 0.4 * len(x)
 
 
 def test_compared_awkward(spark):
