@@ -50,6 +50,7 @@ ROWS = 6
 BANDS = 32
 PERCENT = 85
 BLOCK = 384
+LARGE = 64  # blocks; in larger buckets members meet by rare shingles, which moves a set once per rare shingle and not once per block
 
 SIGNATURE = "struct<n:bigint,h1:bigint,h2:bigint,bands:array<bigint>>"
 
@@ -223,8 +224,8 @@ def apart_links(members: DataFrame, sets: DataFrame, percent: int = PERCENT, blo
         return join_heavy(rows, rows.groupBy("key").agg(F.ceil(F.count("*") / block).cast("int").alias("cuts")), "key")
 
     sized = cut(members)
-    links = block_meetings(sized.filter("cuts <= 2"), sets, percent, block)
-    large = sized.filter("cuts > 2")
+    links = block_meetings(sized.filter(F.col("cuts") <= LARGE), sets, percent, block)
+    large = sized.filter(F.col("cuts") > LARGE)
     if not large.isEmpty():
         pairs, groups = rare_meetings(large, sets, percent)
         links = links.union(confirmed(pairs, sets, percent)).union(block_meetings(cut(groups), sets, percent, block))

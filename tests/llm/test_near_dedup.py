@@ -67,12 +67,14 @@ def test_components_equal_brute_force(spark):
 
 
 def test_leftover_blocks_lose_no_link(spark, monkeypatch):
-    """Tiny blocks: every two blocks of a bucket still meet."""
+    """Tiny blocks: every two blocks of a bucket still meet, or its members by rare shingles."""
     docs = near_copies(5, 4)
     frame = spark.createDataFrame(docs, "doc_id bigint, text string")
     monkeypatch.setattr(near_dedup, "compatible", lambda a, b, percent: near_dedup.F.lit(False))  # no stars at all
     monkeypatch.setattr(near_dedup.apart_links, "__defaults__", (85, 7))
-    assert {r.doc_id: r.component_id for r in near_dedup.components(frame).collect()} == brute(docs)[0]
+    for large in (64, 2):
+        monkeypatch.setattr(near_dedup, "LARGE", large)
+        assert {r.doc_id: r.component_id for r in near_dedup.components(frame).collect()} == brute(docs)[0]
 
 
 def test_a_large_bucket_of_unlike_classes_meets_by_rare_shingles_only(spark, monkeypatch):
@@ -89,6 +91,7 @@ def test_a_large_bucket_of_unlike_classes_meets_by_rare_shingles_only(spark, mon
     want = {(a, b) for a, b in itertools.combinations(near, 2)
             if 100 * len(set(own[a]) & set(own[b])) >= 85 * len(set(own[a]) | set(own[b]))}
     moved = []
+    monkeypatch.setattr(near_dedup, "LARGE", 2)
     plain = near_dedup.block_meetings
     monkeypatch.setattr(near_dedup, "block_meetings", lambda m, *a: moved.append(m.select(near_dedup.F.sum("cuts")).first()[0] or 0) or plain(m, *a))
     links = near_dedup.apart_links(frame, sets, 85, 50).collect()
