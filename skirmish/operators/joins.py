@@ -28,11 +28,15 @@ def heavy_keys(rows: DataFrame, key: str, share: float = SHARE) -> list:
     return [r["item"] for r in found.top or [] if r["count"] >= share / 2 * found.n]
 
 
-def join_heavy(rows: DataFrame, dim: DataFrame, key: str, share: float = SHARE, heavy: list | None = None) -> DataFrame:
-    """Inner join of ``rows`` with ``dim`` (one row per ``key``) that no heavy key gathers in one task."""
+def join_heavy(rows: DataFrame, dim: DataFrame, key: str, share: float = SHARE, heavy: list | None = None, on: list[str] | None = None) -> DataFrame:
+    """Inner join of ``rows`` with ``dim`` (one row per ``key``) that no heavy key gathers in one task.
+
+    ``on`` names the columns of a composite key; ``key`` is then the one of them that tells nearly all values apart, such as a hash.
+    """
+    on = on or [key]
     heavy = heavy_keys(rows, key, share) if heavy is None else heavy
     if not heavy:
-        return rows.join(dim, key)
+        return rows.join(dim, on)
     hit = F.coalesce(F.col(key).isin(heavy), F.lit(False))
     few = F.broadcast(dim.filter(F.col(key).isin(heavy)))  # at most one row per heavy key
-    return rows.filter(~hit).join(dim, key).unionByName(rows.filter(hit).join(few, key))
+    return rows.filter(~hit).join(dim, on).unionByName(rows.filter(hit).join(few, on))
