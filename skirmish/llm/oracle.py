@@ -90,21 +90,6 @@ FROM rated r LEFT JOIN wide f ON r.lang IS NOT DISTINCT FROM f.lang AND r.source
 """
 
 
-def sharding_sql() -> str:
-    n, tol = sharding.SHARDS, sharding.TOLERANCE
-    return f"""
-WITH keyed AS (
-  SELECT doc_id, text, strlen(coalesce(text, '')) + 1 AS size, ('0x' || substr(md5(coalesce(text, '')), 1, 15))::BIGINT AS key FROM documents),
-placed AS (
-  SELECT *, sum(size) OVER () AS total, sum(size) OVER (PARTITION BY key) AS grp,
-         sum(size) OVER (ORDER BY key) - sum(size) OVER (PARTITION BY key) AS grp_start,
-         sum(size) OVER (ORDER BY key, doc_id NULLS FIRST) - sum(size) OVER (PARTITION BY key, doc_id) AS doc_start FROM keyed)
-SELECT doc_id, size::BIGINT AS size, ({n} * (CASE WHEN grp * {n} * {tol} <= total THEN grp_start ELSE doc_start END) // total)::INTEGER AS shard,
-       'bytes' AS law, NULL::INTEGER AS grown_shard
-FROM placed
-"""
-
-
 def url_sql() -> str:
     lower = LOWER.format("url")
     edge = "[^a-z0-9]"
@@ -208,6 +193,28 @@ LEFT JOIN proofs pr ON pr.g = l.g AND pr.leaf_k = l.k JOIN ends e ON e.g = l.g A
 """
 
 
+def sharding_sql(part: int = sharding.PART) -> str:
+    n, tol = sharding.SHARDS, sharding.TOLERANCE
+    spread = crc_sql("(key::VARCHAR || ':' || coalesce(doc_id::VARCHAR, ''))")
+    return f"""
+WITH {CRC_STEPS},
+keyed AS (
+  SELECT doc_id, coalesce(text, '') AS text, strlen(coalesce(text, '')) + 1 AS size, ('0x' || substr(md5(coalesce(text, '')), 1, 15))::BIGINT AS key
+  FROM documents),
+placed AS (
+  SELECT *, sum(size) OVER () AS total, sum(size) OVER (PARTITION BY key) AS grp,
+         sum(size) OVER (ORDER BY key) - sum(size) OVER (PARTITION BY key) AS grp_start,
+         sum(size) OVER (ORDER BY key, doc_id NULLS FIRST) - sum(size) OVER (PARTITION BY key, doc_id) AS doc_start FROM keyed),
+dealt AS (
+  SELECT doc_id, size, key, {crc_sql("text")} AS text_crc32, {spread} % greatest(1, (total + {n * part - 1}) // {n * part}) AS part,
+         ({n} * (CASE WHEN grp * {n} * {tol} <= total THEN grp_start ELSE doc_start END) // total)::INTEGER AS shard
+  FROM placed, crc_steps)
+SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'bytes' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY part, key, doc_id NULLS FIRST) - 1 AS slot, NULL::INTEGER AS grown_shard
+FROM dealt
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_near_dedup": near_dedup_sql(), "op6_url_filter": url_sql(), "op7_quality_rules": quality_sql(),
+    return {"op2_sharding": sharding_sql(), "op3_near_dedup": near_dedup_sql(), "op6_url_filter": url_sql(), "op7_quality_rules": quality_sql(),
             "op11_spelling_variants": spelling_sql(), "op12_merkle_manifest": merkle_sql()}

@@ -8,8 +8,9 @@ come down to one text, a group of copies that takes at most ``tolerance`` of a s
 stays below the splitter); a larger group is cut inside, by the same rounds over doc_id.  Probes shrink every
 interval by ``PROBES`` per round, so the rounds depend on the key width, not on the data.
 
-Then the documents cross the network once, to (shard, part) with ``part`` spreading a shard over several
-tasks, get a gapless slot, and are written as files, one folder per shard.
+Then the documents cross the network once, to (shard, part), get a gapless slot in the order (part, hash, doc_id), and are
+written as files, one folder per shard.  A part holds about ``PART`` bytes of its shard: part = CRC-32 of ``<hash>:<doc_id>``
+modulo their number, so a group of copies is spread over the parts as well.
 
 Size of a document: UTF-8 bytes of its text plus 1.  With ``start`` the bytes before a document (before its group
 of copies, if that is left whole), its shard is floor(shards * start / total).
@@ -31,6 +32,7 @@ from ..session import materialize
 SHARDS = 16
 PROBES = 64
 TOLERANCE = 100  # a group of copies of at most 1 / TOLERANCE of a shard is left whole
+PART = 64 << 20  # bytes of documents in a part of a shard
 LEAST = -(1 << 63)
 
 
@@ -125,23 +127,29 @@ def shard_of(cuts: list[Splitter], key: str, doc_id: str) -> Column:
     return total
 
 
-def write(docs: DataFrame, path: str, shards: int = SHARDS, tolerance: int = TOLERANCE) -> DataFrame:
+def part_of(key: str, doc_id: str, parts: int) -> Column:
+    return (F.crc32(F.concat(F.col(key).cast("string"), F.lit(":"), F.coalesce(F.col(doc_id).cast("string"), F.lit(""))).cast("binary")) % parts).cast("int")
+
+
+def write(docs: DataFrame, path: str, shards: int = SHARDS, tolerance: int = TOLERANCE, part: int = PART) -> DataFrame:
     """Write ``docs`` as Parquet files in folders ``path/__shard=<n>`` with a column ``__slot``; returns a read of them.
 
-    All columns of ``docs`` are kept.  Files are sorted by (hash of the text, doc_id).
+    All columns of ``docs`` are kept.  Each part of a shard is a file sorted by (hash of the text, doc_id).
     """
     spark = docs.sparkSession
     keyed = docs.withColumn("__key", key_of())
     sizes = materialize(keyed.select(F.col("__key").alias("key"), "doc_id", size_of().alias("size")), "shard-sizes")
     cuts = splitters(sizes, shards, tolerance)
-    parts = -(-int(spark.conf.get("spark.sql.shuffle.partitions")) // shards)
-    place = lambda key: [shard_of(cuts, key, "doc_id").alias("__shard"), F.pmod(F.xxhash64(key, "doc_id"), F.lit(parts)).alias("__part")]
+    parts = max(1, -(-(sizes.agg(F.sum("size")).first()[0] or 0) // (shards * part)))
+    place = lambda key: [shard_of(cuts, key, "doc_id").alias("__shard"), part_of(key, "doc_id", parts).alias("__part")]
     counts = sizes.select(*place("key")).groupBy("__shard", "__part").agg(F.count("*").alias("n"))  # shards * parts rows
     before = F.coalesce(F.sum("n").over(Window.partitionBy("__shard").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     offsets = counts.select("__shard", "__part", before.alias("__before"))
     within = F.row_number().over(Window.partitionBy("__shard", "__part").orderBy("__key", "doc_id"))
-    dealt = keyed.select("*", *place("__key")).withColumn("__slot", within)
-    dealt = dealt.join(F.broadcast(offsets), ["__shard", "__part"])
+    dealt = keyed.select("*", *place("__key"))
+    if shards * parts > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        dealt = dealt.repartition(shards * parts, "__shard", "__part")
+    dealt = dealt.withColumn("__slot", within).join(offsets, ["__shard", "__part"])  # offsets: a row per part, on the keys of the window
     dealt = dealt.withColumn("__slot", (F.col("__slot") - 1 + F.col("__before")).cast("bigint"))
     dealt.select(*docs.columns, "__slot", "__shard").write.partitionBy("__shard").parquet(path)
     return read(spark, path, dealt.select(*docs.columns, "__slot", "__shard").schema)

@@ -9,6 +9,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 import pyarrow as pa
 
 from skirmish.llm import fingerprints, near_dedup, oracle, sharding
@@ -157,13 +158,13 @@ def test_rows_that_share_a_doc_id_or_have_none(spark):
     assert sorted(left) == sorted(set(component.values()))
 
 
-def test_sharding_equals_its_sql(spark):
+@pytest.mark.parametrize("part", [sharding.PART, 5000])
+def test_sharding_equals_its_sql(spark, part):
     docs = spark.read.parquet(f"{SF_MID}/documents.parquet").select("doc_id", "text")
-    got = sharding.write(docs, scratch_path(spark, "t-shards")).select(
-        "doc_id", sharding.size_of().alias("size"), sharding.F.col("__shard").alias("shard"), sharding.F.lit("bytes").alias("law"),
-        sharding.F.lit(None).cast("int").alias("grown_shard"))
-    want = duck(SF_MID).sql(oracle.sharding_sql()).df()
-    assert normalise(got.toPandas()[["doc_id", "size", "shard"]]).equals(normalise(want[["doc_id", "size", "shard"]]))
+    got = sharding.write(docs, scratch_path(spark, "t-shards"), part=part).selectExpr("doc_id", "__shard AS shard", "__slot AS slot")
+    want = duck(SF_MID).sql(oracle.sharding_sql(part)).df()
+    columns = ["doc_id", "shard", "slot"]
+    assert normalise(got.toPandas()[columns]).equals(normalise(want[columns]))
 
 
 def test_sharding_hot_group_slots_and_awkward(spark):
