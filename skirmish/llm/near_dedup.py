@@ -21,8 +21,8 @@ sequence is one shingle; without words it has no shingle and no link.  Two docum
    documents have in common brings none of them together.  Every pair that shares a bucket has then been confirmed,
    is connected already or cannot be alike, without a cap on buckets or partners.
 
-Buckets that hold more than a hundredth of all (class, band) rows are found by a sketch and joined by broadcast, where their
-rows are, so no task gathers such a bucket.
+Buckets, components and classes that hold more than a hundredth of the rows at hand are found by a sketch and joined by broadcast,
+where their rows are, so no task gathers them.
 
 Links, labels and sets stay distributed tables; the driver sees only loop counters.  Intermediate
 tables go to the folder of ``spark.checkpoint.dir``.
@@ -301,8 +301,12 @@ def grouped(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     ends = label.union(label.select("comp", "comp").distinct())
     ends = materialize(classes.select(*klass, "rep", "least").join(ends, F.col("rep") == ends.node, "left").drop("rep", "node"), "components")
     chosen = ends.filter("comp is not null").groupBy("comp").agg(F.min("least").alias("chosen"))
-    named = ends.join(chosen, "comp", "left").select(*klass, F.coalesce("chosen", "least").alias("chosen"))
-    return signed.drop("bands").join(named, klass, "left").select("doc_id", *KEYS, "n", "chosen")
+    named = join_heavy(ends.filter("comp is not null"), chosen, "comp").select(*klass, "chosen").unionByName(
+        ends.filter("comp is null").select(*klass, F.col("least").alias("chosen")))
+    # rows of a hot class stay where they are; rows without shingles need no class
+    rows = signed.drop("bands")
+    placed = join_heavy(rows.filter("n > 0"), named, "h1", on=klass).select("doc_id", *KEYS, "n", "chosen")
+    return placed.unionByName(rows.filter("n = 0").select("doc_id", *KEYS, "n", F.lit(None).cast(named.schema["chosen"].dataType).alias("chosen")))
 
 
 def components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
