@@ -2,8 +2,8 @@
 
 Everything that must survive executor loss (stream checkpoints, upsert
 stores, exported graph tables, lineage cuts) is written below the folder the
-cluster names in ``spark.checkpoint.dir``.  Only when that setting is absent
-and Spark runs in local mode (tests, laptops) do we create one ourselves.
+cluster names in ``spark.checkpoint.dir``, or its warehouse when that setting
+is absent.  Only in local mode (tests, laptops) do we create one ourselves.
 """
 
 from __future__ import annotations
@@ -66,22 +66,21 @@ def build_session(master: str | None = None, app_name: str = "skirmish",
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Root of the shared (cluster-visible) scratch space.
+    """Root of the shared (cluster-visible) scratch space, as a full URI.
 
     Reads ``spark.checkpoint.dir`` from the session (or the context's
-    checkpoint dir).  If neither is set and the master is local, a folder is
-    created and registered, as tests need; on a cluster we refuse to guess, and
-    refuse a path without a scheme, which would name a folder of each machine
-    (a mounted shared folder is given as ``file:///...``).
+    checkpoint dir).  A path without a scheme lies in Hadoop's default file
+    system, as for Spark itself.  If neither is set, a cluster uses its
+    warehouse, the other folder that driver and executors share; in local mode,
+    as in tests, a folder is created and registered.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...)")
-        root = tempfile.mkdtemp(prefix="skirmish-ckpt-")
-    if not sc.master.startswith("local") and "://" not in root and not root.startswith("file:"):
-        raise RuntimeError(f"spark.checkpoint.dir must name a shared folder with its scheme, not {root!r}")
+        one_machine = sc.master.startswith("local") and not sc.master.startswith("local-cluster")
+        root = tempfile.mkdtemp(prefix="skirmish-ckpt-") if one_machine else spark.conf.get("spark.sql.warehouse.dir")
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    root = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
     return root.rstrip("/")
