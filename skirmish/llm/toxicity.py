@@ -5,10 +5,13 @@ word boundaries marked; a hash gives each n-gram one of ``BUCKETS`` embeddings.
 goes through a linear softmax over {clean, toxic}.  A misspelling that never occurred in training shares
 most n-grams with the words it comes from, so it is scored by their vectors.
 
-Training takes a bounded sample of the labelled documents (``SAMPLE`` rows, half of each class, in the order of a
-hash of the doc_id) to the driver as sparse n-gram counts, those of a text with more than ``EXACT`` n-grams as
-``DRAWS`` random draws from the whole text; embeddings and softmax are learnt together by mini-batch Adagrad.  The trained model folds into one weight per bucket, a
-constant-size array that goes to the tasks; every whole text is then scored in one pass without a shuffle.
+Training takes every labelled document outside the held-out fold with all n-grams of its text.  The documents are dealt by a
+hash of the doc_id into blocks of about ``ROWS``; a task learns embeddings and softmax of its block together by mini-batch
+Adagrad and folds them into one weight per bucket.  The weights of all blocks are averaged, each by the count of its rarer class
+(a block of one class has nothing to tell apart; its rows count in the share of toxic ones).  The driver gets sums of
+weights only, and the model goes to the tasks as a constant-size array; every whole text is then scored in one pass without a
+shuffle.  A caller may bound training to ``sample`` rows, half of each class where there are enough; texts with more than
+``EXACT`` n-grams then give ``DRAWS`` random draws.
 
 Defined results: a null or empty text, or one without any word, gets the score of the bias alone; without
 labelled rows of both classes every score is 0; labels that are null are left out; a doc_id with several labels is toxic if one
@@ -18,6 +21,8 @@ other columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -28,7 +33,8 @@ from .arrays import BASE, LOWER_ASCII, Powers, mix, ragged, task_udf, text_chunk
 SIZES = (3, 4, 5, 6)
 BUCKETS = 1 << 17
 DIM = 8
-SAMPLE = 2400
+ROWS = 4800    # labelled rows a task learns from
+SUMS = 16      # partial sums of weights that reach the driver
 EXACT = 1 << 16
 DRAWS = 1 << 14
 EPOCHS = 8
@@ -65,14 +71,14 @@ def ngrams(data: np.ndarray, starts: np.ndarray, power: Powers) -> tuple[np.ndar
     return np.concatenate(docs), np.concatenate(buckets)
 
 
-def _counts(text: pa.Array) -> pa.Array:
-    """Per text, its n-gram buckets and how often each occurs, or was drawn if there are more than ``EXACT``."""
+def _counts(text: pa.Array, exact: int | None = EXACT) -> pa.Array:
+    """Per text, its n-gram buckets and how often each occurs, or was drawn if there are more than ``exact`` (None: never drawn)."""
     power, bucket, count, size = Powers(), [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.zeros(1, np.int64)]
     for _, _, data, starts in text_chunks(text):
         doc, b = ngrams(data, starts, power)
         key, c = np.unique(doc * BUCKETS + b, return_counts=True)
         total = np.bincount(doc, minlength=len(starts) - 1)
-        for d in np.flatnonzero(total > EXACT).tolist():
+        for d in np.flatnonzero(total > exact).tolist() if exact else []:
             i, j = np.searchsorted(key, [d * BUCKETS, (d + 1) * BUCKETS])
             c[i:j] = np.random.default_rng(int(total[d])).multinomial(DRAWS, c[i:j] / total[d])
         key, c = key[c > 0], c[c > 0]
@@ -97,13 +103,16 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return seen.join(docs.filter("text is not null").select("doc_id"), "doc_id", "left_semi")
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """At most ``sample`` labelled texts (doc_id, toxic, text), half of each class where there are enough."""
+def training_rows(docs: DataFrame, labels: DataFrame, sample: int | None = None, blocks: int = 1) -> DataFrame:
+    """The labelled texts (doc_id, toxic, text) in ``blocks`` partitions by doc_id; at most ``sample`` of them if one is given,
+    half of each class where there are enough."""
     seen = labelled(docs, labels)
-    half = [seen.filter(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample // 2) for k in (0, 1)]
-    picked = F.broadcast(half[0].union(half[1]))  # at most ``sample`` ids
-    texts = docs.select("doc_id", "text").filter("text is not null").join(picked, "doc_id")
-    # a hot id meets partial minima only
+    if sample:
+        half = [seen.filter(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample // 2) for k in (0, 1)]
+        seen = half[0].union(half[1])
+    texts = docs.select("doc_id", "text").filter("text is not null and doc_id is not null").filter(~held_out(F.col("doc_id")))
+    # the texts move once: join and minimum both take the rows where their block is
+    texts = texts.repartition(blocks, "doc_id").join(seen.repartition(blocks, "doc_id"), "doc_id")
     return texts.groupBy("doc_id", "toxic").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
 
 
@@ -121,27 +130,22 @@ class Model:
         """``bags``: per text its buckets and counts.  Texts without n-grams are left out."""
         rng = np.random.default_rng(seed)
         squares = [np.full_like(x, 1e-6) for x in (self.embedding, self.out, self.bias)]
-        rows = np.array([i for i, (b, _) in enumerate(bags) if len(b)])
+        rows = np.array([i for i, (b, _) in enumerate(bags) if len(b)], np.int64)
+        shares = [(c / max(c.sum(), 1)).astype(np.float32) for _, c in bags]
         for _ in range(epochs):
             rng.shuffle(rows)
             for low in range(0, len(rows), batch):
                 picked = rows[low:low + batch]
-                size = np.array([len(bags[i][0]) for i in picked])
-                bucket = np.concatenate([bags[i][0] for i in picked])
-                share = np.concatenate([bags[i][1] / bags[i][1].sum() for i in picked]).astype(np.float32)
-                begin = np.cumsum(size) - size
-                mean = np.add.reduceat(self.embedding[bucket] * share[:, None], begin)
+                mean = np.stack([shares[i] @ self.embedding[bags[i][0]] for i in picked])
                 logit = mean @ self.out + self.bias
                 p = np.exp(logit - logit.max(axis=1, keepdims=True))
                 p /= p.sum(axis=1, keepdims=True)
                 p[np.arange(len(picked)), labels[picked]] -= 1
-                grad_mean = p @ self.out.T
-                # gradient of the embeddings, summed per bucket of the batch
-                used, where = np.unique(bucket, return_inverse=True)
-                order = np.argsort(where, kind="stable")
-                doc = np.repeat(np.arange(len(picked)), size)[order]
-                edge = np.flatnonzero(np.append(True, np.diff(where[order]) > 0))
-                grad = np.add.reduceat(grad_mean[doc] * share[order][:, None], edge)
+                # with two classes the pull on an embedding is a number times the difference of the outputs
+                pull = np.bincount(np.concatenate([bags[i][0] for i in picked]),
+                                   np.concatenate([shares[i] * x for i, x in zip(picked, p[:, 1])]), len(self.embedding))
+                used = np.flatnonzero(pull)
+                grad = (pull[used, None] * (self.out[:, 1] - self.out[:, 0])).astype(np.float32)
                 for value, square, g, at in ((self.embedding, squares[0], grad, used), (self.out, squares[1], mean.T @ p, slice(None)),
                                              (self.bias, squares[2], p.sum(axis=0), slice(None))):
                     square[at] += g * g
@@ -153,21 +157,51 @@ class Model:
         return (self.embedding @ step).astype(np.float32), float(self.bias[1] - self.bias[0])
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, float]:
-    """Weight per bucket and bias, learnt from the labelled rows outside the held-out fold."""
+def _learn(exact: int | None):
+    """Task that learns from the rows of its block: weights and bias times the count of its rarer class, and that count."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, y, bags = [], [], []
+        for rows in batches:
+            ids += rows.column("doc_id").to_pylist()
+            y += rows.column("toxic").to_pylist()
+            counts = _counts(rows.column("text"), exact)
+            bags += [(b.values.to_numpy().copy(), c.values.to_numpy().copy()) for b, c in zip(counts.field("bucket"), counts.field("count"))]
+        order = np.argsort(np.array(ids, object), kind="stable")  # whatever order the rows came in
+        y = np.array(y, np.int64)[order]
+        n = int(min(y.sum(), len(y) - y.sum()))
+        if n:
+            weights, bias = Model().fit([bags[i] for i in order], y).weights()
+            bias -= np.log(y.mean() / (1 - y.mean()))  # as if both classes were equally frequent
+            yield pa.record_batch([pa.array([(weights.astype(np.float64) * n).tobytes()], pa.binary()), pa.array([bias * n]), pa.array([n], pa.int64())],
+                                  ["weights", "bias", "n"])
+    return run
+
+
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row with the sums of a task's rows."""
+    weights, bias, n = np.zeros(BUCKETS), 0.0, 0
+    for rows in batches:
+        for w in rows.column("weights"):
+            weights += np.frombuffer(w.as_buffer(), np.float64)
+        bias, n = bias + sum(rows.column("bias").to_pylist()), n + sum(rows.column("n").to_pylist())
+    if n:
+        yield pa.record_batch([pa.array([weights.tobytes()], pa.binary()), pa.array([bias]), pa.array([n], pa.int64())], ["weights", "bias", "n"])
+
+
+def train(docs: DataFrame, labels: DataFrame, sample: int | None = None) -> tuple[np.ndarray, float]:
+    """Weight per bucket and bias, learnt from all labelled rows outside the held-out fold (or from ``sample`` of them)."""
     share = labelled(docs, labels).agg(F.sum("toxic").alias("toxic"), F.count("*").alias("n")).first()
-    rows = training_rows(docs, labels, sample).select("doc_id", "toxic", task_udf(_counts, "struct<bucket:array<int>,count:array<int>>")("text").alias("b"))
-    table = rows.select("doc_id", "toxic", "b.*").toArrow()
-    order = np.argsort(table.column("doc_id").to_numpy(), kind="stable")  # whatever order the tasks delivered
-    y = table.column("toxic").to_numpy()[order].astype(np.int64)
-    if len(set(y.tolist())) < 2:
+    if not share.toxic or share.toxic == share.n:
+        return np.zeros(BUCKETS, np.float32), -np.inf
+    blocks = -(-min(share.n, sample or share.n) // ROWS)
+    learnt = training_rows(docs, labels, sample, blocks).select("doc_id", "toxic", "text").mapInArrow(
+        _learn(EXACT if sample else None), "weights binary, bias double, n bigint")
+    sums = learnt.repartition(min(SUMS, blocks)).mapInArrow(_added, learnt.schema).collect()
+    n = sum(r.n for r in sums)
+    if not n:
         return np.zeros(BUCKETS, np.float32), -np.inf
-    bags = [(bucket.values.to_numpy(), count.values.to_numpy()) for bucket, count in zip(table.column("bucket"), table.column("count"))]
-    weights, bias = Model().fit([bags[i] for i in order], y).weights()
-    del table, bags
-    pa.default_memory_pool().release_unused()
-    # the sample is balanced, the labelled rows are not: shift the log odds to their share of toxic rows
-    return weights, bias + np.log(share.toxic / (share.n - share.toxic)) - np.log(y.mean() / (1 - y.mean()))
+    weights = sum(np.frombuffer(r.weights, np.float64) for r in sums) / n
+    return weights.astype(np.float32), sum(r.bias for r in sums) / n + float(np.log(share.toxic / (share.n - share.toxic)))
 
 
 def score(text: Column, weights: np.ndarray, bias: float) -> Column:
