@@ -3,7 +3,7 @@
 A document has a strength ``s(x) = w . features(x)``, and a labelled good document beats a labelled bad one with probability
 ``sigmoid(s(good) - s(bad))``.  The weights are learnt by logistic loss on the feature differences of preference pairs (good,
 bad); only differences count, so the strengths have no zero of their own.  The zero is set afterwards: the threshold is the
-quantile of the strengths of the labelled documents at the labelled share of bad ones, and a document on it scores ``AT_THRESHOLD``.
+quantile of the strengths of all labelled documents at the labelled share of bad ones, and a document on it scores ``AT_THRESHOLD``.
 
 Features of a whole text, none of them a count that grows with its length:
 
@@ -11,9 +11,10 @@ Features of a whole text, none of them a count that grows with its length:
   ...), three consecutive classes are one of 4096 trigrams;
 * figures of words and lines (``DENSE``): length, word length, repeated lines and windows, variety, single characters, lines.
 
-Training takes a bounded sample of labelled rows (``SAMPLE``, half of each class where there are enough, in the order of a hash)
-to the driver as sparse trigram counts.  The model folds into one weight per trigram and per figure, a constant-size array that
-goes to the tasks; every whole text is scored in one pass without a shuffle.
+Training takes every labelled text outside the held-out fold, dealt by a hash of the doc_id into blocks of about ``ROWS``.  A task
+learns the weights of its block; those of all blocks are averaged, each by the count of its rarer class.  The threshold
+is read from the strengths of all labelled texts, numbered by range partitions.  The model is one weight per trigram and per
+figure, a constant-size array that goes to the tasks; every whole text is scored in one pass without a shuffle.
 
 Defined results: a null or empty text, or one without any word, has the figures of an empty text and is scored by them; without
 labelled rows of both classes every score is 0.5; labels that are null are left out; a doc_id with several labels takes the
@@ -23,15 +24,19 @@ one by one; other columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.ranking import range_row_number
 from .arrays import Powers, segment_sums, span_hashes, task_udf, text_chunks, window_hashes, word_spans
 from .toxicity import held_out
 
-SAMPLE = 4000
+ROWS = 4000    # labelled rows a task learns from
+SUMS = 16      # partial sums of weights that reach the driver
 PAIRS = 20000
 STEPS = 300
 RATE = 0.1
@@ -121,20 +126,23 @@ def _features(text: pa.Array) -> pa.Array:
 FEATURES = "struct<code:array<int>,count:array<bigint>,dense:array<double>>"
 
 
+def known(labels: DataFrame) -> DataFrame:
+    """(doc_id, good) of the labelled ids outside the held-out fold."""
+    return (labels.filter("quality is not null and doc_id is not null").filter(~held_out(F.col("doc_id")))
+            .groupBy("doc_id").agg(F.min("quality").cast("int").alias("good")))
+
+
 def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, text_hash, good) of the distinct labelled texts outside the held-out fold; moves ids and hashes only."""
-    one = (labels.filter("quality is not null and doc_id is not null").filter(~held_out(F.col("doc_id")))
-           .groupBy("doc_id").agg(F.min("quality").cast("int").alias("good")))
-    return docs.select("doc_id", F.xxhash64("text").alias("text_hash")).join(one, "doc_id").distinct()
+    return docs.select("doc_id", F.xxhash64("text").alias("text_hash")).join(known(labels), "doc_id").distinct()
 
 
-def training_rows(docs: DataFrame, rows: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """At most ``sample`` of ``labelled`` rows with their texts, half of each class where there are enough."""
-    order = F.xxhash64("doc_id", "text_hash")
-    half = [rows.filter(F.col("good") == k).orderBy(order, "doc_id", "text_hash").limit(sample // 2) for k in (0, 1)]
-    picked = F.broadcast(half[0].union(half[1]))  # at most ``sample`` rows of three numbers
-    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).join(picked, ["doc_id", "text_hash"])
-    return texts.dropDuplicates(["doc_id", "text_hash"])
+def training_rows(docs: DataFrame, labels: DataFrame, blocks: int = 1) -> DataFrame:
+    """The ``labelled`` rows with their texts, in ``blocks`` partitions by doc_id."""
+    texts = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").filter("doc_id is not null").filter(~held_out(F.col("doc_id")))
+    # the texts move once: join and distinct both take the rows where their block is
+    texts = texts.repartition(blocks, "doc_id").join(known(labels).repartition(blocks, "doc_id"), "doc_id")
+    return texts.dropDuplicates(["doc_id", "text_hash"]).select("doc_id", "text_hash", "good", "text")
 
 
 def pair_loss(weights: np.ndarray, x: np.ndarray, good: np.ndarray, bad: np.ndarray, decay: float) -> tuple[float, np.ndarray]:
@@ -177,44 +185,93 @@ class Model:
     def __init__(self, shape: np.ndarray, dense: np.ndarray, constant: float):
         self.shape, self.dense, self.constant = shape, dense, constant
 
-    @classmethod
-    def learnt(cls, shares: np.ndarray, dense: np.ndarray, y: np.ndarray, bad_share: float) -> "Model":
-        """From trigram shares and figures (a row per document), labels and the share of bad ones among all labelled."""
-        x = np.hstack([shares, dense])
-        spread = np.maximum(x.std(axis=0), 1e-3)
-        weights = fit((x - x.mean(axis=0)) / spread, y) / spread
-        at = quantile_threshold(x @ weights, y, bad_share)
-        return cls(weights[:SHAPES], weights[SHAPES:], float(np.log(AT_THRESHOLD / (1 - AT_THRESHOLD)) - at))
+
+def learnt(shares: np.ndarray, dense: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Weights of trigrams and figures from trigram shares and figures (a row per document) and labels."""
+    used = np.flatnonzero(np.append(shares.any(axis=0), np.ones(dense.shape[1], bool)))  # the others keep the weight 0
+    x = np.hstack([shares[:, used[:-dense.shape[1]]], dense])
+    spread = np.maximum(x.std(axis=0), 1e-3)
+    weights = np.zeros(SHAPES + dense.shape[1])
+    weights[used] = fit((x - x.mean(axis=0)) / spread, y) / spread
+    return weights
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | None:
-    """The model of the labelled rows outside the held-out fold; None unless both classes occur."""
-    rows = labelled(docs, labels)
-    n = {r.good: r["count"] for r in rows.groupBy("good").count().collect()}  # two rows
+SUMMED = "weights array<double>, n bigint"
+
+
+def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The weights that the rows of a block teach, times the count of its rarer class, and that count."""
+    ids, y, shares, dense = [], [], [], []
+    for rows in batches:
+        ids += zip(rows.column("doc_id").to_pylist(), rows.column("text_hash").to_pylist())
+        y += rows.column("good").to_pylist()
+        found = _features(rows.column("text"))
+        share = np.zeros((rows.num_rows, SHAPES), np.float32)
+        for r, (code, count) in enumerate(zip(found.field("code"), found.field("count"))):
+            if len(code):
+                c = count.values.to_numpy()
+                share[r, code.values.to_numpy()] = c / c.sum()
+        shares.append(share)
+        dense.append(np.array(found.field("dense").to_pylist(), np.float64).reshape(-1, len(DENSE)))
+    y = np.array(y, np.int64)
+    n = int(min(y.sum(), len(y) - y.sum()))
+    if n:
+        order = sorted(range(len(ids)), key=ids.__getitem__)  # whatever order the rows came in
+        weights = learnt(np.concatenate(shares)[order], np.concatenate(dense)[order], y[order])
+        yield pa.record_batch([pa.array([(weights * n).tolist()], pa.list_(pa.float64())), pa.array([n], pa.int64())], ["weights", "n"])
+
+
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row with the sums of a task's rows."""
+    weights, n = np.zeros(SHAPES + len(DENSE)), 0
+    for rows in batches:
+        for w, k in zip(rows.column("weights"), rows.column("n").to_pylist()):
+            weights, n = weights + w.values.to_numpy(), n + k
+    if n:
+        yield pa.record_batch([pa.array([weights.tolist()], pa.list_(pa.float64())), pa.array([n], pa.int64())], ["weights", "n"])
+
+
+def threshold(strengths: DataFrame, bad: int) -> float:
+    """``quantile_threshold`` of all rows of ``strengths`` (strength), of which ``bad`` are bad: between the ``bad``-th and the next."""
+    ranked = range_row_number(strengths.select("strength"), [], ["strength"]).filter(F.col("rn").between(bad, bad + 1))
+    near = sorted(r.strength for r in ranked.collect())  # two rows
+    return (near[0] + near[-1]) / 2
+
+
+def train(docs: DataFrame, labels: DataFrame) -> Model | None:
+    """The model of all labelled rows outside the held-out fold; None unless both classes occur."""
+    n = {r.good: r["count"] for r in labelled(docs, labels).groupBy("good").count().collect()}  # two rows
     if not n.get(0) or not n.get(1):
         return None
-    table = training_rows(docs, rows, sample).select("doc_id", "text_hash", "good", task_udf(_features, FEATURES)("text").alias("f")).select(
-        "doc_id", "text_hash", "good", "f.*").toArrow()
-    table = table.sort_by([("doc_id", "ascending"), ("text_hash", "ascending")])  # whatever order the tasks delivered
-    shares = np.zeros((table.num_rows, SHAPES))
-    for r, (code, count) in enumerate(zip(table.column("code"), table.column("count"))):
-        if len(code):
-            c = count.values.to_numpy()
-            shares[r, code.values.to_numpy()] = c / c.sum()
-    dense = np.array(table.column("dense").to_pylist(), np.float64)
-    return Model.learnt(shares, dense, table.column("good").to_numpy(), n[0] / (n[0] + n[1]))
+    blocks = -(-sum(n.values()) // ROWS)
+    parts = training_rows(docs, labels, blocks).mapInArrow(_learn, SUMMED).repartition(min(SUMS, blocks)).mapInArrow(_added, SUMMED).collect()
+    total = sum(r.n for r in parts)
+    if not total:
+        return None
+    weights = sum(np.array(r.weights) for r in parts) / total
+    model = Model(weights[:SHAPES], weights[SHAPES:], 0.0)
+    texts = docs.filter("doc_id is not null").filter(~held_out(F.col("doc_id")))
+    texts = texts.select("doc_id", F.xxhash64("text").alias("text_hash"), strength(F.col("text"), model).alias("strength"))
+    seen = texts.join(known(labels), "doc_id").groupBy("doc_id", "text_hash").agg(F.min("strength").alias("strength"))
+    model.constant = float(np.log(AT_THRESHOLD / (1 - AT_THRESHOLD)) - threshold(seen, n[0]))
+    return model
 
 
-def score(text: Column, model: Model | None) -> Column:
-    """Quality of a whole text between 0 and 1; ``AT_THRESHOLD`` stands at the threshold."""
+def strength(text: Column, model: Model) -> Column:
+    """Strength of a whole text, its constant included."""
     def run(column: pa.Array) -> pa.Array:
-        if model is None:
-            return pa.array(np.full(len(column), 0.5))
         power, classes, out = Powers(), shape_classes(), [np.empty(0)]
         for _, _, data, starts in text_chunks(column):
             code, bounds = shapes(data, starts, classes)
             mean = segment_sums(model.shape[code], bounds) / np.maximum(np.diff(bounds), 1)
             out.append(mean + figures(data, starts, power) @ model.dense + model.constant)
-        return pa.array(1 / (1 + np.exp(-np.clip(np.concatenate(out), -50, 50))))
+        return pa.array(np.concatenate(out))
 
     return task_udf(run, "double")(text)
+
+
+def score(text: Column, model: Model | None) -> Column:
+    """Quality of a whole text between 0 and 1; ``AT_THRESHOLD`` stands at the threshold."""
+    if model is None:
+        return F.lit(0.5)
+    return 1 / (1 + F.exp(-F.greatest(F.least(strength(text, model), F.lit(50.0)), F.lit(-50.0))))
