@@ -92,9 +92,13 @@ def trigger_bytes(spark: SparkSession, per_core: int = 256 << 20) -> int:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder below the shared root for one job's outputs."""
+    """A fresh, unique folder for one job's outputs, directly below the shared root.
+
+    No folder in between is common to all jobs: it would belong to the user
+    whose job came first, and nobody else could write below it.
+    """
     root = shared_dir(spark)
-    return f"{root}/skirmish/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{root}/skirmish-{name}-{uuid.uuid4().hex[:12]}"
 
 
 def materialize(df, name: str):

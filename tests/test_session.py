@@ -39,3 +39,9 @@ def test_a_cluster_without_a_checkpoint_folder_uses_its_warehouse(cluster, monke
     monkeypatch.setattr(type(cluster.sparkContext), "setCheckpointDir", lambda _, d: named.append(d))
     root = session.shared_dir(cluster)
     assert root == real(cluster.conf, "spark.sql.warehouse.dir").rstrip("/") and named == [root]
+
+
+def test_users_of_one_shared_folder_have_no_folder_in_common(spark):
+    """A common folder belongs to the user whose job came first; every other user's writes failed."""
+    paths = [session.scratch_path(spark, "champions") for _ in range(2)]
+    assert {p.rpartition("/")[0] for p in paths} == {session.shared_dir(spark)} and len(set(paths)) == 2
