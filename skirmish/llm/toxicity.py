@@ -111,9 +111,11 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int | None = None,
         half = [seen.filter(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample // 2) for k in (0, 1)]
         seen = half[0].union(half[1])
     texts = docs.select("doc_id", "text").filter("text is not null and doc_id is not null").filter(~held_out(F.col("doc_id")))
-    # the texts move once: join and minimum both take the rows where their block is
-    texts = texts.repartition(blocks, "doc_id").join(seen.repartition(blocks, "doc_id"), "doc_id")
-    return texts.groupBy("doc_id", "toxic").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    # labels and texts move once, as one table: a join would deal them out by the session's shuffle partitions instead of by blocks
+    both = texts.withColumn("toxic", F.lit(None)).unionByName(seen.withColumn("text", F.lit(None)))
+    first = F.min_by("text", F.when(F.col("text").isNotNull(), F.xxhash64("text")))
+    rows = both.repartition(blocks, "doc_id").groupBy("doc_id").agg(F.max("toxic").alias("toxic"), first.alias("text"))
+    return rows.filter("toxic is not null and text is not null")
 
 
 class Model:

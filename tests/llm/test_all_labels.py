@@ -33,3 +33,21 @@ def test_long_texts_are_counted_not_drawn():
     (got,) = toxicity._learn(None)(iter([rows.slice(2), rows.slice(0, 2)]))
     n = got.column("n")[0].as_py()
     assert n == 2 and np.allclose(np.frombuffer(got.column("weights")[0].as_py()) / n, weights) and np.isclose(got.column("bias")[0].as_py() / n, bias)
+
+
+def test_blocks_hold_their_rows_whatever_the_shuffle_partitions(spark):
+    """A sorted join used to deal the rows out anew, by spark.sql.shuffle.partitions."""
+    changed = {"spark.sql.shuffle.partitions": "31", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in changed}
+    docs = spark.range(1000).selectExpr("id AS doc_id", "concat('text ', id) AS text")
+    try:
+        for k, v in changed.items():
+            spark.conf.set(k, v)
+        rows = toxicity.training_rows(docs, docs.selectExpr("doc_id", "cast(doc_id % 2 AS int) AS toxic"), None, 3)
+        assert rows.rdd.getNumPartitions() == 3
+        got = {r.doc_id: (r.toxic, r.text) for r in rows.collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    wanted = {r.doc_id for r in docs.filter(~toxicity.held_out(F.col("doc_id"))).collect()}
+    assert got == {i: (i % 2, f"text {i}") for i in wanted}
