@@ -16,6 +16,7 @@ from tests.util import duck, same_rows
 
 WRITERS = [
     "champion_dimension",
+    "edges_csv_roundtrip",
 ]
 ON_EXECUTORS = ["champion_dimension"]  # lost all rows when the folder was a temp folder of each process
 
