@@ -17,8 +17,9 @@ from tests.util import duck, same_rows
 WRITERS = [
     "champion_dimension",
     "edges_csv_roundtrip",
+    "edges_folded",
 ]
-ON_EXECUTORS = ["champion_dimension"]  # lost all rows when the folder was a temp folder of each process
+ON_EXECUTORS = ["champion_dimension", "edges_folded"]  # lost all rows and failed when the folder was a temp folder of each process
 
 TABLES = {
     "customer": "SELECT i AS c_custkey, 'Customer#' || i AS c_name FROM range(1, 26) t(i)",
