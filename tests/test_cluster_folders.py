@@ -18,6 +18,7 @@ WRITERS = [
     "champion_dimension",
     "edges_csv_roundtrip",
     "edges_folded",
+    "graph_degrees",
 ]
 ON_EXECUTORS = ["champion_dimension", "edges_folded"]  # lost all rows and failed when the folder was a temp folder of each process
 
