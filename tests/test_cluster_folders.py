@@ -19,6 +19,7 @@ WRITERS = [
     "edges_csv_roundtrip",
     "edges_folded",
     "graph_degrees",
+    "graph_export_merged",
 ]
 ON_EXECUTORS = ["champion_dimension", "edges_folded"]  # lost all rows and failed when the folder was a temp folder of each process
 
