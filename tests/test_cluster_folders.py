@@ -20,6 +20,7 @@ WRITERS = [
     "edges_folded",
     "graph_degrees",
     "graph_export_merged",
+    "graph_export_nodes",
 ]
 ON_EXECUTORS = ["champion_dimension", "edges_folded"]  # lost all rows and failed when the folder was a temp folder of each process
 
