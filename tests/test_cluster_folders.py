@@ -21,6 +21,7 @@ WRITERS = [
     "graph_degrees",
     "graph_export_merged",
     "graph_export_nodes",
+    "graph_export_rels",
 ]
 ON_EXECUTORS = ["champion_dimension", "edges_folded"]  # lost all rows and failed when the folder was a temp folder of each process
 
