@@ -24,6 +24,7 @@ WRITERS = [
     "graph_export_rels",
     "match_store_edges",
     "match_list_documents",
+    "match_store_events",
 ]
 ON_EXECUTORS = ["champion_dimension", "edges_folded"]  # lost all rows and failed when the folder was a temp folder of each process
 
