@@ -25,6 +25,7 @@ WRITERS = [
     "match_store_edges",
     "match_list_documents",
     "match_store_events",
+    "pattern_match_hop",
 ]
 ON_EXECUTORS = ["champion_dimension", "edges_folded"]  # lost all rows and failed when the folder was a temp folder of each process
 
