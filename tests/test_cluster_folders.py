@@ -26,6 +26,7 @@ WRITERS = [
     "match_list_documents",
     "match_store_events",
     "pattern_match_hop",
+    "pattern_match_hop_heavy",
 ]
 ON_EXECUTORS = ["champion_dimension", "edges_folded"]  # lost all rows and failed when the folder was a temp folder of each process
 
