@@ -27,6 +27,7 @@ WRITERS = [
     "match_store_events",
     "pattern_match_hop",
     "pattern_match_hop_heavy",
+    "poll_store",
     "raw_document_edges",
 ]
 ON_EXECUTORS = ["champion_dimension", "edges_folded"]  # lost all rows and failed when the folder was a temp folder of each process
