@@ -29,6 +29,7 @@ WRITERS = [
     "pattern_match_hop_heavy",
     "poll_store",
     "raw_document_edges",
+    "roster_documents",
 ]
 ON_EXECUTORS = ["champion_dimension", "edges_folded"]  # lost all rows and failed when the folder was a temp folder of each process
 
