@@ -30,6 +30,7 @@ WRITERS = [
     "poll_store",
     "raw_document_edges",
     "roster_documents",
+    "raw_document_quarantine",
 ]
 ON_EXECUTORS = ["champion_dimension", "edges_folded"]  # lost all rows and failed when the folder was a temp folder of each process
 
