@@ -22,6 +22,7 @@ WRITERS = [
     "graph_export_merged",
     "graph_export_nodes",
     "graph_export_rels",
+    "graph_job_files",
     "match_store_edges",
     "match_list_documents",
     "match_store_events",
