@@ -23,6 +23,7 @@ WRITERS = [
     "graph_export_nodes",
     "graph_export_rels",
     "graph_job_files",
+    "match_list_arrivals",
     "match_store_edges",
     "match_list_documents",
     "match_store_events",
