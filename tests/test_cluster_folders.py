@@ -33,6 +33,7 @@ WRITERS = [
     "raw_document_edges",
     "roster_documents",
     "raw_document_quarantine",
+    "running_bans_state",
     "stats_panes_stream",
 ]
 ON_EXECUTORS = ["champion_dimension", "edges_folded"]  # lost all rows and failed when the folder was a temp folder of each process
