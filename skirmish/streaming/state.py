@@ -107,11 +107,18 @@ class Arrivals(StatefulProcessor):
 def list_arrivals(lists: DataFrame, matches: DataFrame, ttl_ms: int | None = None) -> DataFrame:
     """Streaming (account_id, game_id, status) over two streams: list entries (account_id, game_id) and matches (game_id).
 
-    An entry is ``pending`` until its match is there and then ``matched``, whichever comes first.  ``ttl_ms`` bounds the state: a
+    An entry is ``pending`` until its match is there and then ``matched``, whichever comes first.  A game's state is one row of a
+    streaming aggregate (whether its match has arrived, and the few accounts whose lists name it), so no game passes through Python;
+    a batch gives the entries of every game it touches, those told before among them.  ``ttl_ms`` bounds the state, which only
+    ``Arrivals`` can do (game by game in Python, slow for millions of games) and which gives an entry only when it is new or changes: a
     game whose list or match did not come in that time is forgotten (its entries stay pending in the output).
     """
     both = lists.select(F.col("account_id").cast("string"), "game_id", F.lit(False).alias("is_match")).unionByName(
         matches.select(F.lit(None).cast("string").alias("account_id"), "game_id", F.lit(True).alias("is_match")))
     known = both.filter("game_id is not null and (is_match or account_id is not null)")
-    return known.groupBy("game_id").transformWithStateInPandas(
-        Arrivals(ttl_ms), "account_id string, game_id bigint, status string", "Update", "ProcessingTime" if ttl_ms else "None")
+    if ttl_ms:
+        return known.groupBy("game_id").transformWithStateInPandas(
+            Arrivals(ttl_ms), "account_id string, game_id bigint, status string", "Update", "ProcessingTime")
+    games = known.groupBy("game_id").agg(F.bool_or("is_match").alias("arrived"), F.collect_set("account_id").alias("listed"))
+    return games.select(F.explode("listed").alias("account_id"), F.col("game_id").cast("bigint"),
+                        F.when(F.col("arrived"), "matched").otherwise("pending").alias("status"))
