@@ -46,6 +46,12 @@ def _ids(edges: DataFrame, id_mode: str) -> tuple[F.Column, F.Column]:
     return name_id("my_name", id_mode), name_id("his_name", id_mode)
 
 
+def with_ids(match_edges: DataFrame, id_mode: str = "key") -> DataFrame:
+    """Match edges whose ``my_id`` and ``his_id`` are those of ``id_mode``, so that everything after reads them in "key" mode."""
+    me, him = _ids(match_edges, id_mode)
+    return match_edges.withColumns({"my_id": me, "his_id": him})
+
+
 def oriented_edges(match_edges: DataFrame, id_mode: str = "key",
                    orientation: str = "stored") -> DataFrame:
     """Edges of the graph from normalised match edges.

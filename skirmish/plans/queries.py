@@ -18,7 +18,7 @@ from .. import schemas
 from ..functions import columns as colfn
 from ..functions.hashing import name_id
 from ..operators import bans, graph, marts, matchlist, normalize, stats
-from ..session import materialize, scratch_path, trigger_bytes
+from ..session import GZIP_PER_CORE, clean_shuffles, materialize, scratch_path, trigger_bytes
 from ..sources import documents, graph_files, match_store, tables
 from ..streaming import jobs
 from ..streaming.graph_tables import ExportStore, GraphTables
@@ -301,8 +301,8 @@ def _publish_events(spark, d, path: str) -> None:
     recs.write.mode("overwrite").json(path)
 
 
-def _topic(spark, path: str) -> DataFrame:
-    return documents.json_record_stream(spark, path, max_bytes_per_trigger=trigger_bytes(spark))
+def _topic(spark, path: str, **per_core) -> DataFrame:
+    return documents.json_record_stream(spark, path, max_bytes_per_trigger=trigger_bytes(spark, **per_core))
 
 
 def ban_counts_stream(spark, d):
@@ -474,16 +474,19 @@ def stream_ingest_graph(spark, d):
     root = scratch_path(spark, "ingest")
     t = _t(spark, d)
     docs = documents.to_raw_documents(t)
-    text = F.to_json(F.struct(*docs.columns))
-    whole = docs.select(text.alias("value")).unionByName(docs.filter("gameId % 5 = 0").select(F.left(text, F.length(text) / 2).alias("value")))
-    whole.repartition(4).write.text(f"{root}/landed")
-    raw = documents.read_raw_matches(spark, f"{root}/landed", streaming=True)
+    text = F.col("text")
+    cut = F.when(F.col("gameId") % 5 == 0, F.array(text, F.left(text, F.length(text) / 2))).otherwise(F.array(text))
     dimensions = lambda: (tables.champions(spark, d), tables.players(spark, d), tables.match_list(spark, d))
     now = {"availableNow": True}
-    jobs.run_available(jobs.start_normalisation(raw, dimensions, jobs.publish_files(f"{root}/topic"), f"{root}/rejected", f"{root}/checkpoint", now))
-    live = GraphTables(spark, f"{root}/graph")
-    for q in jobs.start_match_jobs(_topic(spark, f"{root}/topic"), f"{root}/out", trigger=now, id_mode="murmur3", graph_tables=live).values():
-        jobs.run_available(q)
+    with clean_shuffles(spark):
+        (docs.select("gameId", F.to_json(F.struct(*docs.columns)).alias("text")).select(F.explode(cut).alias("value"))
+         .write.option("compression", "gzip").text(f"{root}/landed"))
+        raw = documents.read_raw_matches(spark, f"{root}/landed", streaming=True, max_bytes_per_trigger=trigger_bytes(spark, GZIP_PER_CORE))
+        jobs.run_available(jobs.start_normalisation(raw, dimensions, jobs.publish_files(f"{root}/topic"), f"{root}/rejected", f"{root}/checkpoint", now))
+        live = GraphTables(spark, f"{root}/graph", keep=2)
+        for q in jobs.start_match_jobs(_topic(spark, f"{root}/topic", per_core=GZIP_PER_CORE), f"{root}/out", trigger=now, id_mode="murmur3",
+                                       graph_tables=live).values():
+            jobs.run_available(q)
     return live.job(UpsertStore(spark, f"{root}/out/ban_count", ["champion"], schemas.BAN_COUNT).read())
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -91,6 +92,29 @@ def trigger_bytes(spark: SparkSession, per_core: int = 256 << 20) -> int:
     return per_core * max(1, spark.sparkContext.defaultParallelism)
 
 
+#: Input of a micro-batch of gzipped JSON for every core; such files hold about ten times their size in text.
+GZIP_PER_CORE = 32 << 20
+
+CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def clean_shuffles(spark: SparkSession):
+    """Whatever runs inside, and the streams started inside, delete their shuffle files as soon as each of their executions ends.
+
+    Otherwise the files stay until the driver happens to collect its garbage, so the disk holds the shuffles of many micro-batches.
+    """
+    before = spark.conf.get(CLEAN_SHUFFLES, None)
+    spark.conf.set(CLEAN_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEAN_SHUFFLES)
+        else:
+            spark.conf.set(CLEAN_SHUFFLES, before)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder for one job's outputs, directly below the shared root.
 

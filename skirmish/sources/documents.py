@@ -155,10 +155,12 @@ def json_record_stream(spark: SparkSession, path: str, max_files_per_trigger: in
 CORRUPT = "_corrupt_record"
 
 
-def read_raw_matches(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
+def read_raw_matches(spark: SparkSession, path: str, streaming: bool = False, max_bytes_per_trigger: int | None = None) -> DataFrame:
     """Raw match documents; the text of a line that does not parse is in ``_corrupt_record``."""
     schema = T.StructType([*schemas.RAW_MATCH_DOC.fields, T.StructField(CORRUPT, T.StringType())])
     reader = (spark.readStream if streaming else spark.read).schema(schema)
+    if max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
     return reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).json(path)
 
 

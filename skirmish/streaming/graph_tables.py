@@ -26,8 +26,12 @@ RELS = Keyed("src_id BIGINT, dst_id BIGINT, my_champion STRING", ("src_id", "dst
 
 
 class GraphTables(BucketStore):
-    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
+    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS, keep: int | None = None):
+        """``keep``: versions kept after every batch (2 or more, as a replay starts from the one before its own); None keeps all."""
         super().__init__(spark, root, {"vertices": VERTICES, "counts": COUNTS, "edges": EDGES}, buckets)
+        if keep is not None and keep < 2:
+            raise ValueError("a replay needs the version before its own")
+        self.keep = keep
 
     def add(self, match_edges: DataFrame, batch_id: int, id_mode: str = "key") -> None:
         """Bring vertices, counts and edges up to date with a batch of normalised edges."""
@@ -37,6 +41,8 @@ class GraphTables(BucketStore):
                        F.struct(F.col("dst_id").alias("id"), F.lit(1).alias("in_degree"), F.lit(0).alias("out_degree")))
         counts = edges.select(*of, F.explode(ends).alias("e")).select("e.*", *of)
         self.merge({"vertices": graph.vertex_rows(match_edges, id_mode), "counts": counts, "edges": edges}, batch_id)
+        if self.keep:
+            self.expire(self.keep)
 
     def graph(self) -> graph.PropertyGraph:
         """The whole graph; an id without a name is "Missing", one without a vertex row of its own not tracked."""

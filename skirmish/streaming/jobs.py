@@ -207,8 +207,8 @@ def start_normalisation(docs: DataFrame, dimensions: Callable[[], tuple[DataFram
 
 
 def publish_files(path: str) -> Callable[[DataFrame, int], None]:
-    """Publisher of ``start_normalisation`` that writes JSON records, one folder per batch (read by ``json_record_stream``)."""
-    return lambda records, batch_id: records.write.mode("overwrite").json(f"{path}/batch-{batch_id:010d}")
+    """Publisher of ``start_normalisation`` that writes gzipped JSON records, one folder per batch (read by ``json_record_stream``)."""
+    return lambda records, batch_id: records.write.mode("overwrite").option("compression", "gzip").json(f"{path}/batch-{batch_id:010d}")
 
 
 #: State of a match-list entry: "matched" once its match is there ("matched" < "pending", so the minimum keeps it).
@@ -236,7 +236,8 @@ class MatchEventSink:
     """One ``foreachBatch`` handler fanning a parsed batch out to several outputs.
 
     The parsed batch is persisted once and reused by every output, like the
-    six output operations the reference hangs off one parsed stream.
+    six output operations the reference hangs off one parsed stream.  Only
+    rejected records keep their text there, and the edges keep the players' ids.
     """
 
     def __init__(self, edges_path: str, vertices_path: str, running_path: str,
@@ -248,20 +249,21 @@ class MatchEventSink:
         self.totals, self.fmt, self.id_mode = totals, fmt, id_mode
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        parsed = parse_events(batch).persist()
+        parsed = parse_events(batch)
+        parsed = parsed.withColumn("value", F.when(F.col("quarantined"), F.col("value"))).persist()
         try:
             good, bad = split_quarantine(parsed)
             bad.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(
                 f"{self.quarantine_path}/batch_id={batch_id}")
-            edges = event_edges(good).persist()
+            edges = graph.with_ids(event_edges(good), self.id_mode).persist()
             try:
                 # Edges: skipped on an empty batch.  Vertices: always written.
-                write_graph_file(graph.oriented_edges(edges, self.id_mode), f"{self.edges_path}/batch_id={batch_id}",
+                write_graph_file(graph.oriented_edges(edges), f"{self.edges_path}/batch_id={batch_id}",
                                  self.fmt, mode="overwrite", skip_empty=True)
-                write_graph_file(graph.extract_vertices(edges, self.id_mode),
+                write_graph_file(graph.extract_vertices(edges),
                                  f"{self.vertices_path}/batch_id={batch_id}", self.fmt, mode="overwrite")
                 if self.graph_tables:
-                    self.graph_tables.add(edges, batch_id, self.id_mode)
+                    self.graph_tables.add(edges, batch_id)
             finally:
                 edges.unpersist()
             self._running(event_bans(good), batch_id)

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import materialize
+from ..session import scratch_path
 
 PARTS = 1000   # versions a batch may have (batch, folds after it)
 BUCKETS = 64
@@ -85,6 +85,11 @@ class VersionLog:
         fs.delete(path(f"{self.path}/v={version:020d}.json"), False)
 
 
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 @dataclass(frozen=True)
 class Keyed:
     """A table with one row per key; ``merge`` has the aggregate that joins old and new values of each other column."""
@@ -126,9 +131,12 @@ class BucketStore:
                     live = {**live, name: {**live.get(name, {}), folder: folder}}
                 continue
             bucket = F.pmod(F.xxhash64(*table.key), F.lit(self.buckets)).cast("int").alias("__b")
-            rows = materialize(self._grouped(rows.select(bucket, *fields), table), f"changes-{name}")  # partial sums first
+            changed = scratch_path(self.spark, f"changes-{name}")
+            self._grouped(rows.select(bucket, *fields), table).write.parquet(changed)  # partial sums first
+            rows = self.spark.read.parquet(changed)
             touched = [str(r[0]) for r in rows.select("__b").distinct().collect()]  # at most ``buckets`` numbers
             if not touched:
+                _delete(self.spark, changed)
                 continue
             old = live.get(name, {})
             kept = [old[b] for b in touched if b in old]
@@ -136,6 +144,7 @@ class BucketStore:
                 rows = rows.unionByName(self._read(name, kept).select(bucket, *fields))
             self._grouped(rows.repartition("__b"), table).write.partitionBy("__b").parquet(f"{self.root}/{folder}")
             live = {**live, name: {**old, **{b: f"{folder}/__b={b}" for b in touched}}}
+            _delete(self.spark, changed)
         self.log.commit(version, {"tables": live})
 
     def next_batch(self) -> int:
