@@ -103,7 +103,7 @@ def test_token_files(spark):
         reader = token_files.Reader(f)
         reader.tokens(5, 10)
         assert reader.frames_read == 1 and len(reader.sizes) > 3
-    broken = scratch_path(spark, "t-broken") + ".zst"
+    broken = scratch_path(spark, "t-broken").removeprefix("file:") + ".zst"
     data = bytearray(raw)
     data[int(reader.at[1]) // 2] ^= 1
     open(broken, "wb").write(data)
